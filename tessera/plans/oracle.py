@@ -44,8 +44,8 @@ def _prompt_sql() -> str:
         return f"CASE WHEN {v} <> '' THEN {S.q(pre)} || {v} || {S.q(suf)} ELSE '' END"
     return f"""WITH p AS (SELECT * FROM {S.PROCESSED}),
 n AS (SELECT cod, string_agg(nome, '; ' ORDER BY row_key) AS names FROM p GROUP BY cod),
-f AS (SELECT cod, arg_min(incl, row_key) AS incl, arg_min(excl, row_key) AS excl, arg_min(crit, row_key) AS crit,
-        arg_min(icd10_description, row_key) AS icd10_description FROM p GROUP BY cod)
+f AS (SELECT cod, incl, excl, crit, icd10_description FROM (
+        SELECT *, row_number() OVER (PARTITION BY cod ORDER BY row_key) AS rn FROM p) WHERE rn = 1)
 SELECT n.cod AS code, {labels} || {piece(i, '; ', ', ')} || {piece(x, ', ')} || {piece(c, '; Critérios: ')}
   || {piece(e, '. Exclui: ')} AS prompt, {S.q(PROMPT_CONTEXT)} AS context FROM n JOIN f USING (cod)"""
 
@@ -110,11 +110,9 @@ ORACLES: dict[str, str] = {
       t AS (SELECT code, substr(code, 1, 1) AS chapter FROM {T})
       SELECT kind, value FROM v WHERE (kind = 'chapter' AND value IN (SELECT chapter FROM t))
         OR (kind = 'code' AND value IN (SELECT code FROM t))""",
-    "cards": f"""WITH p AS (SELECT * FROM {S.PROCESSED}),
-      w AS (SELECT DISTINCT t.code FROM {T} t JOIN (SELECT code FROM {T} GROUP BY code HAVING count(*) <= 3) r USING (code))
-      SELECT cod, arg_min(nome, row_key) AS nome, arg_min(incl, row_key) AS incl, arg_min(excl, row_key) AS excl,
-        arg_min(crit, row_key) AS crit, arg_min(icd10_description, row_key) AS icd10_description
-      FROM p WHERE cod IN (SELECT code FROM w) GROUP BY cod""",
+    "cards": f"""WITH p AS (SELECT *, row_number() OVER (PARTITION BY cod ORDER BY row_key) AS rn FROM {S.PROCESSED}),
+      w AS (SELECT code FROM {T} GROUP BY code HAVING count(*) <= 3)
+      SELECT cod, nome, incl, excl, crit, icd10_description FROM p WHERE rn = 1 AND cod IN (SELECT code FROM w)""",
     "clean_description": f"""SELECT row_key, {S.clean('excl')} AS excl_clean, {S.clean('crit')} AS crit_clean
       FROM {S.CODE_SYSTEM}""",
     "expand_abbreviations": f"""SELECT p_partkey, {S.expand("p_name || ' NE (' || upper(substr(p_type, 1, 1)) || ')'")}

@@ -14,6 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.operators.common import small_side
 from tessera.session import ensure_checkpoint_dir
 
 
@@ -38,7 +39,12 @@ def _drain(stream_df: DataFrame, name: str, mode: str = "append", partition_by=N
 def event_stream(spark: SparkSession, path: str, schema) -> DataFrame:
     """File source with an explicit schema; ``timestamp_ntz`` event times are
     cast to ``timestamp`` (session zone UTC) so a watermark can use them."""
-    df = spark.readStream.schema(schema).option("maxFilesPerTrigger", 64).parquet(path)
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 64)
+    if path.endswith(".parquet"):
+        # A single file rather than a landing directory: the file source
+        # wants a directory or a glob, so turn the name into a one-file glob.
+        path = path[:-1] + "[" + path[-1] + "]"
+    df = reader.parquet(path)
     for f in df.schema.fields:
         if f.dataType.typeName() == "timestamp_ntz":
             df = df.withColumn(f.name, F.col(f.name).cast("timestamp"))
@@ -90,5 +96,8 @@ def run_scoring(spark: SparkSession, model, path: str, schema, text: str = "text
     flat = scored.select("input", F.col("p.rank").alias("rank"), F.col("p.label").alias("label"),
                          F.col("p.value").alias("value"))
     if labels is not None:
-        flat = flat.join(F.broadcast(labels.select("label", "code")), "label", "left")
+        # static dimension: materialised once (reliable checkpoint) so the
+        # streaming plan only sees a scan of it
+        dim = labels.select("label", "code").checkpoint()
+        flat = flat.join(small_side(dim), "label", "left")
     return _drain(flat, "scoring")
