@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from tessera.functions.common import as_col
 
-# Largest side (rows) we broadcast after checking. Above it the join is left to
-# a shuffle join (AQE may still broadcast it from runtime statistics).
-DEFAULT_BROADCAST_ROWS = 2_000_000
+# Largest side (rows) broadcast in "checked" mode after counting it.
+DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
 def broadcast_limit(df: DataFrame) -> int:
@@ -20,14 +19,29 @@ def broadcast_limit(df: DataFrame) -> int:
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows. Each task stops after
-    ``max_rows + 1`` rows, so the check is cheap even on a big input."""
+    """True when ``df`` has at most ``max_rows`` rows (each task stops after
+    ``max_rows + 1`` rows). Costs a job: use on inputs that are small or
+    cheap to scan, not on large aggregates."""
     return df.limit(max_rows + 1).count() <= max_rows
 
 
 def small_side(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """``broadcast(df)`` when its row count is proven to be under the limit,
-    else ``df`` unchanged (shuffle join; AQE re-plans from real sizes)."""
+    """The build side of a lookup join, broadcast only behind a size check.
+
+    ``tessera.broadcast.mode``:
+
+    * ``runtime`` (default): no hint. The side is a dimension or an
+      aggregate; AQE measures its materialised size and converts the join to
+      a broadcast hash join only under
+      ``spark.sql.adaptive.autoBroadcastJoinThreshold``; above it the
+      sort-merge join stays, with skewed partitions split. No extra job, no
+      second evaluation of the side.
+    * ``checked``: count the side (capped at ``max_rows + 1``) and hint
+      ``broadcast`` only when it fits; otherwise leave the join to Spark.
+    """
+    mode = df.sparkSession.conf.get("tessera.broadcast.mode", "runtime")
+    if mode != "checked":
+        return df
     limit = broadcast_limit(df) if max_rows is None else max_rows
     return F.broadcast(df) if fits(df, limit) else df
 
@@ -89,3 +103,20 @@ def null_safe_key(col) -> list[Column]:
     join (NULL equals NULL), so hash/sort-merge joins can be used."""
     c = as_col(col)
     return [c.isNull().alias("_k_null"), F.coalesce(c.cast("string"), F.lit("")).alias("_k_val")]
+
+
+def cut(df: DataFrame, name: str = "cut") -> DataFrame:
+    """Materialise ``df`` as a Parquet table under the session's
+    ``spark.checkpoint.dir`` (shared storage on a cluster) and read it back.
+
+    Used where one intermediate feeds several branches: every branch then
+    scans the table instead of recomputing the upstream DAG, the lineage is
+    cut (a lost executor re-reads files, it does not replay the DAG), and
+    later joins get real file statistics for broadcast decisions."""
+    import uuid
+
+    from tessera.session import ensure_checkpoint_dir
+    spark = df.sparkSession
+    path = ensure_checkpoint_dir(spark).rstrip("/") + f"/tables/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -13,8 +13,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from tessera.functions.text import parse_code_list
+from tessera.operators.common import cut
 from tessera.operators.corpus import (
-    drop_prefixed, drop_shadowed, encode_labels, normalize_code_system, stack_origins,
+    drop_incomplete, drop_prefixed, drop_shadowed, encode_labels, normalize_code_system, stack_origins,
     with_augmentation, with_chapter)
 from tessera.operators.crosswalk import crosswalk
 
@@ -28,14 +29,25 @@ def process_code_system(code_system: DataFrame, dim: DataFrame, key: str = "row_
 
 
 def build_corpus(code_system: DataFrame, dim: DataFrame, augmentation: DataFrame,
-                 key: str = "row_key", reference_order: bool = False):
+                 key: str = "row_key", reference_order: bool = False, materialize: bool = True):
     """Returns ``(corpus, labels)`` with corpus columns
-    ``code, text, origin, chapter, label``."""
+    ``code, text, origin, chapter, label``.
+
+    With ``materialize`` (default) the two intermediates that feed several
+    branches are written once under ``spark.checkpoint.dir``: the unioned
+    rows (read by the duplicate-text count and both sides of the shadow
+    filter) and the filtered corpus (read by the label ranking and the label
+    join). Without it every branch replays the crosswalk DAG."""
     processed = process_code_system(code_system, dim, key=key)
     stacked = stack_origins(normalize_code_system(processed))
     corpus = drop_prefixed(stacked)
     corpus = with_augmentation(corpus, augmentation)
-    corpus = drop_shadowed(corpus)
-    corpus = with_chapter(corpus)
+    if materialize:
+        corpus = cut(corpus, "corpus_union")
+    corpus = with_chapter(drop_shadowed(corpus))
+    if not reference_order:
+        corpus = drop_incomplete(corpus)
+        if materialize:
+            corpus = cut(corpus, "corpus_filtered")
     corpus, labels = encode_labels(corpus, reference_order=reference_order)
     return corpus.select("code", "text", "origin", "chapter", "label"), labels

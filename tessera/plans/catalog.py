@@ -18,7 +18,7 @@ from tessera.operators import labels as LB
 from tessera.operators import metrics as ME
 from tessera.operators import split as SP
 from tessera.operators import topk as TK
-from tessera.operators.common import first_per_key, with_row_id
+from tessera.operators.common import first_per_key, small_side, with_row_id
 from tessera.operators.crosswalk import crosswalk
 from tessera.plans import sql as S
 from tessera.plans import views as V
@@ -393,7 +393,7 @@ def q_stream_acceptance(spark, d):
 def _ml_docs(spark, d):
     docs = _docs(spark, d).select("doc_id", "text", "lang")
     labels = CO.label_dimension(docs.withColumnRenamed("lang", "code"))
-    return docs.join(F.broadcast(labels.withColumnRenamed("code", "lang")), "lang"), labels
+    return docs.join(small_side(labels.withColumnRenamed("code", "lang")), "lang"), labels
 
 
 def q_train_score(spark, d):
