@@ -34,8 +34,20 @@ def featurize(text: str = "text", max_tokens: int = MAX_TOKENS, num_features: in
 
 
 def classifier(kind: str = "nb", label: str = "label", weight: str | None = None, **params):
+    """``nb`` multinomial naive Bayes (default), ``lr`` multinomial logistic
+    regression, ``rf`` random forest (IMB7 with ``weight``), ``ovr``
+    one-vs-rest logistic regression (IMB5 binary relevance)."""
     if kind == "lr":
         est = LogisticRegression(labelCol=label, featuresCol="features", family="multinomial", **params)
+    elif kind == "rf":
+        from pyspark.ml.classification import RandomForestClassifier
+        est = RandomForestClassifier(labelCol=label, featuresCol="features", seed=42, **params)
+    elif kind == "ovr":
+        from pyspark.ml.classification import OneVsRest
+        base = LogisticRegression(featuresCol="features", maxIter=20)
+        if weight:
+            base.setWeightCol(weight)
+        return OneVsRest(classifier=base, labelCol=label, featuresCol="features", **params)
     else:
         est = NaiveBayes(labelCol=label, featuresCol="features", modelType="multinomial", **params)
     if weight:

@@ -492,3 +492,84 @@ QUERIES = {
     "vector_topk_lsh": q_vector_topk_lsh,
     "stream_score": q_stream_score,
 }
+
+
+# ------------------------------------------------- imbalance extensions ---
+
+def q_hybrid_sample(spark, d):
+    from tessera.operators.imbalance import hybrid_sample
+    return hybrid_sample(V.terms(spark, d), 5, "id", "code").select("id", "code", "copy")
+
+
+def _class_scores(spark, d):
+    from tessera.functions.arrays import softmax
+    e = V.table(spark, d, "embeddings")
+    return e.select(F.col("vec_id").alias("id"), "label",
+                    F.posexplode(softmax(F.slice("embedding", 1, 10))).alias("class", "score"))
+
+
+def q_tune_thresholds(spark, d):
+    from tessera.operators.imbalance import tune_thresholds
+    out = tune_thresholds(_class_scores(spark, d))
+    return out.select("class", "threshold", r6("f1").alias("f1"))
+
+
+def q_label_powerset(spark, d):
+    from tessera.operators.imbalance import label_powerset
+    per_id, _ = label_powerset(_ml_truth(spark, d))
+    return per_id.select("id", "labelset", "powerset_label")
+
+
+def _synonyms(spark, d):
+    b = V.table(spark, d, "benchmark")
+    words = b.select(F.explode(F.split("text", " ", -1)).alias("word")).distinct()
+    return words.select("word", F.concat(F.lit("<"), F.col("word"), F.lit(">")).alias("synonym"))
+
+
+def q_replace_synonyms(spark, d):
+    from tessera.operators.imbalance import replace_synonyms
+    return replace_synonyms(_docs(spark, d).select("doc_id", "text"), _synonyms(spark, d), key="doc_id")
+
+
+def q_weighted_rf(spark, d):
+    from pyspark.ml import Pipeline
+
+    from tessera.operators.model import classifier, evaluate, featurize
+    docs, _ = _ml_docs(spark, d)
+    split = SP.stratified_split(docs, "label", "doc_id")
+    train = BA.with_class_weight(split.filter("split = 'train'"), "label", "weight")
+    pipe = Pipeline(stages=featurize("text", num_features=1 << 10) +
+                    [classifier("rf", "label", "weight", numTrees=10, maxDepth=6)])
+    return evaluate(pipe.fit(train), split, "label", "test")
+
+
+def q_evaluate_model(spark, d):
+    from tessera.operators.model import evaluate, train_classifier
+    docs, _ = _ml_docs(spark, d)
+    split = SP.stratified_split(docs, "label", "doc_id")
+    model = train_classifier(split.filter("split = 'train'"), "label")
+    test = evaluate(model, split, "label", "test").withColumn("split", F.lit("test"))
+    full = evaluate(model, split, "label", None).withColumn("split", F.lit("all"))
+    return test.unionByName(full)
+
+
+def q_pseudo_label(spark, d):
+    from tessera.operators.augment import pseudo_label
+    from tessera.operators.model import score, train_classifier
+    docs, labels = _ml_docs(spark, d)
+    split = SP.stratified_split(docs, "label", "doc_id")
+    model = train_classifier(split.filter("split = 'train'"), "label")
+    dim = labels.withColumn("text", F.col("code"))
+    top1 = TK.topk_long(score(model, split.filter("split = 'test'"), 1, labels=dim)).drop("text")
+    return pseudo_label(top1, 0.9)
+
+
+QUERIES.update({
+    "hybrid_sample": q_hybrid_sample,
+    "tune_thresholds": q_tune_thresholds,
+    "label_powerset": q_label_powerset,
+    "replace_synonyms": q_replace_synonyms,
+    "weighted_rf": q_weighted_rf,
+    "evaluate_model": q_evaluate_model,
+    "pseudo_label": q_pseudo_label,
+})

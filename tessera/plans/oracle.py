@@ -209,3 +209,33 @@ ORACLES: dict[str, str] = {
       FROM g WHERE we <= (SELECT max(ts) FROM events) - INTERVAL '1 hour'""",
 }
 ORACLES.pop("parse_generated_list")
+
+
+ORACLES.update({
+    "hybrid_sample": f"""WITH u AS (SELECT id, code FROM (SELECT id, code,
+        row_number() OVER (PARTITION BY code ORDER BY {S.md5k('id')}, id) AS rn FROM {T}) WHERE rn <= 5),
+      c AS (SELECT code, count(*) AS n FROM u GROUP BY code)
+      SELECT u.id, u.code, CAST(unnest(range(1, CAST(ceil(5 / c.n) AS BIGINT) + 1)) AS INTEGER) AS copy
+      FROM u JOIN c USING (code)""",
+    "tune_thresholds": """WITH u AS (SELECT vec_id, label, CAST(unnest(embedding[1:10]) AS DOUBLE) AS x,
+          CAST(generate_subscripts(embedding[1:10], 1) - 1 AS INTEGER) AS cls FROM embeddings),
+      m AS (SELECT *, max(x) OVER (PARTITION BY vec_id) AS mx FROM u),
+      s AS (SELECT vec_id, label, cls, exp(x - mx) / sum(exp(x - mx)) OVER (PARTITION BY vec_id) AS score FROM m),
+      g AS (SELECT CAST(unnest([0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.35, 0.4, 0.45, 0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95]) AS DOUBLE) AS t),
+      a AS (SELECT cls, t, count_if(score >= t AND label = cls) AS tp, count_if(score >= t AND label <> cls) AS fp,
+                   count_if(score < t AND label = cls) AS fn FROM s, g GROUP BY cls, t),
+      f AS (SELECT *, CASE WHEN 2 * tp + fp + fn > 0 THEN 2.0 * tp / (2 * tp + fp + fn) ELSE 0.0 END AS f1 FROM a)
+      SELECT cls AS class, t AS threshold, round(f1, 6) AS f1 FROM (
+        SELECT *, row_number() OVER (PARTITION BY cls ORDER BY f1 DESC, t) AS rn FROM f) WHERE rn = 1""",
+    "label_powerset": """WITH t AS (SELECT doc_id AS id, 'quality' AS label FROM labels WHERE quality = 1
+        UNION ALL SELECT doc_id, 'toxic' FROM labels WHERE toxic = 1
+        UNION ALL SELECT doc_id, NULL FROM labels),
+      s AS (SELECT id, coalesce(string_agg(DISTINCT label, '|' ORDER BY label), '') AS labelset FROM t GROUP BY id)
+      SELECT id, labelset, CAST(dense_rank() OVER (ORDER BY labelset) - 1 AS INTEGER) AS powerset_label FROM s""",
+    "replace_synonyms": """WITH d AS (SELECT DISTINCT w AS word, '<' || w || '>' AS synonym FROM (
+          SELECT unnest(string_split(text, ' ')) AS w FROM benchmark)),
+      ex AS (SELECT doc_id, unnest(string_split(text, ' ')) AS tok, generate_subscripts(string_split(text, ' '), 1) AS pos
+             FROM documents)
+      SELECT ex.doc_id, string_agg(coalesce(d.synonym, ex.tok), ' ' ORDER BY ex.pos) AS augmented
+      FROM ex LEFT JOIN d ON ex.tok = d.word GROUP BY ex.doc_id""",
+})
