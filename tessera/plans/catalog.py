@@ -101,7 +101,10 @@ def q_corpus_labels(spark, d):
 
 def q_parse_code_list(spark, d):
     cl = V.code_lists(spark, d).withColumn("_c", TX.parse_code_list("icd10"))
-    return cl.select("o_orderkey", F.when(F.col("_c").isNotNull(), F.size("_c")).alias("n_codes"),
+    # NULL lists stay NULL in ``codes``; the count is reported as 0 plus a flag
+    # so the integer column has no NULLs
+    return cl.select("o_orderkey", F.col("_c").isNull().alias("list_is_null"),
+                     F.coalesce(F.size("_c"), F.lit(0)).alias("n_codes"),
                      F.array_join("_c", ",").alias("codes"))
 
 

@@ -53,7 +53,8 @@ SELECT n.cod AS code, {labels} || {piece(i, '; ', ', ')} || {piece(x, ', ')} ||
 ORACLES: dict[str, str] = {
     "corpus_build": f"SELECT * FROM {S.CORPUS}",
     "corpus_labels": f"SELECT code, text, chapter, label FROM {S.CORPUS} WHERE origin = 'icpc2_description'",
-    "parse_code_list": f"""SELECT o_orderkey, len(c) AS n_codes, array_to_string(c, ',') AS codes
+    "parse_code_list": f"""SELECT o_orderkey, c IS NULL AS list_is_null, CAST(coalesce(len(c), 0) AS INTEGER) AS n_codes,
+        array_to_string(c, ',') AS codes
       FROM (SELECT o_orderkey, {S.parse_list('icd10')} AS c FROM {S.CODE_LISTS})""",
     "crosswalk": f"""WITH cl AS (SELECT o_orderkey, {S.parse_list('icd10')} AS c FROM {S.CODE_LISTS}),
       dim1 AS (SELECT k, arg_min(v, ord) AS v FROM {S.PART_DIM} GROUP BY k),
@@ -80,7 +81,7 @@ ORACLES: dict[str, str] = {
     "slice_counts": f"SELECT count(*) AS n_rows, count(DISTINCT code) AS n_codes FROM {RARE10}",
     "augmentation_stats": f"""WITH a AS (SELECT * FROM {S.AUG}),
       r AS (SELECT count(DISTINCT code) AS rare FROM {RARE10}),
-      s AS (SELECT count(DISTINCT code) AS n_codes, count(*) AS n_rows, count_if(coalesce(include, FALSE)) AS n_accepted
+      s AS (SELECT count(DISTINCT code) AS n_codes, count(*) AS n_rows, CAST(count_if(coalesce(include, FALSE)) AS BIGINT) AS n_accepted
             FROM a)
       SELECT n_codes, n_rows, n_accepted,
         CAST(round_even(100.0 * n_accepted / nullif(n_rows, 0), 1) AS DOUBLE) AS accepted_pct,
@@ -142,12 +143,13 @@ ORACLES: dict[str, str] = {
       pb AS (SELECT row_number() OVER (ORDER BY doc_id) AS pos, code, text FROM b),
       d AS (SELECT count(*) AS nd FROM pa FULL OUTER JOIN pb ON pa.pos = pb.pos
             WHERE NOT coalesce(pa.code = pb.code AND pa.text = pb.text, FALSE)),
-      c AS (SELECT count_if(ac IS NOT NULL AND bc IS NOT NULL) AS n_both, count_if(ac IS NOT NULL AND bc IS NULL) AS n_only_a,
-                   count_if(ac IS NULL AND bc IS NOT NULL) AS n_only_b FROM j)
+      c AS (SELECT CAST(count_if(ac IS NOT NULL AND bc IS NOT NULL) AS BIGINT) AS n_both,
+                   CAST(count_if(ac IS NOT NULL AND bc IS NULL) AS BIGINT) AS n_only_a,
+                   CAST(count_if(ac IS NULL AND bc IS NOT NULL) AS BIGINT) AS n_only_b FROM j)
       SELECT n_both, n_only_a, n_only_b, round(n_both / (n_both + n_only_a + n_only_b), 6) AS jaccard,
         (d.nd = 0) AS identical FROM c, d""",
     "validate_run": f"""SELECT round(avg(CASE WHEN top_prediction = code THEN 1.0 ELSE 0.0 END), 6) AS accuracy,
-      count_if(top_prediction = code) AS n_correct, count(*) AS n_rows FROM {S.RUN_B}""",
+      CAST(count_if(top_prediction = code) AS BIGINT) AS n_correct, count(*) AS n_rows FROM {S.RUN_B}""",
     "classification_report": f"""WITH b AS (SELECT code AS y, top_prediction AS p FROM {S.RUN_B}),
       cls AS (SELECT y AS c FROM b UNION SELECT p FROM b WHERE p IS NOT NULL),
       per AS (SELECT c, (SELECT count(*) FROM b WHERE y = c AND p = c) AS tp,
@@ -156,7 +158,7 @@ ORACLES: dict[str, str] = {
             FROM per)
       SELECT round(sum(tp) / sum(su), 6) AS accuracy, round(avg(prec), 6) AS precision, round(avg(rec), 6) AS recall,
         round(avg(CASE WHEN prec + rec > 0 THEN 2 * prec * rec / (prec + rec) ELSE 0.0 END), 6) AS f1_score FROM m""",
-    "run_ledger": f"""SELECT run_id, count(*) AS n_rows, count_if(top_prediction = code) AS n_correct,
+    "run_ledger": f"""SELECT run_id, count(*) AS n_rows, CAST(count_if(top_prediction = code) AS BIGINT) AS n_correct,
         round(avg(CASE WHEN top_prediction = code THEN 1.0 ELSE 0.0 END), 6) AS accuracy
       FROM (SELECT *, 'run_a' AS run_id FROM {S.RUN_A} UNION ALL SELECT *, 'run_b' FROM {S.RUN_B}) GROUP BY run_id""",
     "stratified_split": f"SELECT * FROM {STRAT}",
@@ -203,7 +205,7 @@ ORACLES: dict[str, str] = {
     "stream_append_distinct": "SELECT DISTINCT event_type AS code, CAST(user_id AS VARCHAR) AS text FROM events",
     "stream_acceptance": """WITH e AS (SELECT *, time_bucket(INTERVAL '1 day', ts) AS ws FROM events),
       g AS (SELECT ws, ws + INTERVAL '1 day' AS we, count(*) AS n_rows,
-                   count_if(event_type IN ('click', 'purchase')) AS n_accepted FROM e GROUP BY ws)
+                   CAST(count_if(event_type IN ('click', 'purchase')) AS BIGINT) AS n_accepted FROM e GROUP BY ws)
       SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, strftime(we, '%Y-%m-%d %H:%M:%S') AS window_end,
         n_rows, n_accepted, CAST(round_even(100.0 * n_accepted / n_rows, 1) AS DOUBLE) AS accepted_pct
       FROM g WHERE we <= (SELECT max(ts) FROM events) - INTERVAL '1 hour'""",
