@@ -567,7 +567,14 @@ def q_pseudo_label(spark, d):
     return pseudo_label(top1, 0.9)
 
 
+def q_stream_append_distinct_exact(spark, d):
+    from tessera.streaming.stream import run_append_distinct_exact
+    return run_append_distinct_exact(spark, f"{d}/events.parquet", _events_schema(spark, d), "event_type",
+                                     "CAST(user_id AS STRING)")
+
+
 QUERIES.update({
+    "stream_append_distinct_exact": q_stream_append_distinct_exact,
     "hybrid_sample": q_hybrid_sample,
     "tune_thresholds": q_tune_thresholds,
     "label_powerset": q_label_powerset,

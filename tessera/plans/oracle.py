@@ -214,6 +214,7 @@ ORACLES.pop("parse_generated_list")
 
 
 ORACLES.update({
+    "stream_append_distinct_exact": "SELECT DISTINCT event_type AS code, CAST(user_id AS VARCHAR) AS text FROM events",
     "hybrid_sample": f"""WITH u AS (SELECT id, code FROM (SELECT id, code,
         row_number() OVER (PARTITION BY code ORDER BY {S.md5k('id')}, id) AS rn FROM {T}) WHERE rn <= 5),
       c AS (SELECT code, count(*) AS n FROM u GROUP BY code)

@@ -36,10 +36,10 @@ def _drain(stream_df: DataFrame, name: str, mode: str = "append", partition_by=N
     return spark.read.schema(stream_df.schema).parquet(out)
 
 
-def event_stream(spark: SparkSession, path: str, schema) -> DataFrame:
+def event_stream(spark: SparkSession, path: str, schema, max_files: int = 64) -> DataFrame:
     """File source with an explicit schema; ``timestamp_ntz`` event times are
     cast to ``timestamp`` (session zone UTC) so a watermark can use them."""
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 64)
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
     if path.endswith(".parquet"):
         # A single file rather than a landing directory: the file source
         # wants a directory or a glob, so turn the name into a one-file glob.
@@ -101,3 +101,48 @@ def run_scoring(spark: SparkSession, model, path: str, schema, text: str = "text
         dim = labels.select("label", "code").checkpoint()
         flat = flat.join(small_side(dim), "label", "left")
     return _drain(flat, "scoring")
+
+
+def append_distinct_exact(stream: DataFrame, store: str, keys=("code", "text"), order: str | None = None,
+                          name: str = "append_distinct_exact") -> DataFrame:
+    """STR2, exact form: every micro-batch is merged into a Parquet store
+    with SET3 semantics (``foreachBatch``): rows whose key is already stored
+    are dropped, the first row per new key is appended. Unlike the watermark
+    form it never forgets a key.
+
+    Each batch writes its own ``epoch=<id>`` folder with overwrite, and the
+    anti-join reads only earlier epochs, so a retried batch (driver restart,
+    lost executor) rewrites the same rows: exactly-once in effect.
+    """
+    from tessera.operators.common import first_per_key
+
+    keys = list(keys)
+    spark = stream.sparkSession
+    _, state = _run_dirs(spark, name)
+
+    def merge(batch: DataFrame, epoch_id: int) -> None:
+        bspark = batch.sparkSession
+        fresh = batch
+        try:
+            seen = bspark.read.parquet(store).filter(F.col("epoch") < epoch_id).select(*keys)
+            fresh = fresh.join(seen, keys, "left_anti")
+        except Exception as e:  # noqa: BLE001 - the store does not exist before the first batch
+            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
+                raise
+        pos = F.col(order) if order else F.monotonically_increasing_id()
+        fresh = first_per_key(fresh.withColumn("_pos", pos), keys, "_pos").drop("_pos")
+        fresh.write.mode("overwrite").parquet(f"{store}/epoch={epoch_id}")
+
+    q = (stream.writeStream.foreachBatch(merge).option("checkpointLocation", state)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    return spark.read.parquet(store).drop("epoch")
+
+
+def run_append_distinct_exact(spark: SparkSession, path: str, schema, code_expr: str, text_expr: str,
+                              max_files: int = 64) -> DataFrame:
+    s = event_stream(spark, path, schema, max_files).selectExpr(f"{code_expr} AS code", f"{text_expr} AS text")
+    out, _ = _run_dirs(spark, "append_distinct_store")
+    return append_distinct_exact(s, out, ("code", "text"))
