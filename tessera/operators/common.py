@@ -79,10 +79,14 @@ def with_row_id(df: DataFrame, order, name: str = "row_id", partitions: int | No
     for ids to be reproducible).
 
     Plan: range-partition on ``order`` (one shuffle, balanced by sampling, so
-    no skewed or single partition), sort inside partitions, take the local
+    no skewed or single partition), sort inside partitions, and take the local
     position from ``monotonically_increasing_id`` (partition index in the high
-    bits), and add each partition's offset. The offsets come from a table with
-    one row per partition, the only data that meets in one task.
+    bits). That layout is written once as a table under
+    ``spark.checkpoint.dir``: range bounds come from a sample whose input
+    order follows shuffle fetch order, so two evaluations of the exchange could
+    disagree. From the table, the per-partition sizes (one row per partition,
+    the only data that meets in one task) give each partition's offset, and
+    every reader sees the same ids.
     """
     order = [order] if isinstance(order, (str, Column)) else list(order)
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -91,6 +95,7 @@ def with_row_id(df: DataFrame, order, name: str = "row_id", partitions: int | No
             .withColumn("_pid", F.spark_partition_id())
             .withColumn("_local", F.monotonically_increasing_id()))
     base = base.withColumn("_local", F.col("_local") - F.shiftleft(F.col("_pid").cast("long"), 33))
+    base = cut(base, "row_ids")
     sizes = base.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
