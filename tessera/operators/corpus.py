@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.text import chapter, nullify_empty, split_parts
-from tessera.operators.common import small_side, with_row_id
+from tessera.operators.common import null_safe_key, small_side, with_row_id
 
 DESCRIPTION, SHORT, INCLUSION, CROSSWALK = (
     "icpc2_description", "icpc2_short", "icpc2_inclusion", "icd10_description")
@@ -88,12 +88,13 @@ def drop_shadowed(df: DataFrame, origins=(SHORT,), text: str = "text", origin: s
     anti-joined against them; every other row passes untouched. No window, so
     a text held by a third of the rows is never sorted in one task.
     """
-    key = [F.col(text).isNull().alias("_tn"), F.coalesce(F.col(text), F.lit("")).alias("_tv")]
-    dup = df.select(*key).groupBy("_tn", "_tv").count().filter(F.col("count") > 1).drop("count")
+    key = null_safe_key(text)
+    names = ["_k_null", "_k_val"]
+    dup = df.select(*key).groupBy(*names).count().filter(F.col("count") > 1).drop("count")
     shadowable = F.coalesce(F.col(origin).isin(list(origins)), F.lit(False))
     keep = df.filter(~shadowable)
     cand = df.filter(shadowable).select("*", *key)
-    kept = cand.join(dup, ["_tn", "_tv"], "left_anti").drop("_tn", "_tv")
+    kept = cand.join(dup, names, "left_anti").drop(*names)
     return keep.unionByName(kept)
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.balance import class_counts, oversample, undersample
+from tessera.operators.balance import oversample, undersample
 from tessera.operators.common import first_per_key, small_side
 from tessera.operators.corpus import label_dimension
 

@@ -5,11 +5,9 @@ jobs, which are checked on row counts and by unit tests)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import text as TX
-from tessera.functions.common import md5_key
 from tessera.operators import audit as AU
 from tessera.operators import augment as AG
 from tessera.operators import balance as BA
