@@ -79,8 +79,8 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def write_corpus(corpus: DataFrame, labels: DataFrame, path: str, mode: str = "overwrite") -> None:
     """SNK3. Typed corpus partitioned by chapter (17 values: prunable) plus
-    its label dictionary as a side table; the label names ride along in the
-    ``label`` field metadata as an ML nominal attribute."""
+    its label dictionary ``(code, label, ...)`` as a side table, so readers
+    get the class names with a join instead of through the driver."""
     corpus.select(*[F.col(f.name).cast(f.dataType) for f in CORPUS_SCHEMA.fields]) \
         .write.mode(mode).partitionBy("chapter").parquet(f"{path}/corpus")
     labels.write.mode(mode).parquet(f"{path}/labels")
