@@ -35,19 +35,18 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return spark.read.schema(schema).parquet(path) if schema is not None else spark.read.parquet(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(p)
-
-
 def materialize(spark: SparkSession, build, path: str, force: bool = False) -> DataFrame:
-    """SRC2. Load-or-build cache: reuse the Parquet at ``path`` if present,
-    else build (``build()`` returns a DataFrame), write and read back.
+    """SRC2. Load-or-build cache: reuse the Parquet at ``path`` if it can be
+    read, else build (``build()`` returns a DataFrame), write and read back.
     Writing a table also cuts lineage for whatever comes after."""
-    if force or not _exists(spark, path):
-        build().write.mode("overwrite").parquet(path)
+    from pyspark.errors import AnalysisException
+    if not force:
+        try:
+            return spark.read.parquet(path)
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
+                raise
+    build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
