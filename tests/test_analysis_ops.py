@@ -184,3 +184,21 @@ def test_topk_per_key_and_wide_long(spark):
     w = topk_wide(nested, 2).first()
     assert w["prediction_1_code"] == "C" and w["prediction_2_code"] is None
     assert topk_long(nested).first()["code"] == "C"
+
+
+def test_score_with_foreign_model_hook(spark):
+    import numpy as np
+
+    from tessera.operators.model import score_with
+
+    def fn(texts):  # toy scorer: class i score = count of letter 'abc'[i]
+        return np.array([[t.count(c) for c in "abc"] for t in texts], dtype=float)
+
+    df = spark.createDataFrame([("aab",), ("ccc",)], "text string")
+    labels = spark.createDataFrame([(0, "A", "a"), (1, "B", "b"), (2, "C", "c")], "label int, code string, text string")
+    out = {r["input"]: r["prediction"] for r in score_with(df, fn, 3, k=2, labels=labels, batch_size=1).collect()}
+    assert [p["code"] for p in out["aab"]] == ["A", "B"]
+    e3 = np.exp(3.0)
+    assert [p["code"] for p in out["ccc"]] == ["C", "A"]  # A/B tie -> lowest label
+    assert abs(out["ccc"][0]["value"] - e3 / (2 + e3)) < 1e-12
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
