@@ -37,15 +37,27 @@ def score_topk(df: DataFrame, scores: str, k: int = 5, apply_softmax: bool = Tru
 
 
 def attach_prediction_labels(df: DataFrame, labels: DataFrame, pred: str = "prediction",
-                             key: str = "input", how: str = "left") -> DataFrame:
-    """Fill ``code``/``text`` into each prediction struct (JOI2 on the long
-    form, then regrouped by the row key in rank order)."""
-    long = topk_long(df.select(key, pred), pred)
+                             key: str | None = None, how: str = "left") -> DataFrame:
+    """Fill ``code``/``text`` into each prediction struct: JOI2 on the long
+    form, then regrouped per row in rank order.
+
+    Rows are regrouped by ``key`` when it is unique, otherwise by a row tag,
+    so duplicated inputs keep one prediction list each. The other columns ride
+    through the aggregate (``first``); a row's predictions never leave the
+    task that exploded them before the partial aggregate.
+    """
+    rid = key or "_rid"
+    base = df if key else df.withColumn(rid, F.monotonically_increasing_id())
+    carry = [c for c in base.columns if c not in (rid, pred)]
+    long = base.select(rid, *carry, F.explode_outer(pred).alias("_p"))
+    long = long.select(rid, *carry, F.col("_p.rank").alias("rank"), F.col("_p.label").alias("label"),
+                       F.col("_p.value").alias("value"))
     dim = labels.select("label", "code", "text")
     j = long.join(small_side(dim), "label", how)
-    agg = j.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("rank", "label", "code", "text", "value")))
-                             .alias(pred))
-    return df.drop(pred).join(agg, key, "left")
+    entry = F.when(F.col("rank").isNotNull(), F.struct("rank", "label", "code", "text", "value"))
+    out = j.groupBy(rid).agg(*[F.first(c).alias(c) for c in carry],
+                             F.sort_array(F.collect_list(entry)).alias(pred))
+    return out if key else out.drop(rid)
 
 
 def topk_long(df: DataFrame, pred: str = "prediction") -> DataFrame:

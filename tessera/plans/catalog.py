@@ -332,7 +332,7 @@ def q_softmax_topk(spark, d):
 def q_topk_wide(spark, d):
     e = V.table(spark, d, "embeddings").select("vec_id", "embedding")
     s = TK.score_topk(e, "embedding", 3).drop("embedding").withColumnRenamed("vec_id", "input")
-    s = TK.attach_prediction_labels(s, _label_dim(spark, d), key="input")
+    s = TK.attach_prediction_labels(s, _label_dim(spark, d), key="input")  # vec_id: unique
     w = TK.topk_wide(s, 3, fields=("code", "value"))
     return w.select(F.col("input").alias("vec_id"), *[
         (r6(c).alias(c) if c.endswith("value") else F.col(c)) for c in w.columns if c != "input"])

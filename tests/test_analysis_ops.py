@@ -202,3 +202,15 @@ def test_score_with_foreign_model_hook(spark):
     assert [p["code"] for p in out["ccc"]] == ["C", "A"]  # A/B tie -> lowest label
     assert abs(out["ccc"][0]["value"] - e3 / (2 + e3)) < 1e-12
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+
+
+def test_attach_prediction_labels_duplicate_inputs(spark):
+    from tessera.operators.topk import attach_prediction_labels
+    schema = "input string, prediction array<struct<rank:int,label:int,value:double>>"
+    df = spark.createDataFrame([("t", [(1, 0, 0.9), (2, 1, 0.1)]), ("t", [(1, 1, 0.6), (2, 0, 0.4)]), ("u", [])],
+                               schema)
+    labels = spark.createDataFrame([(0, "A", "a"), (1, "B", "b")], "label int, code string, text string")
+    out = attach_prediction_labels(df, labels).collect()
+    assert len(out) == 3
+    got = sorted(tuple(p["code"] for p in r["prediction"]) for r in out)
+    assert got == [(), ("A", "B"), ("B", "A")]
