@@ -10,8 +10,8 @@ Mapping (see SURVEY 7.3):
   ``;``-separated inclusion list, and a code list of neighbouring part keys in
   the ``"H54.0; H54.1"`` format for the crosswalk.
 * ``xw_dim``       crosswalk dimension from ``part``: key ``p_partkey || '0'``
-  (what TXT1 makes of ``"511.0"``) for even keys only (odd keys miss), plus a
-  later, losing second description for keys divisible by 3.
+  (what TXT1 makes of ``"511.0"``) for non-promotional parts (promotional
+  keys miss), plus a later, losing second description for large parts.
 * ``code_lists``   one row per ``orders`` row with the ordered list of its
   lineitem part keys (NULL when the order has no lines).
 * ``terms``        ``(code, text, origin, id)`` rows straight from ``part``.
@@ -77,9 +77,12 @@ SIMPLE_VIEWS: dict[str, tuple[str, list[tuple[str, str]]]] = {
         ("prompt", "'prompt ' || " + PART_CODE),
     ]),
 }
+# The dimension does not cover every key (promotional parts have no entry,
+# so their codes miss), and large parts carry a second, later description
+# that must lose to the first.
 FILTERS = {
-    "xw_dim_first": "p_partkey % 2 = 0",
-    "xw_dim_second": "p_partkey % 2 = 0 AND p_partkey % 3 = 0",
+    "xw_dim_first": "p_type <> 'PROMO'",
+    "xw_dim_second": "p_type <> 'PROMO' AND p_size > 25",
 }
 
 
@@ -141,17 +144,18 @@ CODE_LISTS_SQL = """(SELECT o.o_orderkey, l.icd10 FROM orders o LEFT JOIN (
 
 
 def part_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Crosswalk dimension for the order code lists: even part keys only, a
-    first description and, for keys divisible by 3, a later losing one."""
-    p = table(spark, sf_dir, "part").filter("p_partkey % 2 = 0")
+    """Crosswalk dimension for the order code lists: every non-promotional
+    part (promotional ones miss) with a first description and, for large
+    parts, a later losing one."""
+    p = table(spark, sf_dir, "part").filter("p_type <> 'PROMO'")
     first = p.selectExpr("CAST(p_partkey AS STRING) || '0' AS k", "p_name || ' #' || CAST(p_partkey AS STRING) AS v",
                          "p_partkey * 2 AS ord")
-    second = p.filter("p_partkey % 3 = 0").selectExpr("CAST(p_partkey AS STRING) || '0' AS k", "p_brand AS v",
-                                                      "p_partkey * 2 + 1 AS ord")
+    second = p.filter("p_size > 25").selectExpr("CAST(p_partkey AS STRING) || '0' AS k", "p_brand AS v",
+                                                "p_partkey * 2 + 1 AS ord")
     return first.unionByName(second)
 
 
 PART_DIM_SQL = """(SELECT CAST(p_partkey AS STRING) || '0' AS k, p_name || ' #' || CAST(p_partkey AS STRING) AS v,
-  p_partkey * 2 AS ord FROM part WHERE p_partkey % 2 = 0
+  p_partkey * 2 AS ord FROM part WHERE p_type <> 'PROMO'
   UNION ALL SELECT CAST(p_partkey AS STRING) || '0', p_brand, p_partkey * 2 + 1 FROM part
-  WHERE p_partkey % 2 = 0 AND p_partkey % 3 = 0)"""
+  WHERE p_type <> 'PROMO' AND p_size > 25)"""
