@@ -113,10 +113,15 @@ def compare_runs(a: DataFrame, b: DataFrame, keys=("code",), order: str | None =
         F.count_if(F.col("_a").isNull() & F.col("_b").isNotNull()).alias("n_only_b"),
     )
     from tessera.operators.common import with_row_id
-    oa = with_row_id(a.select(*keys, *([order] if order else [])), [order] if order else keys, "_pos")
-    ob = with_row_id(b.select(*keys, *([order] if order else [])), [order] if order else keys, "_pos")
-    pa = oa.select("_pos", F.struct(*keys).alias("_ka"))
-    pb = ob.select("_pos", F.struct(*keys).alias("_kb"))
+    # positions of both runs from one numbering of their union, ordered by
+    # (run, order): run b's positions start after run a's rows
+    extra = [order] if order else []
+    both_runs = (a.select(*keys, *extra).withColumn("_run", F.lit(0))
+                 .unionByName(b.select(*keys, *extra).withColumn("_run", F.lit(1))))
+    ids = with_row_id(both_runs, ["_run", *(extra or keys)], "_gid")
+    n_a = ids.filter(F.col("_run") == 0).agg(F.count(F.lit(1))).scalar()
+    pa = ids.filter(F.col("_run") == 0).select(F.col("_gid").alias("_pos"), F.struct(*keys).alias("_ka"))
+    pb = ids.filter(F.col("_run") == 1).select((F.col("_gid") - n_a).alias("_pos"), F.struct(*keys).alias("_kb"))
     diff = pa.join(pb, "_pos", "full").agg(
         F.count_if(~F.coalesce(F.col("_ka") == F.col("_kb"), F.lit(False))).alias("_n_diff"))
     out = counts.withColumn("_n_diff", diff.scalar())

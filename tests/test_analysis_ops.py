@@ -152,6 +152,14 @@ def test_compare_runs(spark):
     assert (r["n_both"], r["n_only_a"], r["n_only_b"], r["identical"]) == (1, 1, 1, False)
     assert abs(r["jaccard"] - 1 / 3) < 1e-12
     assert ME.compare_runs(a, a).first()["identical"] is True
+    # same set, different order -> not identical; different lengths -> not identical
+    oa = spark.createDataFrame([("K73", 1), ("K90", 2)], "code string, pos int")
+    ob = spark.createDataFrame([("K90", 1), ("K73", 2)], "code string, pos int")
+    r2 = ME.compare_runs(oa, ob, order="pos").first()
+    assert (r2["n_both"], r2["jaccard"], r2["identical"]) == (2, 1.0, False)
+    oc = spark.createDataFrame([("K73", 1), ("K90", 2), ("K90", 3)], "code string, pos int")
+    assert ME.compare_runs(oa, oc, order="pos").first()["identical"] is False
+    assert ME.compare_runs(oa, oa.withColumn("pos", F.col("pos") * 10), order="pos").first()["identical"] is True
 
 
 def test_classification_report_micro_equals_accuracy(spark):
