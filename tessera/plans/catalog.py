@@ -581,3 +581,80 @@ QUERIES.update({
     "evaluate_model": q_evaluate_model,
     "pseudo_label": q_pseudo_label,
 })
+
+
+# ------------------------------------------------------ sources and sinks ---
+
+def _io_base(spark, name):
+    import uuid
+
+    from tessera.session import ensure_checkpoint_dir
+    return ensure_checkpoint_dir(spark).rstrip("/") + f"/io/{name}-{uuid.uuid4().hex[:10]}"
+
+
+def q_io_csv_roundtrip(spark, d):
+    """SNK1 + SRC1: the terms table through a headed CSV and back with an
+    explicit schema."""
+    from tessera.sources import io as IO
+    base = _io_base(spark, "csv")
+    IO.write_csv(V.terms(spark, d), base)
+    return IO.read_table(spark, base, V.terms(spark, d).schema, fmt="csv")
+
+
+def q_io_jsonl_roundtrip(spark, d):
+    """SNK2: generated prompts (non-ASCII text) as JSON lines and back."""
+    from tessera.sources import io as IO
+    base = _io_base(spark, "jsonl")
+    IO.write_jsonl(AG.parse_generated(_generated(spark, d)), base)
+    return spark.read.schema(IO.AUGMENTATION_SCHEMA).json(base)
+
+
+def q_io_corpus_roundtrip(spark, d):
+    """SNK3 + SRC4: the corpus written partitioned by chapter with its label
+    side table, loaded back (full size), rows per chapter and label count."""
+    from tessera.sources import io as IO
+    base = _io_base(spark, "corpus")
+    corpus, labels = _corpus(spark, d)
+    IO.write_corpus(corpus, labels, base)
+    back = IO.load_corpus(spark, f"{base}/corpus", "full")
+    n_labels = spark.read.parquet(f"{base}/labels").agg(F.count(F.lit(1))).scalar()
+    return back.groupBy("chapter").agg(F.count(F.lit(1)).alias("n_rows"),
+                                       F.countDistinct("label").alias("n_labels")) \
+        .withColumn("n_label_table", n_labels)
+
+
+def q_io_runs_roundtrip(spark, d):
+    """SNK4 + SRC3: two runs' results appended under one root partitioned by
+    run id, plus each run written to its own folder and scanned back with the
+    run id taken from the path; per-run ledger from both layouts."""
+    from tessera.sources import io as IO
+    base = _io_base(spark, "runs")
+    metrics = spark.createDataFrame([("rules", 0.0, 0.0, 0.0, 0.0)], IO.RUN_METRICS_SCHEMA)
+    for run, df in (("run_a", _run_a(spark, d)), ("run_b", _run_b(spark, d))):
+        IO.write_run(df, metrics, f"{base}/partitioned", run)
+        df.write.mode("overwrite").parquet(f"{base}/dirs/{run}/results")
+    part = spark.read.parquet(f"{base}/partitioned/results")
+    dirs = IO.read_runs(spark, f"{base}/dirs")
+    a = ME.run_ledger(part).select("run_id", F.col("n_correct").alias("n_correct_partitioned"))
+    b = ME.run_ledger(dirs).select("run_id", "n_rows", F.col("n_correct").alias("n_correct_dirs"))
+    return a.join(b, "run_id")
+
+
+def q_io_append_log(spark, d):
+    """SNK5: one generation record per code appended twice to a log table."""
+    from tessera.sources import io as IO
+    base = _io_base(spark, "log")
+    rec = _generated(spark, d).select("code", "context", "prompt", F.col("model").alias("origin"),
+                                      F.col("response").alias("text"))
+    IO.append_log(rec, base)
+    IO.append_log(rec, base)
+    return spark.read.parquet(base).groupBy("code").agg(F.count(F.lit(1)).alias("n_records"))
+
+
+QUERIES.update({
+    "io_csv_roundtrip": q_io_csv_roundtrip,
+    "io_jsonl_roundtrip": q_io_jsonl_roundtrip,
+    "io_corpus_roundtrip": q_io_corpus_roundtrip,
+    "io_runs_roundtrip": q_io_runs_roundtrip,
+    "io_append_log": q_io_append_log,
+})

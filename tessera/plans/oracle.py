@@ -242,3 +242,15 @@ ORACLES.update({
       SELECT ex.doc_id, string_agg(coalesce(d.synonym, ex.tok), ' ' ORDER BY ex.pos) AS augmented
       FROM ex LEFT JOIN d ON ex.tok = d.word GROUP BY ex.doc_id""",
 })
+
+
+ORACLES.update({
+    "io_csv_roundtrip": f"SELECT * FROM {T}",
+    "io_jsonl_roundtrip": f"SELECT * FROM {S.PARSED}",
+    "io_corpus_roundtrip": f"""SELECT chapter, count(*) AS n_rows, count(DISTINCT label) AS n_labels,
+        (SELECT count(DISTINCT code) FROM {S.CORPUS}) AS n_label_table FROM {S.CORPUS} GROUP BY chapter""",
+    "io_runs_roundtrip": f"""SELECT run_id, CAST(count_if(top_prediction = code) AS BIGINT) AS n_correct_partitioned,
+        count(*) AS n_rows, CAST(count_if(top_prediction = code) AS BIGINT) AS n_correct_dirs
+      FROM (SELECT *, 'run_a' AS run_id FROM {S.RUN_A} UNION ALL SELECT *, 'run_b' FROM {S.RUN_B}) GROUP BY run_id""",
+    "io_append_log": f"SELECT code, CAST(2 AS BIGINT) AS n_records FROM {S.GENERATED}",
+})
