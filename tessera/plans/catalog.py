@@ -133,7 +133,10 @@ def q_encode_labels(spark, d):
 def q_merge_augmentation(spark, d):
     existing = V.augmentation(spark, d).withColumn("ord", F.col("id")).drop("id")
     new = AG.parse_generated(_generated(spark, d)).withColumn("ord", F.lit(0).cast("long"))
-    return AG.merge_augmentation(existing, new, order="ord").drop("ord")
+    out = AG.merge_augmentation(existing, new, order="ord").drop("ord")
+    # the review flag is three-valued (true / false / NULL = not reviewed);
+    # reported as text so NULL survives every client-side conversion intact
+    return out.withColumn("include", F.col("include").cast("string"))
 
 
 def q_parse_generated(spark, d):

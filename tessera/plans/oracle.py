@@ -72,7 +72,7 @@ ORACLES: dict[str, str] = {
     "merge_augmentation": f"""WITH u AS (
         SELECT code, text, origin, include, context, prompt, 0 AS prio, id AS pos FROM {S.AUG}
         UNION ALL SELECT code, text, origin, include, context, prompt, 1, 0 FROM {S.PARSED})
-      SELECT code, text, origin, include, context, prompt FROM (
+      SELECT code, text, origin, CAST(include AS VARCHAR) AS include, context, prompt FROM (
         SELECT *, row_number() OVER (PARTITION BY code, text ORDER BY prio, pos) AS rn FROM u) WHERE rn = 1""",
     "parse_generated": f"SELECT * FROM {S.PARSED}",
     "accepted_union": f"SELECT * FROM {S.ACCEPTED_UNION}",
