@@ -24,15 +24,22 @@ def test_exact_append_distinct_over_batches(spark):
     assert rows(out) == rows(expected)
 
 
-def test_watermark_append_distinct_is_subset(spark):
+def test_watermark_append_distinct(spark):
     path, ev = landing(spark)
-    s = ST.event_stream(spark, path, ev.schema, max_files=1).selectExpr(
-        "event_type AS code", "CAST(user_id AS STRING) AS text", "ts")
-    out = ST._drain(ST.append_distinct(s).select("code", "text"), "wm_test")
-    got = rows(out)
-    assert len(got) == len(set(got))  # no duplicates survive
     expected = set(rows(ev.select(F.col("event_type").alias("code"), F.col("user_id").cast("string").alias("text"))))
-    assert set(got) <= expected
+
+    def run(delay):
+        s = ST.event_stream(spark, path, ev.schema, max_files=1).selectExpr(
+            "event_type AS code", "CAST(user_id AS STRING) AS text", "ts")
+        return rows(ST._drain(ST.append_distinct(s, delay=delay).select("code", "text"), "wm_test"))
+
+    # delay longer than the data's time span: state never expires -> exact
+    long = run("40 days")
+    assert len(long) == len(set(long)) and set(long) == expected
+    # short delay: a key is forgotten once the watermark passes it, so a later
+    # repeat may be emitted again; nothing outside the input appears
+    short = run("1 hour")
+    assert set(short) <= expected
 
 
 def test_windowed_acceptance_closed_windows_only(spark):
