@@ -9,93 +9,155 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.common import fits
 from tessera.operators.topk import topk_per_key
 
-# Query vectors shipped to executors per pass (checked before each collect).
-MAX_QUERIES_PER_PASS = 50_000
-
-
-def _partition_topk(block, k: int, exclude_self: bool, id_col: str, vec_col: str):
-    """mapInPandas body: cosine of every item in the partition against the
-    broadcast query block, keeping only the running top-k per query, so
-    ``k * queries`` rows leave each task whatever the partition size."""
+# Query sets up to this many rows (and MAX_BROADCAST_BYTES of vectors) are
+# shipped to every task of the item scan; larger ones take the block grid.
+MAX_BROADCAST_QUERIES = 50_000
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+# Rows per query block and per item block of one grid cell.
+BLOCK_ROWS = 20_000
+# Bound on the queries x items score matrix held at once (doubles).
+SCORE_CELLS = 4_000_000
+
+SCHEMA = "query_id long, item_id long, score double"
+
+
+def _unit_rows(vectors) -> np.ndarray:
+    mat = np.stack(vectors).astype(np.float64) if len(vectors) else np.zeros((0, 0))
+    norms = np.linalg.norm(mat, axis=1) if len(mat) else np.zeros(0)
+    norms[norms == 0] = 1.0
+    return mat / norms[:, None] if len(mat) else mat
+
+
+class _RunningTopK:
+    """Best ``k`` items per query over item chunks, ties to the lowest item
+    id. Holds ``queries x k`` candidates plus one bounded score block."""
+
+    def __init__(self, qids: np.ndarray, qmat: np.ndarray, k: int, exclude_self: bool):
+        self.qids, self.qmat, self.k, self.exclude_self = qids, qmat, k, exclude_self
+        self.best_s = np.full((len(qids), 0), -np.inf)
+        self.best_i = np.zeros((len(qids), 0), dtype=np.int64)
+
+    def add(self, ids: np.ndarray, unit: np.ndarray) -> None:
+        step = max(1, SCORE_CELLS // max(1, len(self.qids)))
+        for lo in range(0, len(ids), step):
+            cid, cmat = ids[lo:lo + step], unit[lo:lo + step]
+            sims = self.qmat @ cmat.T                      # queries x items
+            if self.exclude_self:
+                sims[self.qids[:, None] == cid[None, :]] = -np.inf
+            cand_s = np.concatenate([self.best_s, sims], axis=1)
+            cand_i = np.concatenate([self.best_i, np.broadcast_to(cid, sims.shape)], axis=1)
+            order = np.lexsort((cand_i, -cand_s), axis=1)[:, :self.k]
+            self.best_s = np.take_along_axis(cand_s, order, axis=1)
+            self.best_i = np.take_along_axis(cand_i, order, axis=1)
+
+    def frame(self) -> pd.DataFrame:
+        q = np.repeat(self.qids, self.best_s.shape[1])
+        s, i = self.best_s.ravel(), self.best_i.ravel()
+        keep = np.isfinite(s)
+        return pd.DataFrame({"query_id": q[keep], "item_id": i[keep], "score": s[keep]})
+
+
+def _scan_topk(block, k: int, exclude_self: bool):
+    """mapInPandas body of the broadcast path: every task scores its Arrow
+    batches of items against the broadcast query block and emits at most
+    ``k`` rows per query."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         qids, qmat = block.value
-        best_s = np.full((len(qids), 0), -np.inf)
-        best_i = np.zeros((len(qids), 0), dtype=np.int64)
+        top = _RunningTopK(qids, qmat, k, exclude_self)
         for pdf in batches:
-            if pdf.empty:
-                continue
-            all_ids = pdf[id_col].to_numpy(dtype=np.int64)
-            all_mat = np.stack(pdf[vec_col].to_numpy()).astype(np.float64)
-            # bound the queries x items score block to ~4M doubles
-            step = max(1, 4_000_000 // max(1, len(qids)))
-            for lo in range(0, len(all_ids), step):
-                ids, mat = all_ids[lo:lo + step], all_mat[lo:lo + step]
-                norms = np.linalg.norm(mat, axis=1)
-                norms[norms == 0] = 1.0
-                sims = qmat @ (mat / norms[:, None]).T            # queries x items
-                if exclude_self:
-                    sims[qids[:, None] == ids[None, :]] = -np.inf
-                cand_s = np.concatenate([best_s, sims], axis=1)
-                cand_i = np.concatenate([best_i, np.broadcast_to(ids, sims.shape)], axis=1)
-                # order by score desc, then item id asc; keep k
-                order = np.lexsort((cand_i, -cand_s), axis=1)[:, :k]
-                best_s = np.take_along_axis(cand_s, order, axis=1)
-                best_i = np.take_along_axis(cand_i, order, axis=1)
-        if best_s.shape[1]:
-            q = np.repeat(qids, best_s.shape[1])
-            s, i = best_s.ravel(), best_i.ravel()
-            keep = np.isfinite(s)
-            yield pd.DataFrame({"query_id": q[keep], "item_id": i[keep], "score": s[keep]})
+            if not pdf.empty:
+                top.add(pdf["_iid"].to_numpy(dtype=np.int64), _unit_rows(pdf["_iv"].to_numpy()))
+        if top.best_s.shape[1]:
+            yield top.frame()
 
     return run
 
 
+def _cell_topk(k: int, exclude_self: bool):
+    """applyInPandas body of the grid path: one (query block, item block)
+    cell, at most ``BLOCK_ROWS`` rows a side, emits ``k`` rows per query."""
+
+    def run(qpdf: pd.DataFrame, ipdf: pd.DataFrame) -> pd.DataFrame:
+        if qpdf.empty or ipdf.empty:
+            return pd.DataFrame({"query_id": pd.Series([], dtype="int64"),
+                                 "item_id": pd.Series([], dtype="int64"), "score": pd.Series([], dtype="float64")})
+        top = _RunningTopK(qpdf["_qid"].to_numpy(dtype=np.int64), _unit_rows(qpdf["_qv"].to_numpy()), k, exclude_self)
+        top.add(ipdf["_iid"].to_numpy(dtype=np.int64), _unit_rows(ipdf["_iv"].to_numpy()))
+        return top.frame()
+
+    return run
+
+
+def _conf(spark, key: str, default: int) -> int:
+    return int(spark.conf.get(key, str(default)))
+
+
 def vector_topk(items: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id",
                 vec_col: str = "embedding", query_id: str | None = None, query_vec: str | None = None,
                 exclude_self: bool = False) -> DataFrame:
     """VEC1. Exact cosine top-k items per query:
     ``(query_id, item_id, score, rank)``, ties to the lowest item id.
 
-    No join: the query block (row count checked before it is collected,
-    normalised) goes to every task of the item scan, each task keeps a
-    running top-k per query over its Arrow batches, and the per-partition
-    winners (``k`` x partitions per query) are merged by WIN5. Query sets
-    beyond one block are processed in successive bounded blocks.
+    No pair table is ever built; each task keeps only ``k`` candidates per
+    query, and WIN5 merges the candidates. Two plans, chosen by a size check
+    on the query side (one capped job: rows and vector width):
+
+    * **broadcast** (query set within ``tessera.vector.maxBroadcastQueries``
+      rows and ``tessera.vector.maxBroadcastBytes``): the normalised query
+      block goes to every task of the item scan (``mapInPandas``), no
+      shuffle of items.
+    * **block grid** (anything larger): queries and items are hashed into
+      blocks of about ``tessera.vector.blockRows`` rows; each query block is
+      sent to every item block's cell and each item block to every query
+      block's cell (an equi-join on the cell id via ``cogroup``), and each
+      cell scores one bounded query block against one bounded item block in
+      ``applyInPandas``. Nothing passes through the driver and no cell grows
+      with the data.
     """
     query_id = query_id or id_col
     query_vec = query_vec or vec_col
-    q = queries.select(F.col(query_id).alias("_qid"), F.col(query_vec).alias("_qv"))
     spark = items.sparkSession
-    limit = int(spark.conf.get("tessera.vector.maxQueriesPerPass", str(MAX_QUERIES_PER_PASS)))
-    n_blocks = 1
-    if not fits(q, limit):
-        n_q = q.count()
-        n_blocks = -(-n_q // limit)
-    schema = "query_id long, item_id long, score double"
-    it = items.select(id_col, vec_col)
-    parts = []
-    for b in range(n_blocks):
-        block = q if n_blocks == 1 else q.filter(F.pmod(F.hash("_qid"), F.lit(n_blocks)) == b)
-        rows = block.collect()  # bounded by `limit` (checked above)
-        if not rows:
-            continue
-        qids = np.array([r["_qid"] for r in rows], dtype=np.int64)
-        qmat = np.array([np.asarray(r["_qv"], dtype=np.float64) for r in rows])
-        qn = np.linalg.norm(qmat, axis=1)
-        qn[qn == 0] = 1.0
-        qmat = qmat / qn[:, None]
-        block_bc = spark.sparkContext.broadcast((qids, qmat))
-        parts.append(it.mapInPandas(_partition_topk(block_bc, k, exclude_self, id_col, vec_col), schema))
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
+    q = queries.select(F.col(query_id).cast("long").alias("_qid"), F.col(query_vec).alias("_qv"))
+    it = items.select(F.col(id_col).cast("long").alias("_iid"), F.col(vec_col).alias("_iv"))
+    max_rows = _conf(spark, "tessera.vector.maxBroadcastQueries", MAX_BROADCAST_QUERIES)
+    max_bytes = _conf(spark, "tessera.vector.maxBroadcastBytes", MAX_BROADCAST_BYTES)
+    probe = q.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
+                                      F.coalesce(F.max(F.size("_qv")), F.lit(0)).alias("dim")).first()
+    if probe["n"] <= max_rows and probe["n"] * probe["dim"] * 8 <= max_bytes:
+        cand = _broadcast_candidates(spark, q, it, k, exclude_self)
+    else:
+        cand = _grid_candidates(spark, q, it, k, exclude_self)
     return topk_per_key(cand, "query_id", "score", k, "item_id")
 
 
+def _broadcast_candidates(spark, q: DataFrame, it: DataFrame, k: int, exclude_self: bool) -> DataFrame:
+    rows = q.collect()  # bounded: rows and bytes checked by the caller
+    qids = np.array([r["_qid"] for r in rows], dtype=np.int64)
+    qmat = _unit_rows([np.asarray(r["_qv"], dtype=np.float64) for r in rows])
+    if not len(qids):
+        return spark.createDataFrame([], SCHEMA)
+    block = spark.sparkContext.broadcast((qids, qmat))
+    return it.mapInPandas(_scan_topk(block, k, exclude_self), SCHEMA)
+
+
+def _grid_candidates(spark, q: DataFrame, it: DataFrame, k: int, exclude_self: bool) -> DataFrame:
+    rows = _conf(spark, "tessera.vector.blockRows", BLOCK_ROWS)
+    n_q, n_i = q.count(), it.count()
+    qb, ib = max(1, -(-n_q // rows)), max(1, -(-n_i // rows))
+    # a query lands in one query block and is replicated to every item block
+    # (and vice versa); blocks come from a hash of id and vector, so even a
+    # repeated id spreads over the blocks
+    qrep = q.select("*", F.pmod(F.xxhash64("_qid", "_qv"), F.lit(qb)).alias("_qb"),
+                    F.explode(F.sequence(F.lit(0), F.lit(ib - 1))).alias("_ib"))
+    irep = it.select("*", F.explode(F.sequence(F.lit(0), F.lit(qb - 1))).alias("_qb"),
+                     F.pmod(F.xxhash64("_iid", "_iv"), F.lit(ib)).alias("_ib"))
+    return (qrep.groupBy("_qb", "_ib").cogroup(irep.groupBy("_qb", "_ib"))
+            .applyInPandas(_cell_topk(k, exclude_self), SCHEMA))
+
+
 def vector_topk_lsh(items: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id",
                     vec_col: str = "embedding", bucket_length: float = 0.5, num_tables: int = 4,
                     max_distance: float = 1.5, seed: int = 42, exclude_self: bool = False) -> DataFrame:

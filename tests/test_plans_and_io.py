@@ -111,11 +111,16 @@ def test_vector_topk_blocks(spark):
     from tessera.operators.vector import vector_topk
     e = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet")
     one = rows(vector_topk(e, e, 2, exclude_self=True), "query_id", "item_id", "rank")
-    spark.conf.set("tessera.vector.maxQueriesPerPass", "7")
+    # force the block grid: no broadcast, several query and item blocks
+    spark.conf.set("tessera.vector.maxBroadcastQueries", "7")
+    spark.conf.set("tessera.vector.blockRows", "16")
     try:
-        many = rows(vector_topk(e, e, 2, exclude_self=True), "query_id", "item_id", "rank")
+        grid = vector_topk(e, e, 2, exclude_self=True)
+        assert "FlatMapCoGroupsInPandas" in grid._jdf.queryExecution().executedPlan().toString()
+        many = rows(grid, "query_id", "item_id", "rank")
     finally:
-        spark.conf.unset("tessera.vector.maxQueriesPerPass")
+        spark.conf.unset("tessera.vector.maxBroadcastQueries")
+        spark.conf.unset("tessera.vector.blockRows")
     assert one == many
 
 
