@@ -80,9 +80,11 @@ def apply_selectors(df: DataFrame, selector: str, labels: DataFrame) -> DataFram
     return out.filter(cond).select(*df.columns)
 
 
-def subset(df: DataFrame, size: str = "full") -> DataFrame:
-    """FIL8. ``medium`` = chapter K, anything else = all rows."""
-    return df.filter(F.col("chapter") == "K") if size == "medium" else df
+def subset(df: DataFrame, size: str = "full", medium_chapters=("K",)) -> DataFrame:
+    """FIL8. ``medium`` = the rows of ``medium_chapters`` (chapter K by
+    default), anything else = all rows. On a corpus written partitioned by
+    chapter the predicate prunes partitions at the scan."""
+    return df.filter(F.col("chapter").isin(list(medium_chapters))) if size == "medium" else df
 
 
 def cards(df: DataFrame, codes_df: DataFrame, code: str = "cod", order: str = "row_key",

@@ -661,3 +661,55 @@ QUERIES.update({
     "io_runs_roundtrip": q_io_runs_roundtrip,
     "io_append_log": q_io_append_log,
 })
+
+
+# ------------------------------------------- single-operator registrations --
+
+def q_corpus_medium(spark, d):
+    """SNK3 + SRC4 + FIL8: the corpus written partitioned by chapter and
+    loaded back with the ``medium`` size selector. The derived code system
+    has no chapter K, so its medium slice is chapter M (the MEDIUM part
+    types); the filter prunes the chapter partitions at the scan."""
+    from tessera.sources import io as IO
+    base = _io_base(spark, "corpus-medium")
+    corpus, labels = _corpus(spark, d)
+    IO.write_corpus(corpus, labels, base)
+    return IO.load_corpus(spark, f"{base}/corpus", "medium", medium_chapters=("M",))
+
+
+def q_label_maps(spark, d):
+    """MAP1: the (label, code) pairs of the built corpus."""
+    return LB.label_maps(_corpus(spark, d)[1])
+
+
+def q_distinct_codes(spark, d):
+    """SET4."""
+    return CO.codes(V.terms(spark, d))
+
+
+def q_dimension_first(spark, d):
+    """WIN4: first crosswalk-dimension row per key by source order."""
+    return first_per_key(V.xw_dim(spark, d), "code", "ord", cols=["section", "long_desc", "short_desc"])
+
+
+def q_top_docs_per_lang(spark, d):
+    """WIN5: the 3 longest documents per language, ties to the lowest id.
+    One language holds most of the rows: the hot key goes through the salted
+    two-level ranking."""
+    docs = _docs(spark, d).select("doc_id", "lang", "n_chars")
+    return TK.topk_per_key(docs, "lang", "n_chars", 3, "doc_id")
+
+
+def q_ordered_terms(spark, d):
+    """ORD1: terms in total (code, origin, text, id) order at the sink."""
+    return CO.ordered(V.terms(spark, d), "code", "origin", "text", "id")
+
+
+QUERIES.update({
+    "corpus_medium": q_corpus_medium,
+    "label_maps": q_label_maps,
+    "distinct_codes": q_distinct_codes,
+    "dimension_first": q_dimension_first,
+    "top_docs_per_lang": q_top_docs_per_lang,
+    "ordered_terms": q_ordered_terms,
+})

@@ -254,3 +254,16 @@ ORACLES.update({
       FROM (SELECT *, 'run_a' AS run_id FROM {S.RUN_A} UNION ALL SELECT *, 'run_b' FROM {S.RUN_B}) GROUP BY run_id""",
     "io_append_log": f"SELECT code, CAST(2 AS BIGINT) AS n_records FROM {S.GENERATED}",
 })
+
+
+ORACLES.update({
+    "corpus_medium": f"SELECT code, text, origin, label, chapter FROM {S.CORPUS} WHERE chapter IN ('M')",
+    "label_maps": f"SELECT DISTINCT label, code FROM {S.CORPUS}",
+    "distinct_codes": f"SELECT DISTINCT code FROM {T}",
+    "dimension_first": f"""SELECT code, arg_min(section, ord) AS section, arg_min(long_desc, ord) AS long_desc,
+        arg_min(short_desc, ord) AS short_desc FROM {S.XW} GROUP BY code""",
+    "top_docs_per_lang": """SELECT doc_id, lang, n_chars, CAST(rank AS INTEGER) AS rank FROM (
+        SELECT doc_id, lang, n_chars, row_number() OVER (PARTITION BY lang ORDER BY n_chars DESC, doc_id) AS rank
+        FROM documents) WHERE rank <= 3""",
+    "ordered_terms": f"SELECT * FROM {T} ORDER BY code, origin, text, id",
+})

@@ -59,11 +59,12 @@ def read_runs(spark: SparkSession, root: str, name: str = "results", fmt: str =
     return df.withColumn("run_id", F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+/?[^/]*$", 1))
 
 
-def load_corpus(spark: SparkSession, path: str, size: str = "full") -> DataFrame:
-    """SRC4. Named corpus with a size selector (``medium`` = chapter K)."""
+def load_corpus(spark: SparkSession, path: str, size: str = "full", medium_chapters=("K",)) -> DataFrame:
+    """SRC4. Named corpus with a size selector (``medium`` = chapter K, or
+    ``medium_chapters``)."""
     from tessera.operators.audit import subset
     df = spark.read.schema(CORPUS_SCHEMA).parquet(path)
-    return subset(df, size)
+    return subset(df, size, medium_chapters)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
