@@ -62,20 +62,24 @@ def label_powerset(df: DataFrame, id_col: str = "id", label: str = "label", sep:
 
 def replace_synonyms(df: DataFrame, dictionary: DataFrame, text: str = "text", key: str = "id",
                      word: str = "word", synonym: str = "synonym", order: str | None = None,
-                     out: str = "augmented") -> DataFrame:
+                     out: str = "augmented", partitioned: bool = False) -> DataFrame:
     """IMB6. Dictionary synonym replacement over whole texts: split on single
     spaces, replace every token found in the dictionary (first synonym per
     word by ``order``), re-join in token order.
 
-    Tokens are exploded with their position, looked up through an equi left
-    join, and regrouped by the row key; a row's tokens never leave the task
-    that exploded them before the partial aggregate, so the shuffle carries
-    one row per text.
+    The texts are hash-partitioned on the row key first (one shuffle of the
+    raw text, one row per text); tokens are then exploded with their
+    position, looked up through an equi left join and regrouped by the key
+    in the same stage, since the partitioning already satisfies the regroup.
+    The tokenising work is spread over the shuffle partitions rather than
+    tied to the input splits. Pass ``partitioned=True`` when ``df`` is
+    already hash-partitioned on ``key`` to skip that shuffle.
     """
     d = first_per_key(dictionary.select(word, synonym, *([order] if order else [])), word,
                       order or synonym, cols=[synonym])
     d = d.select(F.col(word).alias("_w"), F.col(synonym).alias("_s"))
-    ex = df.select(key, F.posexplode(F.split(F.col(text), " ", -1)).alias("_pos", "_tok"))
+    src = df.select(key, text) if partitioned else df.select(key, text).repartition(key)
+    ex = src.select(key, F.posexplode(F.split(F.col(text), " ", -1)).alias("_pos", "_tok"))
     j = ex.join(small_side(d), ex["_tok"] == d["_w"], "left")
     agg = j.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_pos", F.coalesce("_s", "_tok").alias("_t"))))
                              .alias("_toks"))

@@ -86,8 +86,34 @@ FILTERS = {
 }
 
 
+# Schemas of the supplied tables, given explicitly so a scan needs no
+# footer-reading job to infer them (and a changed file fails loudly).
+TABLE_SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": ("o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+               "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"),
+    "lineitem": ("l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+                 "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, "
+                 "l_linestatus STRING, l_shipdate TIMESTAMP_NTZ"),
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+    "embeddings": "vec_id BIGINT, embedding ARRAY<FLOAT>, label INT",
+    "pages": "page_id BIGINT, url STRING, html STRING",
+    "benchmark": "item_id BIGINT, text STRING",
+    "labels": "doc_id BIGINT, quality INT, toxic INT",
+    "conversations": "conv_id BIGINT, turn BIGINT, role STRING, text STRING",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def simple_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -126,16 +152,25 @@ def augmentation(spark, sf_dir):
 
 def code_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per order, ``'; '``-joined ``l_partkey || '.0'`` in (line number, part key)
-    order; orders without lines get NULL. The list is built per order (a small,
-    naturally bounded group) and the result stays hash-partitioned on the
-    order key for the crosswalk regroup."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    lists = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(
-        F.struct("l_linenumber", "l_partkey"))).alias("_l"))
-    lists = lists.select(F.col("l_orderkey").alias("o_orderkey"), F.array_join(
-        F.transform("_l", lambda s: F.concat(s["l_partkey"].cast("string"), F.lit(".0"))), "; ").alias("icd10"))
-    orders = table(spark, sf_dir, "orders").select("o_orderkey")
-    return orders.join(lists, "o_orderkey", "left")
+    order; orders without lines get NULL.
+
+    One shuffle, no join: order keys and line items are unioned and grouped
+    by order key once (an order key marks the group as a real order; the
+    lines' list skips the order's NULL entry). The result stays
+    hash-partitioned on the order key, so the crosswalk's explode -> lookup
+    -> regroup chain runs in the stage after this shuffle, with no further
+    exchange."""
+    entry = "struct<l_linenumber:int,l_partkey:bigint>"
+    li = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("o_orderkey"), F.struct("l_linenumber", "l_partkey").alias("_e"),
+        F.lit(False).alias("_is_order"))
+    od = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.lit(None).cast(entry).alias("_e"), F.lit(True).alias("_is_order"))
+    g = li.unionByName(od).groupBy("o_orderkey").agg(
+        F.max("_is_order").alias("_is_order"), F.sort_array(F.collect_list("_e")).alias("_l"))
+    icd10 = F.when(F.size("_l") > 0, F.array_join(
+        F.transform("_l", lambda s: F.concat(s["l_partkey"].cast("string"), F.lit(".0"))), "; "))
+    return g.filter("_is_order").select("o_orderkey", icd10.alias("icd10"))
 
 
 CODE_LISTS_SQL = """(SELECT o.o_orderkey, l.icd10 FROM orders o LEFT JOIN (
