@@ -89,14 +89,40 @@ def with_class_weight(df: DataFrame, col: str = "label", name: str = "weight") -
     return df.join(small_side(w), col)
 
 
-def oversample(df: DataFrame, col: str = "label", target: int | None = None) -> DataFrame:
+# Largest number of copies of one row produced inside one task.
+COPIES_PER_TASK = 4096
+
+
+def oversample(df: DataFrame, col: str = "label", target: int | None = None,
+               copies_per_task: int | None = None) -> DataFrame:
     """IMB1. Repeat each row of class c ``ceil(target / n_c)`` times (target
-    defaults to the largest class). Adds ``copy`` (1-based)."""
+    defaults to the largest class). Adds ``copy`` (1-based).
+
+    A row of a tiny class next to a huge one needs a huge number of copies.
+    Rows needing at most ``copies_per_task`` copies (conf
+    ``tessera.sample.copiesPerTask``) are expanded where they are; larger
+    counts are cut into chunks of that size, the chunk rows are
+    hash-spread over the shuffle partitions, and each task expands only its
+    chunks, so no task emits a hot group of copies alone.
+    """
+    chunk = copies_per_task or int(df.sparkSession.conf.get("tessera.sample.copiesPerTask", str(COPIES_PER_TASK)))
     counts = class_counts(df, col, "_n")
     tgt = F.lit(target) if target else counts.agg(F.max("_n")).scalar()
     counts = counts.withColumn("_copies", F.ceil(tgt / F.col("_n")).cast("int"))
-    j = df.join(small_side(counts), col)
-    return j.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_n", "_copies")
+    j = df.join(small_side(counts), col).drop("_n")
+    cols = [c for c in j.columns if c != "_copies"]
+    few = j.filter(F.col("_copies") <= chunk) \
+        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_copies")
+    many = j.filter(F.col("_copies") > chunk) \
+        .withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("_copies") - 1) / chunk).cast("int"))))
+    # an explicit partition count: the chunk rows are tiny, and AQE must not
+    # coalesce them back into one task before they expand
+    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    many = many.repartition(n_parts, F.xxhash64(*cols, "_chunk"))
+    lo = F.col("_chunk") * chunk + 1
+    hi = F.least(F.col("_copies"), (F.col("_chunk") + 1) * chunk)
+    many = many.withColumn("copy", F.explode(F.sequence(lo, hi))).drop("_copies", "_chunk")
+    return few.unionByName(many)
 
 
 def undersample(df: DataFrame, cap: int, id_col: str = "id", col: str = "label", seed: int = 42) -> DataFrame:

@@ -79,3 +79,23 @@ def test_crosswalk_hot_dimension_key(spark):
         tail = {1: "; one", 2: "; two"}.get(i % 5, "")
         assert out[i] == "one; one; one" + tail
     assert lists.select(F.size("l")).first()[0] == 4
+
+
+def test_oversample_spreads_a_large_group_of_copies(spark):
+    """A one-row class next to a 5000-row class needs 5000 copies of one row:
+    they are produced in chunks spread over tasks, and the copy numbers are
+    exactly 1..5000, the same as the unchunked expansion."""
+    from pyspark.sql import functions as F
+
+    from tessera.operators.balance import oversample
+    df = spark.createDataFrame([(i, 0) for i in range(5000)] + [(99999, 1)], "id long, label int")
+    chunked = oversample(df, "label", copies_per_task=64)
+    plain = oversample(df, "label", copies_per_task=10_000)
+    assert chunked.count() == plain.count() == 10_000
+    copies = [r["copy"] for r in chunked.filter("label = 1").select("copy").collect()]
+    assert sorted(copies) == list(range(1, 5001))
+    assert chunked.filter("label = 0").agg(F.max("copy")).first()[0] == 1
+    assert sorted(map(tuple, chunked.collect())) == sorted(map(tuple, plain.collect()))
+    # the hot row's copies come out of many tasks, not one
+    per_task = chunked.filter("label = 1").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(per_task) > 1 and max(r["count"] for r in per_task) < 5000
