@@ -18,16 +18,20 @@ from pyspark.sql import functions as F
 from tessera.functions.arrays import topk_array
 from tessera.operators.topk import attach_prediction_labels
 
-MAX_TOKENS = 512
 NUM_FEATURES = 1 << 16
 
 
-def featurize(text: str = "text", max_tokens: int = MAX_TOKENS, num_features: int = NUM_FEATURES):
-    """MLD4. Stages: tokenise (lower-case, split on non-word), truncate to
-    ``max_tokens``, hashed term frequencies, IDF."""
-    return [
-        RegexTokenizer(inputCol=text, outputCol="_tokens_all", pattern=r"(?U)\W+", toLowercase=True),
-        SQLTransformer(statement=f"SELECT *, slice(_tokens_all, 1, {max_tokens}) AS _tokens FROM __THIS__"),
+def featurize(text: str = "text", max_tokens: int | None = None, num_features: int = NUM_FEATURES):
+    """MLD4. Stages: tokenise (lower-case, split on non-word), hashed term
+    frequencies, IDF. Every token of the whole text counts; ``max_tokens``
+    (the reference's transformer input limit was 512) truncates only when a
+    caller asks for it."""
+    tokens = "_tokens" if max_tokens is None else "_tokens_all"
+    stages = [RegexTokenizer(inputCol=text, outputCol=tokens, pattern=r"(?U)\W+", toLowercase=True)]
+    if max_tokens is not None:
+        stages.append(SQLTransformer(
+            statement=f"SELECT *, slice(_tokens_all, 1, {int(max_tokens)}) AS _tokens FROM __THIS__"))
+    return stages + [
         HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=num_features),
         IDF(inputCol="_tf", outputCol="features"),
     ]
@@ -110,7 +114,8 @@ def grid_search(df: DataFrame, label: str = "label", text: str = "text", smoothi
     nb = classifier("nb", label)
     pipe = Pipeline(stages=stages + [nb])
     grid = (ParamGridBuilder().addGrid(nb.smoothing, list(smoothing))
-            .addGrid(stages[2].numFeatures, list(num_features)).build())
+            .addGrid(next(st for st in stages if isinstance(st, HashingTF)).numFeatures, list(num_features))
+            .build())
     ev = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
     tvs = TrainValidationSplit(estimator=pipe, estimatorParamMaps=grid, evaluator=ev, trainRatio=train_ratio,
                                seed=seed, parallelism=parallelism)
