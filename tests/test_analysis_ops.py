@@ -222,3 +222,25 @@ def test_attach_prediction_labels_duplicate_inputs(spark):
     assert len(out) == 3
     got = sorted(tuple(p["code"] for p in r["prediction"]) for r in out)
     assert got == [(), ("A", "B"), ("B", "A")]
+
+
+def test_replace_synonyms_whole_text_and_partitioned_input(spark):
+    from tessera.operators.imbalance import replace_synonyms
+    docs = spark.createDataFrame([(1, "the cat sat on the mat"), (2, "a  dog"), (3, "")], "id long, text string")
+    dic = spark.createDataFrame([("cat", "feline", 2), ("cat", "kitty", 1), ("the", "THE", 1)],
+                                "word string, synonym string, o int")
+    want = [(1, "THE kitty sat on THE mat"), (2, "a  dog"), (3, "")]
+    assert rows(replace_synonyms(docs, dic, order="o")) == want
+    # an input already hash-partitioned on the key: same rows, and with the
+    # dictionary broadcast after its size check, no exchange but that one
+    # (tokens are never shuffled by token)
+    pre = docs.repartition(4, "id")
+    spark.conf.set("tessera.broadcast.mode", "checked")
+    try:
+        out = replace_synonyms(pre, dic, order="o", partitioned=True)
+        assert rows(out) == want
+        final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.unset("tessera.broadcast.mode")
+    assert final.count("Exchange hashpartitioning(id") == 1
+    assert "Exchange hashpartitioning(_tok" not in final
