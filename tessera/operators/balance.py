@@ -94,25 +94,40 @@ COPIES_PER_TASK = 4096
 
 
 def oversample(df: DataFrame, col: str = "label", target: int | None = None,
-               copies_per_task: int | None = None) -> DataFrame:
+               copies_per_task: int | None = None, max_copies: int | None = None) -> DataFrame:
     """IMB1. Repeat each row of class c ``ceil(target / n_c)`` times (target
     defaults to the largest class). Adds ``copy`` (1-based).
 
     A row of a tiny class next to a huge one needs a huge number of copies.
-    Rows needing at most ``copies_per_task`` copies (conf
-    ``tessera.sample.copiesPerTask``) are expanded where they are; larger
-    counts are cut into chunks of that size, the chunk rows are
-    hash-spread over the shuffle partitions, and each task expands only its
-    chunks, so no task emits a hot group of copies alone.
+    The largest copy count is read first from the per-class table (one row
+    per class, the only thing that reaches the driver). When no row needs
+    more than ``copies_per_task`` copies (conf
+    ``tessera.sample.copiesPerTask``) rows are expanded where they are.
+    Otherwise the rows that need more are cut into chunks of that size, the
+    chunk rows are hash-spread over the shuffle partitions, and each task
+    expands only its chunks, so no task emits a hot group of copies alone.
+    Every class has at least one row, so a given ``target`` bounds the copy
+    count: within the chunk size nothing needs to be read first. A caller
+    that knows a tighter bound can pass it as ``max_copies``.
     """
     chunk = copies_per_task or int(df.sparkSession.conf.get("tessera.sample.copiesPerTask", str(COPIES_PER_TASK)))
     counts = class_counts(df, col, "_n")
-    tgt = F.lit(target) if target else counts.agg(F.max("_n")).scalar()
-    counts = counts.withColumn("_copies", F.ceil(tgt / F.col("_n")).cast("int"))
+    if target:
+        tgt = int(target)
+        bound = min(tgt, int(max_copies)) if max_copies else tgt
+    if not target or bound > chunk and not max_copies:
+        sizes = counts.agg(F.max("_n").alias("mx"), F.min("_n").alias("mn")).first()
+        if sizes["mn"] is None:  # no rows
+            return df.withColumn("copy", F.lit(1)).limit(0)
+        tgt = int(target or sizes["mx"])
+        bound = -(-tgt // sizes["mn"])
+    counts = counts.withColumn("_copies", F.ceil(F.lit(tgt) / F.col("_n")).cast("int"))
     j = df.join(small_side(counts), col).drop("_n")
+    expand = F.explode(F.sequence(F.lit(1), F.col("_copies")))
+    if bound <= chunk:
+        return j.withColumn("copy", expand).drop("_copies")
     cols = [c for c in j.columns if c != "_copies"]
-    few = j.filter(F.col("_copies") <= chunk) \
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_copies")
+    few = j.filter(F.col("_copies") <= chunk).withColumn("copy", expand).drop("_copies")
     many = j.filter(F.col("_copies") > chunk) \
         .withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("_copies") - 1) / chunk).cast("int"))))
     # an explicit partition count: the chunk rows are tiny, and AQE must not
