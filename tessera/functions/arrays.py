@@ -54,8 +54,11 @@ def topk_array(col, k: int = 5, apply_softmax: bool = True) -> Column:
     (e.g. probabilities a model already produced).
     """
     arr = as_col(col)
-    keyed = F.transform(arr, lambda x, i: F.struct((-x.cast("double")).alias("neg"), i.alias("label")))
-    best = F.slice(F.array_sort(keyed), 1, k)
+    # natural struct order (no comparator lambda per comparison); a NULL
+    # score sorts after every real one
+    keyed = F.transform(arr, lambda x, i: F.struct(
+        F.coalesce(-x.cast("double"), F.lit(float("inf"))).alias("neg"), i.alias("label")))
+    best = F.slice(F.sort_array(keyed), 1, k)
     lse = log_sum_exp(arr) if apply_softmax else None
 
     def value(s):

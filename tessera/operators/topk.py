@@ -63,7 +63,11 @@ def attach_prediction_labels(df: DataFrame, labels: DataFrame, pred: str = "pred
 def topk_long(df: DataFrame, pred: str = "prediction") -> DataFrame:
     """PRJ5. Nested top-k -> one row per (row, rank)."""
     others = [c for c in df.columns if c != pred]
-    return df.select(*others, F.explode(pred).alias("_p")).select(*others, "_p.*")
+    # explode_outer + a filter on the generated value: the same rows as
+    # explode, but no "size(pred) > 0" filter is inferred below the
+    # projection, which would evaluate the prediction expression twice
+    return (df.select(*others, F.explode_outer(pred).alias("_p")).filter(F.col("_p").isNotNull())
+            .select(*others, "_p.*"))
 
 
 def topk_wide(df: DataFrame, k: int, pred: str = "prediction", fields=("code", "text", "value")) -> DataFrame:
