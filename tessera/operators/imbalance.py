@@ -79,7 +79,11 @@ def replace_synonyms(df: DataFrame, dictionary: DataFrame, text: str = "text", k
                       order or synonym, cols=[synonym])
     d = d.select(F.col(word).alias("_w"), F.col(synonym).alias("_s"))
     src = df.select(key, text) if partitioned else df.select(key, text).repartition(key)
-    ex = src.select(key, F.posexplode(F.split(F.col(text), " ", -1)).alias("_pos", "_tok"))
+    # posexplode_outer + filter: the rows of posexplode (a NULL text has no
+    # tokens) without an inferred "size(split(text)) > 0" filter that would
+    # split every whole text a second time
+    ex = src.select(key, F.posexplode_outer(F.split(F.col(text), " ", -1)).alias("_pos", "_tok")) \
+        .filter(F.col("_pos").isNotNull())
     j = ex.join(small_side(d), ex["_tok"] == d["_w"], "left")
     agg = j.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_pos", F.coalesce("_s", "_tok").alias("_t"))))
                              .alias("_toks"))
