@@ -16,12 +16,23 @@ def topk_per_key(df: DataFrame, key, score: str, k: int, tiebreak: str, salts: i
     """WIN5. The ``k`` best rows per ``key`` by ``score`` desc, ties to the
     lowest ``tiebreak``; adds a 1-based ``rank``.
 
-    Two levels so a hot key never sorts in one task: rows are first ranked
-    inside ``(key, salt)`` sub-groups (salt = hash of the tiebreak), keeping
-    ``k`` per sub-group, then at most ``salts * k`` rows per key are ranked.
+    A hot key must never be sorted whole in one task:
+
+    * ``k`` within ``spark.sql.optimizer.windowGroupLimitThreshold``: one
+      window. Spark plans a partial ``WindowGroupLimit`` before the exchange,
+      so each map task sends at most ``k`` rows per key and a key holding a
+      third of the rows reaches its reducer as ``k`` x map tasks rows. One
+      shuffle.
+    * larger ``k``: two levels. Rows are first ranked inside ``(key, salt)``
+      sub-groups (salt = hash of the tiebreak), keeping ``k`` per sub-group,
+      then at most ``salts * k`` rows per key are ranked.
     """
     keys = [key] if isinstance(key, str) else list(key)
     order = [F.col(score).desc(), F.col(tiebreak).asc()]
+    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if k <= limit:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= k)
     salted = df.withColumn("_salt", F.pmod(F.hash(F.col(tiebreak)), F.lit(salts)))
     w1 = Window.partitionBy(*keys, "_salt").orderBy(*order)
     level1 = salted.withColumn("_r", F.row_number().over(w1)).filter(F.col("_r") <= k).drop("_r", "_salt")

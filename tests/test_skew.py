@@ -99,3 +99,19 @@ def test_oversample_spreads_a_large_group_of_copies(spark):
     # the hot row's copies come out of many tasks, not one
     per_task = chunked.filter("label = 1").groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert len(per_task) > 1 and max(r["count"] for r in per_task) < 5000
+
+
+def test_topk_hot_key_partial_limit_and_salted_form(spark, skewed):
+    """The one-window form limits rows per key before the shuffle; the
+    salted form (k above the window-limit threshold) gives the same rows."""
+    df, _ = skewed
+    one = topk_per_key(df, "code", "score", 4, "id")
+    one.collect()
+    plan = one._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "2")
+    try:
+        salted = sorted(map(tuple, topk_per_key(df, "code", "score", 4, "id").collect()))
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+    assert salted == sorted(map(tuple, one.collect()))
