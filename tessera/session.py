@@ -43,14 +43,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint directory, setting a scratch one only
-    when none is configured (tests, local runs). On a cluster the shared
-    folder named in ``spark.checkpoint.dir`` is kept."""
+    """Return the session's checkpoint directory. On a cluster the shared
+    folder named in ``spark.checkpoint.dir`` is used as is; a scratch folder
+    is created only for a ``local`` master with none configured (tests,
+    local runs). A cluster session without one is an error: a machine-local
+    folder would leave each executor writing to its own disk."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     if not current:
         current = spark.conf.get("spark.checkpoint.dir", None)
         if not current:
+            if not sc.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder on shared storage (HDFS, object store): "
+                                 "lineage cuts, row-id layouts and stream state are written there")
             current = tempfile.mkdtemp(prefix="tessera-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         sc.setCheckpointDir(current)
     return current
