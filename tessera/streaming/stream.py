@@ -114,7 +114,7 @@ def append_distinct_exact(stream: DataFrame, store: str, keys=("code", "text"),
     anti-join reads only earlier epochs, so a retried batch (driver restart,
     lost executor) rewrites the same rows: exactly-once in effect.
     """
-    from tessera.operators.common import first_per_key
+    from tessera.operators.common import broadcast_limit, first_per_key, fits
 
     keys = list(keys)
     spark = stream.sparkSession
@@ -124,7 +124,15 @@ def append_distinct_exact(stream: DataFrame, store: str, keys=("code", "text"),
         bspark = batch.sparkSession
         fresh = batch
         try:
-            seen = bspark.read.parquet(store).filter(F.col("epoch") < epoch_id).select(*keys)
+            # only stored keys that occur in this batch matter: the batch's
+            # distinct keys (broadcast after a size check, a shuffle join
+            # beyond it) filter the store scan, so the growing store is read
+            # but not shuffled
+            bkeys = batch.select(*keys).distinct()
+            if fits(bkeys, broadcast_limit(bkeys)):
+                bkeys = F.broadcast(bkeys)
+            seen = (bspark.read.parquet(store).filter(F.col("epoch") < epoch_id).select(*keys)
+                    .join(bkeys, keys, "left_semi"))
             fresh = fresh.join(seen, keys, "left_anti")
         except Exception as e:  # noqa: BLE001 - the store does not exist before the first batch
             if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
