@@ -146,3 +146,22 @@ def test_golden_augmentation_export(spark):
     s = augmentation_stats(df).first()
     assert (s["n_rows"], s["n_accepted"], s["accepted_pct"]) == (25, 11, 44.0)
     assert df.select("code", "text").distinct().count() == 17
+
+
+INVARIANT = ["crosswalk", "parse_code_list", "replace_synonyms", "oversample", "hybrid_sample", "vector_topk",
+             "top_docs_per_lang", "kfold", "undersample", "compare_runs", "merge_augmentation"]
+
+
+@pytest.mark.parametrize("name", INVARIANT)
+def test_query_partition_invariance(spark, name):
+    """Same rows at 1, 4 and 17 shuffle partitions (randomness is md5-keyed,
+    ids come from written layouts, blocks and chunks from hashes)."""
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    seen = []
+    try:
+        for parts in (1, 4, 17):
+            spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+            seen.append(sorted(map(tuple, E.queries()[name](spark, SF_SMALL).collect())))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert seen[0] == seen[1] == seen[2]
