@@ -316,7 +316,7 @@ def q_split_sizes(spark, d):
 
 
 def q_cv_mean(spark, d):
-    f = SP.kfold(_run_b(spark, d), 5, "doc_id")
+    f = SP.kfold(_run_b(spark, d).select("doc_id", "code", "top_prediction"), 5, "doc_id")
     m = ME.cv_mean(f, "fold", "code", "top_prediction")
     return m.select(r6("cv_accuracy").alias("cv_accuracy"), "n_folds")
 
@@ -353,7 +353,8 @@ def q_oversample(spark, d):
 
 
 def q_undersample(spark, d):
-    return BA.undersample(V.terms(spark, d), 3, "id", "code").select("id", "code")
+    # only the columns the result keeps go into the written row-id layout
+    return BA.undersample(V.terms(spark, d).select("id", "code"), 3, "id", "code")
 
 
 def _ml_truth(spark, d):
@@ -502,7 +503,7 @@ QUERIES = {
 
 def q_hybrid_sample(spark, d):
     from tessera.operators.imbalance import hybrid_sample
-    return hybrid_sample(V.terms(spark, d), 5, "id", "code").select("id", "code", "copy")
+    return hybrid_sample(V.terms(spark, d).select("id", "code"), 5, "id", "code").select("id", "code", "copy")
 
 
 def _class_scores(spark, d):
