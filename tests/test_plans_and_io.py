@@ -165,3 +165,32 @@ def test_query_partition_invariance(spark, name):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert seen[0] == seen[1] == seen[2]
+
+
+def test_checkpoint_dir_never_machine_local_on_a_cluster():
+    """A cluster session without spark.checkpoint.dir is an error, not a
+    silent local scratch folder; a configured folder is used as is."""
+    from tessera.session import ensure_checkpoint_dir
+
+    class Ctx:
+        def __init__(self, master):
+            self.master, self.dir = master, None
+
+        def getCheckpointDir(self):
+            return self.dir
+
+        def setCheckpointDir(self, d):
+            self.dir = d
+
+    class Conf(dict):
+        def get(self, k, default=None):
+            return super().get(k, default)
+
+    class Session:
+        def __init__(self, master, conf):
+            self.sparkContext, self.conf = Ctx(master), Conf(conf)
+
+    with pytest.raises(ValueError):
+        ensure_checkpoint_dir(Session("yarn", {}))
+    shared = Session("yarn", {"spark.checkpoint.dir": "hdfs:///shared/ckpt"})
+    assert ensure_checkpoint_dir(shared) == "hdfs:///shared/ckpt"
