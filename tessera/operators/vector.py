@@ -43,7 +43,10 @@ class _RunningTopK:
         step = max(1, SCORE_CELLS // max(1, len(self.qids)))
         for lo in range(0, len(ids), step):
             cid, cmat = ids[lo:lo + step], unit[lo:lo + step]
-            sims = self.qmat @ cmat.T                      # queries x items
+            # a matrix product may score equal vectors a last bit apart
+            # (different SIMD lanes); rounding to 1e-12 makes them exact ties,
+            # so the lowest item id wins as specified
+            sims = np.round(self.qmat @ cmat.T, 12)        # queries x items
             if self.exclude_self:
                 sims[self.qids[:, None] == cid[None, :]] = -np.inf
             cand_s = np.concatenate([self.best_s, sims], axis=1)

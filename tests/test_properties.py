@@ -1,7 +1,7 @@
 """Property tests: operators against direct Python statements of the same
 semantics on random small inputs."""
 
-from hypothesis import HealthCheck, given, settings
+from hypothesis import HealthCheck, example, given, settings
 from hypothesis import strategies as st
 
 from tessera.operators import corpus as CO
@@ -73,6 +73,7 @@ VEC = st.lists(st.integers(-2, 2), min_size=3, max_size=3)
 
 @SETTINGS
 @given(vecs=st.lists(VEC, min_size=2, max_size=12), k=st.integers(1, 4), grid=st.booleans())
+@example(vecs=[[0, 0, 0], [0, 0, 0], [-1, 2, 2], [-1, 2, 2], [-2, -1, 2]], k=2, grid=False)
 def test_vector_topk_matches_brute_force(spark, vecs, k, grid):
     """Exact cosine top-k against a direct statement, through the broadcast
     path and the block grid; integer vectors give exact ties (same vector
