@@ -39,6 +39,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -59,3 +60,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             current = tempfile.mkdtemp(prefix="tessera-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         sc.setCheckpointDir(current)
     return current
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let this session's Python workers import the package from where the
+    driver has it, whatever folder the session was started in. On a cluster
+    whose nodes don't share that folder, install the package there or pass it
+    with ``--py-files``."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
