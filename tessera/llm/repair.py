@@ -33,6 +33,7 @@ MAGIC = b"IDSREPR1"
 SHARD_IDS = 1 << 21  # ids after which a shard file is closed
 ROUNDS = 4  # passes of counting and replacing
 MIN_COUNT = 16  # a rule is made for pairs found this often at least
+HASH_BITS = 20
 
 
 def compress(ids: np.ndarray, ends: np.ndarray, base: int, rounds: int = ROUNDS, min_count: int = MIN_COUNT):
@@ -42,23 +43,27 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int, rounds: int = ROUNDS,
     ends in symbols, and the rules' left and right parts."""
     narrow = base <= 0xF000
     sym_type, code_type, shift = (np.uint16, np.uint32, 16) if narrow else (np.uint32, np.uint64, 32)
-    room = (1 << shift) - base
+    factor = code_type(0x9E3779B1 if narrow else 0x9E3779B97F4A7C15)
+    down = code_type(8 * code_type().itemsize - HASH_BITS)
+    border_code = code_type(2 ** (2 * shift) - 1)  # no pair of symbols: the last symbol is never used
+    room = (1 << shift) - 1 - base
     sym = ids.astype(sym_type)
     ends = ends.astype(np.int64)
     left, right = [], []
-    bits = 20
     for r in range(rounds):
         if len(sym) < 2:
             break
-        code = sym[:-1].astype(code_type) << code_type(shift) | sym[1:]
-        border = ends[(ends > 0) & (ends < len(sym))] - 1  # a pair here would span two documents
-        inner = np.ones(len(code), bool)
-        inner[border] = False
-        ordered = np.sort(code[inner])
+        code = sym[:-1].astype(code_type)
+        code <<= code_type(shift)
+        code |= sym[1:]
+        border = np.unique(ends[(ends > 0) & (ends < len(sym))]) - 1  # a pair here would span two documents
+        code[border] = border_code
+        ordered = np.sort(code)[:len(code) - len(border)]
         if not len(ordered):
             break
-        first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
-        count = np.diff(np.r_[first, len(ordered)])
+        first = np.flatnonzero(ordered[1:] != ordered[:-1]) + 1
+        first = np.concatenate([[0], first, [len(ordered)]])
+        count = np.diff(first)
         want = min(room // (rounds - r), 1 << 14)
         common = np.flatnonzero(count >= min_count)
         common = common[np.lexsort((ordered[first[common]], -count[common]))][:want]
@@ -66,21 +71,28 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int, rounds: int = ROUNDS,
             break
         pair = ordered[first[common]]
         # table from a hash of the pair to its rule; of two in one place the rarer one waits
-        place = ((pair.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
+        place = (pair * factor) >> down
         _, keep = np.unique(place, return_index=True)
         keep.sort()
         pair, place = pair[keep], place[keep]
-        table = np.full(1 << bits, -1, np.int32)
+        table = np.full(1 << HASH_BITS, -1, np.int16)
         table[place] = np.arange(len(pair))
-        rule = table[(code.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)]
+        spot = code * factor
+        spot >>= down
+        rule = table[spot]
         at = np.flatnonzero(rule >= 0)
-        at = at[(pair[rule[at]] == code[at]) & inner[at]]
+        rule = rule[at]
+        hit = pair[rule] == code[at]
+        at, rule = at[hit], rule[hit]
         if not len(at):
             break
-        head = np.r_[True, np.diff(at) != 1]  # overlapping hits: every second one of a run
-        lead = np.maximum.accumulate(np.where(head, np.arange(len(at)), 0))
-        at = at[(np.arange(len(at)) - lead) % 2 == 0]
-        sym[at] = (base + len(left) + rule[at]).astype(sym_type)
+        # overlapping hits: every second one of a run
+        head = np.flatnonzero(np.diff(at) != 1) + 1
+        size = np.diff(np.concatenate([[0], head, [len(at)]]))
+        lead = np.repeat(np.concatenate([[0], head]), size)
+        use = (np.arange(len(at)) - lead) % 2 == 0
+        at, rule = at[use], rule[use]
+        sym[at] = (base + len(left) + rule.astype(np.int64)).astype(sym_type)
         keep = np.ones(len(sym), bool)
         keep[at + 1] = False
         ends = ends - np.searchsorted(at + 1, ends)
@@ -100,43 +112,30 @@ def rule_lengths(left: np.ndarray, right: np.ndarray, base: int) -> np.ndarray:
 
 
 class Expander:
-    """Flat expansions of all rules, so that symbols decode by array gathers."""
+    """Flat expansions of all symbols, so that symbols decode by array gathers."""
 
     def __init__(self, left: np.ndarray, right: np.ndarray, length: np.ndarray, base: int):
-        self.base = base
-        size = length.astype(np.int64)
-        self.size = size
-        self.start = np.cumsum(size) - size
-        self.flat = np.empty(int(size.sum()), np.uint32)
-        flat, start = self.flat, self.start.tolist()
-        for i, (a, b) in enumerate(zip(left.tolist(), right.tolist())):
-            o = start[i]
-            for s in (a, b):
-                if s < base:
-                    flat[o] = s
-                    o += 1
-                else:
-                    n = int(size[s - base])
-                    flat[o:o + n] = flat[start[s - base]:start[s - base] + n]
-                    o += n
+        self.size = np.concatenate([np.ones(base, np.int32), length.astype(np.int32)])
+        self.start = (np.cumsum(self.size, dtype=np.int64) - self.size).astype(np.int32)
+        self.flat = np.empty(int(self.start[-1] + self.size[-1]), "<u4")
+        flat, start, size = self.flat, self.start.tolist(), self.size.tolist()
+        flat[:base] = np.arange(base)
+        for i, (a, b) in enumerate(zip(left.tolist(), right.tolist()), base):
+            o, n = start[i], size[a]
+            flat[o:o + n] = flat[start[a]:start[a] + n]
+            flat[o + n:o + size[i]] = flat[start[b]:start[b] + size[b]]
 
     def sizes(self, sym: np.ndarray) -> np.ndarray:
-        out = np.ones(len(sym), np.int64)
-        hit = sym >= self.base
-        out[hit] = self.size[sym[hit].astype(np.int64) - self.base]
-        return out
+        return self.size[sym]
 
     def ids(self, sym: np.ndarray, size: np.ndarray | None = None) -> np.ndarray:
-        size = self.sizes(sym) if size is None else size
-        start = np.cumsum(size) - size
-        out = np.empty(int(size.sum()), "<u4")
-        plain = sym < self.base
-        out[start[plain]] = sym[plain]
-        rule = sym[~plain].astype(np.int64) - self.base
-        n = self.size[rule]
-        step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-        out[np.repeat(start[~plain], n) + step] = self.flat[np.repeat(self.start[rule], n) + step]
-        return out
+        size = self.size[sym] if size is None else size
+        ends = np.cumsum(size, dtype=np.int64)
+        if not len(ends):
+            return np.empty(0, "<u4")
+        at = np.repeat(self.start[sym] - (ends - size), size)
+        at += np.arange(ends[-1])
+        return self.flat[at]
 
 
 def shard_bytes(doc_ids: list[int | None], ids: np.ndarray, ends: np.ndarray, base: int) -> bytes:
@@ -251,7 +250,9 @@ def read_documents(manifest: DataFrame, folder: str, id_col: str = "doc_id") ->
                      pa.array(ends - starts, pa.int64()), pa.array(crc, pa.int64())],
                     names=[id_col, "start", "n_tokens", "ids_crc32"])
 
-    return files.repartition(F.col("file")).mapInArrow(
+    # a stated number: AQE would put the small file list into one task
+    n = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return files.repartition(n, F.col("file")).mapInArrow(
         run, f"`{id_col}` long, start long, n_tokens long, ids_crc32 long")
 
 
