@@ -247,7 +247,9 @@ def read_pages(manifest: DataFrame, folder: str, with_payload: bool = False) ->
                     yield pa.RecordBatch.from_pylist(held, schema=schema)
 
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
-    return manifest.repartition(F.col("file")).mapInArrow(run, schema + ", url string, payload binary" * with_payload)
+    # a stated number: AQE would put the small file list into one task
+    n = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return manifest.repartition(n, F.col("file")).mapInArrow(run, schema + ", url string, payload binary" * with_payload)
 
 
 def archive_and_read(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
