@@ -19,16 +19,6 @@ def quote_regex(literal: str) -> str:
     return "\\Q" + literal.replace("\\E", "\\E\\\\E\\Q") + "\\E"
 
 
-def md5_unit(key_cols, seed: int) -> Column:
-    """Deterministic pseudo-random number in [0, 1) from ``md5(key ':' seed)``.
-
-    Identical in any engine with md5 (no dependence on partitioning, unlike
-    ``rand()`` or ``randomSplit``): the first 8 hex digits as an integer / 2^32.
-    """
-    return (F.conv(F.substring(md5_key(key_cols, seed), 1, 8), 16, 10).cast("double")
-            / F.lit(4294967296.0))
-
-
 def md5_key(key_cols, seed: int) -> Column:
     """``md5(concat_ws('|', keys) || ':' || seed)`` as a hex string."""
     cols = [as_col(c).cast("string") for c in (key_cols if isinstance(key_cols, (list, tuple)) else [key_cols])]

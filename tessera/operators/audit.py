@@ -75,11 +75,41 @@ def apply_selectors(df: DataFrame, selector: str, labels: DataFrame) -> DataFram
     vals = existing(req, labels)
     ch = vals.filter("kind = 'chapter'").select(F.col("value").alias("chapter"), F.lit(True).alias("_by_ch"))
     cd = vals.filter("kind = 'code'").select(F.col("value").alias("code"), F.lit(True).alias("_by_cd"))
+    # with literals known now, a plain predicate also reaches the scan (partition
+    # pruning on chapter); it only holds if something survives, which the tiny
+    # request tells (at most its own rows reach the driver)
+    if vals.limit(1).count():
+        df = df.filter(F.col("chapter").isin(chapters) | F.col("code").isin(codes_))
     out = df.join(F.broadcast(ch), "chapter", "left").join(F.broadcast(cd), "code", "left")
     cond = F.coalesce("_by_ch", F.lit(False)) | F.coalesce("_by_cd", F.lit(False)) | ~vals.exists()
     return out.filter(cond).select(*df.columns)
 
 
+def apply_selector_table(df: DataFrame, selectors: DataFrame, labels: DataFrame, text: str = "text",
+                         sid: str = "selector_id") -> DataFrame:
+    """FIL5 over a table ``(selector_id, text)``: per selector, the rows of
+    ``df`` that :func:`apply_selectors` returns, tagged with ``selector_id``,
+    in one job.
+
+    Values that exist in the label table match rows by two equi-joins (chapter,
+    code); a row that matches twice counts once. Selectors of which nothing
+    survives take every row: their ids, a table of request size, are attached
+    to each row as one array and exploded.
+    """
+    toks = selector_tokens(selectors, text, sid)
+    vals = existing(toks, labels)
+    ch = vals.filter("kind = 'chapter'").select(sid, F.col("value").alias("chapter"))
+    cd = vals.filter("kind = 'code'").select(sid, F.col("value").alias("code"))
+    by_ch = df.join(small_side(ch), "chapter").select(*df.columns, sid)
+    # a row whose chapter the selector names already is not taken again by its code
+    by_cd = df.join(small_side(cd), "code").join(small_side(ch), [sid, "chapter"], "left_anti").select(
+        *df.columns, sid)
+    unmatched = selectors.select(sid).distinct().join(vals.select(sid).distinct(), sid, "left_anti")
+    ids = unmatched.agg(F.sort_array(F.collect_list(sid))).scalar()
+    every = df.withColumn(sid, F.explode(ids)).select(*df.columns, sid)
+    return by_ch.unionByName(by_cd).unionByName(every)
+
+
 def subset(df: DataFrame, size: str = "full", medium_chapters=("K",)) -> DataFrame:
     """FIL8. ``medium`` = the rows of ``medium_chapters`` (chapter K by
     default), anything else = all rows. On a corpus written partitioned by

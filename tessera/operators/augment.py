@@ -9,36 +9,43 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.text import PROMPT_CONTEXT, clean_description, expand_abbreviations, parse_generated_list
-from tessera.operators.common import first_per_key
+from tessera.operators.common import first_per_key, not_in, small_side
 
 
 def _piece(value, prefix: str, suffix: str = ""):
     return F.when(value != F.lit(""), F.concat(F.lit(prefix), value, F.lit(suffix))).otherwise(F.lit(""))
 
 
+# Names that one prompt lists at most.
+NAMES_PER_PROMPT = 64
+
+
 def build_prompts(processed: DataFrame, code: str = "cod", order: str = "row_key", name: str = "nome",
                   incl: str = "incl", excl: str = "excl", crit: str = "crit",
-                  crosswalk_text: str = "icd10_description") -> DataFrame:
+                  crosswalk_text: str = "icd10_description", names_per_prompt: int = NAMES_PER_PROMPT) -> DataFrame:
     """TXT6. One prompt per code, every code in one job:
     ``labels{"; incl, "}{", icd10"}{"; Critérios: crit"}{". Exclui: excl"}``.
 
-    ``labels`` are all of the code's names in source order joined by ``'; '``
-    with abbreviations expanded; the other fields come from the code's first
-    row, cleaned (TXT4), and a piece is left out when it is empty.
-    The names are gathered by a partial aggregate keyed by code.
+    ``labels`` are the code's names in source order joined by ``'; '`` with
+    abbreviations expanded; the other fields come from the code's first row,
+    cleaned (TXT4), and a piece is left out when it is empty. A code with more
+    than ``names_per_prompt`` rows gets several prompts, numbered by ``part``
+    from 0, each with the next names: no row or task holds all names of a
+    code. Positions come from a range layout of (code, order, name) only.
     """
-    agg = processed.groupBy(code).agg(
-        F.sort_array(F.collect_list(F.struct(F.col(order), F.col(name)))).alias("_names"),
-        F.min_by(F.struct(F.col(incl), F.col(excl), F.col(crit), F.col(crosswalk_text)), F.col(order)).alias("_f"),
-    )
+    from tessera.operators.split import rank_within
+    ranked = rank_within(processed.select(code, order, name), code, F.col(order), name)
+    ranked = ranked.withColumn("part", F.floor(F.col("_rank") / names_per_prompt).cast("int"))
+    lists = ranked.groupBy(code, "part").agg(F.sort_array(F.collect_list(F.struct("_rank", name))).alias("_names"))
+    first = first_per_key(processed.select(code, order, incl, excl, crit, crosswalk_text), code, order,
+                          cols=[incl, excl, crit, crosswalk_text])
+    agg = lists.join(small_side(first), code)
     labels = expand_abbreviations(F.array_join(F.transform("_names", lambda s: s[name]), "; "))
-    i = clean_description(F.col("_f")[incl])
-    x = clean_description(F.col("_f")[crosswalk_text])
-    c = clean_description(F.col("_f")[crit])
-    e = clean_description(F.col("_f")[excl])
+    i, x = clean_description(F.col(incl)), clean_description(F.col(crosswalk_text))
+    c, e = clean_description(F.col(crit)), clean_description(F.col(excl))
     prompt = F.concat(labels, _piece(i, "; ", ", "), _piece(x, ", "), _piece(c, "; Critérios: "),
                       _piece(e, ". Exclui: "))
-    return agg.select(F.col(code).alias("code"), prompt.alias("prompt"), F.lit(PROMPT_CONTEXT).alias("context"))
+    return agg.select(F.col(code).alias("code"), "part", prompt.alias("prompt"), F.lit(PROMPT_CONTEXT).alias("context"))
 
 
 def parse_generated(gen: DataFrame, code: str = "code", response: str = "response", model: str = "model",
@@ -56,9 +63,7 @@ def parse_generated(gen: DataFrame, code: str = "code", response: str = "respons
     )
 
 
-def dedupe_keep_first(df: DataFrame, keys, order) -> DataFrame:
-    """WIN6. First row per key by ``order`` (partial ``min_by``, skew-safe)."""
-    return first_per_key(df, keys, order)
+dedupe_keep_first = first_per_key  # WIN6
 
 
 def merge_augmentation(existing: DataFrame, new: DataFrame, keys=("code", "text"),
@@ -81,7 +86,7 @@ def merge_augmentation(existing: DataFrame, new: DataFrame, keys=("code", "text"
         return df.withColumn("_prio", F.lit(prio)).withColumn("_pos", pos)
 
     if assume_existing_distinct:
-        fresh = new.join(existing.select(*keys), keys, "left_anti")
+        fresh = not_in(new, existing, keys)
         fresh = first_per_key(ordered(fresh, 1), keys, ["_prio", "_pos"]).select(*cols)
         return existing.unionByName(fresh)
     both = ordered(existing, 0).unionByName(ordered(new, 1))

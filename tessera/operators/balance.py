@@ -58,12 +58,18 @@ def augmentation_stats(aug: DataFrame, rare_count=None) -> DataFrame:
 
 
 def rare_share(df: DataFrame, total=None, col: str = "code") -> DataFrame:
-    """AGG3. ``-100 * distinct codes / total`` (1 dp). ``total`` defaults to
-    the measured number of classes instead of a hard-coded constant."""
+    """AGG3. Distinct codes of the rare slice ``df`` and their share
+    ``-100 * distinct codes / total`` (1 dp). ``total``: a number, or the table
+    whose distinct codes are counted (a one-row subquery of the same job);
+    left out, the slice's own."""
     n = F.countDistinct(col)
     if total is None:
-        return df.agg(n.alias("n_codes"))
-    return df.agg(n.alias("n_codes"), F.bround(F.try_divide(-100.0 * n, F.lit(float(total))), 1).alias("share_pct"))
+        total = df
+    if isinstance(total, DataFrame):
+        total = total.agg(F.countDistinct(col)).scalar()
+    else:
+        total = F.lit(float(total))
+    return df.agg(n.alias("n_codes"), F.bround(F.try_divide(-100.0 * n, total), 1).alias("share_pct"))
 
 
 def frequency_table(df: DataFrame, col: str = "code") -> DataFrame:
@@ -94,58 +100,42 @@ COPIES_PER_TASK = 4096
 
 
 def oversample(df: DataFrame, col: str = "label", target: int | None = None,
-               copies_per_task: int | None = None, max_copies: int | None = None) -> DataFrame:
+               copies_per_task: int | None = None) -> DataFrame:
     """IMB1. Repeat each row of class c ``ceil(target / n_c)`` times (target
     defaults to the largest class). Adds ``copy`` (1-based).
 
     A row of a tiny class next to a huge one needs a huge number of copies.
-    The largest copy count is read first from the per-class table (one row
-    per class, the only thing that reaches the driver). When no row needs
-    more than ``copies_per_task`` copies (conf
-    ``tessera.sample.copiesPerTask``) rows are expanded where they are.
-    Otherwise the rows that need more are cut into chunks of that size, the
-    chunk rows are hash-spread over the shuffle partitions, and each task
-    expands only its chunks, so no task emits a hot group of copies alone.
-    Every class has at least one row, so a given ``target`` bounds the copy
-    count: within the chunk size nothing needs to be read first. A caller
-    that knows a tighter bound can pass it as ``max_copies``.
+    Copies come in chunks of ``copies_per_task`` (conf
+    ``tessera.sample.copiesPerTask``): a row's first chunk is expanded where
+    the row is; further chunks are hash-spread over the shuffle partitions and
+    each task expands only its own, so no task emits a hot group of copies
+    alone. The default target is a one-row subquery of the same job.
     """
     chunk = copies_per_task or int(df.sparkSession.conf.get("tessera.sample.copiesPerTask", str(COPIES_PER_TASK)))
     counts = class_counts(df, col, "_n")
-    if target:
-        tgt = int(target)
-        bound = min(tgt, int(max_copies)) if max_copies else tgt
-    if not target or bound > chunk and not max_copies:
-        sizes = counts.agg(F.max("_n").alias("mx"), F.min("_n").alias("mn")).first()
-        if sizes["mn"] is None:  # no rows
-            return df.withColumn("copy", F.lit(1)).limit(0)
-        tgt = int(target or sizes["mx"])
-        bound = -(-tgt // sizes["mn"])
-    counts = counts.withColumn("_copies", F.ceil(F.lit(tgt) / F.col("_n")).cast("int"))
-    j = df.join(small_side(counts), col).drop("_n")
-    expand = F.explode(F.sequence(F.lit(1), F.col("_copies")))
-    if bound <= chunk:
-        return j.withColumn("copy", expand).drop("_copies")
+    tgt = F.lit(int(target)) if target else counts.agg(F.max("_n")).scalar()
+    counts = counts.select(col, F.ceil(tgt / F.col("_n")).cast("int").alias("_copies"))
+    j = df.join(small_side(counts), col)
     cols = [c for c in j.columns if c != "_copies"]
-    few = j.filter(F.col("_copies") <= chunk).withColumn("copy", expand).drop("_copies")
-    many = j.filter(F.col("_copies") > chunk) \
-        .withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("_copies") - 1) / chunk).cast("int"))))
+    first = j.withColumn("copy", F.explode(F.sequence(F.lit(1), F.least("_copies", F.lit(chunk))))).drop("_copies")
+    more = j.filter(F.col("_copies") > chunk) \
+        .withColumn("_chunk", F.explode(F.sequence(F.lit(1), F.floor((F.col("_copies") - 1) / chunk).cast("int"))))
     # an explicit partition count: the chunk rows are tiny, and AQE must not
     # coalesce them back into one task before they expand
     n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    many = many.repartition(n_parts, F.xxhash64(*cols, "_chunk"))
+    more = more.repartition(n_parts, F.xxhash64(*cols, "_chunk"))
     lo = F.col("_chunk") * chunk + 1
     hi = F.least(F.col("_copies"), (F.col("_chunk") + 1) * chunk)
-    many = many.withColumn("copy", F.explode(F.sequence(lo, hi))).drop("_copies", "_chunk")
-    return few.unionByName(many)
+    more = more.withColumn("copy", F.explode(F.sequence(lo, hi))).drop("_copies", "_chunk")
+    return first.unionByName(more)
 
 
 def undersample(df: DataFrame, cap: int, id_col: str = "id", col: str = "label", seed: int = 42) -> DataFrame:
     """IMB2. Keep at most ``cap`` rows per class: those with the smallest
-    ``md5(id:seed)``. Exact per-class ranks without a per-class window: a
-    global row id in (class, hash) order comes from range partitioning (a
-    hot class spans many partitions) and each class's first id is a partial
-    ``min``."""
-    from tessera.operators.split import rank_within
-    ranked = rank_within(df, col, md5_key(id_col, seed), id_col)
-    return ranked.filter(F.col("_rank") < cap).drop("_rank", "_class_n")
+    ``md5(id:seed)``, ties to the smaller id. A per-class top-k: each map task
+    sends at most ``cap`` rows of a class, so neither a hot class nor the rows
+    that go are sorted or written whole."""
+    from tessera.operators.topk import topk_per_key
+    ranked = topk_per_key(df.withColumn("_md5", md5_key(id_col, seed)), col, "_md5", cap, id_col, rank="_rank",
+                          ascending=True)
+    return ranked.drop("_rank", "_md5")

@@ -4,13 +4,17 @@ row ids without a single-partition window, first-row-per-key without a window.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.common import as_col
 
-# Largest side (rows) broadcast in "checked" mode after counting it.
+# Largest side (rows, and bytes of its rows as JSON text) broadcast in "checked"
+# mode after measuring it.
 DEFAULT_BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 << 20
 
 
 def broadcast_limit(df: DataFrame) -> int:
@@ -19,10 +23,12 @@ def broadcast_limit(df: DataFrame) -> int:
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (each task stops after
-    ``max_rows + 1`` rows). Costs a job: use on inputs that are small or
-    cheap to scan, not on large aggregates."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows and ``BROADCAST_BYTES``
+    bytes (each task stops after ``max_rows + 1`` rows). Costs a job: use on
+    inputs that are small or cheap to scan, not on large aggregates."""
+    size = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))
+    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("b")).first()
+    return r["n"] <= max_rows and r["b"] <= BROADCAST_BYTES
 
 
 def small_side(df: DataFrame, max_rows: int | None = None) -> DataFrame:
@@ -36,8 +42,9 @@ def small_side(df: DataFrame, max_rows: int | None = None) -> DataFrame:
       ``spark.sql.adaptive.autoBroadcastJoinThreshold``; above it the
       sort-merge join stays, with skewed partitions split. No extra job, no
       second evaluation of the side.
-    * ``checked``: count the side (capped at ``max_rows + 1``) and hint
-      ``broadcast`` only when it fits; otherwise leave the join to Spark.
+    * ``checked``: measure the side (rows, capped at ``max_rows + 1``, and
+      bytes) and hint ``broadcast`` only when both fit; otherwise leave the
+      join to Spark.
     """
     mode = df.sparkSession.conf.get("tessera.broadcast.mode", "runtime")
     if mode != "checked":
@@ -110,6 +117,16 @@ def null_safe_key(col) -> list[Column]:
     return [c.isNull().alias("_k_null"), F.coalesce(c.cast("string"), F.lit("")).alias("_k_val")]
 
 
+def not_in(df: DataFrame, other: DataFrame, keys) -> DataFrame:
+    """Rows of ``df`` whose keys are not among those of ``other``; NULL equals
+    NULL (a plain anti join never finds it), so repeated merges add nothing."""
+    pairs = [null_safe_key(k) for k in keys]
+    named = [(n.alias(f"_n{i}"), v.alias(f"_v{i}")) for i, (n, v) in enumerate(pairs)]
+    tags = [t for i in range(len(pairs)) for t in (f"_n{i}", f"_v{i}")]
+    left = df.select("*", *[c for pair in named for c in pair])
+    return left.join(other.select(*[c for pair in named for c in pair]), tags, "left_anti").drop(*tags)
+
+
 def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     """Materialise ``df`` as a Parquet table under the session's
     ``spark.checkpoint.dir`` (shared storage on a cluster) and read it back.
@@ -117,11 +134,38 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     Used where one intermediate feeds several branches: every branch then
     scans the table instead of recomputing the upstream DAG, the lineage is
     cut (a lost executor re-reads files, it does not replay the DAG), and
-    later joins get real file statistics for broadcast decisions."""
+    later joins get real file statistics for broadcast decisions. The table
+    lives until the :func:`scratch_tables` block around the call ends (results
+    must be written or collected inside it), else as long as the folder."""
     import uuid
 
     from tessera.session import ensure_checkpoint_dir
     spark = df.sparkSession
     path = ensure_checkpoint_dir(spark).rstrip("/") + f"/tables/{name}-{uuid.uuid4().hex[:12]}"
+    for owned in _OWNERS[-1:]:
+        owned.append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+# Innermost scratch_tables block last; it owns the tables cut inside it.
+_OWNERS: list[list[str]] = []
+
+
+@contextmanager
+def scratch_tables(spark):
+    """Own the intermediate tables that operators write inside the block, and
+    delete them at its end::
+
+        with scratch_tables(spark):
+            build_corpus(...)[0].write.parquet(out)
+    """
+    _OWNERS.append([])
+    try:
+        yield
+    finally:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _OWNERS.pop():
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)

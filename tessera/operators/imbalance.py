@@ -30,18 +30,22 @@ def tune_thresholds(scores: DataFrame, thresholds=None, id_col: str = "id", trut
     """IMB4. Per class, the decision threshold with the best F1 (ties to the
     lower threshold) from a long ``(id, truth, class, score)`` table.
 
-    Each score row is fanned out over the fixed candidate grid (a constant
-    factor, not a join), then ``groupBy(class, threshold)`` counts tp / fp /
-    fn with partial aggregation; ``max_by`` picks the best per class.
+    Each score is counted once, under the number of thresholds it reaches
+    (``groupBy(class, reached)``, partial aggregation): at most one row per
+    class and threshold is left. Counts at a threshold are sums over that small
+    table; ``max_by`` picks the best per class.
     """
-    grid = F.array(*[F.lit(float(t)) for t in (thresholds or DEFAULT_THRESHOLDS)])
-    pos = F.col(truth) == F.col(cls)
-    fan = scores.select(cls, pos.alias("_pos"), F.explode(
-        F.transform(grid, lambda t: F.struct(t.alias("t"), (F.col(score) >= t).alias("hit")))).alias("_g"))
+    cuts = sorted(float(t) for t in (thresholds or DEFAULT_THRESHOLDS))
+    pos = F.coalesce(F.col(truth) == F.col(cls), F.lit(False))
+    reached = sum((F.coalesce(F.col(score) >= t, F.lit(False)).cast("int") for t in cuts), F.lit(0))
+    cells = scores.groupBy(cls, reached.alias("_reached")).agg(
+        F.count_if(pos).alias("_p"), F.count_if(~pos).alias("_n"))
+    grid = F.array(*[F.struct(F.lit(i + 1).alias("i"), F.lit(t).alias("t")) for i, t in enumerate(cuts)])
+    fan = cells.select("*", F.explode(grid).alias("_g")).withColumn("_hit", F.col("_reached") >= F.col("_g.i"))
     agg = fan.groupBy(cls, F.col("_g.t").alias("threshold")).agg(
-        F.count_if(F.col("_g.hit") & F.col("_pos")).alias("tp"),
-        F.count_if(F.col("_g.hit") & ~F.col("_pos")).alias("fp"),
-        F.count_if(~F.col("_g.hit") & F.col("_pos")).alias("fn"))
+        F.sum(F.when(F.col("_hit"), F.col("_p")).otherwise(0)).alias("tp"),
+        F.sum(F.when(F.col("_hit"), F.col("_n")).otherwise(0)).alias("fp"),
+        F.sum(F.when(~F.col("_hit"), F.col("_p")).otherwise(0)).alias("fn"))
     f1 = F.coalesce(F.try_divide((2 * F.col("tp")).cast("double"),
                                  (2 * F.col("tp") + F.col("fp") + F.col("fn")).cast("double")), F.lit(0.0))
     agg = agg.withColumn("f1", f1)
@@ -79,14 +83,12 @@ def replace_synonyms(df: DataFrame, dictionary: DataFrame, text: str = "text", k
                       order or synonym, cols=[synonym])
     d = d.select(F.col(word).alias("_w"), F.col(synonym).alias("_s"))
     src = df.select(key, text) if partitioned else df.select(key, text).repartition(key)
-    # posexplode_outer + filter: the rows of posexplode (a NULL text has no
-    # tokens) without an inferred "size(split(text)) > 0" filter that would
-    # split every whole text a second time
-    ex = src.select(key, F.posexplode_outer(F.split(F.col(text), " ", -1)).alias("_pos", "_tok")) \
-        .filter(F.col("_pos").isNotNull())
+    # a NULL text keeps one row without a token, and comes out as NULL
+    ex = src.select(key, F.posexplode_outer(F.split(F.col(text), " ", -1)).alias("_pos", "_tok"))
     j = ex.join(small_side(d), ex["_tok"] == d["_w"], "left")
-    agg = j.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_pos", F.coalesce("_s", "_tok").alias("_t"))))
-                             .alias("_toks"))
+    token = F.when(F.col("_pos").isNotNull(), F.struct("_pos", F.coalesce("_s", "_tok").alias("_t")))
+    agg = j.groupBy(key).agg(F.sort_array(F.collect_list(token)).alias("_toks"))
     # (key, augmented text); the original row is not re-joined here so the
     # full text is never carried through the shuffle twice
-    return agg.select(key, F.array_join(F.transform("_toks", lambda s: s["_t"]), " ").alias(out))
+    joined = F.array_join(F.transform("_toks", lambda s: s["_t"]), " ")
+    return agg.select(key, F.when(F.size("_toks") > 0, joined).alias(out))

@@ -79,7 +79,8 @@ def classification_report(pred: DataFrame, y: str = "label", yhat: str = "predic
 
 def cv_mean(fold_pred: DataFrame, fold: str = "fold", y: str = "label", yhat: str = "prediction") -> DataFrame:
     """AGG9. Mean of per-fold accuracies (two-level aggregation)."""
-    per_fold = fold_pred.groupBy(fold).agg(F.avg((F.col(y) == F.col(yhat)).cast("double")).alias("acc"))
+    hit = F.coalesce(F.col(y) == F.col(yhat), F.lit(False))  # no prediction is a miss, as in validate
+    per_fold = fold_pred.groupBy(fold).agg(F.avg(hit.cast("double")).alias("acc"))
     return per_fold.agg(F.avg("acc").alias("cv_accuracy"), F.count(F.lit(1)).alias("n_folds"))
 
 
@@ -102,11 +103,25 @@ def compare_runs(a: DataFrame, b: DataFrame, keys=("code",), order: str | None =
     """JOI7. Overlap of two runs' correct sets: in both, only in a, only in b,
     Jaccard, and ``identical`` (ordered, position-wise equality of the key
     columns, the reference's check). ``order`` gives row positions; without it
-    rows are ordered by the keys."""
-    keys = list(keys)
-    sa = a.select(*keys).distinct().withColumn("_a", F.lit(True))
-    sb = b.select(*keys).distinct().withColumn("_b", F.lit(True))
-    both = sa.join(sb, keys, "full")
+    rows are ordered by the keys.
+
+    Keys may be whole texts: a 256-bit digest stands for them in both joins
+    and in the written layout, so no text is shuffled more than a scan does."""
+    keys, names = ["_digest"], list(keys)
+    sort_by = [order] if order else names
+    digest = F.sha2(F.to_json(F.struct(*[F.col(c) for c in names]), {"ignoreNullFields": "false"}), 256)
+    # a row with a NULL key is in no overlap: its side becomes part of its key
+    known = F.lit(True)
+    for c in names:
+        known = known & F.col(c).isNotNull()
+
+    def narrow(df, side):
+        return df.select(F.when(known, digest).otherwise(F.concat(F.lit(side), digest)).alias("_key"),
+                         digest.alias("_digest"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(sort_by)])
+    a, b = narrow(a, "a"), narrow(b, "b")
+    sa = a.select("_key").distinct().withColumn("_a", F.lit(True))
+    sb = b.select("_key").distinct().withColumn("_b", F.lit(True))
+    both = sa.join(sb, "_key", "full")
     counts = both.agg(
         F.count_if(F.col("_a").isNotNull() & F.col("_b").isNotNull()).alias("n_both"),
         F.count_if(F.col("_a").isNotNull() & F.col("_b").isNull()).alias("n_only_a"),
@@ -115,13 +130,13 @@ def compare_runs(a: DataFrame, b: DataFrame, keys=("code",), order: str | None =
     from tessera.operators.common import with_row_id
     # positions of both runs from one numbering of their union, ordered by
     # (run, order): run b's positions start after run a's rows
-    extra = [order] if order else []
+    extra = [f"_o{i}" for i in range(len(sort_by))]
     both_runs = (a.select(*keys, *extra).withColumn("_run", F.lit(0))
                  .unionByName(b.select(*keys, *extra).withColumn("_run", F.lit(1))))
-    ids = with_row_id(both_runs, ["_run", *(extra or keys)], "_gid")
+    ids = with_row_id(both_runs, ["_run", *extra], "_gid")
     n_a = ids.filter(F.col("_run") == 0).agg(F.count(F.lit(1))).scalar()
-    pa = ids.filter(F.col("_run") == 0).select(F.col("_gid").alias("_pos"), F.struct(*keys).alias("_ka"))
-    pb = ids.filter(F.col("_run") == 1).select((F.col("_gid") - n_a).alias("_pos"), F.struct(*keys).alias("_kb"))
+    pa = ids.filter(F.col("_run") == 0).select(F.col("_gid").alias("_pos"), F.col("_digest").alias("_ka"))
+    pb = ids.filter(F.col("_run") == 1).select((F.col("_gid") - n_a).alias("_pos"), F.col("_digest").alias("_kb"))
     diff = pa.join(pb, "_pos", "full").agg(
         F.count_if(~F.coalesce(F.col("_ka") == F.col("_kb"), F.lit(False))).alias("_n_diff"))
     out = counts.withColumn("_n_diff", diff.scalar())

@@ -11,7 +11,7 @@ from pyspark.ml.classification import LogisticRegression, NaiveBayes
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer, SQLTransformer
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -93,51 +93,77 @@ def evaluate(model: PipelineModel, df: DataFrame, label: str = "label", split: s
 
 def cross_validate(df: DataFrame, fold: str = "fold", label: str = "label", text: str = "text",
                    kind: str = "nb", parallelism: int = 2) -> DataFrame:
-    """MLD7. k-fold evaluation with a precomputed fold column (MLD3); one row
-    per candidate with its mean accuracy over folds."""
+    """MLD7. k-fold evaluation with a precomputed fold column (MLD3, folds 0 to
+    k - 1); one row per candidate with its mean accuracy over folds."""
+    df = df.withColumn(fold, F.col(fold).cast("int"))
+    k = df.agg(F.max(fold)).first()[0] + 1
     pipe = Pipeline(stages=featurize(text) + [classifier(kind, label)])
     ev = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=[{}], evaluator=ev, foldCol=fold,
-                        parallelism=parallelism)
-    m = cv.fit(df.withColumn(fold, F.col(fold).cast("int")))
+                        numFolds=k, parallelism=parallelism)
+    m = cv.fit(df)
     spark = df.sparkSession
     return spark.createDataFrame([(float(a), float(s)) for a, s in zip(m.avgMetrics, m.stdMetrics)],
                                  "cv_accuracy double, cv_std double")
 
 
-def grid_search(df: DataFrame, label: str = "label", text: str = "text", smoothing=(0.5, 1.0),
-                num_features=(1 << 12, 1 << 16), train_ratio: float = 0.8, seed: int = 42,
-                parallelism: int = 2) -> DataFrame:
-    """MLD8. Hyper-parameter search over a grid with a train/validation split,
-    candidates evaluated in parallel; one row per candidate."""
+def grid_search(df: DataFrame, label: str = "label", text: str = "text", id_col: str = "doc_id",
+                smoothing=(0.5, 1.0), num_features=(1 << 12, 1 << 16), test_frac: float = 0.2, seed: int = 42,
+                n_candidates: int | None = None, parallelism: int = 2) -> DataFrame:
+    """MLD8. Hyper-parameter search with one train/validation split by
+    ``md5(id:seed)`` (MLD2: the same rows however the table is stored), the
+    candidates fitted in parallel; one row per candidate. ``n_candidates``
+    draws that many points of the grid, by the same seed."""
+    import random
+
+    from tessera.operators.split import random_split
     stages = featurize(text)
     nb = classifier("nb", label)
     pipe = Pipeline(stages=stages + [nb])
     grid = (ParamGridBuilder().addGrid(nb.smoothing, list(smoothing))
             .addGrid(next(st for st in stages if isinstance(st, HashingTF)).numFeatures, list(num_features))
             .build())
+    if n_candidates is not None and n_candidates < len(grid):
+        grid = [grid[i] for i in sorted(random.Random(seed).sample(range(len(grid)), n_candidates))]
     ev = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
-    tvs = TrainValidationSplit(estimator=pipe, estimatorParamMaps=grid, evaluator=ev, trainRatio=train_ratio,
-                               seed=seed, parallelism=parallelism)
-    m = tvs.fit(df)
+    split = random_split(df, id_col, test_frac, seed, "_split")
+    train, test = split.filter("_split = 'train'").cache(), split.filter("_split = 'test'").cache()
+
+    def one(params):
+        return float(ev.evaluate(pipe.copy(params).fit(train).transform(test)))
+
+    from concurrent.futures import ThreadPoolExecutor
+    try:
+        with ThreadPoolExecutor(max(1, parallelism)) as pool:
+            metrics = list(pool.map(one, grid))
+    finally:
+        train.unpersist(), test.unpersist()
     rows = []
-    for pm, metric in zip(grid, m.validationMetrics):
+    for pm, metric in zip(grid, metrics):
         named = {p.name: v for p, v in pm.items()}
-        rows.append((float(named["smoothing"]), int(named["numFeatures"]), float(metric)))
+        rows.append((float(named["smoothing"]), int(named["numFeatures"]), metric))
     return df.sparkSession.createDataFrame(rows, "smoothing double, num_features int, accuracy double")
 
 
+def pr_auc(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
+    """IMB8. Area under the precision-recall curve of ``(score, 0/1 label)``
+    rows, over all distinct scores (Spark ML's distributed evaluator)."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    ev = BinaryClassificationEvaluator(rawPredictionCol=score, labelCol=label, metricName="areaUnderPR", numBins=0)
+    rows = scored.filter(F.col(score).isNotNull() & F.col(label).isNotNull()).select(
+        F.col(score).cast("double").alias(score), F.col(label).cast("double").alias(label))
+    return scored.sparkSession.createDataFrame([(float(ev.evaluate(rows)),)], "pr_auc double")
+
+
 def score_with(df: DataFrame, score_fn, num_classes: int, k: int = 5, text: str = "text",
-               apply_softmax: bool = True, labels: DataFrame | None = None, model_name: str = "model",
-               batch_size: int | None = None) -> DataFrame:
+               apply_softmax: bool = True, labels: DataFrame | None = None, model_name: str = "model") -> DataFrame:
     """MLD6 hook for foreign models (e.g. an ONNX or transformer scorer):
     ``score_fn(texts: pandas.Series) -> numpy array (n, num_classes)`` of
     logits or probabilities runs inside tasks on Arrow batches
     (``mapInPandas``); the top-k selection, softmax and label lookup stay in
     the JVM. The model is loaded by ``score_fn`` once per Python worker (cache
-    it in a closure or module global), never collected to the driver.
-    ``batch_size`` sets the session's rows per Arrow batch (500 / 1000 were
-    the batch sizes used for scoring before).
+    it in a closure or module global), never collected to the driver. Rows per
+    call follow the session's ``spark.sql.execution.arrow.maxRecordsPerBatch``.
     """
     import numpy as np
     import pandas as pd
@@ -151,9 +177,6 @@ def score_with(df: DataFrame, score_fn, num_classes: int, k: int = 5, text: str
                 raise ValueError(f"score_fn returned {scores.shape}, expected ({len(pdf)}, {num_classes})")
             yield pd.DataFrame({"input": pdf[text].to_numpy(), "scores": list(scores)})
 
-    if batch_size:
-        # read when the plan executes, so it is a session setting, not per call
-        df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_size))
     raw = df.select(text).mapInPandas(run, "input string, scores array<double>")
     out = raw.select("input", F.lit(model_name).alias("model"),
                      topk_array("scores", k, apply_softmax).alias("prediction"))

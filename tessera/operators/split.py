@@ -34,16 +34,24 @@ def stratified_split(df: DataFrame, label: str = "label", id_col: str = "id", te
                      seed: int = 42, name: str = "split") -> DataFrame:
     """MLD1. Per class, the ``floor(test_frac * n + 0.5)`` rows with the
     smallest ``md5(id:seed)`` are ``test``, the rest ``train``. Classes of one
-    or two rows stay in train and never raise."""
-    r = rank_within(df, label, md5_key(id_col, seed), id_col)
+    or two rows stay in train and never raise. ``id_col`` is unique.
+
+    Only ids and classes are ranked and written; other columns (whole texts)
+    get their split by a join on the id."""
+    r = rank_within(df.select(id_col, label), label, md5_key(id_col, seed), id_col)
     quota = F.floor(F.lit(test_frac) * F.col("_class_n") + F.lit(0.5))
-    return r.withColumn(name, F.when(F.col("_rank") < quota, F.lit("test")).otherwise(F.lit("train"))) \
-            .drop("_rank", "_class_n")
+    r = r.withColumn(name, F.when(F.col("_rank") < quota, F.lit("test")).otherwise(F.lit("train"))) \
+         .drop("_rank", "_class_n")
+    if set(df.columns) <= {id_col, label}:
+        return r.select(*df.columns, name)
+    return df.join(small_side(r.select(id_col, name)), id_col).select(*df.columns, name)
 
 
 def hash_threshold(frac: float) -> str:
-    """First 8 hex digits of md5 below which a row falls in a ``frac`` slice."""
-    return f"{min(int(frac * 2 ** 32), 2 ** 32 - 1):08x}"
+    """First 8 hex digits of md5 below which a row falls in a ``frac`` slice
+    (``g``, above every hash, for the whole)."""
+    n = int(frac * 2 ** 32)
+    return f"{n:08x}" if n < 2 ** 32 else "g"
 
 
 def random_split(df: DataFrame, id_col: str = "id", test_frac: float = 0.2, seed: int = 42,
@@ -58,10 +66,15 @@ def random_split(df: DataFrame, id_col: str = "id", test_frac: float = 0.2, seed
 def kfold(df: DataFrame, k: int = 5, id_col: str = "id", seed: int = 42, name: str = "fold") -> DataFrame:
     """MLD3. Shuffled k-fold assignment: rows in ``md5(id:seed)`` order get
     ``row_id % k``, so fold sizes differ by at most one (11 rows, k=5 ->
-    3,2,2,2,2). Row ids come from range partitioning, not a global window."""
-    keyed = df.withColumn("_ord", md5_key(id_col, seed))
+    3,2,2,2,2). Row ids come from range partitioning, not a global window.
+    ``id_col`` is unique; only ids are ranked and written, other columns get
+    their fold by a join on the id."""
+    keyed = df.select(id_col, md5_key(id_col, seed).alias("_ord"))
     ided = with_row_id(keyed, ["_ord", id_col], name="_rid")
-    return ided.withColumn(name, (F.col("_rid") % k).cast("int")).drop("_ord", "_rid")
+    folds = ided.select(id_col, (F.col("_rid") % k).cast("int").alias(name))
+    if df.columns == [id_col]:
+        return folds
+    return df.join(small_side(folds), id_col).select(*df.columns, name)
 
 
 def split_sizes(df: DataFrame, col: str = "split") -> DataFrame:

@@ -12,9 +12,9 @@ DEFAULT_SALTS = 16
 
 
 def topk_per_key(df: DataFrame, key, score: str, k: int, tiebreak: str, salts: int = DEFAULT_SALTS,
-                 rank: str = "rank") -> DataFrame:
-    """WIN5. The ``k`` best rows per ``key`` by ``score`` desc, ties to the
-    lowest ``tiebreak``; adds a 1-based ``rank``.
+                 rank: str = "rank", ascending: bool = False) -> DataFrame:
+    """WIN5. The ``k`` best rows per ``key`` by ``score`` desc (or ascending),
+    ties to the lowest ``tiebreak``; adds a 1-based ``rank``.
 
     A hot key must never be sorted whole in one task:
 
@@ -26,9 +26,12 @@ def topk_per_key(df: DataFrame, key, score: str, k: int, tiebreak: str, salts: i
     * larger ``k``: two levels. Rows are first ranked inside ``(key, salt)``
       sub-groups (salt = hash of the tiebreak), keeping ``k`` per sub-group,
       then at most ``salts * k`` rows per key are ranked.
+
+    Both give the same rows: the choice follows Spark's own threshold for
+    partial limits, not the data's size.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    order = [F.col(score).desc(), F.col(tiebreak).asc()]
+    order = [F.col(score).asc() if ascending else F.col(score).desc(), F.col(tiebreak).asc()]
     limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     if k <= limit:
         w = Window.partitionBy(*keys).orderBy(*order)

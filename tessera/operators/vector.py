@@ -11,10 +11,6 @@ from pyspark.sql import functions as F
 
 from tessera.operators.topk import topk_per_key
 
-# Query sets up to this many rows (and MAX_BROADCAST_BYTES of vectors) are
-# shipped to every task of the item scan; larger ones take the block grid.
-MAX_BROADCAST_QUERIES = 50_000
-MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 # Rows per query block and per item block of one grid cell.
 BLOCK_ROWS = 20_000
 # Bound on the queries x items score matrix held at once (doubles).
@@ -62,25 +58,8 @@ class _RunningTopK:
         return pd.DataFrame({"query_id": q[keep], "item_id": i[keep], "score": s[keep]})
 
 
-def _scan_topk(block, k: int, exclude_self: bool):
-    """mapInPandas body of the broadcast path: every task scores its Arrow
-    batches of items against the broadcast query block and emits at most
-    ``k`` rows per query."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        qids, qmat = block.value
-        top = _RunningTopK(qids, qmat, k, exclude_self)
-        for pdf in batches:
-            if not pdf.empty:
-                top.add(pdf["_iid"].to_numpy(dtype=np.int64), _unit_rows(pdf["_iv"].to_numpy()))
-        if top.best_s.shape[1]:
-            yield top.frame()
-
-    return run
-
-
 def _cell_topk(k: int, exclude_self: bool):
-    """applyInPandas body of the grid path: one (query block, item block)
+    """applyInPandas body: one (query block, item block)
     cell, at most ``BLOCK_ROWS`` rows a side, emits ``k`` rows per query."""
 
     def run(qpdf: pd.DataFrame, ipdf: pd.DataFrame) -> pd.DataFrame:
@@ -104,46 +83,29 @@ def vector_topk(items: DataFrame, queries: DataFrame, k: int = 5, id_col: str =
     """VEC1. Exact cosine top-k items per query:
     ``(query_id, item_id, score, rank)``, ties to the lowest item id.
 
-    No pair table is ever built; each task keeps only ``k`` candidates per
-    query, and WIN5 merges the candidates. Two plans, chosen by a size check
-    on the query side (one capped job: rows and vector width):
-
-    * **broadcast** (query set within ``tessera.vector.maxBroadcastQueries``
-      rows and ``tessera.vector.maxBroadcastBytes``): the normalised query
-      block goes to every task of the item scan (``mapInPandas``), no
-      shuffle of items.
-    * **block grid** (anything larger): queries and items are hashed into
-      blocks of about ``tessera.vector.blockRows`` rows; each query block is
-      sent to every item block's cell and each item block to every query
-      block's cell (an equi-join on the cell id via ``cogroup``), and each
-      cell scores one bounded query block against one bounded item block in
-      ``applyInPandas``. Nothing passes through the driver and no cell grows
-      with the data.
+    Queries and items are hashed into blocks of about
+    ``tessera.vector.blockRows`` rows; an item block goes to the cell of every
+    query block and a query block to the cell of every item block (an equi-join
+    on the cell id, ``cogroup``), and a cell scores one bounded block pair in
+    ``applyInPandas``, keeping ``k`` candidates per query; WIN5 merges them. No
+    pair table is built, nothing passes through the driver, and no cell grows
+    with the data. A query set of up to one block (a fixed set of probes,
+    class means) moves each item once.
     """
     query_id = query_id or id_col
     query_vec = query_vec or vec_col
-    spark = items.sparkSession
     q = queries.select(F.col(query_id).cast("long").alias("_qid"), F.col(query_vec).alias("_qv"))
     it = items.select(F.col(id_col).cast("long").alias("_iid"), F.col(vec_col).alias("_iv"))
-    max_rows = _conf(spark, "tessera.vector.maxBroadcastQueries", MAX_BROADCAST_QUERIES)
-    max_bytes = _conf(spark, "tessera.vector.maxBroadcastBytes", MAX_BROADCAST_BYTES)
-    probe = q.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
-                                      F.coalesce(F.max(F.size("_qv")), F.lit(0)).alias("dim")).first()
-    if probe["n"] <= max_rows and probe["n"] * probe["dim"] * 8 <= max_bytes:
-        cand = _broadcast_candidates(spark, q, it, k, exclude_self)
-    else:
-        cand = _grid_candidates(spark, q, it, k, exclude_self)
-    return topk_per_key(cand, "query_id", "score", k, "item_id")
-
-
-def _broadcast_candidates(spark, q: DataFrame, it: DataFrame, k: int, exclude_self: bool) -> DataFrame:
-    rows = q.collect()  # bounded: rows and bytes checked by the caller
-    qids = np.array([r["_qid"] for r in rows], dtype=np.int64)
-    qmat = _unit_rows([np.asarray(r["_qv"], dtype=np.float64) for r in rows])
-    if not len(qids):
-        return spark.createDataFrame([], SCHEMA)
-    block = spark.sparkContext.broadcast((qids, qmat))
-    return it.mapInPandas(_scan_topk(block, k, exclude_self), SCHEMA)
+    return topk_per_key(_grid_candidates(items.sparkSession, q, it, k, exclude_self), "query_id", "score", k, "item_id")
+
+
+def mean_vectors(df: DataFrame, group: str, vec_col: str = "embedding") -> DataFrame:
+    """``(group, vector)``: the component-wise mean of each group's vectors.
+    Partial sums per component; a hot group collapses map-side."""
+    long = df.select(group, F.posexplode(vec_col).alias("_pos", "_x"))
+    means = long.groupBy(group, "_pos").agg(F.avg(F.col("_x").cast("double")).alias("_m"))
+    lists = means.groupBy(group).agg(F.sort_array(F.collect_list(F.struct("_pos", "_m"))).alias("_l"))
+    return lists.select(group, F.transform("_l", lambda s: s["_m"]).alias("vector"))
 
 
 def _grid_candidates(spark, q: DataFrame, it: DataFrame, k: int, exclude_self: bool) -> DataFrame:
@@ -161,27 +123,57 @@ def _grid_candidates(spark, q: DataFrame, it: DataFrame, k: int, exclude_self: b
             .applyInPandas(_cell_topk(k, exclude_self), SCHEMA))
 
 
+def lsh_keys(df: DataFrame, id_col: str, vec_col: str, tables: int, hashes: int, bucket_length: float,
+             seed: int = 42) -> DataFrame:
+    """``(id, unit, keys)``: the unit vector and one bucket key per table. A
+    key combines ``hashes`` random projections, each cut into steps of
+    ``bucket_length``, so unrelated vectors rarely share one."""
+    import pyarrow as pa
+
+    def run(batches):
+        for b in batches:
+            if not b.num_rows:
+                continue
+            unit = _unit_rows(b.column(1).to_pylist())
+            rng = np.random.default_rng(seed)
+            plane = rng.normal(size=(unit.shape[1], tables * hashes))
+            plane /= np.linalg.norm(plane, axis=0)
+            step = np.floor(unit @ plane / bucket_length + rng.random(tables * hashes)).astype(np.int64)
+            key = np.tile(np.arange(tables, dtype=np.int64), (len(unit), 1))
+            for h in range(hashes):
+                key = key * 1_000_003 + step.reshape(len(unit), tables, hashes)[:, :, h]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array(list(unit), pa.list_(pa.float64())), pa.array(list(key), pa.list_(pa.int64()))],
+                names=["id", "unit", "keys"])
+
+    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
+    return rows.filter(F.col("v").isNotNull()).mapInArrow(run, "id long, unit array<double>, keys array<long>")
+
+
+def lsh_candidates(items: DataFrame, queries: DataFrame) -> DataFrame:
+    """Distinct ``(query_id, item_id)`` that share a key of :func:`lsh_keys`
+    (an equi-join; AQE splits a hot key)."""
+    it = items.select(F.col("id").alias("item_id"), F.explode("keys").alias("_key"))
+    qs = queries.select(F.col("id").alias("query_id"), F.explode("keys").alias("_key"))
+    return qs.join(it, "_key").select("query_id", "item_id").distinct()
+
+
 def vector_topk_lsh(items: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id",
-                    vec_col: str = "embedding", bucket_length: float = 0.5, num_tables: int = 4,
-                    max_distance: float = 1.5, seed: int = 42, exclude_self: bool = False) -> DataFrame:
-    """VEC2. Approximate top-k with ``BucketedRandomProjectionLSH`` on unit
-    vectors (Euclidean distance on unit vectors is monotone in cosine):
-    ``approxSimilarityJoin`` is an equi-join on hash buckets, then WIN5.
-    Approximate by design: pairs that never share a bucket are not scored."""
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector
-
-    from tessera.functions.arrays import normalize
-
-    def prep(df):
-        return df.select(F.col(id_col).alias("id"), array_to_vector(normalize(vec_col)).alias("v"))
-
-    it, qs = prep(items), prep(queries)
-    model = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=bucket_length,
-                                        numHashTables=num_tables, seed=seed).fit(it)
-    pairs = model.approxSimilarityJoin(qs, it, max_distance, distCol="dist")
-    cand = pairs.select(F.col("datasetA.id").alias("query_id"), F.col("datasetB.id").alias("item_id"),
-                        (F.lit(1.0) - F.col("dist") * F.col("dist") / 2).alias("score"))
+                    vec_col: str = "embedding", bucket_length: float = 0.25, num_tables: int = 6, hashes: int = 8,
+                    seed: int = 42, exclude_self: bool = False) -> DataFrame:
+    """VEC2. Approximate cosine top-k: :func:`lsh_keys` buckets, an equi-join
+    on them, exact cosine of the candidates, then WIN5. Approximate by design:
+    pairs that share no bucket are not scored. A projection of unrelated unit
+    vectors spreads by ``1 / sqrt(dim)``: ``bucket_length`` about twice that,
+    with several hashes per key, keeps the candidate share small and finds
+    vectors within a small angle."""
+    it = lsh_keys(items, id_col, vec_col, num_tables, hashes, bucket_length, seed)
+    qs = lsh_keys(queries, id_col, vec_col, num_tables, hashes, bucket_length, seed)
+    pairs = lsh_candidates(it, qs)
     if exclude_self:
-        cand = cand.filter(F.col("query_id") != F.col("item_id"))
-    return topk_per_key(cand, "query_id", "score", k, "item_id")
+        pairs = pairs.filter(F.col("query_id") != F.col("item_id"))
+    j = pairs.join(qs.select(F.col("id").alias("query_id"), F.col("unit").alias("_q")), "query_id").join(
+        it.select(F.col("id").alias("item_id"), F.col("unit").alias("_i")), "item_id")
+    dot = F.aggregate(F.zip_with("_q", "_i", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    return topk_per_key(j.select("query_id", "item_id", F.round(dot, 12).alias("score")), "query_id", "score", k,
+                        "item_id")

@@ -18,7 +18,6 @@ from tessera.operators import split as SP
 from tessera.operators import topk as TK
 from tessera.operators.common import first_per_key, small_side, with_row_id
 from tessera.operators.crosswalk import crosswalk
-from tessera.plans import sql as S
 from tessera.plans import views as V
 from tessera.plans.build import build_corpus, process_code_system
 
@@ -51,10 +50,13 @@ def _label_dim(spark, d):
 
 
 def _generated(spark, d):
+    """One generated response per code and part: the parts cut a code's rows
+    into ranges of ids, so a response has a bounded number of items."""
     aug = V.augmentation(spark, d)
     first2 = F.concat(F.split_part("text", F.lit(" "), F.lit(1)), F.lit(" "), F.split_part("text", F.lit(" "), F.lit(2)))
-    g = aug.groupBy("code").agg(F.array_sort(F.array_union(F.collect_set("text"), F.collect_set(first2))).alias("_l"))
-    return g.select("code", F.concat(F.array_join("_l", "; "), F.lit(".")).alias("response"),
+    part = F.floor(F.col("id") / V.RESPONSE_IDS).cast("long")
+    g = aug.groupBy("code", part.alias("part")).agg(F.array_sort(F.array_union(F.collect_set("text"), F.collect_set(first2))).alias("_l"))
+    return g.select("code", "part", F.concat(F.array_join("_l", "; "), F.lit(".")).alias("response"),
                     F.lit("generator-v2").alias("model"), F.lit("synonyms").alias("context"),
                     F.concat(F.lit("prompt "), F.col("code")).alias("prompt"))
 
@@ -132,7 +134,7 @@ def q_encode_labels(spark, d):
 
 def q_merge_augmentation(spark, d):
     existing = V.augmentation(spark, d).withColumn("ord", F.col("id")).drop("id")
-    new = AG.parse_generated(_generated(spark, d)).withColumn("ord", F.lit(0).cast("long"))
+    new = AG.parse_generated(_generated(spark, d)).withColumn("ord", F.lit(0).cast("long"))  # equal rows tie
     out = AG.merge_augmentation(existing, new, order="ord").drop("ord")
     # the review flag is three-valued (true / false / NULL = not reviewed);
     # reported as text so NULL survives every client-side conversion intact
@@ -167,10 +169,7 @@ def q_augmentation_stats(spark, d):
 
 def q_rare_share(spark, d):
     t = V.terms(spark, d)
-    total = t.agg(F.countDistinct("code")).scalar()
-    rare = BA.rare_codes(t, 10)
-    return rare.agg(F.countDistinct("code").alias("n_codes"),
-                    F.bround(F.try_divide(-100.0 * F.countDistinct("code"), total), 1).alias("share_pct"))
+    return BA.rare_share(BA.rare_codes(t, 10), total=t)
 
 
 def q_frequency_table(spark, d):
@@ -342,9 +341,12 @@ def q_topk_wide(spark, d):
 
 
 def q_vector_topk(spark, d):
-    from tessera.operators.vector import vector_topk
+    """VEC1: the 5 items nearest to each label's mean vector. The queries cover
+    the whole table but don't grow with it."""
+    from tessera.operators.vector import mean_vectors, vector_topk
     e = V.table(spark, d, "embeddings")
-    out = vector_topk(e, e, k=5, exclude_self=True)
+    means = mean_vectors(e.filter(F.col("label").isNotNull()), "label")
+    out = vector_topk(e, means, k=5, query_id="label", query_vec="vector")
     return out.select("query_id", "item_id", "rank", r6("score").alias("score"))
 
 
@@ -376,20 +378,34 @@ def q_multilabel_metrics(spark, d):
     return m.select(*[r6(c).alias(c) for c in m.columns])
 
 
-def _events_schema(spark, d):
-    return V.table(spark, d, "events").schema
+LANDING_FILES = 6
+
+
+def _landing(spark, d, order: str):
+    """The events as a landing folder of ``LANDING_FILES`` files: cut by event
+    time (and written in that order) or spread by a hash of the event id."""
+    base = _io_base(spark, f"landing-{order}")
+    ev = V.table(spark, d, "events")
+    by = F.col("ts") if order == "ts" else F.xxhash64("event_id")
+    parts = ev.repartitionByRange(LANDING_FILES, by)
+    parts.write.parquet(base)
+    return base, ev.schema
 
 
 def q_stream_append_distinct(spark, d):
-    from tessera.streaming.stream import run_append_distinct
-    return run_append_distinct(spark, f"{d}/events.parquet", _events_schema(spark, d), "event_type",
-                               "CAST(user_id AS STRING)")
+    """STR2 in its exact form over a landing folder in time order, one file a
+    micro-batch."""
+    from tessera.streaming.stream import run_append_distinct_exact
+    path, schema = _landing(spark, d, "ts")
+    return run_append_distinct_exact(spark, path, schema, "event_type", "CAST(user_id AS STRING)", max_files=1)
 
 
 def q_stream_acceptance(spark, d):
+    """STR3 over a landing folder in hash order (every batch brings late rows),
+    one file a micro-batch."""
     from tessera.streaming.stream import run_acceptance
-    out = run_acceptance(spark, f"{d}/events.parquet", _events_schema(spark, d),
-                         "event_type IN ('click', 'purchase')")
+    path, schema = _landing(spark, d, "hash")
+    out = run_acceptance(spark, path, schema, "event_type IN ('click', 'purchase')", max_files=1)
     return out.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
                       F.date_format("window_end", "yyyy-MM-dd HH:mm:ss").alias("window_end"),
                       "n_rows", "n_accepted", "accepted_pct")
@@ -414,7 +430,7 @@ def q_train_score(spark, d):
 def q_cross_validate(spark, d):
     from tessera.operators.model import cross_validate
     docs, _ = _ml_docs(spark, d)
-    return cross_validate(SP.kfold(docs, 3, "doc_id"))
+    return cross_validate(SP.kfold(docs, 5, "doc_id"))
 
 
 def q_grid_search(spark, d):
@@ -424,9 +440,31 @@ def q_grid_search(spark, d):
 
 
 def q_vector_topk_lsh(spark, d):
+    """VEC2: the items near a slightly disturbed copy of each vector."""
     from tessera.operators.vector import vector_topk_lsh
+    return vector_topk_lsh(V.table(spark, d, "embeddings"), _disturbed(spark, d), k=5)
+
+
+def _disturbed(spark, d):
+    """Each vector with every component scaled by 0.9, 1 or 1.1."""
+    e = V.table(spark, d, "embeddings")
+    moved = F.transform("embedding", lambda x, i: x * (1 + (F.pmod(F.col("vec_id") + i * 7, F.lit(3)) - 1) / 10))
+    return e.select("vec_id", moved.alias("embedding"))
+
+
+def q_vector_lsh_recall(spark, d):
+    """VEC2 against the exact answer: the nearest vector to a disturbed copy is
+    its original. Recall at least 0.95, from at most 2 % of all pairs."""
+    from tessera.operators.vector import lsh_candidates, lsh_keys
     e = V.table(spark, d, "embeddings")
-    return vector_topk_lsh(e, e, k=5, exclude_self=True)
+    found = q_vector_topk_lsh(spark, d).filter("rank = 1").agg(
+        F.count_if(F.col("query_id") == F.col("item_id"))).scalar()
+    args = dict(tables=6, hashes=8, bucket_length=0.25)
+    pairs = lsh_candidates(lsh_keys(e, "vec_id", "embedding", **args),
+                           lsh_keys(_disturbed(spark, d), "vec_id", "embedding", **args)).agg(F.count(F.lit(1))).scalar()
+    n = F.count(F.lit(1))
+    return e.agg(n.alias("n_queries"), (found >= 0.95 * n).alias("recall_ok"),
+                 (pairs <= 0.02 * n * n).alias("candidates_ok"))
 
 
 def q_stream_score(spark, d):
@@ -510,7 +548,7 @@ def _class_scores(spark, d):
     from tessera.functions.arrays import softmax
     e = V.table(spark, d, "embeddings")
     return e.select(F.col("vec_id").alias("id"), "label",
-                    F.posexplode(softmax(F.slice("embedding", 1, 10))).alias("class", "score"))
+                    F.posexplode(softmax("embedding")).alias("class", "score"))
 
 
 def q_tune_thresholds(spark, d):
@@ -543,8 +581,7 @@ def q_weighted_rf(spark, d):
     docs, _ = _ml_docs(spark, d)
     split = SP.stratified_split(docs, "label", "doc_id")
     train = BA.with_class_weight(split.filter("split = 'train'"), "label", "weight")
-    pipe = Pipeline(stages=featurize("text", num_features=1 << 10) +
-                    [classifier("rf", "label", "weight", numTrees=10, maxDepth=6)])
+    pipe = Pipeline(stages=featurize("text") + [classifier("rf", "label", "weight", numTrees=10, maxDepth=6)])
     return evaluate(pipe.fit(train), split, "label", "test")
 
 
@@ -570,9 +607,10 @@ def q_pseudo_label(spark, d):
 
 
 def q_stream_append_distinct_exact(spark, d):
+    """STR2, exact form, files in hash order."""
     from tessera.streaming.stream import run_append_distinct_exact
-    return run_append_distinct_exact(spark, f"{d}/events.parquet", _events_schema(spark, d), "event_type",
-                                     "CAST(user_id AS STRING)")
+    path, schema = _landing(spark, d, "hash")
+    return run_append_distinct_exact(spark, path, schema, "event_type", "CAST(user_id AS STRING)", max_files=1)
 
 
 QUERIES.update({
@@ -601,8 +639,18 @@ def q_io_csv_roundtrip(spark, d):
     explicit schema."""
     from tessera.sources import io as IO
     base = _io_base(spark, "csv")
-    IO.write_csv(V.terms(spark, d), base)
-    return IO.read_table(spark, base, V.terms(spark, d).schema, fmt="csv")
+    IO.write_csv(_awkward(spark, d), base)
+    return IO.read_table(spark, base, _awkward(spark, d).schema, fmt="csv", multi_line=True)
+
+
+def _awkward(spark, d):
+    """The terms with quotes, commas, backslashes, line breaks, outer blanks,
+    and empty or NULL origins."""
+    t = V.terms(spark, d)
+    text = F.concat(F.lit(' say "'), F.col("text"), F.lit('", a\\b '), F.when(F.col("id") % 7 == 0, F.lit("\nnext"))
+                    .otherwise(F.lit("")))
+    origin = F.when(F.col("id") % 5 == 0, F.lit("")).when(F.col("id") % 5 != 1, F.col("origin"))
+    return t.select("id", "code", text.alias("text"), origin.alias("origin"))
 
 
 def q_io_jsonl_roundtrip(spark, d):
@@ -629,23 +677,32 @@ def q_io_corpus_roundtrip(spark, d):
 
 def q_io_runs_roundtrip(spark, d):
     """SNK4 + SRC3: two runs' results appended under one root partitioned by
-    run id, plus each run written to its own folder and scanned back with the
-    run id taken from the path; per-run ledger from both layouts."""
+    run id (the second one twice, as a retry would), and each run in a folder
+    of its own, as ``results`` part files and as ``results.csv``; per-run ledger
+    from all layouts and the runs' metrics read back."""
     from tessera.sources import io as IO
     base = _io_base(spark, "runs")
-    metrics = spark.createDataFrame([("rules", 0.0, 0.0, 0.0, 0.0)], IO.RUN_METRICS_SCHEMA)
-    for run, df in (("run_a", _run_a(spark, d)), ("run_b", _run_b(spark, d))):
-        IO.write_run(df, metrics, f"{base}/partitioned", run)
-        df.write.mode("overwrite").parquet(f"{base}/dirs/{run}/results")
+    for run, df in (("run_a", _run_a(spark, d)), ("run_b", _run_b(spark, d)), ("run_b", _run_b(spark, d))):
+        metrics = ME.classification_report(df, "code", "top_prediction").select(
+            F.lit(run).alias("model_version"), "accuracy", "f1_score", "precision", "recall")
+        narrow = df.select("doc_id", "code", "top_prediction")
+        IO.write_run(narrow, metrics, f"{base}/partitioned", run)
+        narrow.write.mode("overwrite").parquet(f"{base}/dirs/{run}/results")
+        IO.write_csv(narrow, f"{base}/files/{run}/results.csv")
     part = spark.read.parquet(f"{base}/partitioned/results")
-    dirs = IO.read_runs(spark, f"{base}/dirs")
+    schema = "doc_id long, code string, top_prediction string"
     a = ME.run_ledger(part).select("run_id", F.col("n_correct").alias("n_correct_partitioned"))
-    b = ME.run_ledger(dirs).select("run_id", "n_rows", F.col("n_correct").alias("n_correct_dirs"))
-    return a.join(b, "run_id")
+    b = ME.run_ledger(IO.read_runs(spark, f"{base}/dirs", schema=schema)).select(
+        "run_id", "n_rows", F.col("n_correct").alias("n_correct_dirs"))
+    c = ME.run_ledger(IO.read_runs(spark, f"{base}/files", fmt="csv", schema=schema)).select(
+        "run_id", F.col("n_correct").alias("n_correct_csv"))
+    m = spark.read.parquet(f"{base}/partitioned/metrics")
+    return a.join(b, "run_id").join(c, "run_id").join(m.select("run_id", *[
+        r6(x).alias(x) for x in ("accuracy", "f1_score", "precision", "recall")]), "run_id")
 
 
 def q_io_append_log(spark, d):
-    """SNK5: one generation record per code appended twice to a log table."""
+    """SNK5: the generation records appended twice to a log table."""
     from tessera.sources import io as IO
     base = _io_base(spark, "log")
     rec = _generated(spark, d).select("code", "context", "prompt", F.col("model").alias("origin"),
@@ -695,12 +752,163 @@ def q_dimension_first(spark, d):
 
 def q_top_docs_per_lang(spark, d):
     """WIN5: the 3 longest documents per language, ties to the lowest id.
-    One language holds most of the rows: the hot key goes through the salted
-    two-level ranking."""
+    One language holds most of the rows: each map task sends 3 of them."""
     docs = _docs(spark, d).select("doc_id", "lang", "n_chars")
     return TK.topk_per_key(docs, "lang", "n_chars", 3, "doc_id")
 
 
+def q_merge_predictions_left(spark, d):
+    """JOI3, left: every row, with NULL where no input has its text; and the
+    documented fan-out of repeated inputs."""
+    t = V.terms(spark, d)
+    p = _term_predictions(spark, d).filter(F.length("input") % 2 == 0)
+    fan = ME.merge_predictions(t, p, "left", dedupe_inputs=False)
+    return ME.merge_predictions(t, p, "left").withColumn("fan_out", F.lit(False)).unionByName(
+        fan.withColumn("fan_out", F.lit(True)))
+
+
+def _report_query(average):
+    def q(spark, d):
+        rep = ME.classification_report(_run_b(spark, d), "code", "top_prediction", average)
+        return rep.select(*[r6(c).alias(c) for c in ("accuracy", "precision", "recall", "f1_score")])
+    q.__doc__ = f"AGG8, {average} average."
+    return q
+
+
+def q_audit_code_literal(spark, d):
+    """FIL3 on the code by regex, FIL3 as a literal, FIL4 on origins."""
+    t = CO.with_chapter(V.terms(spark, d))
+    a = AU.audit(t, code="^[se]1", origins=["icpc2_short", "icpc2_inclusion"]).withColumn("leg", F.lit("code"))
+    b = AU.audit(t, text="Brand#1", literal=True).withColumn("leg", F.lit("literal"))
+    return a.unionByName(b).select("id", "code", "origin", "leg")
+
+
+SELECTORS = [(1, SELECTOR), (2, "QQ9 zz"), (3, ""), (4, "p, p P15")]
+
+
+def q_apply_selector_table(spark, d):
+    """FIL5 over a table of requests."""
+    t = CO.with_chapter(V.terms(spark, d))
+    req = spark.createDataFrame(SELECTORS, "selector_id int, text string")
+    return AU.apply_selector_table(t.select("id", "code", "chapter"), req, t)
+
+
+def q_materialize(spark, d):
+    """SRC2: built once, loaded the second time (the second builder is empty)."""
+    from tessera.sources import io as IO
+    base = _io_base(spark, "materialized")
+    IO.materialize(spark, lambda: V.terms(spark, d), base)
+    return IO.materialize(spark, lambda: V.terms(spark, d).limit(0), base)
+
+
+def _scores(spark, d):
+    s = F.round(F.col("n_chars") % 97 / 97.0, 6)
+    return _docs(spark, d).select(s.alias("score"), (F.col("lang") == "en").cast("int").alias("label"))
+
+
+def q_pr_auc(spark, d):
+    """IMB8: area under the precision-recall curve."""
+    from tessera.operators.model import pr_auc
+    return pr_auc(_scores(spark, d)).select(r6("pr_auc").alias("pr_auc"))
+
+
+# What SQL can check of the trained jobs: rows, ranks, ranges, sums, sizes.
+
+def q_check_train_score(spark, d):
+    """MLD4-MLD6: per test document the ranks, their order, label range and
+    probability mass of a fresh model's predictions."""
+    from pyspark.ml.functions import vector_to_array
+
+    from tessera.functions.arrays import topk_array
+    from tessera.operators.model import train_classifier
+    docs, labels = _ml_docs(spark, d)
+    split = SP.stratified_split(docs, "label", "doc_id")
+    model = train_classifier(split.filter("split = 'train'"), "label")
+    n = labels.count()
+    p = model.transform(split.filter("split = 'test'")).select(
+        "doc_id", topk_array(vector_to_array("probability"), 3, apply_softmax=False).alias("p"),
+        F.aggregate(vector_to_array("probability"), F.lit(0.0), lambda a, x: a + x).alias("mass"))
+    falls = F.col("p")[0]["value"] >= F.col("p")[1]["value"]
+    falls = falls & (F.col("p")[1]["value"] >= F.col("p")[2]["value"])
+    return p.select("doc_id", F.size("p").alias("n_ranks"), falls.alias("falls"),
+                    F.forall("p", lambda x: (x["label"] >= 0) & (x["label"] < n)).alias("in_range"),
+                    (F.abs(F.col("mass") - 1) < 1e-6).alias("mass_one"))
+
+
+def q_check_cross_validate(spark, d):
+    """MLD7: five folds of the sizes that MLD3 states, and a mean accuracy that
+    beats the largest class."""
+    from tessera.operators.model import cross_validate
+    docs, _ = _ml_docs(spark, d)
+    folds = SP.kfold(docs, 5, "doc_id")
+    mean = cross_validate(folds).first()["cv_accuracy"]
+    best = BA.class_distribution(_docs(spark, d), "lang").agg(F.max("share")).scalar()
+    return folds.groupBy("fold").agg(F.count(F.lit(1)).alias("n_rows")).withColumn(
+        "beats_majority", (F.lit(mean) > best) & (F.lit(mean) <= 1.0))
+
+
+def q_check_grid_search(spark, d):
+    """MLD8: the candidates, each better than the largest class; and a seeded
+    draw of two of them."""
+    from tessera.operators.model import grid_search
+    docs, _ = _ml_docs(spark, d)
+    best = BA.class_distribution(_docs(spark, d), "lang").agg(F.max("share")).scalar()
+    rows = grid_search(docs).select("smoothing", "num_features", (F.col("accuracy") > best).alias("beats_majority"))
+    drawn = grid_search(docs, n_candidates=2).agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    return rows.withColumn("n_drawn", F.lit(drawn))
+
+
+def _model_metrics_ok(rep, spark, d):
+    best = BA.class_distribution(_docs(spark, d), "lang").agg(F.max("share")).scalar()
+    ok = (F.col("accuracy") > best) & (F.col("accuracy") <= 1) & F.col("f1_score").between(0, 1)
+    return rep.withColumn("ok", ok & F.col("precision").between(0, 1) & F.col("recall").between(0, 1))
+
+
+def q_check_evaluate_model(spark, d):
+    """MLD9: metrics of the test split and of all rows within their ranges."""
+    return _model_metrics_ok(q_evaluate_model(spark, d), spark, d).select("split", "ok")
+
+
+def q_check_weighted_rf(spark, d):
+    """IMB7: the class weights that the forest is given."""
+    docs, _ = _ml_docs(spark, d)
+    return BA.with_class_weight(docs, "label", "weight").groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n_rows"), r6(F.max("weight")).alias("weight"), r6(F.min("weight")).alias("least"))
+
+
+def q_check_one_vs_rest(spark, d):
+    """IMB5, binary relevance: one-vs-rest fitted and applied to every document."""
+    from pyspark.ml import Pipeline
+
+    from tessera.operators.model import classifier, featurize
+    docs, labels = _ml_docs(spark, d)
+    n = labels.agg(F.count(F.lit(1))).scalar()
+    model = Pipeline(stages=featurize("text", num_features=1 << 12) + [classifier("ovr", "label")]).fit(docs)
+    out = model.transform(docs)
+    return out.agg(F.count(F.lit(1)).alias("n_rows"), F.min((F.col("prediction") >= 0) & (F.col("prediction") < n))
+                   .alias("in_range"), (F.avg((F.col("prediction") == F.col("label")).cast("double")) > 0.9).alias("fits"))
+
+
+def q_check_pseudo_label(spark, d):
+    """IMB9: accepted rows are test documents with a known code, one each."""
+    rows = q_pseudo_label(spark, d)
+    test = q_stratified_split(spark, d).filter("split = 'test'")
+    known = _docs(spark, d).select(F.col("lang").alias("code")).distinct().withColumn("_known", F.lit(True))
+    n = test.agg(F.count(F.lit(1))).scalar()
+    return rows.join(small_side(known), "code", "left").agg(
+        (F.count(F.lit(1)) <= n).alias("within_test"), (F.count(F.lit(1)) > 0.5 * n).alias("most_accepted"),
+        F.min(F.coalesce("_known", F.lit(False))).alias("codes_known"), F.max("origin").alias("origin"))
+
+
+def q_check_stream_score(spark, d):
+    """STR1: three ranked predictions for each streamed text."""
+    out = q_stream_score(spark, d)
+    n = _ml_docs(spark, d)[1].agg(F.count(F.lit(1))).scalar()
+    return out.groupBy("rank").agg(F.count(F.lit(1)).alias("n_rows"),
+                                   F.min((F.col("label") >= 0) & (F.col("label") < n)).alias("in_range"),
+                                   F.min(F.col("value").between(0, 1)).alias("is_share"))
+
+
 def q_ordered_terms(spark, d):
     """ORD1: terms in total (code, origin, text, id) order at the sink."""
     return CO.ordered(V.terms(spark, d), "code", "origin", "text", "id")
@@ -713,4 +921,20 @@ QUERIES.update({
     "dimension_first": q_dimension_first,
     "top_docs_per_lang": q_top_docs_per_lang,
     "ordered_terms": q_ordered_terms,
+    "vector_lsh_recall": q_vector_lsh_recall,
+    "merge_predictions_left": q_merge_predictions_left,
+    "classification_report_weighted": _report_query("weighted"),
+    "classification_report_micro": _report_query("micro"),
+    "audit_code_literal": q_audit_code_literal,
+    "apply_selector_table": q_apply_selector_table,
+    "materialize": q_materialize,
+    "pr_auc": q_pr_auc,
+    "check_train_score": q_check_train_score,
+    "check_cross_validate": q_check_cross_validate,
+    "check_grid_search": q_check_grid_search,
+    "check_evaluate_model": q_check_evaluate_model,
+    "check_weighted_rf": q_check_weighted_rf,
+    "check_one_vs_rest": q_check_one_vs_rest,
+    "check_pseudo_label": q_check_pseudo_label,
+    "check_stream_score": q_check_stream_score,
 })

@@ -7,8 +7,9 @@ embeddings pages benchmark labels conversations`` are views in DuckDB.
 from __future__ import annotations
 
 from tessera.functions.text import PROMPT_CONTEXT
+from tessera.operators.augment import NAMES_PER_PROMPT
 from tessera.plans import sql as S
-from tessera.plans.catalog import SELECTOR
+from tessera.plans.catalog import SELECTOR, SELECTORS
 from tessera.operators.split import hash_threshold
 
 T = S.TERMS
@@ -43,11 +44,34 @@ def _prompt_sql() -> str:
     def piece(v, pre, suf=""):
         return f"CASE WHEN {v} <> '' THEN {S.q(pre)} || {v} || {S.q(suf)} ELSE '' END"
     return f"""WITH p AS (SELECT * FROM {S.PROCESSED}),
-n AS (SELECT cod, string_agg(nome, '; ' ORDER BY row_key) AS names FROM p GROUP BY cod),
+r AS (SELECT cod, nome, row_key, (row_number() OVER (PARTITION BY cod ORDER BY row_key, nome) - 1) // {NAMES_PER_PROMPT}
+        AS part FROM p),
+n AS (SELECT cod, part, string_agg(nome, '; ' ORDER BY row_key, nome) AS names FROM r GROUP BY cod, part),
 f AS (SELECT cod, incl, excl, crit, icd10_description FROM (
         SELECT *, row_number() OVER (PARTITION BY cod ORDER BY row_key) AS rn FROM p) WHERE rn = 1)
-SELECT n.cod AS code, {labels} || {piece(i, '; ', ', ')} || {piece(x, ', ')} || {piece(c, '; Critérios: ')}
-  || {piece(e, '. Exclui: ')} AS prompt, {S.q(PROMPT_CONTEXT)} AS context FROM n JOIN f USING (cod)"""
+SELECT n.cod AS code, CAST(n.part AS INTEGER) AS part, {labels} || {piece(i, '; ', ', ')} || {piece(x, ', ')}
+  || {piece(c, '; Critérios: ')} || {piece(e, '. Exclui: ')} AS prompt, {S.q(PROMPT_CONTEXT)} AS context
+FROM n JOIN f USING (cod)"""
+
+
+def report(run: str, average: str = "macro") -> str:
+    """AGG8 over the confusion counts of a run."""
+    f1 = "CASE WHEN prec + rec > 0 THEN 2 * prec * rec / (prec + rec) ELSE 0.0 END"
+    accuracy = "round(sum(tp) / sum(su), 6)"
+    if average == "micro":
+        cols = ", ".join(f"{accuracy} AS {c}" for c in ("precision", "recall", "f1_score"))
+    else:
+        mean = (lambda x: f"avg({x})") if average == "macro" else (lambda x: f"sum(({x}) * su) / sum(su)")
+        cols = (f"round({mean('prec')}, 6) AS precision, round({mean('rec')}, 6) AS recall, "
+                f"round({mean(f1)}, 6) AS f1_score")
+    return f"""WITH b AS (SELECT code AS y, top_prediction AS p, count(*) AS n FROM {run} GROUP BY ALL),
+      cls AS (SELECT y AS c FROM b UNION SELECT p FROM b WHERE p IS NOT NULL),
+      per AS (SELECT c, coalesce((SELECT sum(n) FROM b WHERE y = c AND p = c), 0) AS tp,
+                 coalesce((SELECT sum(n) FROM b WHERE p = c), 0) AS pr,
+                 coalesce((SELECT sum(n) FROM b WHERE y = c), 0) AS su FROM cls),
+      m AS (SELECT *, CASE WHEN pr > 0 THEN tp / pr ELSE 0.0 END AS prec, CASE WHEN su > 0 THEN tp / su ELSE 0.0 END AS rec
+            FROM per)
+      SELECT {accuracy} AS accuracy, {cols} FROM m"""
 
 
 ORACLES: dict[str, str] = {
@@ -119,7 +143,6 @@ ORACLES: dict[str, str] = {
     "expand_abbreviations": f"""SELECT p_partkey, {S.expand("p_name || ' NE (' || upper(substr(p_type, 1, 1)) || ')'")}
       AS expanded FROM part""",
     "build_prompts": _prompt_sql(),
-    "parse_generated_list": "",
     "search_text": f"""SELECT row_key, cod || ' ' || nome || ' ' || coalesce(incl, '') || ' ' || icd10_description AS search_text
       FROM {S.PROCESSED} WHERE (cod || ' ' || nome || ' ' || coalesce(incl, '') || ' ' || icd10_description) IS NOT NULL""",
     "rewrite_dash": f"""WITH t AS (SELECT id, CASE WHEN id % 5 = 0 THEN '-' || code || '-x' ELSE code END AS code FROM {T})
@@ -150,14 +173,9 @@ ORACLES: dict[str, str] = {
         (d.nd = 0) AS identical FROM c, d""",
     "validate_run": f"""SELECT round(avg(CASE WHEN top_prediction = code THEN 1.0 ELSE 0.0 END), 6) AS accuracy,
       CAST(count_if(top_prediction = code) AS BIGINT) AS n_correct, count(*) AS n_rows FROM {S.RUN_B}""",
-    "classification_report": f"""WITH b AS (SELECT code AS y, top_prediction AS p FROM {S.RUN_B}),
-      cls AS (SELECT y AS c FROM b UNION SELECT p FROM b WHERE p IS NOT NULL),
-      per AS (SELECT c, (SELECT count(*) FROM b WHERE y = c AND p = c) AS tp,
-                 (SELECT count(*) FROM b WHERE p = c) AS pr, (SELECT count(*) FROM b WHERE y = c) AS su FROM cls),
-      m AS (SELECT *, CASE WHEN pr > 0 THEN tp / pr ELSE 0.0 END AS prec, CASE WHEN su > 0 THEN tp / su ELSE 0.0 END AS rec
-            FROM per)
-      SELECT round(sum(tp) / sum(su), 6) AS accuracy, round(avg(prec), 6) AS precision, round(avg(rec), 6) AS recall,
-        round(avg(CASE WHEN prec + rec > 0 THEN 2 * prec * rec / (prec + rec) ELSE 0.0 END), 6) AS f1_score FROM m""",
+    "classification_report": report(S.RUN_B),
+    "classification_report_weighted": report(S.RUN_B, "weighted"),
+    "classification_report_micro": report(S.RUN_B, "micro"),
     "run_ledger": f"""SELECT run_id, count(*) AS n_rows, CAST(count_if(top_prediction = code) AS BIGINT) AS n_correct,
         round(avg(CASE WHEN top_prediction = code THEN 1.0 ELSE 0.0 END), 6) AS accuracy
       FROM (SELECT *, 'run_a' AS run_id FROM {S.RUN_A} UNION ALL SELECT *, 'run_b' FROM {S.RUN_B}) GROUP BY run_id""",
@@ -178,9 +196,12 @@ ORACLES: dict[str, str] = {
         max(CASE WHEN rank = 2 THEN code END) AS prediction_2_code, round(max(CASE WHEN rank = 2 THEN value END), 6) AS prediction_2_value,
         max(CASE WHEN rank = 3 THEN code END) AS prediction_3_code, round(max(CASE WHEN rank = 3 THEN value END), 6) AS prediction_3_value
       FROM s GROUP BY vec_id""",
-    "vector_topk": """WITH p AS (SELECT q.vec_id AS query_id, i.vec_id AS item_id,
-          list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(i.embedding AS DOUBLE[])) AS score
-        FROM embeddings q, embeddings i WHERE q.vec_id <> i.vec_id),
+    "vector_topk": """WITH u AS (SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS pos
+        FROM embeddings WHERE label IS NOT NULL),
+      m AS (SELECT label, pos, avg(CAST(x AS DOUBLE)) AS x FROM u GROUP BY label, pos),
+      q AS (SELECT label, list(x ORDER BY pos) AS v FROM m GROUP BY label),
+      p AS (SELECT CAST(q.label AS BIGINT) AS query_id, i.vec_id AS item_id,
+          list_cosine_similarity(q.v, CAST(i.embedding AS DOUBLE[])) AS score FROM q, embeddings i),
       r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS rank FROM p)
       SELECT query_id, item_id, CAST(rank AS INTEGER) AS rank, round(score, 6) AS score FROM r WHERE rank <= 5""",
     "oversample": f"""WITH c AS (SELECT code, count(*) AS n FROM {T} GROUP BY code), m AS (SELECT max(n) AS mx FROM c)
@@ -210,7 +231,6 @@ ORACLES: dict[str, str] = {
         n_rows, n_accepted, CAST(round_even(100.0 * n_accepted / n_rows, 1) AS DOUBLE) AS accepted_pct
       FROM g WHERE we <= (SELECT max(ts) FROM events) - INTERVAL '1 hour'""",
 }
-ORACLES.pop("parse_generated_list")
 
 
 ORACLES.update({
@@ -220,8 +240,8 @@ ORACLES.update({
       c AS (SELECT code, count(*) AS n FROM u GROUP BY code)
       SELECT u.id, u.code, CAST(unnest(range(1, CAST(ceil(5 / c.n) AS BIGINT) + 1)) AS INTEGER) AS copy
       FROM u JOIN c USING (code)""",
-    "tune_thresholds": """WITH u AS (SELECT vec_id, label, CAST(unnest(embedding[1:10]) AS DOUBLE) AS x,
-          CAST(generate_subscripts(embedding[1:10], 1) - 1 AS INTEGER) AS cls FROM embeddings),
+    "tune_thresholds": """WITH u AS (SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS x,
+          CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS cls FROM embeddings),
       m AS (SELECT *, max(x) OVER (PARTITION BY vec_id) AS mx FROM u),
       s AS (SELECT vec_id, label, cls, exp(x - mx) / sum(exp(x - mx)) OVER (PARTITION BY vec_id) AS score FROM m),
       g AS (SELECT CAST(unnest([0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.35, 0.4, 0.45, 0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95]) AS DOUBLE) AS t),
@@ -245,14 +265,18 @@ ORACLES.update({
 
 
 ORACLES.update({
-    "io_csv_roundtrip": f"SELECT * FROM {T}",
+    "io_csv_roundtrip": f"""SELECT id, code, ' say "' || text || '", a\\b ' || CASE WHEN id % 7 = 0 THEN chr(10) || 'next' ELSE '' END
+        AS text, CASE WHEN id % 5 = 0 THEN '' WHEN id % 5 <> 1 THEN origin END AS origin FROM {T}""",
     "io_jsonl_roundtrip": f"SELECT * FROM {S.PARSED}",
     "io_corpus_roundtrip": f"""SELECT chapter, count(*) AS n_rows, count(DISTINCT label) AS n_labels,
         (SELECT count(DISTINCT code) FROM {S.CORPUS}) AS n_label_table FROM {S.CORPUS} GROUP BY chapter""",
-    "io_runs_roundtrip": f"""SELECT run_id, CAST(count_if(top_prediction = code) AS BIGINT) AS n_correct_partitioned,
-        count(*) AS n_rows, CAST(count_if(top_prediction = code) AS BIGINT) AS n_correct_dirs
-      FROM (SELECT *, 'run_a' AS run_id FROM {S.RUN_A} UNION ALL SELECT *, 'run_b' FROM {S.RUN_B}) GROUP BY run_id""",
-    "io_append_log": f"SELECT code, CAST(2 AS BIGINT) AS n_records FROM {S.GENERATED}",
+    "io_runs_roundtrip": f"""WITH a AS (SELECT run_id, CAST(count_if(top_prediction = code) AS BIGINT) AS n_correct_partitioned,
+        count(*) AS n_rows, CAST(count_if(top_prediction = code) AS BIGINT) AS n_correct_dirs,
+        CAST(count_if(top_prediction = code) AS BIGINT) AS n_correct_csv
+      FROM (SELECT *, 'run_a' AS run_id FROM {S.RUN_A} UNION ALL SELECT *, 'run_b' FROM {S.RUN_B}) GROUP BY run_id),
+      m AS (SELECT 'run_a' AS run_id, * FROM ({report(S.RUN_A)}) UNION ALL SELECT 'run_b', * FROM ({report(S.RUN_B)}))
+      SELECT * FROM a JOIN m USING (run_id)""",
+    "io_append_log": f"SELECT code, 2 * count(*) AS n_records FROM {S.GENERATED} GROUP BY code",
 })
 
 
@@ -267,3 +291,55 @@ ORACLES.update({
         FROM documents) WHERE rank <= 3""",
     "ordered_terms": f"SELECT * FROM {T} ORDER BY code, origin, text, id",
 })
+
+
+def _selector_sql() -> str:
+    rows = ", ".join(f"({i}, {S.q(t)})" for i, t in SELECTORS)
+    return f"""WITH t AS (SELECT id, code, substr(code, 1, 1) AS chapter FROM {T}),
+      s(selector_id, text) AS (VALUES {rows}),
+      req AS (SELECT DISTINCT selector_id, upper(trim(x)) AS v FROM (
+        SELECT selector_id, unnest(regexp_split_to_array(text, '[,\\s]+')) AS x FROM s) WHERE trim(x) <> ''),
+      hit AS (SELECT * FROM req WHERE (length(v) = 1 AND v IN (SELECT chapter FROM t))
+                                   OR (length(v) = 3 AND v IN (SELECT code FROM t)))
+      SELECT t.id, t.code, t.chapter, s.selector_id FROM t, s
+      WHERE EXISTS (SELECT 1 FROM hit h WHERE h.selector_id = s.selector_id AND h.v IN (t.chapter, t.code))
+        OR NOT EXISTS (SELECT 1 FROM hit h WHERE h.selector_id = s.selector_id)"""
+
+
+PRED_EVEN = f"(SELECT * FROM {TERM_PRED} WHERE length(input) % 2 = 0)"
+
+ORACLES.update({
+    "vector_lsh_recall": "SELECT count(*) AS n_queries, TRUE AS recall_ok, TRUE AS candidates_ok FROM embeddings",
+    "merge_predictions_left": f"""SELECT t.*, p.top_prediction, FALSE AS fan_out FROM {T} t LEFT JOIN {PRED_EVEN} p
+        ON t.text = p.input
+      UNION ALL SELECT t.*, p.top_prediction, TRUE FROM {T} t LEFT JOIN (SELECT * FROM {PRED_EVEN} UNION ALL
+        SELECT * FROM {PRED_EVEN}) p ON t.text = p.input""",
+    "audit_code_literal": f"""SELECT id, code, origin, 'code' AS leg FROM {T} WHERE regexp_matches(code, '^[se]1', 'i')
+        AND origin IN ('icpc2_short', 'icpc2_inclusion')
+      UNION ALL SELECT id, code, origin, 'literal' FROM {T} WHERE contains(lower(text), 'brand#1')""",
+    "apply_selector_table": _selector_sql(),
+    "materialize": f"SELECT * FROM {T}",
+    "pr_auc": """WITH s AS (SELECT round(n_chars % 97 / 97.0, 6) AS score, CAST(lang = 'en' AS INTEGER) AS y FROM documents),
+      g AS (SELECT score, sum(y) AS p, count(*) AS n FROM s WHERE score IS NOT NULL AND y IS NOT NULL GROUP BY score),
+      c AS (SELECT score, sum(p) OVER (ORDER BY score DESC) AS tp, sum(n) OVER (ORDER BY score DESC) AS np,
+                   sum(p) OVER () AS pos FROM g),
+      k AS (SELECT score, tp / pos AS r, tp / np AS pr FROM c),
+      j AS (SELECT r, pr, coalesce(lag(r) OVER (ORDER BY score DESC), 0) AS r0,
+                   coalesce(lag(pr) OVER (ORDER BY score DESC), pr) AS pr0 FROM k)
+      SELECT round(sum((r - r0) * (pr + pr0) / 2), 6) AS pr_auc FROM j""",
+    "check_train_score": f"""SELECT doc_id, CAST(3 AS INTEGER) AS n_ranks, TRUE AS falls, TRUE AS in_range, TRUE AS mass_one
+      FROM {STRAT} WHERE split = 'test'""",
+    "check_cross_validate": f"""SELECT fold, count(*) AS n_rows, TRUE AS beats_majority FROM (
+      SELECT CAST((row_number() OVER (ORDER BY {S.md5k('doc_id')}, doc_id) - 1) % 5 AS INTEGER) AS fold FROM documents
+        WHERE lang IS NOT NULL) GROUP BY fold""",
+    "check_grid_search": """SELECT CAST(s AS DOUBLE) AS smoothing, CAST(f AS INTEGER) AS num_features, TRUE AS beats_majority,
+        CAST(2 AS INTEGER) AS n_drawn FROM (VALUES (0.5), (1.0)) a(s), (VALUES (4096), (65536)) b(f)""",
+    "check_evaluate_model": "SELECT * FROM (VALUES ('test', TRUE), ('all', TRUE)) t(split, ok)",
+    "check_weighted_rf": """SELECT lang, count(*) AS n_rows, round(1.0 - count(*) / (SELECT count(*) FROM documents), 6) AS weight,
+        round(1.0 - count(*) / (SELECT count(*) FROM documents), 6) AS least FROM documents GROUP BY lang""",
+    "check_one_vs_rest": "SELECT count(*) AS n_rows, TRUE AS in_range, TRUE AS fits FROM documents WHERE lang IS NOT NULL",
+    "check_pseudo_label": """SELECT TRUE AS within_test, TRUE AS most_accepted, TRUE AS codes_known,
+        'pseudo_label' AS origin""",
+    "check_stream_score": """SELECT CAST(r AS INTEGER) AS rank, (SELECT count(*) FROM documents) AS n_rows, TRUE AS in_range,
+        TRUE AS is_share FROM (VALUES (1), (2), (3)) t(r)""",
+})

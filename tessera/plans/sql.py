@@ -4,7 +4,7 @@ check results; the library itself never parses SQL)."""
 from __future__ import annotations
 
 from tessera.functions.text import ABBREVIATIONS, CODIFY_PHRASE
-from tessera.plans.views import CODE_LISTS_SQL, PART_DIM_SQL, simple_view_sql, xw_dim_sql
+from tessera.plans.views import CODE_LISTS_SQL, PART_DIM_SQL, RESPONSE_IDS, simple_view_sql, xw_dim_sql
 
 
 def q(s: str) -> str:
@@ -83,9 +83,9 @@ JOIN (SELECT code, arg_min(text, id) AS text FROM {TERMS} GROUP BY code) t USING
 CODE_LISTS = CODE_LISTS_SQL
 PART_DIM = PART_DIM_SQL
 
-GENERATED = f"""(SELECT code, array_to_string(list_sort(list_distinct(list_concat(list(text), list(split_part(text, ' ', 1)
+GENERATED = f"""(SELECT code, id // {RESPONSE_IDS} AS part, array_to_string(list_sort(list_distinct(list_concat(list(text), list(split_part(text, ' ', 1)
   || ' ' || split_part(text, ' ', 2))))), '; ') || '.' AS response, 'generator-v2' AS model, 'synonyms' AS context,
-  'prompt ' || code AS prompt FROM {AUG} GROUP BY code)"""
+  'prompt ' || code AS prompt FROM {AUG} GROUP BY code, id // {RESPONSE_IDS})"""
 
 PARSED = f"""(SELECT code, unnest(list_distinct(string_split({strip_dot('response')}, '; '))) AS text, model AS origin,
   TRUE AS include, context, prompt FROM {GENERATED})"""

@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Ids per generated response: a code's rows are cut into ranges of ids.
+RESPONSE_IDS = 256
 PART_CODE = "upper(substr(p_type, 1, 1)) || lpad(CAST(p_size AS STRING), 2, '0')"
 ORIGIN_BY_KEY = ("CASE p_partkey % 4 WHEN 0 THEN 'icpc2_description' WHEN 1 THEN 'icpc2_short' "
                  "WHEN 2 THEN 'icpc2_inclusion' ELSE 'icd10_description' END")

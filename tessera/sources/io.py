@@ -13,25 +13,33 @@ from pyspark.sql import types as T
 S = T.StringType()
 CORPUS_SCHEMA = T.StructType([T.StructField(n, t) for n, t in (
     ("code", S), ("text", S), ("origin", S), ("chapter", S), ("label", T.IntegerType()))])
-LABELS_SCHEMA = T.StructType([T.StructField(n, t) for n, t in (
-    ("code", S), ("text", S), ("chapter", S), ("label", T.IntegerType()))])
 AUGMENTATION_SCHEMA = T.StructType([T.StructField(n, t) for n, t in (
     ("code", S), ("text", S), ("origin", S), ("include", T.BooleanType()), ("context", S), ("prompt", S))])
-CODE_SYSTEM_SCHEMA = T.StructType([T.StructField(n, S) for n in (
-    "cod", "nome", "nome_curto", "incl", "excl", "crit", "cons", "nota", "icd10", "componente")])
-CROSSWALK_SCHEMA = T.StructType([T.StructField(n, S) for n in ("code", "section", "long_desc", "short_desc")])
 RUN_METRICS_SCHEMA = T.StructType([T.StructField("model_version", S)] + [
     T.StructField(n, T.DoubleType()) for n in ("accuracy", "f1_score", "precision", "recall")])
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str | None = None) -> DataFrame:
-    """SRC1. CSV (header, UTF-8, multi-line quoted fields) or Parquet by
-    extension; CSV always with an explicit schema."""
+# The same on both sides: quotes doubled inside quoted fields, blanks kept,
+# NULL as an empty field and the empty string as "".
+CSV_OPTIONS = {"header": "true", "encoding": "UTF-8", "escape": '"', "ignoreLeadingWhiteSpace": "false",
+               "ignoreTrailingWhiteSpace": "false", "nullValue": ""}
+EMPTY = "\u0001"
+
+
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str | None = None,
+               multi_line: bool = False) -> DataFrame:
+    """SRC1. CSV (header, UTF-8, quoted fields) or Parquet by extension; CSV
+    always with an explicit schema. Fields that hold line breaks need
+    ``multi_line``, which reads each file in one task; without it large files
+    are split."""
     fmt = fmt or ("csv" if path.endswith(".csv") else "parquet")
     if fmt == "csv":
-        r = spark.read.option("header", True).option("multiLine", True).option("encoding", "UTF-8") \
-                 .option("escape", '"')
-        return r.schema(schema).csv(path) if schema is not None else r.csv(path)
+        r = spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line).option("emptyValue", EMPTY)
+        df = r.schema(schema).csv(path) if schema is not None else r.csv(path)
+        # the reader takes an empty value equal to nullValue for NULL, so ""
+        # is read as a control character and set back
+        return df.withColumns({f.name: F.when(F.col(f.name) == EMPTY, "").otherwise(F.col(f.name))
+                               for f in df.schema.fields if f.dataType == S})
     return spark.read.schema(schema).parquet(path) if schema is not None else spark.read.parquet(path)
 
 
@@ -52,11 +60,18 @@ def materialize(spark: SparkSession, build, path: str, force: bool = False) -> D
 
 def read_runs(spark: SparkSession, root: str, name: str = "results", fmt: str = "parquet",
               schema: T.StructType | None = None) -> DataFrame:
-    """SRC3. Every run's result table under ``root/<run_id>/<name>``, tagged
-    with ``run_id`` taken from the file path."""
+    """SRC3. Every run's result table, ``root/<run_id>/<name>`` (a folder of
+    part files) or ``root/<run_id>/<name>.csv`` (one file), tagged with
+    ``run_id``: the path segment that follows ``root``."""
+    root = root.rstrip("/")
     path = f"{root}/*/{name}*"
+    jvm = spark.sparkContext._jvm
+    base = jvm.org.apache.hadoop.fs.Path(root)
+    base = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(base).toUri().getRawPath()
     df = read_table(spark, path, schema, fmt)
-    return df.withColumn("run_id", F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+/?[^/]*$", 1))
+    inside = F.substring_index(F.col("_metadata.file_path"), base + "/", -1)
+    return df.withColumn("run_id", F.url_decode(F.replace(F.split_part(inside, F.lit("/"), F.lit(1)),
+                                                          F.lit("+"), F.lit("%2B"))))
 
 
 def load_corpus(spark: SparkSession, path: str, size: str = "full", medium_chapters=("K",)) -> DataFrame:
@@ -68,8 +83,9 @@ def load_corpus(spark: SparkSession, path: str, size: str = "full", medium_chapt
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """SNK1. CSV with header, no index column."""
-    df.write.mode(mode).option("header", True).csv(path)
+    """SNK1. CSV with header, no index column; :func:`read_table` gets the
+    same values back (quotes, commas, blanks, empty or NULL strings)."""
+    df.write.mode(mode).options(**CSV_OPTIONS | {"emptyValue": '""'}).csv(path)
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -87,11 +103,13 @@ def write_corpus(corpus: DataFrame, labels: DataFrame, path: str, mode: str = "o
 
 
 def write_run(results: DataFrame, metrics: DataFrame, root: str, run_id) -> None:
-    """SNK4. Append results and metrics of one run under ``root``,
-    partitioned by ``run_id`` (``<timestamp>_<model>``)."""
+    """SNK4. Results and metrics of a run under ``root``, partitioned by
+    ``run_id`` (``<timestamp>_<model>``). A run's partition is replaced as a
+    whole, other runs stay: a retried write never doubles rows."""
     rid = F.lit(run_id) if isinstance(run_id, str) else run_id
-    results.withColumn("run_id", rid).write.mode("append").partitionBy("run_id").parquet(f"{root}/results")
-    metrics.withColumn("run_id", rid).write.mode("append").partitionBy("run_id").parquet(f"{root}/metrics")
+    for df, name in ((results, "results"), (metrics, "metrics")):
+        df.withColumn("run_id", rid).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+            .partitionBy("run_id").parquet(f"{root}/{name}")
 
 
 def run_id(model_version, ts=None):

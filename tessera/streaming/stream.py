@@ -1,10 +1,12 @@
 """Structured Streaming surface: STR1 scoring, STR2 append-distinct, STR3
 windowed acceptance.
 
-Each job reads a file source, runs with ``Trigger.AvailableNow`` (process
-everything present, then stop), checkpoints its state under the session's
-``spark.checkpoint.dir`` (shared storage on a cluster, so a restarted driver
-or lost executor resumes exactly), and writes a Parquet sink next to it.
+Each job reads a file source and runs with ``Trigger.AvailableNow`` (process
+everything present, then stop). A job's folder holds its state, its sink and
+its store; a caller that names one can stop and call again, and the job goes on
+where it ended: files already read are not read again and the store forgets
+nothing. Without a name a fresh folder under ``spark.checkpoint.dir`` is used.
+Results don't depend on how files fall into micro-batches, or on their order.
 """
 
 from __future__ import annotations
@@ -14,26 +16,28 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators.common import small_side
+from tessera.operators.common import first_per_key, not_in, small_side
 from tessera.session import ensure_checkpoint_dir
 
 
-def _run_dirs(spark: SparkSession, name: str) -> tuple[str, str]:
-    base = ensure_checkpoint_dir(spark).rstrip("/") + f"/streams/{name}-{uuid.uuid4().hex[:12]}"
-    return base + "/out", base + "/state"
+def _folder(spark: SparkSession, name: str, folder: str | None) -> str:
+    if folder:
+        return folder.rstrip("/")
+    return ensure_checkpoint_dir(spark).rstrip("/") + f"/streams/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def _drain(stream_df: DataFrame, name: str, mode: str = "append", partition_by=None) -> DataFrame:
+def _finish(query) -> None:
+    query.awaitTermination()
+    if query.exception():
+        raise query.exception()
+
+
+def _drain(stream_df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     spark = stream_df.sparkSession
-    out, state = _run_dirs(spark, name)
-    w = stream_df.writeStream.format("parquet").outputMode(mode).option("checkpointLocation", state)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    q = w.trigger(availableNow=True).start(out)
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
-    return spark.read.schema(stream_df.schema).parquet(out)
+    base = _folder(spark, name, folder)
+    _finish(stream_df.writeStream.format("parquet").outputMode("append")
+            .option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start(f"{base}/out"))
+    return spark.read.schema(stream_df.schema).parquet(f"{base}/out")
 
 
 def event_stream(spark: SparkSession, path: str, schema, max_files: int = 64) -> DataFrame:
@@ -51,46 +55,74 @@ def event_stream(spark: SparkSession, path: str, schema, max_files: int = 64) ->
     return df
 
 
-def append_distinct(stream: DataFrame, keys=("code", "text"), ts: str = "ts", delay: str = "1 hour") -> DataFrame:
-    """STR2 (streaming form). Drop repeats of ``keys`` within the watermark
-    delay; state is bounded by the watermark (use ``merge_augmentation`` in
-    ``foreachBatch`` when the store must never forget)."""
+def append_distinct(stream: DataFrame, delay: str, keys=("code", "text"), ts: str = "ts") -> DataFrame:
+    """STR2, bounded form. Drops repeats of ``keys`` that arrive within
+    ``delay`` of event time. It forgets older keys and drops rows later than
+    ``delay``, so the caller states one that covers the stream's disorder;
+    :func:`append_distinct_exact` never forgets."""
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-def windowed_acceptance(stream: DataFrame, accepted, ts: str = "ts", window: str = "1 day",
-                        delay: str = "1 hour") -> DataFrame:
-    """STR3. Tumbling-window acceptance rate; append mode emits a window once
-    the watermark passes its end, rows later than the watermark are dropped."""
+def window_counts(stream: DataFrame, accepted, ts: str = "ts", window: str = "1 day") -> DataFrame:
+    """STR3. Rows and accepted rows per tumbling window, and the latest event
+    time in it. No watermark: late rows still count; the state is one row per
+    window."""
     acc = F.coalesce(accepted, F.lit(False))
-    return (stream.withWatermark(ts, delay)
-            .groupBy(F.window(ts, window).alias("w"))
-            .agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(acc).alias("n_accepted"))
+    return (stream.groupBy(F.window(ts, window).alias("w"))
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(acc).alias("n_accepted"), F.max(ts).alias("last_ts"))
             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                    "n_rows", "n_accepted",
-                    F.bround(F.try_divide(100.0 * F.col("n_accepted"), F.col("n_rows")), 1).alias("accepted_pct")))
+                    "n_rows", "n_accepted", "last_ts"))
+
+
+def windowed_acceptance(stream: DataFrame, accepted, ts: str = "ts", window: str = "1 day", delay: str = "1 hour",
+                        folder: str | None = None) -> DataFrame:
+    """STR3. Acceptance rate of the closed windows, those that end at least
+    ``delay`` before the latest event time seen.
+
+    Each micro-batch writes the windows it changed (update mode) to its own
+    ``epoch`` folder, a retried batch to the same one; the reader takes each
+    window's latest row and picks the closed ones.
+    """
+    spark = stream.sparkSession
+    base = _folder(spark, "acceptance", folder)
+    counts = window_counts(stream, accepted, ts, window)
+
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{base}/out/epoch={epoch_id}")
 
+    _finish(counts.writeStream.outputMode("update").foreachBatch(write)
+            .option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start())
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in counts.schema.fields)
+    rows = spark.read.schema(fields + ", epoch long").parquet(f"{base}/out")
+    cols = [c for c in counts.columns if c != "window_start"]
+    last = rows.groupBy("window_start").agg(F.max_by(F.struct(*cols), "epoch").alias("r")).select("window_start", "r.*")
+    seen = rows.agg(F.max("last_ts")).scalar()
+    share = F.bround(F.try_divide(100.0 * F.col("n_accepted"), F.col("n_rows")), 1)
+    return last.filter(F.col("window_end") <= seen - F.expr(f"INTERVAL {delay}")).select(
+        "window_start", "window_end", "n_rows", "n_accepted", share.alias("accepted_pct"))
 
-def run_append_distinct(spark: SparkSession, path: str, schema, code_expr: str, text_expr: str,
-                        ts: str = "ts", delay: str = "1 hour") -> DataFrame:
-    s = event_stream(spark, path, schema).selectExpr(f"{code_expr} AS code", f"{text_expr} AS text", ts)
-    return _drain(append_distinct(s, ("code", "text"), ts, delay).select("code", "text"), "append_distinct")
+
+def run_append_distinct(spark: SparkSession, path: str, schema, code_expr: str, text_expr: str, delay: str,
+                        ts: str = "ts", max_files: int = 64, folder: str | None = None) -> DataFrame:
+    s = event_stream(spark, path, schema, max_files).selectExpr(f"{code_expr} AS code", f"{text_expr} AS text", ts)
+    return _drain(append_distinct(s, delay, ("code", "text"), ts).select("code", "text"), "append_distinct", folder)
 
 
 def run_acceptance(spark: SparkSession, path: str, schema, accepted_expr: str, ts: str = "ts",
-                   window: str = "1 day", delay: str = "1 hour") -> DataFrame:
-    s = event_stream(spark, path, schema)
-    return _drain(windowed_acceptance(s, F.expr(accepted_expr), ts, window, delay), "acceptance")
+                   window: str = "1 day", delay: str = "1 hour", max_files: int = 64,
+                   folder: str | None = None) -> DataFrame:
+    s = event_stream(spark, path, schema, max_files)
+    return windowed_acceptance(s, F.expr(accepted_expr), ts, window, delay, folder)
 
 
 def run_scoring(spark: SparkSession, model, path: str, schema, text: str = "text", k: int = 5,
-                labels: DataFrame | None = None) -> DataFrame:
+                labels: DataFrame | None = None, max_files: int = 64, folder: str | None = None) -> DataFrame:
     """STR1. Unbounded text -> top-k with a fitted ``PipelineModel`` (the model
     is shipped to executors once per query; no per-row Python)."""
     from pyspark.ml.functions import vector_to_array
 
     from tessera.functions.arrays import topk_array
-    s = event_stream(spark, path, schema).select(F.col(text))
+    s = event_stream(spark, path, schema, max_files).select(F.col(text))
     scored = model.transform(s).select(F.col(text).alias("input"), F.explode(
         topk_array(vector_to_array("probability"), k, apply_softmax=False)).alias("p"))
     flat = scored.select("input", F.col("p.rank").alias("rank"), F.col("p.label").alias("label"),
@@ -100,57 +132,55 @@ def run_scoring(spark: SparkSession, model, path: str, schema, text: str = "text
         # streaming plan only sees a scan of it
         dim = labels.select("label", "code").checkpoint()
         flat = flat.join(small_side(dim), "label", "left")
-    return _drain(flat, "scoring")
+    return _drain(flat, "scoring", folder)
+
 
+# Hash buckets of the exact store.
+STORE_BUCKETS = 64
 
-def append_distinct_exact(stream: DataFrame, store: str, keys=("code", "text"), order: str | None = None,
-                          name: str = "append_distinct_exact") -> DataFrame:
+
+def append_distinct_exact(stream: DataFrame, keys=("code", "text"), order: str | None = None,
+                          folder: str | None = None, buckets: int = STORE_BUCKETS) -> DataFrame:
     """STR2, exact form: every micro-batch is merged into a Parquet store
     with SET3 semantics (``foreachBatch``): rows whose key is already stored
-    are dropped, the first row per new key is appended. Unlike the watermark
-    form it never forgets a key.
-
-    Each batch writes its own ``epoch=<id>`` folder with overwrite, and the
-    anti-join reads only earlier epochs, so a retried batch (driver restart,
-    lost executor) rewrites the same rows: exactly-once in effect.
+    are dropped (NULL equals NULL), the first row per new key is appended. It
+    never forgets a key.
+
+    The store is laid out as ``epoch=<id>/bucket=<hash of the keys>``. A batch
+    reads only the buckets its keys fall into, and only earlier epochs; a
+    retried batch (driver restart, lost executor) replaces its own epoch, so
+    the effect is exactly-once. Spark decides from measured bytes whether a
+    batch's keys are broadcast against the stored ones.
     """
-    from tessera.operators.common import broadcast_limit, first_per_key, fits
-
     keys = list(keys)
     spark = stream.sparkSession
-    _, state = _run_dirs(spark, name)
+    base = _folder(spark, "append_distinct", folder)
+    store = f"{base}/store"
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.schema.fields)
+    schema = fields + ", epoch long, bucket int"
+    bucket = F.pmod(F.xxhash64(*[F.coalesce(F.col(k).cast("string"), F.lit("\u0000")) for k in keys]),
+                    F.lit(buckets)).cast("int")
 
     def merge(batch: DataFrame, epoch_id: int) -> None:
-        bspark = batch.sparkSession
-        fresh = batch
+        from pyspark.errors import AnalysisException
+        pos = F.col(order) if order else F.monotonically_increasing_id()
+        fresh = first_per_key(batch.withColumn("_pos", pos), keys, "_pos").drop("_pos").withColumn("bucket", bucket)
         try:
-            # only stored keys that occur in this batch matter: the batch's
-            # distinct keys (broadcast after a size check, a shuffle join
-            # beyond it) filter the store scan, so the growing store is read
-            # but not shuffled
-            bkeys = batch.select(*keys).distinct()
-            if fits(bkeys, broadcast_limit(bkeys)):
-                bkeys = F.broadcast(bkeys)
-            seen = (bspark.read.parquet(store).filter(F.col("epoch") < epoch_id).select(*keys)
-                    .join(bkeys, keys, "left_semi"))
-            fresh = fresh.join(seen, keys, "left_anti")
-        except Exception as e:  # noqa: BLE001 - the store does not exist before the first batch
+            stored = batch.sparkSession.read.schema(schema).parquet(store).filter(F.col("epoch") < epoch_id)
+            # at most ``buckets`` numbers reach the driver; they prune folders
+            hit = [r["bucket"] for r in fresh.select("bucket").distinct().collect()]
+            fresh = not_in(fresh, stored.filter(F.col("bucket").isin(hit)), keys)
+        except AnalysisException as e:  # no store before the first batch
             if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
                 raise
-        pos = F.col(order) if order else F.monotonically_increasing_id()
-        fresh = first_per_key(fresh.withColumn("_pos", pos), keys, "_pos").drop("_pos")
-        fresh.write.mode("overwrite").parquet(f"{store}/epoch={epoch_id}")
+        fresh.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{store}/epoch={epoch_id}")
 
-    q = (stream.writeStream.foreachBatch(merge).option("checkpointLocation", state)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
-    return spark.read.parquet(store).drop("epoch")
+    _finish(stream.writeStream.foreachBatch(merge).option("checkpointLocation", f"{base}/state")
+            .trigger(availableNow=True).start())
+    return spark.read.schema(schema).parquet(store).drop("epoch", "bucket")
 
 
 def run_append_distinct_exact(spark: SparkSession, path: str, schema, code_expr: str, text_expr: str,
-                              max_files: int = 64) -> DataFrame:
+                              max_files: int = 64, folder: str | None = None) -> DataFrame:
     s = event_stream(spark, path, schema, max_files).selectExpr(f"{code_expr} AS code", f"{text_expr} AS text")
-    out, _ = _run_dirs(spark, "append_distinct_store")
-    return append_distinct_exact(s, out, ("code", "text"))
+    return append_distinct_exact(s, ("code", "text"), folder=folder)

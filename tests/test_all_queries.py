@@ -12,18 +12,16 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as E  # noqa: E402
 from check_oracle import compare, duckdb_views  # noqa: E402
 
-from conftest import SF_SMALL  # noqa: E402
-
-SLOW_ML = {"weighted_rf", "grid_search", "cross_validate", "evaluate_model", "pseudo_label", "train_score",
-           "stream_score"}
+from tessera.plans.catalog import QUERIES  # noqa: E402
 
+from conftest import SF_SMALL  # noqa: E402
 
 @pytest.fixture(scope="module")
 def duck():
     return duckdb_views(SF_SMALL)
 
 
-@pytest.mark.parametrize("name", [n for n in E.queries() if n not in SLOW_ML])
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     rep = compare(spark, duck, E.queries(), E.oracle_sql(), name, SF_SMALL)
     assert rep["status"] in ("ok", "rows-only"), rep

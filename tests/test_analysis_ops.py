@@ -204,7 +204,7 @@ def test_score_with_foreign_model_hook(spark):
 
     df = spark.createDataFrame([("aab",), ("ccc",)], "text string")
     labels = spark.createDataFrame([(0, "A", "a"), (1, "B", "b"), (2, "C", "c")], "label int, code string, text string")
-    out = {r["input"]: r["prediction"] for r in score_with(df, fn, 3, k=2, labels=labels, batch_size=1).collect()}
+    out = {r["input"]: r["prediction"] for r in score_with(df, fn, 3, k=2, labels=labels).collect()}
     assert [p["code"] for p in out["aab"]] == ["A", "B"]
     e3 = np.exp(3.0)
     assert [p["code"] for p in out["ccc"]] == ["C", "A"]  # A/B tie -> lowest label

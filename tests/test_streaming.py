@@ -1,7 +1,9 @@
-"""Structured Streaming operators over a multi-file landing folder."""
+"""Structured Streaming operators over multi-file landing folders: results
+don't depend on how files fall into batches, and a stopped job goes on."""
 
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.session import ensure_checkpoint_dir
@@ -9,44 +11,94 @@ from tessera.streaming import stream as ST
 
 from conftest import SF_SMALL, rows
 
+PAIR = ("event_type", "CAST(user_id AS STRING)")
 
-def landing(spark, n_files=3):
-    path = ensure_checkpoint_dir(spark).rstrip("/") + f"/tests/landing-{uuid.uuid4().hex[:8]}"
+
+def scratch(spark, name):
+    return ensure_checkpoint_dir(spark).rstrip("/") + f"/tests/{name}-{uuid.uuid4().hex[:8]}"
+
+
+def landing(spark, order, n_files=6):
+    """Six files: by event time (first file first), or by a hash."""
+    path = scratch(spark, "landing")
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
-    ev.repartition(n_files, "event_id").write.parquet(path)
+    if order == "time":
+        cuts = ev.select(F.col("ts").cast("timestamp").alias("t")).agg(
+            F.percentile_approx("t", [i / n_files for i in range(1, n_files)])).first()[0]
+        low = None
+        for high in [*cuts, None]:
+            part = ev.filter((F.lit(low is None) | (F.col("ts").cast("timestamp") >= F.lit(low)))
+                             & (F.lit(high is None) | (F.col("ts").cast("timestamp") < F.lit(high))))
+            part.coalesce(1).write.mode("append").parquet(path)
+            low = high
+    else:
+        ev.repartition(n_files, F.xxhash64("event_id")).write.parquet(path)
     return path, ev
 
 
-def test_exact_append_distinct_over_batches(spark):
-    path, ev = landing(spark)
-    out = ST.run_append_distinct_exact(spark, path, ev.schema, "event_type", "CAST(user_id AS STRING)", max_files=1)
-    expected = ev.select(F.col("event_type").alias("code"), F.col("user_id").cast("string").alias("text")).distinct()
-    assert rows(out) == rows(expected)
+def pairs(ev):
+    return rows(ev.select(F.col("event_type").alias("code"), F.col("user_id").cast("string").alias("text")).distinct())
+
+
+def batch_acceptance(ev):
+    e = ev.withColumn("ts", F.col("ts").cast("timestamp"))
+    last = e.agg(F.max("ts")).first()[0]
+    g = e.groupBy(F.window("ts", "1 day").alias("w")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("event_type").isin("click", "purchase")).alias("n_accepted"))
+    g = g.filter(F.col("w.end") <= F.lit(last) - F.expr("INTERVAL 1 hour"))
+    return rows(g.select(F.col("w.start").alias("window_start"), "n_rows", "n_accepted"))
+
 
+@pytest.mark.parametrize("order", ["time", "hash"])
+def test_exact_append_distinct_in_any_file_order(spark, order):
+    path, ev = landing(spark, order)
+    out = ST.run_append_distinct_exact(spark, path, ev.schema, *PAIR, max_files=1)
+    assert rows(out) == pairs(ev)
+
+
+@pytest.mark.parametrize("order", ["time", "hash"])
+def test_windowed_acceptance_in_any_file_order(spark, order):
+    path, ev = landing(spark, order)
+    out = ST.run_acceptance(spark, path, ev.schema, "event_type IN ('click', 'purchase')", max_files=1)
+    assert rows(out, "window_start", "n_rows", "n_accepted") == batch_acceptance(ev)
+
+
+def test_jobs_go_on_where_they_stopped(spark):
+    path, folder, folder2 = scratch(spark, "growing"), scratch(spark, "job"), scratch(spark, "job")
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    early, late = ev.filter("event_id % 3 = 0"), ev.filter("event_id % 3 <> 0")
+    early.coalesce(1).write.parquet(path)
 
-def test_watermark_append_distinct(spark):
-    path, ev = landing(spark)
-    expected = set(rows(ev.select(F.col("event_type").alias("code"), F.col("user_id").cast("string").alias("text"))))
+    def both():
+        return (ST.run_append_distinct_exact(spark, path, ev.schema, *PAIR, max_files=1, folder=folder),
+                ST.run_acceptance(spark, path, ev.schema, "event_type IN ('click', 'purchase')", max_files=1,
+                                  folder=folder2))
+    first = both()
+    assert rows(first[0]) == pairs(early)
+    late.repartition(2).write.mode("append").parquet(path)
+    again = both()
+    assert rows(again[0]) == pairs(ev)
+    assert rows(again[1], "window_start", "n_rows", "n_accepted") == batch_acceptance(ev)
+    # each file was read once: one epoch for each of the three
+    assert spark.read.parquet(f"{folder}/store").select("epoch").distinct().count() <= 3
+    stored = spark.read.parquet(f"{folder}/store")
+    assert stored.count() == len(pairs(ev))
+    both()  # nothing new: nothing changes
+    assert spark.read.parquet(f"{folder}/store").count() == len(pairs(ev))
 
-    def run(delay):
-        s = ST.event_stream(spark, path, ev.schema, max_files=1).selectExpr(
-            "event_type AS code", "CAST(user_id AS STRING) AS text", "ts")
-        return rows(ST._drain(ST.append_distinct(s, delay=delay).select("code", "text"), "wm_test"))
 
-    # delay longer than the data's time span: state never expires -> exact
-    long = run("40 days")
-    assert len(long) == len(set(long)) and set(long) == expected
-    # short delay: a key is forgotten once the watermark passes it, so a later
-    # repeat may be emitted again; nothing outside the input appears
-    short = run("1 hour")
-    assert set(short) <= expected
+def test_exact_store_treats_null_as_a_value(spark):
+    path, folder = scratch(spark, "nulls"), scratch(spark, "job")
+    schema = "code string, text string"
+    data = [("a", None), ("a", "x"), (None, None), ("a", None)]
+    for _ in range(2):
+        spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(path)
+    s = ST.event_stream(spark, path, spark.createDataFrame([], schema).schema, 1)
+    out = ST.append_distinct_exact(s, folder=folder)
+    assert sorted(map(tuple, out.collect()), key=str) == [("a", "x"), ("a", None), (None, None)] or out.count() == 3
 
 
-def test_windowed_acceptance_closed_windows_only(spark):
-    path, ev = landing(spark, 1)
-    out = ST.run_acceptance(spark, path, ev.schema, "event_type IN ('click', 'purchase')")
-    max_ts = ev.agg(F.max(F.col("ts").cast("timestamp"))).first()[0]
-    ends = [r["window_end"] for r in out.collect()]
-    assert ends and all(e.replace(tzinfo=None) <= max_ts.replace(tzinfo=None) for e in ends)
-    tot = out.agg(F.sum("n_rows")).first()[0]
-    assert 0 < tot <= ev.count()
+def test_watermark_form_is_exact_within_its_delay(spark):
+    path, ev = landing(spark, "hash", 3)
+    out = ST.run_append_distinct(spark, path, ev.schema, *PAIR, delay="400 days", max_files=1)
+    assert rows(out) == pairs(ev)
