@@ -9,7 +9,11 @@ pass (fixed-sequence testing needs no correction within a ladder; Bonferroni
 covers ladders and strata), and the strictest that passed is used. So with
 probability 1 - ``error``, in every stratum at once, all rules together reject
 at most ``max_risk`` of the good documents. A stratum with too few labels
-passes no cutoff and keeps its documents.
+passes no cutoff and keeps its documents. Rules are then taken in order, and one
+is used only if, of the labelled documents that the rules before it leave, it
+rejects a larger share of the bad than of the good ones: a rule that finds
+nothing more would only cost good documents. (Dropping rules can't raise the
+number of rejected documents, so the guarantee stands.)
 """
 
 from __future__ import annotations
@@ -139,32 +143,41 @@ def calibrate(feats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label
               max_risk: float = MAX_RISK, error: float = ERROR) -> dict[str, dict[str, Fraction]]:
     """Chosen cutoffs by stratum and rule.
 
-    The holdout is every labelled good document that passes the base rule;
+    The holdout is every labelled document that passes the base rule;
     nothing else is fitted on it. Repeated labels of an id count once (bad if
     any says so), null labels don't count. Counts are aggregated in Spark: one
     row per stratum reaches the driver, and only of strata large enough to
     certify anything.
     """
-    good = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(id_col).agg(
-        F.min(label_col).alias("_good")).filter(F.col("_good") == 1).select(id_col)
+    marks = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(id_col).agg(
+        (F.min(label_col) == 1).alias("_good"))
     risk = max_risk / len(RULES)
-    held = feats.filter(~base_failed()).join(good, id_col, "left_semi")
+    held = cut(feats.filter(~base_failed()).join(marks, id_col).select("stratum", "_good", *FEATURES), "holdout")
     least = math.ceil(math.log(error / len(RULES)) / math.log1p(-risk))
-    cells = [F.sum(fails(r, c).cast("long")).alias(f"{r[0]}_{i}") for r in RULES for i, c in enumerate(r[4])]
-    rows = held.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *cells).filter(F.col("n") >= least).collect()
+    good = F.col("_good")
+    cells = [F.count_if(fails(r, c) & good).alias(f"{r[0]}_{i}") for r in RULES for i, c in enumerate(r[4])]
+    rows = held.groupBy("stratum").agg(F.count_if(good).alias("n"), *cells).filter(F.col("n") >= least).collect()
     level = error / (max(1, len(rows)) * len(RULES))
     out: dict[str, dict[str, Fraction]] = {}
-    for row in rows:
-        for r in RULES:
+    for r in RULES:
+        passed = {}
+        for row in rows:
             for i, c in enumerate(r[4]):
                 if not certified(row[f"{r[0]}_{i}"], row["n"], risk, level):
                     break
-                out.setdefault(row["stratum"], {})[r[0]] = c
+                passed[row["stratum"]] = {r[0]: c}
+        hit = rejected(passed)
+        left = held.filter(~rejected(out)).groupBy("stratum").agg(
+            F.count_if(good).alias("n"), F.count_if(~good).alias("n_bad"),
+            F.count_if(good & hit).alias("k"), F.count_if(~good & hit).alias("k_bad"))
+        for row in left.filter(F.col("k_bad") * F.col("n") > F.col("k") * F.col("n_bad")).collect() if passed else ():
+            out.setdefault(row["stratum"], {}).update(passed[row["stratum"]])
     return out
 
 
-def verdict(cutoffs: dict[str, dict[str, Fraction]]):
-    """Column: kept. The chosen cutoffs are literals, so there is no join."""
+def rejected(cutoffs: dict[str, dict[str, Fraction]]):
+    """Column: some chosen cutoff rejects the row. Cutoffs are literals, so
+    there is no join."""
     bad = F.lit(False)
     for stratum, chosen in sorted(cutoffs.items()):
         hit = F.lit(False)
@@ -172,7 +185,12 @@ def verdict(cutoffs: dict[str, dict[str, Fraction]]):
             if r[0] in chosen:
                 hit = hit | fails(r, chosen[r[0]])
         bad = bad | ((F.col("stratum") == stratum) & hit)
-    return ~base_failed() & ~bad
+    return bad
+
+
+def verdict(cutoffs: dict[str, dict[str, Fraction]]):
+    """Column: kept."""
+    return ~base_failed() & ~rejected(cutoffs)
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
