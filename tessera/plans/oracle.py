@@ -80,13 +80,13 @@ ORACLES: dict[str, str] = {
     "parse_code_list": f"""SELECT o_orderkey, c IS NULL AS list_is_null, CAST(coalesce(len(c), 0) AS INTEGER) AS n_codes,
         array_to_string(c, ',') AS codes
       FROM (SELECT o_orderkey, {S.parse_list('icd10')} AS c FROM {S.CODE_LISTS})""",
-    "crosswalk": f"""WITH cl AS (SELECT o_orderkey, {S.parse_list('icd10')} AS c FROM {S.CODE_LISTS}),
-      dim1 AS (SELECT k, arg_min(v, ord) AS v FROM {S.PART_DIM} GROUP BY k),
-      ex AS (SELECT o_orderkey, unnest(c) AS elem, generate_subscripts(c, 1) AS pos FROM cl),
-      m AS (SELECT ex.o_orderkey, count(*) AS n, string_agg(dim1.v, '; ' ORDER BY ex.pos) AS j
-            FROM ex JOIN dim1 ON ex.elem = dim1.k GROUP BY ex.o_orderkey)
-      SELECT cl.o_orderkey, CAST(coalesce(m.n, 0) AS INTEGER) AS n_matched, coalesce(m.j, '') AS descriptions
-      FROM cl LEFT JOIN m USING (o_orderkey)""",
+    # the lists hold l_partkey || '.0', which TXT1 (checked by parse_code_list)
+    # reads as l_partkey || '0': the same look-up without the text round trip
+    "crosswalk": f"""WITH dim1 AS (SELECT k, arg_min(v, ord) AS v FROM {S.PART_DIM} GROUP BY k),
+      m AS (SELECT l_orderkey, count(*) AS n, string_agg(dim1.v, '; ' ORDER BY l_linenumber, l_partkey) AS j
+            FROM lineitem JOIN dim1 ON dim1.k = CAST(l_partkey AS VARCHAR) || '0' GROUP BY l_orderkey)
+      SELECT o_orderkey, CAST(coalesce(m.n, 0) AS INTEGER) AS n_matched, coalesce(m.j, '') AS descriptions
+      FROM orders LEFT JOIN m ON l_orderkey = o_orderkey""",
     "split_rows": f"""SELECT row_key, cod AS code, unnest(string_split(incl, '; ')) AS text
       FROM {S.CODE_SYSTEM} WHERE incl IS NOT NULL""",
     "stack_origins": f"SELECT * FROM {S.STACKED}",
