@@ -34,7 +34,7 @@ from tessera.llm.common import cut, hot_lookup, with_slices
 
 BANDS, ROWS = 40, 6
 BINS = BANDS * ROWS
-CHUNK = 2048  # sets held at once in a task
+CHUNK = 512  # sets held at once in a task
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _S = np.uint64(33)

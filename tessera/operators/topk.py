@@ -52,26 +52,36 @@ def score_topk(df: DataFrame, scores: str, k: int = 5, apply_softmax: bool = Tru
 
 def attach_prediction_labels(df: DataFrame, labels: DataFrame, pred: str = "prediction",
                              key: str | None = None, how: str = "left") -> DataFrame:
-    """Fill ``code``/``text`` into each prediction struct: JOI2 on the long
-    form, then regrouped per row in rank order.
-
-    Rows are regrouped by ``key`` when it is unique, otherwise by a row tag,
-    so duplicated inputs keep one prediction list each. The other columns ride
-    through the aggregate (``first``); a row's predictions never leave the
-    task that exploded them before the partial aggregate.
+    """Fill ``code``/``text`` into each prediction struct, in place: the label
+    dimension (one row per class of the model; of a repeated label the
+    smallest code counts) becomes one map, a one-row subquery of the same job,
+    and each row looks its ``k`` labels up. No explode, no shuffle, and texts
+    stay where they are. ``how='inner'`` drops unknown labels. ``key`` is not
+    needed any more and accepted for older callers.
     """
-    rid = key or "_rid"
-    base = df if key else df.withColumn(rid, F.monotonically_increasing_id())
-    carry = [c for c in base.columns if c not in (rid, pred)]
-    long = base.select(rid, *carry, F.explode_outer(pred).alias("_p"))
-    long = long.select(rid, *carry, F.col("_p.rank").alias("rank"), F.col("_p.label").alias("label"),
-                       F.col("_p.value").alias("value"))
-    dim = labels.select("label", "code", "text")
-    j = long.join(small_side(dim), "label", how)
-    entry = F.when(F.col("rank").isNotNull(), F.struct("rank", "label", "code", "text", "value"))
-    out = j.groupBy(rid).agg(*[F.first(c).alias(c) for c in carry],
-                             F.sort_array(F.collect_list(entry)).alias(pred))
-    return out if key else out.drop(rid)
+    dim = labels.filter(F.col("label").isNotNull()).groupBy("label").agg(
+        F.min(F.struct("code", "text")).alias("_d"))
+    table = dim.agg(F.map_from_entries(F.collect_list(F.struct("label", "_d")))).scalar()
+    kind = dict(labels.dtypes)["label"]
+
+    def fill(p):
+        d = F.try_element_at(F.col("_labels"), p["label"].cast(kind))
+        return F.struct(p["rank"].alias("rank"), p["label"].alias("label"), d["code"].alias("code"),
+                        d["text"].alias("text"), p["value"].alias("value"))
+    filled = F.transform(F.col(pred), fill)
+    if how == "inner":
+        known = F.map_keys("_labels")
+        filled = F.filter(filled, lambda p: F.array_contains(known, p["label"].cast(kind)))
+    cols = [F.coalesce(filled, F.array().cast(_filled_type(df, labels, pred))).alias(pred) if c == pred else F.col(c)
+            for c in df.columns]
+    return df.withColumn("_labels", table).select(*cols)
+
+
+def _filled_type(df: DataFrame, labels: DataFrame, pred: str) -> str:
+    entry = {f.name: f.dataType.simpleString() for f in df.schema[pred].dataType.elementType.fields}
+    dim = dict(labels.dtypes)
+    return (f"array<struct<rank:{entry['rank']},label:{entry['label']},code:{dim['code']},text:{dim['text']},"
+            f"value:{entry['value']}>>")
 
 
 def topk_long(df: DataFrame, pred: str = "prediction") -> DataFrame:
