@@ -17,7 +17,9 @@ def crosswalk(df: DataFrame, list_col: str, dim: DataFrame, dim_key: str, dim_va
     * the *first* dimension row per key (by ``dim_order``) wins;
     * elements without a match are dropped; element order and repeats kept;
     * ``out_list`` is the array of values, ``out_join`` the ``sep``-joined
-      string; a NULL or empty list gives ``[]`` and ``''``.
+      string; a NULL or empty list gives ``[]`` and ``''``;
+    * ``key`` must be unique: rows that share it become one. Without that
+      promise leave it out, and rows are told apart by a tag.
 
     Plan: ``posexplode_outer`` (narrow) -> left join on the element (the
     deduplicated dimension is broadcast only after a row-count check) ->

@@ -159,7 +159,7 @@ def lsh_candidates(items: DataFrame, queries: DataFrame) -> DataFrame:
 
 
 def vector_topk_lsh(items: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id",
-                    vec_col: str = "embedding", bucket_length: float = 0.25, num_tables: int = 6, hashes: int = 8,
+                    vec_col: str = "embedding", bucket_length: float = 0.25, num_tables: int = 6, hashes: int = 12,
                     seed: int = 42, exclude_self: bool = False) -> DataFrame:
     """VEC2. Approximate cosine top-k: :func:`lsh_keys` buckets, an equi-join
     on them, exact cosine of the candidates, then WIN5. Approximate by design:

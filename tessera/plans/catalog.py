@@ -459,7 +459,7 @@ def q_vector_lsh_recall(spark, d):
     e = V.table(spark, d, "embeddings")
     found = q_vector_topk_lsh(spark, d).filter("rank = 1").agg(
         F.count_if(F.col("query_id") == F.col("item_id"))).scalar()
-    args = dict(tables=6, hashes=8, bucket_length=0.25)
+    args = dict(tables=6, hashes=12, bucket_length=0.25)
     pairs = lsh_candidates(lsh_keys(e, "vec_id", "embedding", **args),
                            lsh_keys(_disturbed(spark, d), "vec_id", "embedding", **args)).agg(F.count(F.lit(1))).scalar()
     n = F.count(F.lit(1))
