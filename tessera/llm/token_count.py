@@ -133,10 +133,7 @@ class TextCounter:
             part = new[i:i + WORDS_AT_ONCE]
             for w, n in zip(part, self._merger.counts([w.encode() for w in part]).tolist()):
                 (known if len(w) <= CACHED_CHARS else long)[w] = n
-        if long:
-            get = {**known, **long}.__getitem__ if len(known) < 1000 else lambda w: known[w] if w in known else long[w]
-        else:
-            get = known.__getitem__
+        get = (lambda w: known[w] if w in known else long[w]) if long else known.__getitem__
         return marks + np.fromiter((sum(map(get, p)) for p in pieces), np.int64, len(pieces))
 
 
