@@ -206,9 +206,9 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vect
     floors = first.select("qblk", "floor").mapInArrow(lowest, "qblk long, floor binary, lowest double")
     # pairs of block numbers only; whole pairs fall here by the length bound
     norms = items.filter(F.col("iblk") != head).select("iblk", "max_norm")
-    blocks = norms.agg(F.sort_array(F.collect_list(F.struct("iblk", "max_norm"))).alias("_b"))
-    wanted = q.select("qblk", "q_norm").join(floors.select("qblk", "lowest"), "qblk").join(F.broadcast(blocks))
-    wanted = wanted.select("qblk", "q_norm", "lowest", F.explode("_b").alias("_b")).select(
+    blocks = norms.agg(F.sort_array(F.collect_list(F.struct("iblk", "max_norm")))).scalar()
+    wanted = q.select("qblk", "q_norm").join(floors.select("qblk", "lowest"), "qblk")
+    wanted = wanted.select("qblk", "q_norm", "lowest", F.explode(blocks).alias("_b")).select(
         "qblk", F.col("_b.iblk").alias("iblk")).filter(
         F.col("q_norm") * F.col("_b.max_norm") * (1 + 1e-9) + 1e-6 >= F.col("lowest"))
     rest = wanted.join(items.select("iblk", "ids", "vecs"), "iblk").join(
