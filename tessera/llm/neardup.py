@@ -300,7 +300,9 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str,
             yield pa.RecordBatch.from_arrays([pa.array(rep, pa.int64()), pa.array(out, pa.binary())],
                                              names=["rep", "shingles"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("_text")).join(wanted, "rep")
+    # the wanted ids grow with the corpus: one plan at every size, no broadcast
+    rows = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("_text")).join(
+        wanted.hint("shuffle_hash"), "rep")
     return rows.select("rep", "_text", "cls").mapInArrow(run, "rep long, shingles binary").dropDuplicates(["rep"])
 
 
