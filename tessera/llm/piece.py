@@ -125,13 +125,13 @@ class PieceModel:
             at = end - len(piece) + 1
             if len(piece) > len(longest[at]):
                 longest[at] = piece
-        open_ = (1 << (len(text) + 1)) - 1  # bit i: a border at i has not failed
+        failed = bytearray(len(text) // 8 + 1)  # bit i: no encoding has a border at i
         out, at, token = [], 0, longest[0]
         while True:
             last = out[-1] if out else ""
             while token:
                 end = at + len(token)
-                if open_ >> end & 1 and self._fit(last, token):
+                if not failed[end >> 3] >> (end & 7) & 1 and self._fit(last, token):
                     break
                 token = self._next_shorter(token)
             if token:
@@ -143,7 +143,7 @@ class PieceModel:
             else:
                 if not out:
                     raise ValueError(f"no encoding of {text!r}")
-                open_ &= ~(1 << at)
+                failed[at >> 3] |= 1 << (at & 7)
                 token = out.pop()
                 at -= len(token)
 
