@@ -1,7 +1,11 @@
 """The corpus pipeline: quality rules, language ID, near-duplicates, packing.
 
 Each stage reads the table its predecessor wrote. All but the last return the
-columns of ``documents``; the last returns the packed pieces.
+columns of ``documents`` (and any others the table has, whatever their names);
+the last returns the packed pieces. Null, empty and very short texts fail the
+base rule and go in the first stage; very long texts are read whole by all.
+Rows without a doc_id pass near-duplicate removal; rows that repeat a doc_id
+leave it once. An empty table gives an empty result at every stage.
 """
 
 from __future__ import annotations
@@ -32,7 +36,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     stays; of rows that repeat a doc_id, one does. Rows without a doc_id stay."""
     judged = cut(neardup.near_duplicates(docs, words=5, percent=80), "judged")
     gone = judged.filter(~F.col("kept")).select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    # what goes grows with the corpus: one plan at every size, no broadcast
+    left = docs.join(gone.hint("shuffle_hash"), "doc_id", "left_anti").select(*docs.columns)
     named = F.col("doc_id").isNotNull()
     if judged.filter(named).groupBy("doc_id").count().filter("count > 1").limit(1).count():
         left = left.filter(named).dropDuplicates(["doc_id"]).unionByName(left.filter(~named))
