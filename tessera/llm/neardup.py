@@ -52,7 +52,7 @@ class Shingler:
     than a shingle is one shingle, the whole word sequence; without words the
     set is empty."""
 
-    WORDS = 500_000
+    WORDS = 250_000
 
     def __init__(self, words: int):
         self.words = words
