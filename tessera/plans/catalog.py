@@ -545,10 +545,12 @@ def q_hybrid_sample(spark, d):
 
 
 def _class_scores(spark, d):
-    from tessera.functions.arrays import softmax
-    e = V.table(spark, d, "embeddings")
-    return e.select(F.col("vec_id").alias("id"), "label",
-                    F.posexplode(softmax("embedding")).alias("class", "score"))
+    """Softmax of every score array in long form: the row's maximum and sum are
+    computed once, before its entries are exploded."""
+    e = V.table(spark, d, "embeddings").withColumn("_m", F.array_max("embedding").cast("double"))
+    e = e.withColumn("_s", F.aggregate("embedding", F.lit(0.0), lambda a, x: a + F.exp(x.cast("double") - F.col("_m"))))
+    e = e.select(F.col("vec_id").alias("id"), "label", "_m", "_s", F.posexplode("embedding").alias("class", "_x"))
+    return e.select("id", "label", "class", (F.exp(F.col("_x").cast("double") - F.col("_m")) / F.col("_s")).alias("score"))
 
 
 def q_tune_thresholds(spark, d):
