@@ -15,6 +15,9 @@ from tessera.operators.topk import topk_per_key
 BLOCK_ROWS = 20_000
 # Bound on the queries x items score matrix held at once (doubles).
 SCORE_CELLS = 4_000_000
+# LSH: rows whose keys are made at once, rows per side of a scoring cell, and
+# candidate pairs scored at once.
+KEY_ROWS, CELL_QUERIES, CELL_ITEMS, PAIRS = 512, 2_048, 4_096, 100_000
 
 SCHEMA = "query_id long, item_id long, score double"
 
@@ -123,28 +126,32 @@ def _grid_candidates(spark, q: DataFrame, it: DataFrame, k: int, exclude_self: b
             .applyInPandas(_cell_topk(k, exclude_self), SCHEMA))
 
 
-def lsh_keys(df: DataFrame, id_col: str, vec_col: str, tables: int, hashes: int, bucket_length: float,
+def lsh_keys(df: DataFrame, id_col: str, vec_col: str, tables: int, hashes: int, bucket_length: float | None,
              seed: int = 42) -> DataFrame:
     """``(id, unit, keys)``: the unit vector and one bucket key per table. A
     key combines ``hashes`` random projections, each cut into steps of
-    ``bucket_length``, so unrelated vectors rarely share one."""
+    ``bucket_length``, or at zero if it is None. More hashes part unrelated
+    vectors, more tables find vectors that lie further apart."""
     import pyarrow as pa
 
     def run(batches):
         for b in batches:
-            if not b.num_rows:
-                continue
-            unit = _unit_rows(b.column(1).to_pylist())
-            rng = np.random.default_rng(seed)
-            plane = rng.normal(size=(unit.shape[1], tables * hashes))
-            plane /= np.linalg.norm(plane, axis=0)
-            step = np.floor(unit @ plane / bucket_length + rng.random(tables * hashes)).astype(np.int64)
-            key = np.tile(np.arange(tables, dtype=np.int64), (len(unit), 1))
-            for h in range(hashes):
-                key = key * 1_000_003 + step.reshape(len(unit), tables, hashes)[:, :, h]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(list(unit), pa.list_(pa.float64())), pa.array(list(key), pa.list_(pa.int64()))],
-                names=["id", "unit", "keys"])
+            for lo in range(0, b.num_rows, KEY_ROWS):
+                part = b.slice(lo, KEY_ROWS)
+                unit = _unit_rows(part.column(1).to_pylist())
+                rng = np.random.default_rng(seed)
+                plane = rng.normal(size=(unit.shape[1], tables * hashes))
+                plane /= np.linalg.norm(plane, axis=0)
+                if bucket_length is None:
+                    step = (unit @ plane > 0).astype(np.int64)
+                else:
+                    step = np.floor(unit @ plane / bucket_length + rng.random(tables * hashes)).astype(np.int64)
+                key = np.tile(np.arange(tables, dtype=np.int64), (len(unit), 1))
+                for h in range(hashes):
+                    key = key * 1_000_003 + step.reshape(len(unit), tables, hashes)[:, :, h]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(list(unit), pa.list_(pa.float64())), pa.array(list(key), pa.list_(pa.int64()))],
+                    names=["id", "unit", "keys"])
 
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
     return rows.filter(F.col("v").isNotNull()).mapInArrow(run, "id long, unit array<double>, keys array<long>")
@@ -158,22 +165,60 @@ def lsh_candidates(items: DataFrame, queries: DataFrame) -> DataFrame:
     return qs.join(it, "_key").select("query_id", "item_id").distinct()
 
 
+def _score_cell(k: int):
+    """applyInPandas body: the candidates of one (query block, item block)
+    cell are scored exactly, ``PAIRS`` at once; emits ``k`` rows per query."""
+
+    def run(ipdf: pd.DataFrame, qpdf: pd.DataFrame) -> pd.DataFrame:
+        best = pd.DataFrame({"query_id": pd.Series([], dtype="int64"), "item_id": pd.Series([], dtype="int64"),
+                             "score": pd.Series([], dtype="float64")})
+        if ipdf.empty or qpdf.empty:
+            return best
+        where = pd.Series(np.arange(len(qpdf)), index=qpdf["query_id"].to_numpy())  # an id may repeat
+        qid, q = qpdf["query_id"].to_numpy(), np.stack(qpdf["_q"].to_numpy())
+        iid, x = ipdf["item_id"].to_numpy(), np.stack(ipdf["_i"].to_numpy())
+        many = np.fromiter(map(len, ipdf["_near"]), np.int64, len(ipdf))
+        lo = 0
+        while lo < len(ipdf):
+            hi = max(lo + 1, int(np.searchsorted(np.cumsum(many[lo:]), PAIRS, "right")) + lo)
+            near = pd.DataFrame({"i": np.repeat(np.arange(lo, hi), many[lo:hi]),
+                                 "query_id": np.concatenate(ipdf["_near"].to_numpy()[lo:hi])})
+            near = near.join(where.rename("q"), on="query_id", how="inner")
+            a, b = near["q"].to_numpy(), near["i"].to_numpy()
+            score = np.round(np.einsum("ij,ij->i", q[a], x[b]), 12)
+            found = pd.DataFrame({"query_id": qid[a], "item_id": iid[b], "score": score})
+            best = pd.concat([best, found]).sort_values(["query_id", "score", "item_id"], ascending=[True, False, True])
+            best = best.groupby("query_id", sort=False).head(k)
+            lo = hi
+        return best
+
+    return run
+
+
 def vector_topk_lsh(items: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id",
-                    vec_col: str = "embedding", bucket_length: float = 0.25, num_tables: int = 6, hashes: int = 12,
-                    seed: int = 42, exclude_self: bool = False) -> DataFrame:
+                    vec_col: str = "embedding", bucket_length: float | None = None, num_tables: int = 480,
+                    hashes: int = 10, seed: int = 42, exclude_self: bool = False) -> DataFrame:
     """VEC2. Approximate cosine top-k: :func:`lsh_keys` buckets, an equi-join
     on them, exact cosine of the candidates, then WIN5. Approximate by design:
-    pairs that share no bucket are not scored. A projection of unrelated unit
-    vectors spreads by ``1 / sqrt(dim)``: ``bucket_length`` about twice that,
-    with several hashes per key, keeps the candidate share small and finds
-    vectors within a small angle."""
+    pairs that share no bucket are not scored. The defaults are for neighbours
+    of cosine 0.3 and more, nine in ten of which they find; about 40 % of all
+    pairs become candidates. Near copies alone need far fewer: 6 tables of 12
+    hashes with steps of 0.25.
+
+    Candidates go to the cells of a block grid as lists of query ids, one list
+    per item and query block, so vectors move per block and not per pair."""
     it = lsh_keys(items, id_col, vec_col, num_tables, hashes, bucket_length, seed)
     qs = lsh_keys(queries, id_col, vec_col, num_tables, hashes, bucket_length, seed)
+    qb, ib = max(1, -(-queries.count() // CELL_QUERIES)), max(1, -(-items.count() // CELL_ITEMS))
     pairs = lsh_candidates(it, qs)
     if exclude_self:
         pairs = pairs.filter(F.col("query_id") != F.col("item_id"))
-    j = pairs.join(qs.select(F.col("id").alias("query_id"), F.col("unit").alias("_q")), "query_id").join(
-        it.select(F.col("id").alias("item_id"), F.col("unit").alias("_i")), "item_id")
-    dot = F.aggregate(F.zip_with("_q", "_i", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    return topk_per_key(j.select("query_id", "item_id", F.round(dot, 12).alias("score")), "query_id", "score", k,
-                        "item_id")
+    near = pairs.groupBy("item_id", F.pmod(F.xxhash64("query_id"), F.lit(qb)).alias("_qb")).agg(
+        F.collect_list("query_id").alias("_near"))
+    left = near.join(it.select(F.col("id").alias("item_id"), F.col("unit").alias("_i")), "item_id").withColumn(
+        "_ib", F.pmod(F.xxhash64("item_id"), F.lit(ib)))
+    right = qs.select(F.col("id").alias("query_id"), F.col("unit").alias("_q"),
+                      F.pmod(F.xxhash64("id"), F.lit(qb)).alias("_qb"),
+                      F.explode(F.sequence(F.lit(0).cast("long"), F.lit(ib - 1).cast("long"))).alias("_ib"))
+    scored = left.groupBy("_qb", "_ib").cogroup(right.groupBy("_qb", "_ib")).applyInPandas(_score_cell(k), SCHEMA)
+    return topk_per_key(scored, "query_id", "score", k, "item_id")

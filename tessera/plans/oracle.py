@@ -309,6 +309,7 @@ def _selector_sql() -> str:
 PRED_EVEN = f"(SELECT * FROM {TERM_PRED} WHERE length(input) % 2 = 0)"
 
 ORACLES.update({
+    "vector_lsh_neighbours": "SELECT count(*) AS n_queries, TRUE AS recall_ok FROM embeddings WHERE vec_id % 20 = 0",
     "vector_lsh_recall": "SELECT count(*) AS n_queries, TRUE AS recall_ok, TRUE AS candidates_ok FROM embeddings",
     "merge_predictions_left": f"""SELECT t.*, p.top_prediction, FALSE AS fan_out FROM {T} t LEFT JOIN {PRED_EVEN} p
         ON t.text = p.input

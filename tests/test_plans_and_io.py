@@ -102,6 +102,20 @@ def test_vector_topk_matches_brute_force(spark):
         assert [got[(ids[qi], r)] for r in (1, 2, 3)] == [ids[j] for j in order]
 
 
+def test_vector_topk_lsh_finds_the_true_neighbours(spark, monkeypatch):
+    from tessera.operators import vector as VC
+    e = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet")
+    probes = e.filter("vec_id % 20 = 0")
+    exact = {(r["query_id"], r["item_id"]) for r in VC.vector_topk(e, probes, 5, exclude_self=True).collect()}
+    one = rows(VC.vector_topk_lsh(e, probes, 5, exclude_self=True), "query_id", "item_id", "rank")
+    assert len(exact & {(q, i) for q, i, _ in one}) >= 0.9 * len(exact)
+    assert all(q != i for q, i, _ in one)
+    assert set(E.queries()["vector_topk_lsh"](spark, SF_SMALL).select("query_id", "item_id", "rank").collect()) == set(one)
+    for name, n in (("CELL_QUERIES", 4), ("CELL_ITEMS", 50), ("PAIRS", 64)):
+        monkeypatch.setattr(VC, name, n)
+    assert rows(VC.vector_topk_lsh(e, probes, 5, exclude_self=True), "query_id", "item_id", "rank") == one
+
+
 def test_vector_topk_blocks(spark):
     from tessera.operators.vector import vector_topk
     e = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet")
