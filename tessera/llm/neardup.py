@@ -1,7 +1,7 @@
 """Near-duplicate documents: one-permutation MinHash with optimal densification.
 
 1. Each text becomes its set of word-shingle hashes (64 bit); texts with equal
-   sets are one class, represented by its smallest doc_id.
+   sets are one class with a number of its own, stated as its smallest doc_id.
 2. Each class gets a one-permutation sketch: the hash range is cut into
    ``BINS``, each bin keeps its smallest hash; an empty bin copies a filled one
    chosen by a fixed random order of its own (optimal densification).
@@ -117,8 +117,8 @@ def band_keys(sk: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarra
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """Per row: ``doc_id``, ``n_shingles``, ``cls`` (hash of the set, null if
-    empty) and ``keys``. One pass over the texts; nothing wide leaves it."""
+    """Per row: ``doc_id``, ``text_hash``, ``n_shingles``, ``cls`` (hash of the
+    set, null if empty) and ``keys``. One pass over the texts; nothing wide leaves it."""
     def run(batches):
         of = _shingler(words)
         for b in with_slices(batches, 512):
@@ -129,16 +129,16 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFra
                 cls.append(hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest() if len(s) else None)
                 keys.append(band_keys(sketch(s)) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.string()),
-                 pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "cls", "keys"])
+                [b.column(0), b.column(2), pa.array(n, pa.int64()), pa.array(cls, pa.string()),
+                 pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "text_hash", "n_shingles", "cls", "keys"])
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(
-        run, "doc_id long, n_shingles long, cls string, keys array<long>")
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col), F.xxhash64(text_col)).mapInArrow(
+        run, "doc_id long, text_hash long, n_shingles long, cls string, keys array<long>")
 
 
 def star_edges(classes: DataFrame) -> DataFrame:
     """Distinct ``(hub, spoke)`` of all buckets of two or more classes.
-    ``classes``: ``rep``, ``n_shingles``, ``keys``. Buckets are counted with
+    ``classes``: ``rep`` (the class's number), ``keys``. Buckets are counted with
     partial aggregation; a bucket's centre is the class with the largest sum of
     bucket sizes (ties: smaller id). Pairs whose set sizes alone rule out the
     similarity are left to the block comparison of their star."""
@@ -287,22 +287,23 @@ def confirm(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """``(rep, shingles)`` of the wanted representatives (``rep``, ``cls``)."""
+    """``(rep, shingles)`` of the wanted classes: ``rep`` (the class's number),
+    ``cls``, and ``doc_id`` and ``text_hash`` of one of its rows."""
     def run(batches):
         of = _shingler(words)
         for b in with_slices(batches, 512):
             rep, cls, out = [], b.column(2).to_pylist(), []
-            for i, (d, text) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
+            for i, (c, text) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
                 raw = of(text).tobytes()
-                if hashlib.blake2b(raw, digest_size=16).hexdigest() == cls[i]:  # another row may share the id
-                    rep.append(d)
+                if hashlib.blake2b(raw, digest_size=16).hexdigest() == cls[i]:  # another text may share id and hash
+                    rep.append(c)
                     out.append(raw)
             yield pa.RecordBatch.from_arrays([pa.array(rep, pa.int64()), pa.array(out, pa.binary())],
                                              names=["rep", "shingles"])
 
     # the wanted ids grow with the corpus: one plan at every size, no broadcast
-    rows = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("_text")).join(
-        wanted.hint("shuffle_hash"), "rep")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
+                       F.col(text_col).alias("_text")).join(wanted.hint("shuffle_hash"), ["doc_id", "text_hash"])
     return rows.select("rep", "_text", "cls").mapInArrow(run, "rep long, shingles binary").dropDuplicates(["rep"])
 
 
@@ -327,6 +328,26 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _linked_classes(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int):
+    """``rows`` of :func:`sketches`; ``classes``, one row per set: ``node`` (its
+    number), ``cls``, ``rep`` and ``text_hash`` (its first row), ``copies``; and
+    the ``links`` between their numbers."""
+    rows = cut(sketches(docs, id_col, text_col, words), "sketches")
+    known = rows.filter(F.col("doc_id").isNotNull() & F.col("cls").isNotNull())
+    classes = known.groupBy("cls").agg(F.min(F.struct("doc_id", "text_hash")).alias("_f"),
+                                       F.count(F.lit(1)).alias("copies"))
+    classes = cut(classes.select("cls", F.col("_f.doc_id").alias("rep"), F.col("_f.text_hash").alias("text_hash"), "copies",
+                                 F.monotonically_increasing_id().alias("node")), "classes")
+    first = classes.select("cls", F.col("rep").alias("doc_id"), "text_hash", "node")
+    keys = known.join(first, ["cls", "doc_id", "text_hash"]).dropDuplicates(["cls"])
+    keys = cut(keys.select("cls", "doc_id", "text_hash", F.col("node").alias("rep"), "keys"), "keys")
+    edges = cut(star_edges(keys), "stars")
+    ends = edges.select(F.col("hub").alias("rep")).union(edges.select("spoke")).distinct()
+    wanted = keys.select("rep", "cls", "doc_id", "text_hash").join(ends, "rep", "left_semi")
+    sets = cut(shingle_sets(docs, wanted, id_col, text_col, words), "sets")
+    return rows, classes, cut(confirm(edges, sets, percent), "class-links")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
                     percent: int = 80) -> DataFrame:
     """Per row: ``doc_id``, ``n_shingles``, ``component_id``, ``kept``.
@@ -338,19 +359,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     node: component null, kept true. Only id and text are read, so other
     columns can't clash; an empty table gives no row.
     """
-    rows = cut(sketches(docs, id_col, text_col, words), "sketches")
+    rows, classes, links = _linked_classes(docs, id_col, text_col, words, percent)
     known = rows.filter(F.col("doc_id").isNotNull() & F.col("cls").isNotNull())
-    classes = cut(known.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "classes")
-    keys = known.join(classes.select("cls", F.col("rep").alias("doc_id")), ["cls", "doc_id"], "left_semi")
-    keys = cut(keys.dropDuplicates(["cls"]).select("cls", F.col("doc_id").alias("rep"), "keys"), "keys")
-    edges = cut(star_edges(keys), "stars")
-    ends = edges.select(F.col("hub").alias("rep")).union(edges.select("spoke")).distinct()
-    wanted = keys.select("rep", "cls").join(ends, "rep", "left_semi")
-    sets = cut(shingle_sets(docs, wanted, id_col, text_col, words), "sets")
-    links = confirm(edges, sets, percent)
+    for end in ("a", "b"):  # from classes to documents
+        links = links.join(classes.select(F.col("node").alias(end), F.col("rep").alias(f"_{end}")), end)
+    links = cut(links.select(F.col("_a").alias("a"), F.col("_b").alias("b")), "links")
     # a document of a class of several is linked with its representative
-    copies = hot_lookup(known.select("doc_id", "cls"), classes.filter("copies > 1"), "cls", "copies",
-                        known.count(), F.col("doc_id"))
+    copies = hot_lookup(known.select("doc_id", "cls"), classes.select("cls", "rep", "copies").filter("copies > 1"), "cls",
+                        "copies", known.count(), F.col("doc_id"))
     copies = copies.filter(F.col("rep").isNotNull() & (F.col("rep") != F.col("doc_id"))).select(
         F.col("rep").alias("a"), F.col("doc_id").alias("b")).distinct()
     labels = components(links)
@@ -367,3 +383,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     out = rows.select("doc_id", "n_shingles").join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
+             percent: int = 80) -> tuple[DataFrame, DataFrame]:
+    """``gone``: ``(doc_id, text_hash)`` (``xxhash64`` of the text) of all texts
+    but the first of each group of linked texts, and ``copies``: the rows'
+    ``doc_id`` and ``text_hash``. Texts are judged one by one here, also those
+    that share a doc_id; the first one has the smallest doc_id, then the
+    smallest hashes of its set and text. Rows without a doc_id are in no group.
+    """
+    rows, classes, links = _linked_classes(docs, id_col, text_col, words, percent)
+    labels = components(links)
+    group = classes.join(labels, "node", "left").select(F.coalesce("label", "node").alias("_g"), "rep", "cls", "text_hash")
+    first = group.groupBy("_g").agg(F.min(F.struct("rep", "cls", "text_hash")).alias("_f"))
+    first = first.select(F.col("_f.rep").alias("doc_id"), F.col("_f.text_hash").alias("text_hash"))
+    known = rows.filter(F.col("doc_id").isNotNull() & F.col("cls").isNotNull()).select("doc_id", "text_hash").distinct()
+    gone = known.join(first.hint("shuffle_hash"), ["doc_id", "text_hash"], "left_anti")
+    return gone, rows.select("doc_id", "text_hash")

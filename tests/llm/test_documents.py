@@ -292,6 +292,17 @@ def test_op9_edges(spark, edge_docs, no_docs):
     assert judged(neardup.near_duplicates(df, words=2))[0] == {1: 1, 2: 1, 3: 1, 4: 4}
 
 
+def test_op9_classes_that_share_their_smallest_id(spark):
+    # id 1 is the first of eight unlike classes; each has a near copy of its own
+    rnd = random.Random(9)
+    rows = []
+    for i in range(8):
+        words = [f"w{i}x{rnd.randrange(10 ** 6)}" for _ in range(60)]
+        rows += [(1, " ".join(words)), (10 + i, " ".join(words + ["tail"]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert judged(neardup.near_duplicates(df, words=2))[0] == plain_components(rows, 2) == {d: 1 for d, _ in rows}
+
+
 def test_sketch_fills_empty_bins_alike():
     a = np.sort(np.random.default_rng(1).integers(0, 2 ** 64, 40, np.uint64, endpoint=False))
     sk = neardup.sketch(a)
