@@ -4,8 +4,9 @@ Each stage reads the table its predecessor wrote. All but the last return the
 columns of ``documents`` (and any others the table has, whatever their names);
 the last returns the packed pieces. Null, empty and very short texts fail the
 base rule and go in the first stage; very long texts are read whole by all.
-Rows without a doc_id pass near-duplicate removal; rows that repeat a doc_id
-leave it once. An empty table gives an empty result at every stage.
+In near-duplicate removal, texts that share a doc_id are judged one by one, rows
+without a doc_id are in no group, and of rows equal in doc_id and text (also
+without a doc_id) one stays. An empty table gives an empty result at every stage.
 """
 
 from __future__ import annotations
@@ -32,15 +33,22 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 9, five-word shingles: the smallest doc_id of each group
-    stays; of rows that repeat a doc_id, one does. Rows without a doc_id stay."""
-    judged = cut(neardup.near_duplicates(docs, words=5, percent=80), "judged")
-    gone = judged.filter(~F.col("kept")).select("doc_id").distinct()
+    """Operator 9, five-word shingles, text by text: the first text of each
+    group stays (smallest doc_id); texts that share a doc_id are judged apart.
+    Of rows equal in doc_id and text, also without a doc_id, one stays: the
+    first by a hash of its other columns."""
+    gone, copies = neardup.repeated(docs, words=5, percent=80)
+    rows = docs.withColumn("_text_hash", F.xxhash64("text"))
     # what goes grows with the corpus: one plan at every size, no broadcast
-    left = docs.join(gone.hint("shuffle_hash"), "doc_id", "left_anti").select(*docs.columns)
-    named = F.col("doc_id").isNotNull()
-    if judged.filter(named).groupBy("doc_id").count().filter("count > 1").limit(1).count():
-        left = left.filter(named).dropDuplicates(["doc_id"]).unionByName(left.filter(~named))
+    same = (F.col("doc_id").cast("long") == F.col("_gone_id")) & (F.col("_text_hash") == F.col("_gone_hash"))
+    gone = gone.select(F.col("doc_id").alias("_gone_id"), F.col("text_hash").alias("_gone_hash"))
+    left = rows.join(gone.hint("shuffle_hash"), same, "left_anti").select(*docs.columns)
+    if copies.groupBy("doc_id", "text_hash").count().filter("count > 1").limit(1).count():
+        rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+        one = F.struct(*[F.col(f"`{c}`") for c in rest]) if rest else F.lit(0)
+        left = left.groupBy("doc_id", "text").agg(
+            F.min_by(one, F.xxhash64(F.to_json(F.struct(one.alias("r"))))).alias("_rest"))
+        left = left.select(*[F.col(f"`{c}`") if c in ("doc_id", "text") else F.col("_rest")[c].alias(c) for c in docs.columns])
     return left
 
 

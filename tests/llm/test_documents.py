@@ -349,3 +349,17 @@ def test_pipeline_edges(spark, edge_docs, no_docs):
     ids = Counter(r["doc_id"] for r in single.collect())
     comp = plain_components([(d, t) for d, t, *_ in edge_rows()], 5)
     assert ids == Counter({**{d: 1 for d, c in comp.items() if d == c}, None: 2})
+
+
+def test_pipeline_judges_texts_that_share_an_id(spark):
+    rnd = random.Random(5)
+    a, b, c, d = (" ".join(f"t{k}x{rnd.randrange(10 ** 6)}" for _ in range(60)) for k in range(4))
+    rows = [(1, a, "s1"), (2, a, "s2"),       # a copy under another id
+            (2, b, "s3"), (2, b, "s4"),       # its namesake, twice
+            (1, c, "s5"), (3, c + " x", "s6"),  # a near copy of a namesake
+            (None, d, "s7"), (None, d, "s8"), (None, None, "s9"), (None, None, "s9"), (4, "", "s"), (4, None, "s")]
+    df = spark.createDataFrame([(i, t, "en", s, 0) for i, t, s in rows], DOC_SCHEMA)
+    got = [corpus_pipeline.near_duplicates(spark, df.repartition(n), SF_SMALL).collect() for n in (1, 5)]
+    assert Counter(got[0]) == Counter(got[1])
+    assert Counter((r["doc_id"], r["text"]) for r in got[0]) == Counter(
+        [(1, a), (2, b), (1, c), (None, d), (None, None), (4, ""), (4, None)])
