@@ -31,14 +31,16 @@ from tessera.llm.vocab import byte_bpe, vocabulary
 
 MAGIC = b"IDSREPR1"
 SHARD_IDS = 1 << 21  # ids after which a shard file is closed
-ROUNDS = 4  # passes of counting and replacing
 MIN_COUNT = 16  # a rule is made for pairs found this often at least
+LEAST_RULES = 256  # rules of a pass, if so many pairs are frequent and so many symbols left
 HASH_BITS = 20
 
 
-def compress(ids: np.ndarray, ends: np.ndarray, base: int, rounds: int = ROUNDS, min_count: int = MIN_COUNT):
-    """Re-Pair in rounds: each counts all adjacent pairs, gives the most
-    frequent ones a symbol, and replaces their occurrences from left to right.
+def compress(ids: np.ndarray, ends: np.ndarray, base: int, min_count: int = MIN_COUNT):
+    """Re-Pair in passes: each counts all adjacent pairs, gives the most
+    frequent ones a symbol (a quarter of the symbols left, or ``LEAST_RULES``),
+    and replaces their occurrences from left to right, until no pair is found
+    ``min_count`` times or no symbol is left.
     ``ends``: position after each document's last id. Returns symbols, document
     ends in symbols, and the rules' left and right parts."""
     narrow = base <= 0xF000
@@ -50,9 +52,7 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int, rounds: int = ROUNDS,
     sym = ids.astype(sym_type)
     ends = ends.astype(np.int64)
     left, right = [], []
-    for r in range(rounds):
-        if len(sym) < 2:
-            break
+    while room > 0 and len(sym) > 1:
         code = sym[:-1].astype(code_type)
         code <<= code_type(shift)
         code |= sym[1:]
@@ -64,7 +64,7 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int, rounds: int = ROUNDS,
         first = np.flatnonzero(ordered[1:] != ordered[:-1]) + 1
         first = np.concatenate([[0], first, [len(ordered)]])
         count = np.diff(first)
-        want = min(room // (rounds - r), 1 << 14)
+        want = min(max(room // 4, LEAST_RULES), room, 1 << 14)
         common = np.flatnonzero(count >= min_count)
         common = common[np.lexsort((ordered[first[common]], -count[common]))][:want]
         if not len(common):

@@ -165,6 +165,22 @@ def byte_reference(rows, lib, end):
     return out
 
 
+@pytest.mark.parametrize("base", [300, 0x10000])
+def test_grammar_leaves_no_frequent_pair(base):
+    rnd = np.random.default_rng(8)
+    passage = rnd.integers(0, base, 500)
+    docs = [np.concatenate([rnd.integers(0, base, 7), passage]) for _ in range(40)]
+    ends = np.cumsum([len(d) for d in docs])
+    sym, cut, left, right = repair.compress(np.concatenate(docs), ends, base)
+    pairs = Counter()
+    for a, e in zip([0, *cut], cut):
+        pairs.update(zip(sym[a:e - 1].tolist(), sym[a + 1:e].tolist()))
+    assert max(pairs.values()) < repair.MIN_COUNT
+    assert repair.rule_lengths(left, right, base).max() > 400  # nearly the whole passage
+    raw = repair.shard_bytes(list(range(40)), np.concatenate(docs), ends, base)
+    assert all((repair.Shard(raw).document(i) == d).all() for i, d in enumerate(docs))
+
+
 def test_op5_query_equals_library(spark, byte_lib):
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
     got = {r["doc_id"]: tuple(r)[1:] for r in queries.op5_token_files(spark, SF_SMALL).collect()}
