@@ -23,8 +23,6 @@ ORDER = 3
 BUCKETS = 1 << 16
 #: Labelled documents used per language, on average: a bounded, hash-drawn sample.
 TRAIN_DOCS = 8_000
-#: Languages learned: the most frequent ones.
-MAX_LANGS = 256
 CHUNK = 1 << 18  # characters handled at once
 UNKNOWN = "und"
 #: n-grams that count as independent evidence when a posterior is stated.
@@ -111,15 +109,15 @@ class Model:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          train_docs: int = TRAIN_DOCS, max_langs: int = MAX_LANGS) -> Model:
-    """Fit on labelled rows (null languages and texts don't count). About
+          train_docs: int = TRAIN_DOCS) -> Model:
+    """Fit on labelled rows (null languages and texts don't count), every
+    language. About
     ``train_docs`` documents per language take part, drawn by a hash of the id
     (and text, for rows that share an id); all, if a language has fewer. What
     reaches the driver is one row per language, then languages x buckets counts
     as one block of bytes per language and bucket range."""
     labelled = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    sizes = (labelled.groupBy(F.col(lang_col).cast("string").alias("l")).agg(F.count(F.lit(1)).alias("n"))
-             .orderBy(F.desc("n"), "l").limit(max_langs).collect())
+    sizes = labelled.groupBy(F.col(lang_col).cast("string").alias("l")).agg(F.count(F.lit(1)).alias("n")).collect()
     if not sizes:
         return Model([], np.zeros((BUCKETS, 0)))
     langs = sorted(r["l"] for r in sizes)

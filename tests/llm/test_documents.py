@@ -68,6 +68,14 @@ def test_long_texts_are_scored_in_chunks(monkeypatch):
         assert (parts == whole).all()
 
 
+def test_every_language_is_learned(spark):
+    # 300 languages of one letter each, the last ones rarer than the others
+    rows = [(10 * i + j, chr(0x4E00 + i) * 5, f"l{i:03d}") for i in range(300) for j in range(2 if i < 280 else 1)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.langs == [f"l{i:03d}" for i in range(300)]
+    assert model.predict([chr(0x4E00 + i) * 4 for i in range(300)])[0] == model.langs
+
+
 def test_op6_edges(spark, edge_docs, no_docs):
     model = langid.train(spark.read.parquet(f"{SF_SMALL}/documents.parquet"))
     rows = langid.identify(edge_docs, model).collect()
