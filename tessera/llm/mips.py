@@ -145,29 +145,35 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vect
     """Exact top k of every query row: query_id, rank (from 1), vec_id, score.
 
     ``is_query``: condition on ``vec_id``. Candidates are all rows but those
-    with the query's own id; equal scores go to the smaller id. Vectors of
-    another dimension than the most common one (ties: the larger) take no
-    part, like null and non-finite ones. Queries that share an id (repeated
-    rows) are one query; the same holds for candidates. Empty tables give no
-    row; only id and vector are read, so other columns can't clash.
+    with the query's own id; equal scores go to the smaller id. Each dimension
+    is searched on its own: a query meets the vectors of its own dimension.
+    Repeated rows of one id and vector are one candidate; different vectors of
+    one id are candidates each. Queries that share an id are one query, with
+    the smallest vector. Empty tables give no row; only id and vector are read,
+    so other columns can't clash.
     """
     spark = vectors.sparkSession
     rows = integer_vectors(vectors, id_col, vector_col, scale)
-    dims = rows.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.desc("d")).first()
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    if dims is None:
-        return empty
-    dim = dims["d"]
-    rows = rows.filter(F.size("v") == dim).groupBy("vec_id").agg(F.min("v").alias("v"), F.min_by("norm2", "v").alias("norm2"))
-    rows = cut(rows, "vectors")
+    rows = cut(rows.dropDuplicates(["vec_id", "v"]), "vectors")
+    asked = rows.filter(is_query).groupBy("vec_id").agg(F.min("v").alias("v"), F.min_by("norm2", "v").alias("norm2"))
+    asked = cut(asked, "asked")
+    # one row per dimension
+    dims = asked.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy("d").collect()
+    out = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    for r in dims:
+        same = F.size("v") == r["d"]
+        found = _top_k(rows.filter(same), asked.filter(same), r["n"], r["d"], k, block, query_block)
+        out = found if len(dims) == 1 else out.unionByName(found)
+    return out
+
+
+def _top_k(rows: DataFrame, asked: DataFrame, n_asked: int, dim: int, k: int, block: int, query_block: int) -> DataFrame:
+    """:func:`top_k` of vectors of one dimension."""
+    spark = rows.sparkSession
     total = rows.count()
     basis = rotation(rows, dim)
     parts = max(1, -(-total // block))
     items = cut(_packed(rows, block, [F.desc("norm2"), F.col("vec_id")], parts, dim, "iblk"), "items")
-    asked = rows.filter(is_query)
-    n_asked = asked.count()
-    if not n_asked:
-        return empty
     queries = cut(_packed(asked, query_block, [F.xxhash64("vec_id"), F.col("vec_id")],
                           max(1, -(-n_asked // query_block)), dim, "qblk"), "queries")
     shared = spark.sparkContext.broadcast(basis)  # dim x dim

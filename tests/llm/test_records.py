@@ -61,6 +61,14 @@ def test_topk_many_blocks_ties_and_odd_rows(spark):
     assert mips.top_k(few, F.col("vec_id") == 99).count() == 0
 
 
+def test_topk_takes_every_vector_of_an_id_and_every_dimension(spark):
+    rows = [(1, [1.0, 0.0]), (2, [0.5, 0.0]), (2, [3.0, 0.0]), (2, [3.0, 0.0]), (3, [2.0, 0.0]), (3, [1.0, 1.0]),
+            (4, [1.0, 0.0, 0.0]), (5, [0.0, 1.0, 0.0]), (5, [2.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = found(mips.top_k(df.repartition(3), F.col("vec_id").isin(1, 4), k=3, scale=1, block=2))
+    assert got == {1: [(1, 2, 3), (2, 3, 2), (3, 3, 1)], 4: [(1, 5, 2), (2, 5, 0)]}
+
+
 def test_pruning_skips_but_keeps_the_best():
     rng = np.random.default_rng(3)
     items = np.floor(rng.normal(size=(3000, 16)) * np.geomspace(400, 1, 3000)[:, None]).astype(np.int64)
