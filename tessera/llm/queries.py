@@ -7,7 +7,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import langid, mips, neardup, packing, piece, repair, rules, slots, token_count, warc
+from tessera.llm import (crosstok, filter_audit, langid, mips, mixing, neardup, packing, piece, repair, rules, slots,
+                         token_count, warc)
 from tessera.llm.common import new_folder, read_table
 
 
@@ -55,8 +56,22 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op11_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosstok.align_documents(read_table(spark, sf_dir, "documents"))
+
+
+def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", F.col("source"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_exact_topk, op3_sentencepiece, op4_virtual_slots, op5_token_files, op6_language_id,
-    op7_quality_rules, op8_warc, op9_near_duplicates, op10_packing)}
+    op7_quality_rules, op8_warc, op9_near_duplicates, op10_packing,
+    op11_cross_tokenizer, op12_source_mix, op13_filter_audit)}
 
 ORACLES: dict[str, str] = {}

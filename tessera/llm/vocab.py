@@ -86,9 +86,10 @@ SPACE = byte_alphabet()[32].encode()
 
 class ByteBpe:
     """Ids of whole texts by a byte-level BPE file of the ``tokenizers``
-    library, with its default handling of special strings inside texts."""
+    library, with its default handling of special strings inside texts; with
+    ``plain`` these are text like any other."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False):
         import json
 
         import numpy as np
@@ -102,7 +103,7 @@ class ByteBpe:
             raise ValueError("a byte-level file without normaliser or prefix space is needed")
         self.size = tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2") if self.size <= 0xFFFF else np.dtype("<u4")
-        special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        special = {} if plain else {t["content"]: t["id"] for t in spec["added_tokens"]}
         self._special = {s: np.array([i], self.dtype).tobytes() for s, i in special.items()}
         self._cut = re.compile("(" + "|".join(re.escape(s) for s in special) + ")").split if special else None
         self._marks = tuple(special)
@@ -139,6 +140,6 @@ class ByteBpe:
 
 
 @functools.cache
-def byte_bpe(path: str) -> ByteBpe:
+def byte_bpe(path: str, plain: bool = False) -> ByteBpe:
     """One instance per worker and file."""
-    return ByteBpe(path)
+    return ByteBpe(path, plain)
