@@ -18,15 +18,16 @@ from __future__ import annotations
 import functools
 import hashlib
 import heapq
+import math
 import re
-from itertools import chain
+from itertools import chain, groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import with_slices
-from tessera.llm.vocab import CACHE_WORDS, CACHED_CHARS, vocabulary
+from tessera.llm.vocab import WordCache, vocabulary
 
 BLANK = "▁"
 PAIRS = 1_000_000  # compatibility results held per worker; emptied when full
@@ -49,7 +50,7 @@ class PieceModel:
             raise ValueError("a BPE model with byte fallback and identity normalisation is needed")
         if any(p.type in (kinds.USER_DEFINED, kinds.UNUSED) for p in model.pieces):
             raise ValueError("user-defined or unused pieces are not supported")
-        self.prefix = norm.add_dummy_prefix
+        self.prefix, self.size = norm.add_dummy_prefix, len(model.pieces)
         self.id_of = {p.piece: i for i, p in enumerate(model.pieces) if p.type == kinds.NORMAL}
         self.score = {p.piece: p.score for p in model.pieces if p.type == kinds.NORMAL}
         self.byte_id = {int(p.piece[3:5], 16): i for i, p in enumerate(model.pieces) if p.type == kinds.BYTE}
@@ -67,16 +68,25 @@ class PieceModel:
         for p in self.id_of:
             self._automaton.add_word(p, p)
         self._automaton.make_automaton()
-        self._shorter: dict[str, str | None] = {}
-        self._fits: dict[tuple[str, str], bool] = {}
-        self._words: dict[str, tuple[tuple[int, ...], str]] = {}
+        self._n_chars = [len(p.piece) for p in model.pieces]
+        self._widest = max(map(len, self.id_of))
+        self._chars = frozenset(p for p in self.id_of if len(p) == 1)
+        self._piece = [p.piece for p in model.pieces]
+        #: the longest token that is a proper prefix of a token, -1 for none
+        self._shorter = [next((self.id_of[p[:k]] for k in range(len(p) - 1, 0, -1) if p[:k] in self.id_of), -1)
+                         for p in self._piece]
+        self._fits: dict[int, bool] = {}
+        self._history: dict[str, tuple[list, list] | None] = {}
+        self._words = WordCache(self._word)
         self._cut = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+").findall
 
     # --- merging, for pairs only
     def merged(self, text: str) -> list[str]:
         """Plain merging of ``text``: the best-scored adjacent pair first, the
         leftmost of equals."""
-        part = list(text)
+        return self._merge(list(text), None)
+
+    def _merge(self, part: list[str], note) -> list[str]:
         nxt, prv = list(range(1, len(part) + 1)), list(range(-1, len(part) - 1))
         heap = []
 
@@ -88,8 +98,9 @@ class PieceModel:
                     heapq.heappush(heap, (-s, i, part[i], part[j]))
         for i in range(len(part) - 1):
             offer(i)
+        last = len(part) - 1
         while heap:
-            _, i, a, b = heapq.heappop(heap)
+            s, i, a, b = heapq.heappop(heap)
             j = nxt[i]
             if part[i] != a or j >= len(part) or part[j] != b:
                 continue
@@ -97,92 +108,110 @@ class PieceModel:
             nxt[i] = nxt[j]
             if nxt[i] < len(part):
                 prv[nxt[i]] = i
+            if j == last:
+                last = i
+            if note:
+                note(-s, part[0], part[last])
             offer(prv[i])
             offer(i)
         return [p for p in part if p]
 
-    def _fit(self, a: str, b: str) -> bool:
-        """Whether tokens ``a`` and ``b`` ("" for none) may stand side by side."""
-        key = (a, b)
-        ok = self._fits.get(key)
-        if ok is None:
-            if len(self._fits) > PAIRS:
-                self._fits.clear()
-            ok = self._fits[key] = self.merged(a + b) == ([a, b] if a else [b])
+    def _steps(self, token: str):
+        """How merging builds ``token`` alone: the score of each merge, then
+        one that is never reached; and the first and last symbol before each
+        merge. None if merging its text does not give the token."""
+        if token not in self._history:
+            scores, first, last = [], [token[0]], [token[-1]]
+
+            def note(score, left, right):
+                scores.append(score)
+                first.append(left)
+                last.append(right)
+            whole = len(self._merge(list(token), note)) == 1
+            self._history[token] = (scores + [-math.inf], first, last) if whole else None
+        return self._history[token]
+
+    def _fit(self, a: int, b: int) -> bool:
+        """Whether tokens ``a`` (-1 for none) and ``b`` may stand side by side:
+        merging their joined text gives back exactly the two. Up to the first
+        merge over the border both sides merge as they do alone, so their merges
+        are replayed by score and only the pair at the border is looked up."""
+        if len(self._fits) > PAIRS:
+            self._fits.clear()
+        ok = self._fits[a * self.size + b] = self._replayed(self._piece[a] if a >= 0 else "", self._piece[b])
         return ok
 
-    def _next_shorter(self, token: str) -> str | None:
-        """The longest token that is a proper prefix of ``token``."""
-        if token not in self._shorter:
-            self._shorter[token] = next((token[:k] for k in range(len(token) - 1, 0, -1) if token[:k] in self.id_of),
-                                        None)
-        return self._shorter[token]
+    def _replayed(self, a: str, b: str) -> bool:
+        right = self._steps(b)
+        if not a or right is None:
+            return right is not None
+        left = self._steps(a)
+        if left is None:
+            return False
+        (score_a, _, last), (score_b, first, _), score, i, j = left, right, self.score.get, 0, 0
+        while True:
+            over, sa, sb = score(last[i] + first[j]), score_a[i], score_b[j]
+            if over is not None and over > sa and over >= sb:  # of equal scores the leftmost merges first
+                return False
+            if sa >= sb:
+                if sa == -math.inf:
+                    return True
+                i += 1
+            else:
+                j += 1
+
+    def _longest(self, text: str) -> int:
+        """The longest token that ``text`` begins with."""
+        k = self._automaton.longest_prefix(text)
+        while (token := self.id_of.get(text[:k])) is None:
+            k -= 1  # what the trie holds need not be a token itself
+        return token
 
-    def _tokens(self, text: str) -> list[str]:
+    def _tokens(self, text: str) -> list[int]:
         """Backtracking over a text of known characters."""
-        longest: list[str] = [""] * len(text)
-        for end, piece in self._automaton.iter(text):
-            at = end - len(piece) + 1
-            if len(piece) > len(longest[at]):
-                longest[at] = piece
-        failed = bytearray(len(text) // 8 + 1)  # bit i: no encoding has a border at i
-        out, at, token = [], 0, longest[0]
+        fits, shorter, longest, size, widest = self._fits, self._shorter, self._longest, self.size, self._widest
+        chars, n = self._n_chars, len(text)
+        failed = bytearray(n // 8 + 1)  # bit i: no encoding has a border at i
+        out, at, last, token = [], 0, -1, longest(text[:widest])
         while True:
-            last = out[-1] if out else ""
-            while token:
-                end = at + len(token)
-                if not failed[end >> 3] >> (end & 7) & 1 and self._fit(last, token):
-                    break
-                token = self._next_shorter(token)
-            if token:
+            row = last * size
+            while token >= 0:
+                end = at + chars[token]
+                if not failed[end >> 3] >> (end & 7) & 1:
+                    ok = fits.get(row + token)
+                    if ok or ok is None and self._fit(last, token):
+                        break
+                token = shorter[token]
+            if token >= 0:
                 out.append(token)
-                at = end
-                if at == len(text):
+                if end == n:
                     return out
-                token = longest[at]
+                at, last, token = end, token, longest(text[end:end + widest])
             else:
                 if not out:
                     raise ValueError(f"no encoding of {text!r}")
                 failed[at >> 3] |= 1 << (at & 7)
-                token = out.pop()
-                at -= len(token)
+                at -= chars[out[-1]]
+                token = shorter[out.pop()]
+                last = out[-1] if out else -1
 
     def _word(self, word: str) -> tuple[int, ...]:
+        chars = self._chars
+        if chars.issuperset(word):
+            return tuple(self._tokens(word))
         out: list[int] = []
-        known = self.id_of
-        run = []
-        for ch in chain(word, [None]):
-            if ch is not None and ch in known:
-                run.append(ch)
-                continue
-            if run:
-                # long runs (nothing to cut at) go through one bit field as well
-                out.extend(known[t] for t in self._tokens("".join(run)))
-                run = []
-            if ch is not None:
-                out.extend(self.byte_id[b] for b in ch.encode())
+        for inside, run in groupby(word, chars.__contains__):
+            run = "".join(run)
+            # long runs (nothing to cut at) go through one bit field as well
+            out.extend(self._tokens(run) if inside else [self.byte_id[b] for b in run.encode()])
         return tuple(out)
 
-    def _known(self, word: str) -> tuple[tuple[int, ...], str]:
-        hit = self._words.get(word)
-        if hit is None:
-            ids = self._word(word)
-            hit = (ids, ",".join(map(str, ids)))
-            if len(word) <= CACHED_CHARS:
-                self._words[word] = hit
-        return hit
-
-    def encode_parts(self, text: str | None) -> list[tuple[tuple[int, ...], str]]:
-        """The words' ids, each with its ids in decimal."""
+    def encode(self, text: str | None) -> list[int]:
         if not text:
             return []
-        if len(self._words) > CACHE_WORDS:
-            self._words.clear()
         text = text.replace(" ", BLANK)
-        return list(map(self._known, self._cut(BLANK + text if self.prefix else text)))
-
-    def encode(self, text: str | None) -> list[int]:
-        return list(chain.from_iterable(p[0] for p in self.encode_parts(text)))
+        self._words.turn()
+        return list(chain.from_iterable(map(self._words.__getitem__, self._cut(BLANK + text if self.prefix else text))))
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids: blanks unescaped, one leading blank dropped, byte
@@ -246,15 +275,14 @@ def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     def run(batches):
         m = piece_model(path)
-        sha = hashlib.sha256
+        sha, decimal = hashlib.sha256, [str(i) for i in range(m.size)]
         for b in with_slices(batches, 256):
             n, h, d, ids_out, text_out = [], [], [], [], []
             for text in b.column(1).to_pylist():
-                parts = m.encode_parts(text)
-                ids = list(chain.from_iterable([p[0] for p in parts]))
+                ids = m.encode(text)
                 back = m.decode(ids)
                 n.append(len(ids))
-                h.append(sha(",".join([p[1] for p in parts]).encode()).hexdigest())
+                h.append(sha(",".join([decimal[i] for i in ids]).encode()).hexdigest())
                 d.append(sha(back.encode()).hexdigest())
                 if with_text:
                     ids_out.append(ids)

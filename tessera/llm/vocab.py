@@ -2,8 +2,9 @@
 
 A text is cut by the vocabulary's own pattern, and each distinct piece is
 encoded once per Python worker: pieces never merge across their borders, so the
-ids of a text are the ids of its pieces in order. The cache is emptied when it
-holds ``CACHE_WORDS`` pieces; that bounds memory and changes no result.
+ids of a text are the ids of its pieces in order. The cache holds at most
+``CACHE_WORDS`` pieces in two generations (:class:`WordCache`); that bounds
+memory and changes no result.
 """
 
 from __future__ import annotations
@@ -11,11 +12,38 @@ from __future__ import annotations
 import functools
 import os
 import re
+import sys
+from array import array
 
-CACHE_WORDS = 400_000
+CACHE_WORDS = 600_000
 CACHED_CHARS = 64  # longer pieces are encoded anew each time
 
 
+class WordCache(dict):
+    """``word -> make(word)`` with a bounded memory of two generations: when
+    the young one holds half of ``size``, it becomes the old one and the old one
+    goes (:meth:`turn`, between texts). Words asked for again come back from the
+    old one, so frequent words stay. Words of over ``CACHED_CHARS`` characters
+    are made anew each time."""
+
+    def __init__(self, make, size: int = CACHE_WORDS):
+        super().__init__()
+        self._make, self._half, self._old = make, max(1, size // 2), {}
+
+    def __missing__(self, word):
+        made = self._old.get(word)
+        if made is None:
+            made = self._make(word)
+        if len(word) <= CACHED_CHARS:
+            self[word] = made
+        return made
+
+    def turn(self) -> None:
+        if len(self) >= self._half:
+            self._old = dict(self)
+            self.clear()
+
+
 def vocabulary(name: str) -> str:
     """Path of a vocabulary file of the installed ``public_tokenizers``."""
     import public_tokenizers
@@ -108,28 +136,26 @@ class ByteBpe:
         self._cut = re.compile("(" + "|".join(re.escape(s) for s in special) + ")").split if special else None
         self._marks = tuple(special)
         self._split = splitter(BYTE_PATTERN)
+        if sys.byteorder != "little":
+            raise ValueError("ids are held as little-endian numbers")
         model, table = tokenizer.model, byte_alphabet()
         table = str.maketrans({chr(i): c for i, c in enumerate(table) if chr(i) != c})
-        dtype, array = self.dtype, np.array
-
-        class Cache(dict):
-            def __missing__(self, word):
-                raw = word.encode()
-                chars = raw.replace(b" ", SPACE).decode() if raw.isalnum() or raw[1:].isalnum() and raw[0] == 32 \
-                    else raw.decode("latin-1").translate(table)
-                ids = array([t.id for t in model.tokenize(chars)], dtype).tobytes()
-                if len(word) <= CACHED_CHARS:
-                    self[word] = ids
-                return ids
-        self._words = Cache()
+        kind = "H" if self.dtype.itemsize == 2 else "I"
+        tokenize = model.tokenize
+
+        def encoded(word):
+            raw = word.encode()
+            chars = raw.replace(b" ", SPACE).decode() if raw.isalnum() or raw[1:].isalnum() and raw[0] == 32 \
+                else raw.decode("latin-1").translate(table)
+            return array(kind, [t.id for t in tokenize(chars)]).tobytes()
+        self._words = WordCache(encoded)
 
     def ids(self, text: str | None):
         """The ids as a numpy array; a null text is empty."""
         import numpy as np
         if not text:
             return np.empty(0, self.dtype)
-        if len(self._words) > CACHE_WORDS:
-            self._words.clear()
+        self._words.turn()
         get = self._words.__getitem__
         if any(s in text for s in self._marks):
             raw = b"".join(self._special[p] if p in self._special else b"".join(map(get, self._split(p)))
