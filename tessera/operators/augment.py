@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.text import PROMPT_CONTEXT, clean_description, expand_abbreviations, parse_generated_list
-from tessera.operators.common import first_per_key, not_in, small_side
+from tessera.operators.common import cut, first_per_key, not_in, small_side
 
 
 def _piece(value, prefix: str, suffix: str = ""):
@@ -31,16 +31,27 @@ def build_prompts(processed: DataFrame, code: str = "cod", order: str = "row_key
     cleaned (TXT4), and a piece is left out when it is empty. A code with more
     than ``names_per_prompt`` rows gets several prompts, numbered by ``part``
     from 0, each with the next names: no row or task holds all names of a
-    code. Positions come from a range layout of (code, order, name) only.
+    code. Codes with at most ``names_per_prompt`` names, usually all, are
+    grouped as they are; only the names of the others are ranked, in a range
+    layout of (code, order, name). Rows without a code have no prompt.
     """
     from tessera.operators.split import rank_within
-    ranked = rank_within(processed.select(code, order, name), code, F.col(order), name)
-    ranked = ranked.withColumn("part", F.floor(F.col("_rank") / names_per_prompt).cast("int"))
-    lists = ranked.groupBy(code, "part").agg(F.sort_array(F.collect_list(F.struct("_rank", name))).alias("_names"))
+    names = processed.select(code, order, name).filter(F.col(code).isNotNull())
+    many = names.groupBy(F.col(code).alias("_many")).agg(F.count(F.lit(1)).alias("_n")).filter(
+        F.col("_n") > names_per_prompt).select("_many")
+    listed = F.sort_array(F.collect_list(F.struct(F.col(order).alias("_rank"), name))).alias("_names")
+    some = cut(many, "long-codes")
+    few = names.join(some, F.col(code) == F.col("_many"), "left_anti") if (any_many := some.limit(1).count()) else names
+    lists = few.groupBy(code).agg(listed).select(code, F.lit(0).alias("part"), F.transform("_names", lambda s: s[name]).alias("_names"))
+    if any_many:
+        ranked = rank_within(names.join(some, F.col(code) == F.col("_many"), "left_semi"), code, F.col(order), name)
+        ranked = ranked.withColumn("part", F.floor(F.col("_rank") / names_per_prompt).cast("int"))
+        parts = ranked.groupBy(code, "part").agg(F.sort_array(F.collect_list(F.struct("_rank", name))).alias("_names"))
+        lists = lists.unionByName(parts.select(code, "part", F.transform("_names", lambda s: s[name]).alias("_names")))
     first = first_per_key(processed.select(code, order, incl, excl, crit, crosswalk_text), code, order,
                           cols=[incl, excl, crit, crosswalk_text])
     agg = lists.join(small_side(first), code)
-    labels = expand_abbreviations(F.array_join(F.transform("_names", lambda s: s[name]), "; "))
+    labels = expand_abbreviations(F.array_join("_names", "; "))
     i, x = clean_description(F.col(incl)), clean_description(F.col(crosswalk_text))
     c, e = clean_description(F.col(crit)), clean_description(F.col(excl))
     prompt = F.concat(labels, _piece(i, "; ", ", "), _piece(x, ", "), _piece(c, "; Critérios: "),

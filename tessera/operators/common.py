@@ -4,7 +4,9 @@ row ids without a single-partition window, first-row-per-key without a window.
 
 from __future__ import annotations
 
+import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -53,6 +55,41 @@ def small_side(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if fits(df, limit) else df
 
 
+def checked_side(df: DataFrame) -> DataFrame:
+    """A lookup side that is broadcast if it is measured (:func:`fits`) to be
+    small, so that the other side's rows, which may hold texts, stay where they
+    are. Beyond that the join is left to Spark. Costs a job over ``df``."""
+    return F.broadcast(df) if fits(df, broadcast_limit(df)) else df
+
+
+# A key of more than this share of the rows is hot; at most 1 / HOT_SHARE keys are.
+HOT_SHARE = 1 / 1024
+SALTS = 16
+
+
+def spread_join(big: DataFrame, dim: DataFrame, key: str, how: str = "inner", also: Column | None = None) -> DataFrame:
+    """Equi-join on ``key`` (both sides have it; inner or left) that no key of
+    ``big`` can overload: rows of a hot key are dealt over ``SALTS`` tasks, and
+    ``dim``'s rows of that key are repeated for each. The hot keys, a bounded
+    table, are found by a partial count. ``also``: a further condition, which
+    must not be an equality that Spark would take as a join key."""
+    if how not in ("inner", "left"):
+        raise ValueError(f"inner or left, not {how}")
+    n = big.groupBy(F.col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("_n"))
+    total = big.agg(F.count(F.lit(1))).scalar()
+    hot = F.broadcast(n.filter(F.col("_hot").isNotNull() & (F.col("_n") > F.greatest(F.lit(1.0), total * HOT_SHARE)))
+                      .select("_hot"))
+    left = big.join(hot, F.col(key) == F.col("_hot"), "left")
+    # rows without a key never match: they may lie anywhere
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
+    left = left.withColumn("_salt", F.when(F.col("_hot").isNotNull() | F.col(key).isNull(), salt).otherwise(0)).drop("_hot")
+    every = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    right = dim.join(hot, F.col(key) == F.col("_hot"), "left").withColumn("_salt2", F.explode(every)).drop("_hot")
+    right = right.withColumnRenamed(key, "_key2")
+    same = (F.col(key) == F.col("_key2")) & (F.col("_salt") == F.col("_salt2"))
+    return left.join(right, same if also is None else same & also, how).drop("_salt", "_salt2", "_key2")
+
+
 def first_per_key(df: DataFrame, keys, order, cols=None) -> DataFrame:
     """WIN4 / WIN6. The first row per key by ``order`` (a column or list).
 
@@ -110,6 +147,54 @@ def with_row_id(df: DataFrame, order, name: str = "row_id", partitions: int | No
     return out.withColumn(name, F.col("_off") + F.col("_local")).drop("_pid", "_local", "_off")
 
 
+def running_sums(df: DataFrame, group: str, order: list, cols: list[str], partitions: int | None = None) -> DataFrame:
+    """Inclusive running sums of integer columns within each ``group`` (NULL is
+    a group), in ``order`` (a total order): adds ``run_<col>``.
+
+    A group that holds most rows is spread: rows are range-partitioned by group
+    and order, summed inside partitions, and that layout is written once (range
+    borders may differ between evaluations); what lies in earlier partitions
+    comes from a table with one row per partition and group in it."""
+    import numpy as np
+    import pyarrow as pa
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by = [F.col(group).isNull(), F.col(group), *order]
+    rows = df.repartitionByRange(n, *by).sortWithinPartitions(*by).withColumn("_pid", F.spark_partition_id())
+    at, of = rows.columns.index(group), [rows.columns.index(c) for c in cols]
+    names = [f"run_{c}" for c in cols]
+
+    def run(batches):
+        last, carry = (), [0] * len(of)
+        for b in batches:
+            if not b.num_rows:
+                continue
+            no = b.column(at).dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+            start = np.flatnonzero(np.r_[True, no[1:] != no[:-1]])
+            size = np.diff(np.r_[start, len(no)])
+            goes_on = (b.column(at)[0].as_py(),) == last
+            sums = []
+            for i, c in enumerate(of):
+                x = b.column(c).to_numpy(zero_copy_only=False).astype(np.int64)
+                total = np.cumsum(x)
+                total -= np.repeat(total[start] - x[start], size)
+                if goes_on:
+                    total[:size[0]] += carry[i]
+                carry[i] = int(total[-1])
+                sums.append(pa.array(total))
+            last = (b.column(at)[-1].as_py(),)
+            yield pa.RecordBatch.from_arrays([*b.columns, *sums], names=[*b.schema.names, *names])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    rows = cut(rows.mapInArrow(run, schema + "".join(f", `{c}` long" for c in names)), "running")
+    w = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    held = rows.groupBy(group, "_pid").agg(*[F.sum(c).alias(f"_m{i}") for i, c in enumerate(cols)])
+    held = held.select(F.col(group).alias("_group"), F.col("_pid").alias("_part"),
+                       *[F.coalesce(F.sum(f"_m{i}").over(w), F.lit(0)).alias(f"_o{i}") for i in range(len(cols))])
+    same = F.col(group).eqNullSafe(F.col("_group")) & (F.col("_pid") == F.col("_part"))
+    out = rows.join(held, same)
+    return out.select(*df.columns, *[(F.col(c) + F.col(f"_o{i}")).alias(c) for i, c in enumerate(names)])
+
+
 def null_safe_key(col) -> list[Column]:
     """Two columns that together compare like ``col <=> other`` in an equi
     join (NULL equals NULL), so hash/sort-merge joins can be used."""
@@ -137,35 +222,42 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     later joins get real file statistics for broadcast decisions. The table
     lives until the :func:`scratch_tables` block around the call ends (results
     must be written or collected inside it), else as long as the folder."""
-    import uuid
-
-    from tessera.session import ensure_checkpoint_dir
-    spark = df.sparkSession
-    path = ensure_checkpoint_dir(spark).rstrip("/") + f"/tables/{name}-{uuid.uuid4().hex[:12]}"
-    for owned in _OWNERS[-1:]:
-        owned.append(path)
+    spark, path = df.sparkSession, scratch_folder(df.sparkSession, f"tables/{name}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-# Innermost scratch_tables block last; it owns the tables cut inside it.
-_OWNERS: list[list[str]] = []
+# Folders owned by the innermost scratch_tables block of this thread (or context).
+_OWNED: ContextVar[list[str] | None] = ContextVar("tessera_scratch", default=None)
+
+
+def scratch_folder(spark, name: str) -> str:
+    """Path of a new folder (not made yet) under ``spark.checkpoint.dir``, owned
+    by the :func:`scratch_tables` block around the call, if there is one."""
+    from tessera.session import ensure_checkpoint_dir
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    owned = _OWNED.get()
+    if owned is not None:
+        owned.append(path)
+    return path
 
 
 @contextmanager
 def scratch_tables(spark):
-    """Own the intermediate tables that operators write inside the block, and
-    delete them at its end::
+    """Own the folders that operators write inside the block (tables, archives,
+    token files, slot maps, streams without a named folder), and delete them at
+    its end::
 
         with scratch_tables(spark):
             build_corpus(...)[0].write.parquet(out)
     """
-    _OWNERS.append([])
+    token = _OWNED.set([])
     try:
         yield
     finally:
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        for path in _OWNERS.pop():
+        owned = _OWNED.get()
+        _OWNED.reset(token)
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in owned:
             p = jvm.org.apache.hadoop.fs.Path(path)
             p.getFileSystem(conf).delete(p, True)

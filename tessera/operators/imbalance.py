@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.balance import oversample, undersample
-from tessera.operators.common import first_per_key, small_side
+from tessera.operators.common import cut, first_per_key, running_sums, small_side
 from tessera.operators.corpus import label_dimension
 
 
@@ -54,6 +54,34 @@ def tune_thresholds(scores: DataFrame, thresholds=None, id_col: str = "id", trut
     return best.select(cls, F.col("_b.threshold").alias("threshold"), F.col("_b.f1").alias("f1"))
 
 
+def best_thresholds(scores: DataFrame, id_col: str = "id", truth: str = "label", cls: str = "class",
+                    score: str = "score") -> DataFrame:
+    """IMB4, exact. Per class, the decision threshold with the best F1 among
+    all its distinct scores (a row is positive when its score is at least the
+    threshold; ties to the lower one): ``(class, threshold, f1, tp, fp, fn)``.
+
+    Rows are counted per class and score first (partial aggregation), then
+    running sums from the highest score down give tp and fp at every score, over
+    range partitions, so one class may hold all rows. NULL and NaN scores are
+    never positive; a class without a usable score has no row."""
+    pos = F.coalesce(F.col(truth) == F.col(cls), F.lit(False))
+    usable = F.col(score).isNotNull() & ~F.isnan(F.col(score))
+    cells = scores.select(cls, F.when(usable, F.col(score).cast("double") + F.lit(0.0)).alias("threshold"), pos.alias("_pos"))
+    cells = cut(cells.groupBy(cls, "threshold").agg(F.count_if("_pos").alias("p"), F.count_if(~F.col("_pos")).alias("n")),
+                "score-cells")
+    total = cells.groupBy(F.col(cls).alias("_cls")).agg(F.sum("p").alias("_all"))
+    run = running_sums(cells.filter("threshold IS NOT NULL"), cls, [F.desc("threshold")], ["p", "n"])
+    rows = run.join(small_side(total), F.col(cls).eqNullSafe(F.col("_cls")))
+    rows = rows.select(cls, "threshold", F.col("run_p").alias("tp"), F.col("run_n").alias("fp"),
+                       (F.col("_all") - F.col("run_p")).alias("fn"))
+    f1 = F.coalesce(F.try_divide((2 * F.col("tp")).cast("double"),
+                                 (2 * F.col("tp") + F.col("fp") + F.col("fn")).cast("double")), F.lit(0.0))
+    rows = rows.withColumn("f1", f1)
+    best = rows.groupBy(cls).agg(F.max_by(F.struct("threshold", "f1", "tp", "fp", "fn"),
+                                          F.struct(F.col("f1"), -F.col("threshold"))).alias("_b"))
+    return best.select(cls, "_b.threshold", "_b.f1", "_b.tp", "_b.fp", "_b.fn")
+
+
 def label_powerset(df: DataFrame, id_col: str = "id", label: str = "label", sep: str = "|"):
     """IMB5. Multi-label rows ``(id, label)`` -> one multi-class label per id:
     the sorted label set joined by ``sep`` (``''`` for none), encoded as a

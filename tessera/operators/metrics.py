@@ -6,20 +6,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.audit import with_flag
-from tessera.operators.common import first_per_key
+from tessera.operators.common import first_per_key, spread_join
 
 
 def merge_predictions(corpus: DataFrame, pred: DataFrame, how: str = "inner", text: str = "text",
                       key: str = "input", dedupe_inputs: bool = True) -> DataFrame:
-    """JOI3. Join predictions back to the corpus on the text. By default the
-    prediction side is made distinct per input first (identical inputs have
-    identical predictions), so duplicated texts do not fan out d x d;
-    ``dedupe_inputs=False`` reproduces the fan-out."""
+    """JOI3. Join predictions back to the corpus on the text (inner or left).
+    By default the prediction side is made distinct per input first (identical
+    inputs have identical predictions), so duplicated texts do not fan out d x d;
+    ``dedupe_inputs=False`` reproduces the fan-out.
+
+    Rows meet by a 256-bit digest, and the texts are compared only where digests
+    match; a text held by many corpus rows is dealt over several tasks. NULL
+    texts match nothing."""
+    others = [c for c in pred.columns if c != key]
+    right = pred.filter(F.col(key).isNotNull()).select(F.sha2(key, 256).alias("_digest"), F.col(key).alias("_input"),
+                                                       *[F.col(c).alias(f"_p{i}") for i, c in enumerate(others)])
     if dedupe_inputs:
-        others = [c for c in pred.columns if c != key]
-        pred = first_per_key(pred, key, F.struct(*[F.col(c) for c in others]) if others else F.col(key))
-    out = corpus.join(pred, corpus[text] == pred[key], how)
-    return out.drop(key)
+        right = first_per_key(right, "_digest", F.struct(*[f"_p{i}" for i in range(len(others))]) if others else F.col("_input"))
+    left = corpus.withColumn("_digest", F.sha2(text, 256))
+    # equal texts, said so that Spark does not make them a join key
+    same = F.col(text).startswith(F.col("_input")) & (F.octet_length(text) <= F.octet_length("_input"))
+    out = spread_join(left, right, "_digest", how, same)
+    return out.select(*corpus.columns, *[F.col(f"_p{i}").alias(c) for i, c in enumerate(others)])
 
 
 def validate(pred: DataFrame, code: str = "code", top: str = "top_prediction") -> DataFrame:

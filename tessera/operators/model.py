@@ -11,11 +11,12 @@ from pyspark.ml.classification import LogisticRegression, NaiveBayes
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer, SQLTransformer
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.arrays import topk_array
+from tessera.operators.common import cut
 from tessera.operators.topk import attach_prediction_labels
 
 NUM_FEATURES = 1 << 16
@@ -91,18 +92,35 @@ def evaluate(model: PipelineModel, df: DataFrame, label: str = "label", split: s
     return classification_report(pred, "label", "prediction")
 
 
+def term_frequencies(df: DataFrame, num_features, text: str = "text", keep=("label",)) -> DataFrame:
+    """``keep`` and one column ``_tf<n>`` of hashed term frequencies per width:
+    texts are read and cut into words once, and the table is written."""
+    tokens, *_ = featurize(text)
+    rows = tokens.transform(df.withColumn(text, F.coalesce(F.col(text), F.lit(""))))
+    for n in num_features:
+        rows = HashingTF(inputCol="_tokens", outputCol=f"_tf{n}", numFeatures=n).transform(rows)
+    return cut(rows.select(*keep, *[f"_tf{n}" for n in num_features]), "term-frequencies")
+
+
 def cross_validate(df: DataFrame, fold: str = "fold", label: str = "label", text: str = "text",
                    kind: str = "nb", parallelism: int = 2) -> DataFrame:
     """MLD7. k-fold evaluation with a precomputed fold column (MLD3, folds 0 to
-    k - 1); one row per candidate with its mean accuracy over folds."""
+    k - 1); one row per candidate with its mean accuracy over folds, none for a
+    table without a fold. Texts are cut into words once: the folds share a
+    written table of term frequencies (:func:`bayes.cross_validate_words` needs
+    no refits either, for naive Bayes on words)."""
+    spark = df.sparkSession
     df = df.withColumn(fold, F.col(fold).cast("int"))
-    k = df.agg(F.max(fold)).first()[0] + 1
-    pipe = Pipeline(stages=featurize(text) + [classifier(kind, label)])
+    last = df.agg(F.max(fold)).first()[0]
+    if last is None:
+        return spark.createDataFrame([], "cv_accuracy double, cv_std double")
+    k = last + 1
+    df = term_frequencies(df, [NUM_FEATURES], text, [label, fold])
+    pipe = Pipeline(stages=[IDF(inputCol=f"_tf{NUM_FEATURES}", outputCol="features"), classifier(kind, label)])
     ev = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=[{}], evaluator=ev, foldCol=fold,
                         numFolds=k, parallelism=parallelism)
     m = cv.fit(df)
-    spark = df.sparkSession
     return spark.createDataFrame([(float(a), float(s)) for a, s in zip(m.avgMetrics, m.stdMetrics)],
                                  "cv_accuracy double, cv_std double")
 
@@ -112,36 +130,29 @@ def grid_search(df: DataFrame, label: str = "label", text: str = "text", id_col:
                 n_candidates: int | None = None, parallelism: int = 2) -> DataFrame:
     """MLD8. Hyper-parameter search with one train/validation split by
     ``md5(id:seed)`` (MLD2: the same rows however the table is stored), the
-    candidates fitted in parallel; one row per candidate. ``n_candidates``
+    candidates fitted in parallel from one written table of term frequencies
+    (texts are cut into words once); one row per candidate. ``n_candidates``
     draws that many points of the grid, by the same seed."""
     import random
 
     from tessera.operators.split import random_split
-    stages = featurize(text)
-    nb = classifier("nb", label)
-    pipe = Pipeline(stages=stages + [nb])
-    grid = (ParamGridBuilder().addGrid(nb.smoothing, list(smoothing))
-            .addGrid(next(st for st in stages if isinstance(st, HashingTF)).numFeatures, list(num_features))
-            .build())
+    grid = [(float(a), int(n)) for a in smoothing for n in num_features]
     if n_candidates is not None and n_candidates < len(grid):
         grid = [grid[i] for i in sorted(random.Random(seed).sample(range(len(grid)), n_candidates))]
     ev = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
     split = random_split(df, id_col, test_frac, seed, "_split")
-    train, test = split.filter("_split = 'train'").cache(), split.filter("_split = 'test'").cache()
+    rows = term_frequencies(split, sorted({n for _, n in grid}), text, [label, "_split"])
+    train, test = rows.filter("_split = 'train'"), rows.filter("_split = 'test'")
 
-    def one(params):
-        return float(ev.evaluate(pipe.copy(params).fit(train).transform(test)))
+    def one(candidate):
+        a, n = candidate
+        pipe = Pipeline(stages=[IDF(inputCol=f"_tf{n}", outputCol="features"), classifier("nb", label, smoothing=a)])
+        return float(ev.evaluate(pipe.fit(train).transform(test)))
 
     from concurrent.futures import ThreadPoolExecutor
-    try:
-        with ThreadPoolExecutor(max(1, parallelism)) as pool:
-            metrics = list(pool.map(one, grid))
-    finally:
-        train.unpersist(), test.unpersist()
-    rows = []
-    for pm, metric in zip(grid, metrics):
-        named = {p.name: v for p, v in pm.items()}
-        rows.append((float(named["smoothing"]), int(named["numFeatures"]), metric))
+    with ThreadPoolExecutor(max(1, parallelism)) as pool:
+        metrics = list(pool.map(one, grid))
+    rows = [(a, n, metric) for (a, n), metric in zip(grid, metrics)]
     return df.sparkSession.createDataFrame(rows, "smoothing double, num_features int, accuracy double")
 
 

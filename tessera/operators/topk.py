@@ -54,24 +54,33 @@ def attach_prediction_labels(df: DataFrame, labels: DataFrame, pred: str = "pred
                              key: str | None = None, how: str = "left") -> DataFrame:
     """Fill ``code``/``text`` into each prediction struct, in place: the label
     dimension (one row per class of the model; of a repeated label the
-    smallest code counts) becomes one map, a one-row subquery of the same job,
-    and each row looks its ``k`` labels up. No explode, no shuffle, and texts
+    smallest code counts) becomes one array in label order, a one-row subquery of
+    the same job, and each row looks its ``k`` labels up: by position if the
+    labels are dense from 0 (as WIN3 makes them), else in a map. No explode, no shuffle, and texts
     stay where they are. ``how='inner'`` drops unknown labels. ``key`` is not
     needed any more and accepted for older callers.
     """
     dim = labels.filter(F.col("label").isNotNull()).groupBy("label").agg(
         F.min(F.struct("code", "text")).alias("_d"))
-    table = dim.agg(F.map_from_entries(F.collect_list(F.struct("label", "_d")))).scalar()
+    entries = F.sort_array(F.collect_list(F.struct("label", "_d")))
+    whole = F.col("label").cast("string").rlike("^[0-9]+$")
+    dense = F.min(whole) & (F.max(F.when(whole, F.col("label").cast("long"))) == F.count(F.lit(1)) - 1)
+    table = dim.agg(F.struct(F.coalesce(dense, F.lit(False)).alias("dense"), F.transform(entries, lambda e: e["_d"]).alias("by_place"),
+                             F.when(~F.coalesce(dense, F.lit(False)), F.map_from_entries(entries)).alias("by_label"))).scalar()
     kind = dict(labels.dtypes)["label"]
 
     def fill(p):
-        d = F.try_element_at(F.col("_labels"), p["label"].cast(kind))
+        place = F.when(p["label"] >= 0, p["label"].cast("int") + 1)
+        d = F.when(F.col("_labels.dense"), F.try_element_at(F.col("_labels.by_place"), place)).otherwise(
+            F.try_element_at(F.col("_labels.by_label"), p["label"].cast(kind)))
         return F.struct(p["rank"].alias("rank"), p["label"].alias("label"), d["code"].alias("code"),
                         d["text"].alias("text"), p["value"].alias("value"))
     filled = F.transform(F.col(pred), fill)
     if how == "inner":
-        known = F.map_keys("_labels")
-        filled = F.filter(filled, lambda p: F.array_contains(known, p["label"].cast(kind)))
+        known = F.map_keys("_labels.by_label")
+        filled = F.filter(filled, lambda p: F.when(
+            F.col("_labels.dense"), (p["label"] >= 0) & (p["label"] < F.size("_labels.by_place"))).otherwise(
+            F.array_contains(known, p["label"].cast(kind))))
     cols = [F.coalesce(filled, F.array().cast(_filled_type(df, labels, pred))).alias(pred) if c == pred else F.col(c)
             for c in df.columns]
     return df.withColumn("_labels", table).select(*cols)

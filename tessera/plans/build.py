@@ -28,6 +28,12 @@ def process_code_system(code_system: DataFrame, dim: DataFrame, key: str = "row_
                      out_list="icd10_list", out_join="icd10_description", key=key)
 
 
+def corpus_rows(code_system: DataFrame, dim: DataFrame, augmentation: DataFrame, key: str = "row_key") -> DataFrame:
+    """``code, text, origin`` of every source, before shadowing and labels."""
+    processed = process_code_system(code_system, dim, key=key)
+    return with_augmentation(drop_prefixed(stack_origins(normalize_code_system(processed))), augmentation)
+
+
 def build_corpus(code_system: DataFrame, dim: DataFrame, augmentation: DataFrame,
                  key: str = "row_key", reference_order: bool = False, materialize: bool = True):
     """Returns ``(corpus, labels)`` with corpus columns
@@ -38,10 +44,7 @@ def build_corpus(code_system: DataFrame, dim: DataFrame, augmentation: DataFrame
     rows (read by the duplicate-text count and both sides of the shadow
     filter) and the filtered corpus (read by the label ranking and the label
     join). Without it every branch replays the crosswalk DAG."""
-    processed = process_code_system(code_system, dim, key=key)
-    stacked = stack_origins(normalize_code_system(processed))
-    corpus = drop_prefixed(stacked)
-    corpus = with_augmentation(corpus, augmentation)
+    corpus = corpus_rows(code_system, dim, augmentation, key)
     if materialize:
         corpus = cut(corpus, "corpus_union")
     corpus = with_chapter(drop_shadowed(corpus))

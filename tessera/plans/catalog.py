@@ -595,15 +595,26 @@ def q_replace_synonyms(spark, d):
     return replace_synonyms(_docs(spark, d).select("doc_id", "text"), _synonyms(spark, d), key="doc_id")
 
 
-def q_weighted_rf(spark, d):
+# The forest of the registered queries: smaller than Spark's default of 20 trees
+# and deeper than its 5 levels.
+FOREST = {"numTrees": 10, "maxDepth": 6}
+
+
+def _weighted_forest(spark, d):
     from pyspark.ml import Pipeline
 
-    from tessera.operators.model import classifier, evaluate, featurize
-    docs, _ = _ml_docs(spark, d)
+    from tessera.operators.model import classifier, featurize
+    docs, labels = _ml_docs(spark, d)
     split = SP.stratified_split(docs, "label", "doc_id")
     train = BA.with_class_weight(split.filter("split = 'train'"), "label", "weight")
-    pipe = Pipeline(stages=featurize("text") + [classifier("rf", "label", "weight", numTrees=10, maxDepth=6)])
-    return evaluate(pipe.fit(train), split, "label", "test")
+    return Pipeline(stages=featurize("text") + [classifier("rf", "label", "weight", **FOREST)]).fit(train), split, labels
+
+
+def q_weighted_rf(spark, d):
+    """IMB7: a forest of ``FOREST`` trees and levels on class weights."""
+    from tessera.operators.model import evaluate
+    model, split, _ = _weighted_forest(spark, d)
+    return evaluate(model, split, "label", "test")
 
 
 def q_evaluate_model(spark, d):
@@ -649,10 +660,8 @@ QUERIES.update({
 # ------------------------------------------------------ sources and sinks ---
 
 def _io_base(spark, name):
-    import uuid
-
-    from tessera.session import ensure_checkpoint_dir
-    return ensure_checkpoint_dir(spark).rstrip("/") + f"/io/{name}-{uuid.uuid4().hex[:10]}"
+    from tessera.operators.common import scratch_folder
+    return scratch_folder(spark, f"io/{name}")
 
 
 def q_io_csv_roundtrip(spark, d):
@@ -904,7 +913,7 @@ def q_check_one_vs_rest(spark, d):
     from tessera.operators.model import classifier, featurize
     docs, labels = _ml_docs(spark, d)
     n = labels.agg(F.count(F.lit(1))).scalar()
-    model = Pipeline(stages=featurize("text", num_features=1 << 12) + [classifier("ovr", "label")]).fit(docs)
+    model = Pipeline(stages=featurize("text") + [classifier("ovr", "label")]).fit(docs)
     out = model.transform(docs)
     return out.agg(F.count(F.lit(1)).alias("n_rows"), F.min((F.col("prediction") >= 0) & (F.col("prediction") < n))
                    .alias("in_range"), (F.avg((F.col("prediction") == F.col("label")).cast("double")) > 0.9).alias("fits"))
@@ -930,6 +939,76 @@ def q_check_stream_score(spark, d):
                                    F.min(F.col("value").between(0, 1)).alias("is_share"))
 
 
+def q_check_weighted_forest(spark, d):
+    """IMB7: the forest that is fitted on class weights has the trees and levels
+    asked for, and what it predicts for each test row is a known class, with a
+    probability of each class that adds to one."""
+    from pyspark.ml.functions import vector_to_array
+    model, split, labels = _weighted_forest(spark, d)
+    forest, n = model.stages[-1], labels.agg(F.count(F.lit(1))).scalar()
+    p = model.transform(split.filter("split = 'test'")).select(
+        "doc_id", "prediction", vector_to_array("probability").alias("p"))
+    mass = F.aggregate("p", F.lit(0.0), lambda a, x: a + x)
+    return p.select("doc_id", F.lit(forest.getNumTrees).alias("n_trees"),
+                    F.lit(max(t.depth for t in forest.trees) <= FOREST["maxDepth"]).alias("within_depth"),
+                    ((F.col("prediction") >= 0) & (F.col("prediction") < n) & (F.size("p") == n)).alias("known_class"),
+                    (F.abs(mass - 1) < 1e-9).alias("mass_one"))
+
+
+def _nb_docs(spark, d):
+    return _docs(spark, d).select("doc_id", "text", "lang").filter("lang IS NOT NULL")
+
+
+def q_nb_cross_validate(spark, d):
+    """MLD7 + MLD8 on words: accuracy of two smoothings in five folds, all from
+    one pass over the texts."""
+    from tessera.operators.bayes import cross_validate_words
+    out = cross_validate_words(SP.kfold(_nb_docs(spark, d), 5, "doc_id"), 5, (0.5, 1.0), label="lang")
+    return out.withColumn("accuracy", r6("accuracy"))
+
+
+def q_nb_word_model(spark, d):
+    """MLD5 on words: the fitted log-probabilities of the training split."""
+    from tessera.operators.bayes import statistics, word_model
+    split = SP.stratified_split(_nb_docs(spark, d), "lang", "doc_id")
+    split = split.withColumn("fold", (F.col("split") == "test").cast("int"))
+    return word_model(statistics(split, 2, label="lang"), 1.0, 1).select("label", "term", r6("log_prob").alias("log_prob"))
+
+
+def q_nb_evaluate(spark, d):
+    """MLD6 + MLD9 on words: the training split's model on the test split, and
+    on all rows."""
+    from tessera.operators.bayes import train_and_evaluate
+    pred = train_and_evaluate(SP.stratified_split(_nb_docs(spark, d), "lang", "doc_id"), split=None, label="lang")
+    out = None
+    for name, part in (("test", pred.filter("fold = 1")), ("all", pred)):
+        rep = ME.classification_report(part, "label", "prediction", "macro").withColumn("split", F.lit(name))
+        out = rep if out is None else out.unionByName(rep)
+    return out.select("split", *[r6(c).alias(c) for c in ("accuracy", "precision", "recall", "f1_score")])
+
+
+def q_corpus_incremental(spark, d):
+    """SET2, WIN2 and WIN3 over a stored corpus: a base and two batches, each
+    dealt a third of all rows, give what the full build gives."""
+    from tessera.operators.common import cut, scratch_folder
+    from tessera.operators.store import CorpusStore
+    from tessera.plans.build import corpus_rows
+    rows = cut(corpus_rows(V.code_system(spark, d), V.xw_dim(spark, d), V.augmentation(spark, d)), "corpus-rows")
+    store = CorpusStore(spark, scratch_folder(spark, "corpus-store"))
+    third = F.pmod(F.xxhash64("code", "text", "origin"), F.lit(3))
+    for i in range(3):
+        store.append(rows.filter(third == i))
+    return store.corpus()
+
+
+def q_best_thresholds(spark, d):
+    """IMB4 over every distinct score."""
+    from tessera.operators.imbalance import best_thresholds
+    # the two engines' exp() may differ in the last bit
+    scores = _class_scores(spark, d).withColumn("score", F.round("score", 9))
+    return best_thresholds(scores).select("class", "threshold", r6("f1").alias("f1"), "tp", "fp", "fn")
+
+
 def q_ordered_terms(spark, d):
     """ORD1: terms in total (code, origin, text, id) order at the sink."""
     return CO.ordered(V.terms(spark, d), "code", "origin", "text", "id")
@@ -959,4 +1038,10 @@ QUERIES.update({
     "check_one_vs_rest": q_check_one_vs_rest,
     "check_pseudo_label": q_check_pseudo_label,
     "check_stream_score": q_check_stream_score,
+    "check_weighted_forest": q_check_weighted_forest,
+    "nb_cross_validate": q_nb_cross_validate,
+    "nb_word_model": q_nb_word_model,
+    "nb_evaluate": q_nb_evaluate,
+    "corpus_incremental": q_corpus_incremental,
+    "best_thresholds": q_best_thresholds,
 })

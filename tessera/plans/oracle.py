@@ -344,3 +344,66 @@ ORACLES.update({
     "check_stream_score": """SELECT CAST(r AS INTEGER) AS rank, (SELECT count(*) FROM documents) AS n_rows, TRUE AS in_range,
         TRUE AS is_share FROM (VALUES (1), (2), (3)) t(r)""",
 })
+
+
+# Naive Bayes on words. ``rows``: (doc_id, text, lang, fold); the model for fold
+# f is fitted on the other folds.
+def _words(rows: str) -> str:
+    return f"""d AS (SELECT * FROM {rows}),
+  t AS (SELECT doc_id, lang, fold, term, count(*) AS n FROM (SELECT doc_id, lang, fold,
+          unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')) AS term FROM d) GROUP BY ALL),
+  f AS (SELECT DISTINCT fold AS f FROM d),
+  nw AS (SELECT f, lang, term, sum(n) AS m FROM t, f WHERE fold <> f GROUP BY ALL),
+  voc AS (SELECT f, count(DISTINCT term) AS v FROM nw GROUP BY f),
+  known AS (SELECT DISTINCT f, term FROM nw),
+  pr AS (SELECT f, lang, count(*) AS docs FROM d, f WHERE fold <> f GROUP BY ALL),
+  cls AS (SELECT pr.f, pr.lang, ln(docs / sum(docs) OVER (PARTITION BY pr.f)) AS prior, coalesce(w, 0) AS w, v
+          FROM pr JOIN voc USING (f) LEFT JOIN (SELECT f, lang, sum(m) AS w FROM nw GROUP BY ALL) USING (f, lang))"""
+
+
+def _nb_predictions(rows: str, smoothing: str, model: str) -> str:
+    """(doc_id, lang, fold, a, prediction); ``model``: the fold left out for a row."""
+    return f"""(WITH {_words(rows)}, al AS (SELECT unnest({smoothing}) AS a),
+  x AS (SELECT t.doc_id, cls.lang AS c, al.a, sum(t.n * (ln(coalesce(nw.m, 0) + al.a) - ln(cls.w + al.a * cls.v))) AS s
+        FROM (SELECT *, {model} AS g FROM t) t JOIN known ON known.f = t.g AND known.term = t.term
+        JOIN cls ON cls.f = t.g CROSS JOIN al LEFT JOIN nw ON nw.f = t.g AND nw.lang = cls.lang AND nw.term = t.term
+        GROUP BY ALL),
+  y AS (SELECT d.doc_id, d.lang, d.fold, al.a, cls.lang AS c, cls.prior + coalesce(x.s, 0) AS score
+        FROM (SELECT *, {model} AS g FROM d) d JOIN cls ON cls.f = d.g CROSS JOIN al
+        LEFT JOIN x ON x.doc_id = d.doc_id AND x.c = cls.lang AND x.a = al.a)
+  SELECT doc_id, lang, fold, a, c AS prediction FROM (
+    SELECT *, row_number() OVER (PARTITION BY doc_id, a ORDER BY score DESC, c) AS rn FROM y) WHERE rn = 1)"""
+
+
+_NB_FOLDS = f"""(SELECT doc_id, text, lang, CAST((row_number() OVER (ORDER BY {S.md5k('doc_id')}, doc_id) - 1) % 5 AS INTEGER)
+  AS fold FROM documents WHERE lang IS NOT NULL)"""
+_NB_SPLIT = f"""(SELECT doc_id, text, lang, CAST(split = 'test' AS INTEGER) AS fold FROM documents JOIN (
+  SELECT doc_id, split FROM {STRAT} WHERE lang IS NOT NULL) USING (doc_id))"""
+_NB_RUN = "(SELECT lang AS code, prediction AS top_prediction FROM {} {})"
+_NB_PRED = _nb_predictions(_NB_SPLIT, "[1.0::DOUBLE]", "1")
+
+ORACLES.update({
+    "nb_cross_validate": f"""SELECT a AS smoothing, fold, count(*) AS n_rows, count_if(lang = prediction) AS n_correct,
+        round(count_if(lang = prediction) / count(*), 6) AS accuracy
+      FROM {_nb_predictions(_NB_FOLDS, "[0.5::DOUBLE, 1.0::DOUBLE]", "fold")} GROUP BY a, fold""",
+    "nb_word_model": f"""WITH {_words(_NB_SPLIT)}
+      SELECT nw.lang AS label, term, round(ln(m + 1.0) - ln(w + 1.0 * v), 6) AS log_prob
+      FROM nw JOIN cls USING (f, lang) WHERE f = 1""",
+    "nb_evaluate": f"""SELECT 'test' AS split, * FROM ({report(_NB_RUN.format(_NB_PRED, "WHERE fold = 1"))})
+      UNION ALL SELECT 'all', * FROM ({report(_NB_RUN.format(_NB_PRED, ""))})""",
+    "corpus_incremental": f"SELECT * FROM {S.CORPUS}",
+    "best_thresholds": """WITH u AS (SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS x,
+          CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS cls FROM embeddings),
+      m AS (SELECT *, max(x) OVER (PARTITION BY vec_id) AS mx FROM u),
+      s AS (SELECT label, cls, round(exp(x - mx) / sum(exp(x - mx)) OVER (PARTITION BY vec_id), 9) AS score FROM m),
+      g AS (SELECT cls, score, count_if(coalesce(label = cls, FALSE)) AS p, count_if(NOT coalesce(label = cls, FALSE)) AS n
+            FROM s GROUP BY cls, score),
+      r AS (SELECT cls, score, CAST(sum(p) OVER w AS BIGINT) AS tp, CAST(sum(n) OVER w AS BIGINT) AS fp,
+                   CAST(sum(p) OVER (PARTITION BY cls) - sum(p) OVER w AS BIGINT) AS fn
+            FROM g WINDOW w AS (PARTITION BY cls ORDER BY score DESC)),
+      f AS (SELECT *, CASE WHEN 2 * tp + fp + fn > 0 THEN 2.0 * tp / (2 * tp + fp + fn) ELSE 0.0 END AS f1 FROM r)
+      SELECT cls AS class, score AS threshold, round(f1, 6) AS f1, tp, fp, fn FROM (
+        SELECT *, row_number() OVER (PARTITION BY cls ORDER BY f1 DESC, score) AS rn FROM f) WHERE rn = 1""",
+    "check_weighted_forest": f"""SELECT doc_id, CAST(10 AS INTEGER) AS n_trees, TRUE AS within_depth, TRUE AS known_class,
+        TRUE AS mass_one FROM {STRAT} WHERE split = 'test'""",
+})

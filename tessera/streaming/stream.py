@@ -4,26 +4,48 @@ windowed acceptance.
 Each job reads a file source and runs with ``Trigger.AvailableNow`` (process
 everything present, then stop). A job's folder holds its state, its sink and
 its store; a caller that names one can stop and call again, and the job goes on
-where it ended: files already read are not read again and the store forgets
-nothing. Without a name a fresh folder under ``spark.checkpoint.dir`` is used.
+where it ended: files already read are not read again and the state forgets
+nothing. Without a name a fresh folder under ``spark.checkpoint.dir`` is used,
+which a ``scratch_tables`` block around the call owns.
 Results don't depend on how files fall into micro-batches, or on their order.
 """
 
 from __future__ import annotations
 
-import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators.common import first_per_key, not_in, small_side
-from tessera.session import ensure_checkpoint_dir
+from tessera.operators.common import scratch_folder, small_side
+
+# Every so many epochs of windowed acceptance hold all windows.
+COMPACT = 16
 
 
 def _folder(spark: SparkSession, name: str, folder: str | None) -> str:
     if folder:
         return folder.rstrip("/")
-    return ensure_checkpoint_dir(spark).rstrip("/") + f"/streams/{name}-{uuid.uuid4().hex[:12]}"
+    return scratch_folder(spark, f"streams/{name}")
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """(file system, path) on the driver, for any store that Spark reaches."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _epochs(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the ``epoch=<n>`` folders below ``path``."""
+    fs, p = _hadoop(spark, path)
+    names = [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
+    return sorted(int(n[6:]) for n in names if n.startswith("epoch="))
+
+
+def _delete(spark: SparkSession, *paths: str) -> None:
+    for path in paths:
+        fs, p = _hadoop(spark, path)
+        fs.delete(p, True)
 
 
 def _finish(query) -> None:
@@ -81,22 +103,40 @@ def windowed_acceptance(stream: DataFrame, accepted, ts: str = "ts", window: str
 
     Each micro-batch writes the windows it changed (update mode) to its own
     ``epoch`` folder, a retried batch to the same one; the reader takes each
-    window's latest row and picks the closed ones.
+    window's latest row and picks the closed ones. Every ``COMPACT``-th epoch
+    holds the latest row of all windows, so a reader starts there, and epochs
+    before the last but one of these are deleted.
     """
     spark = stream.sparkSession
     base = _folder(spark, "acceptance", folder)
     counts = window_counts(stream, accepted, ts, window)
 
-    def write(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{base}/out/epoch={epoch_id}")
-
-    _finish(counts.writeStream.outputMode("update").foreachBatch(write)
-            .option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start())
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in counts.schema.fields)
-    rows = spark.read.schema(fields + ", epoch long").parquet(f"{base}/out")
     cols = [c for c in counts.columns if c != "window_start"]
-    last = rows.groupBy("window_start").agg(F.max_by(F.struct(*cols), "epoch").alias("r")).select("window_start", "r.*")
-    seen = rows.agg(F.max("last_ts")).scalar()
+
+    def rows_before(epoch: int) -> DataFrame:
+        """What a reader of the epochs before ``epoch`` needs: from the last
+        compacted one on."""
+        first = max(0, epoch // COMPACT * COMPACT - 1)
+        rows = spark.read.schema(fields + ", epoch long").option("basePath", f"{base}/out")
+        return rows.parquet(*[f"{base}/out/epoch={e}" for e in range(first, epoch)])
+
+    def latest(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("window_start").agg(F.max_by(F.struct(*cols), "epoch").alias("r")).select("window_start", "r.*")
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        if epoch % COMPACT == COMPACT - 1:
+            batch = latest(rows_before(epoch).unionByName(batch.withColumn("epoch", F.lit(epoch).cast("long"))))
+            done = epoch - COMPACT  # the compacted epoch that this one reads
+            _delete(spark, *[f"{base}/out/epoch={e}" for e in range(max(0, done - COMPACT), done)])
+        batch.repartition(1).write.mode("overwrite").parquet(f"{base}/out/epoch={epoch}")
+
+    with disk_state(spark):
+        _finish(counts.writeStream.outputMode("update").foreachBatch(write)
+                .option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start())
+    written = _epochs(spark, f"{base}/out")
+    rows = rows_before(written[-1] + 1) if written else spark.createDataFrame([], fields + ", epoch long")
+    last, seen = latest(rows), rows.agg(F.max("last_ts")).scalar()
     share = F.bround(F.try_divide(100.0 * F.col("n_accepted"), F.col("n_rows")), 1)
     return last.filter(F.col("window_end") <= seen - F.expr(f"INTERVAL {delay}")).select(
         "window_start", "window_end", "n_rows", "n_accepted", share.alias("accepted_pct"))
@@ -135,49 +175,79 @@ def run_scoring(spark: SparkSession, model, path: str, schema, text: str = "text
     return _drain(flat, "scoring", folder)
 
 
-# Hash buckets of the exact store.
-STORE_BUCKETS = 64
+@contextmanager
+def disk_state(spark: SparkSession):
+    """Queries started inside keep their state in RocksDB (memory-bounded, and
+    a batch uploads only what it changed), unless the session names a provider
+    itself. A restarted job goes on with the provider of its first start."""
+    names = {"providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+             "rocksdb.changelogCheckpointing.enabled": "true"}
+    names = {f"spark.sql.streaming.stateStore.{k}": v for k, v in names.items()}
+    own = spark.sparkContext.getConf().contains(next(iter(names)))
+    before = {k: spark.conf.get(k, None) for k in names}
+    try:
+        for k, v in {} if own else names.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def first_in_batches(stream: DataFrame, keys: list[str], order: str | None) -> DataFrame:
+    """Of the rows of each Arrow batch, the first per key (by ``order``; NULL
+    equals NULL): a key that holds much of the stream reaches the shuffle as one
+    row a batch."""
+    import pyarrow as pa
+
+    names = stream.columns
+
+    def run(batches):
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            t = t.append_column("_at", pa.array(range(b.num_rows), pa.int64()))
+            if order:
+                t = t.sort_by([(order, "ascending"), ("_at", "ascending")])
+                t = t.set_column(t.num_columns - 1, "_at", pa.array(range(b.num_rows), pa.int64()))
+            first = t.select([*keys, "_at"]).group_by(keys, use_threads=False).aggregate([("_at", "min")])
+            yield from t.take(first["_at_min"]).select(names).to_batches()
+
+    return stream.mapInArrow(run, stream.schema)
 
 
 def append_distinct_exact(stream: DataFrame, keys=("code", "text"), order: str | None = None,
-                          folder: str | None = None, buckets: int = STORE_BUCKETS) -> DataFrame:
-    """STR2, exact form: every micro-batch is merged into a Parquet store
-    with SET3 semantics (``foreachBatch``): rows whose key is already stored
-    are dropped (NULL equals NULL), the first row per new key is appended. It
-    never forgets a key.
-
-    The store is laid out as ``epoch=<id>/bucket=<hash of the keys>``. A batch
-    reads only the buckets its keys fall into, and only earlier epochs; a
-    retried batch (driver restart, lost executor) replaces its own epoch, so
-    the effect is exactly-once. Spark decides from measured bytes whether a
-    batch's keys are broadcast against the stored ones.
+                          folder: str | None = None) -> DataFrame:
+    """STR2, exact form: a row is appended when its key (NULL equals NULL) has
+    not been seen in this or any earlier batch; no key is ever forgotten.
+
+    The keys seen are Spark's keyed state, partitioned by key hash: a batch looks
+    up its own keys only and writes only the new ones, so its work doesn't grow
+    with what is stored. State and output are committed per batch (a retried
+    batch replaces its own part), so the effect is exactly-once. With ``order``,
+    the row kept of a new key is the batch's first by that column (NULL last);
+    without it any row of the key, which matters only for columns beyond the
+    keys. ``order`` uses Python state functions, the plain form none beyond the
+    thinning of repeats before the shuffle.
     """
     keys = list(keys)
-    spark = stream.sparkSession
-    base = _folder(spark, "append_distinct", folder)
-    store = f"{base}/store"
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.schema.fields)
-    schema = fields + ", epoch long, bucket int"
-    bucket = F.pmod(F.xxhash64(*[F.coalesce(F.col(k).cast("string"), F.lit("\u0000")) for k in keys]),
-                    F.lit(buckets)).cast("int")
-
-    def merge(batch: DataFrame, epoch_id: int) -> None:
-        from pyspark.errors import AnalysisException
-        pos = F.col(order) if order else F.monotonically_increasing_id()
-        fresh = first_per_key(batch.withColumn("_pos", pos), keys, "_pos").drop("_pos").withColumn("bucket", bucket)
-        try:
-            stored = batch.sparkSession.read.schema(schema).parquet(store).filter(F.col("epoch") < epoch_id)
-            # at most ``buckets`` numbers reach the driver; they prune folders
-            hit = [r["bucket"] for r in fresh.select("bucket").distinct().collect()]
-            fresh = not_in(fresh, stored.filter(F.col("bucket").isin(hit)), keys)
-        except AnalysisException as e:  # no store before the first batch
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
-        fresh.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{store}/epoch={epoch_id}")
-
-    _finish(stream.writeStream.foreachBatch(merge).option("checkpointLocation", f"{base}/state")
-            .trigger(availableNow=True).start())
-    return spark.read.schema(schema).parquet(store).drop("epoch", "bucket")
+    thin = first_in_batches(stream, keys, order)
+    if order is None:
+        fresh = thin.dropDuplicates(keys)
+    else:
+        names = stream.columns
+
+        def first(key, frames, state):
+            import pandas as pd
+            if state.exists:
+                for _ in frames:
+                    pass
+                return
+            best = pd.concat([f.sort_values(order, kind="stable", na_position="last").head(1) for f in frames])
+            state.update((True,))
+            yield best.sort_values(order, kind="stable", na_position="last").head(1)[names]
+        fresh = thin.groupBy(*keys).applyInPandasWithState(first, stream.schema, "seen boolean", "append", "NoTimeout")
+    with disk_state(stream.sparkSession):
+        return _drain(fresh, "append_distinct", folder)
 
 
 def run_append_distinct_exact(spark: SparkSession, path: str, schema, code_expr: str, text_expr: str,
