@@ -10,6 +10,7 @@ it has left is its token count. A text's count is the sum over its pre-tokens.
 from __future__ import annotations
 
 import functools
+import heapq
 import json
 import re
 import unicodedata
@@ -25,6 +26,7 @@ from tessera.llm.vocab import CACHE_WORDS, CACHED_CHARS, WORD_PATTERN, byte_alph
 
 NO_RANK = np.iinfo(np.int64).max
 WORDS_AT_ONCE = 65_536
+LONG_WORD = 4_096  # bytes from which a sequence is merged by its own bucket queue
 
 
 class RankMerger:
@@ -53,10 +55,66 @@ class RankMerger:
         at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
         return np.where(self.codes[at] == code, self.ranks[at], NO_RANK)
 
+    def _long(self, word: bytes) -> int:
+        """Symbols left of one long sequence. The same rounds as in
+        :meth:`counts`, but ranks are kept: positions wait in one bucket per
+        rank, and a merge looks up the two pairs beside it only. (Merges are in
+        order of birth here, so a new pair never ranks below the round's own.)"""
+        raw = np.frombuffer(word, np.uint8)
+        n = len(raw)
+        sym = np.append(self.plain[raw], 0)
+        sym[n - 1] = self.last[raw[-1]]
+        nxt, prv = np.arange(1, n + 2), np.arange(-1, n)  # n: the place behind the last symbol
+        rank = np.full(n + 1, NO_RANK)
+        buckets: dict[int, list[np.ndarray]] = {}
+        queue: list[int] = []
+
+        def offer(at):
+            found = self._rank(sym[at] * self.base + sym[nxt[at]])
+            rank[at] = found
+            at, found = at[found < NO_RANK], found[found < NO_RANK]
+            order = np.argsort(found, kind="stable")
+            at, found = at[order], found[order]
+            cuts = np.flatnonzero(np.diff(found)) + 1
+            for r, part in zip(found[np.r_[0, cuts]].tolist() if len(found) else [], np.split(at, cuts)):
+                if r not in buckets:
+                    buckets[r] = []
+                    heapq.heappush(queue, r)
+                buckets[r].append(part)
+        offer(np.arange(n - 1))
+        left = n
+        while queue:
+            r = heapq.heappop(queue)
+            at = np.unique(np.concatenate(buckets.pop(r)))
+            at = at[rank[at] == r]
+            if not len(at):
+                continue
+            # overlapping hits (a a a) count from the left: every second one of a run
+            head = np.r_[True, nxt[at[:-1]] != at[1:]]
+            lead = np.maximum.accumulate(np.where(head, np.arange(len(at)), 0))
+            at = at[(np.arange(len(at)) - lead) % 2 == 0]
+            gone = nxt[at]
+            sym[at] = self.made[r]
+            rank[gone] = NO_RANK
+            nxt[at] = nxt[gone]
+            prv[nxt[at]] = at
+            left -= len(at)
+            rank[at] = NO_RANK
+            before = prv[at]
+            touched = np.unique(np.concatenate([at, before[before >= 0]]))
+            offer(touched[nxt[touched] < n])
+        return left
+
     def counts(self, words: list[bytes]) -> np.ndarray:
         """Symbols left of each byte sequence (0 for an empty one)."""
         out = np.zeros(len(words), np.int64)
         size = np.fromiter(map(len, words), np.int64, len(words))
+        if self.ordered and (size >= LONG_WORD).any():
+            for i in np.flatnonzero(size >= LONG_WORD).tolist():
+                out[i] = self._long(words[i])
+            short = np.flatnonzero(size < LONG_WORD)
+            out[short] = self.counts([words[i] for i in short.tolist()])
+            return out
         ids = np.flatnonzero(size)
         if not len(ids):
             return out
@@ -90,6 +148,43 @@ class RankMerger:
         return out
 
 
+FIRST_TABLES = 0x370  # texts of characters below it need no more than the Latin part of the tables
+
+
+@functools.cache
+def _odd_characters(stop: int) -> tuple:
+    """What Python's Unicode tables see otherwise than the library's, which may
+    be older, in texts of characters below ``stop``: search functions for
+    characters that compose or are ordered differently under NFC and for those
+    that differ in lower case, and the library's lower case of the latter. All
+    code points are compared, by themselves, beside a mark of the lowest and one
+    of the highest class, and (composed ones) taken apart."""
+    from tokenizers import normalizers
+    nfc, lower = normalizers.NFC().normalize_str, normalizers.Lowercase().normalize_str
+    chars = [chr(c) for c in range(0x80, stop) if not 0xD800 <= c < 0xE000]
+    odd: set[str] = set()
+
+    def compare(strings, owners):
+        text = "\n".join(strings)
+        for owner, a, b in zip(owners, nfc(text).split("\n"), unicodedata.normalize("NFC", text).split("\n")):
+            if a != b:
+                odd.update(owner)
+    compare(chars, chars)
+    marks = [c for c in chars if unicodedata.category(c) != "Co"]
+    compare([f"a{c}\u0334" for c in marks], marks)
+    compare([f"a\u0345{c}" for c in marks], marks)
+    whole = [c for c in map(chr, range(0x80, 0x110000)) if unicodedata.decomposition(c)[:1] not in ("", "<")]
+    apart = [unicodedata.normalize("NFD", c) for c in whole]
+    made = [(c, a) for c, a in zip(whole, apart) if max(map(ord, a)) < stop]
+    compare([a for _, a in made], [c + a[-1] for c, a in made])
+    chars = sorted({*chars, *(c for c, _ in made)})
+    table = {ord(c): a for c, a in zip(chars, lower("\n".join(chars)).split("\n")) if a != c.lower()}
+
+    def search(found):
+        return re.compile("[" + "".join(map(re.escape, sorted(found))) + "]" if found else "(?!)").search
+    return search(odd), search(map(chr, table)) if table else search(()), table
+
+
 class TextCounter:
     """Token counts of whole texts as the ``tokenizers`` library gives them for
     a file with NFC, white-space and lower-case normalisation, a split pattern
@@ -108,10 +203,21 @@ class TextCounter:
         self._marks = tuple(t["content"] for t in spec["added_tokens"])
         self._cut = re.compile("|".join(map(re.escape, self._marks))).split
         self._known: dict[str, int] = {}
+        self._old: dict[str, int] = {}
+        from tokenizers import normalizers
+        self._nfc = normalizers.NFC().normalize_str
+        self._far = re.compile(f"[{chr(FIRST_TABLES)}-{chr(0x10FFFF)}]").search
 
     def _pieces(self, text: str) -> list[str]:
+        if text.isascii():
+            return self._split(text.lower())
+        odd, odd_case, lower = _odd_characters(0x110000 if self._far(text) else FIRST_TABLES)
+        text = self._nfc(text) if odd(text) else unicodedata.normalize("NFC", text)
         # per character, as the library does: no final-sigma rule
-        text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        if odd_case(text):
+            text = "".join([lower[ord(c)] if ord(c) in lower else "σ" if c == "Σ" else c.lower() for c in text])
+        else:
+            text = text.replace("Σ", "σ").lower()
         return self._split(text)
 
     def counts(self, texts: list[str | None]) -> np.ndarray:
@@ -124,10 +230,12 @@ class TextCounter:
                 pieces.append(list(chain.from_iterable(map(self._pieces, parts))))
             else:
                 pieces.append(self._pieces(t) if t else [])
-        if len(self._known) > CACHE_WORDS:
-            self._known.clear()
-        known = self._known
-        new = list(set(chain.from_iterable(pieces)).difference(known))
+        if len(self._known) > CACHE_WORDS // 2:  # two generations: words asked for again come back
+            self._known, self._old = {}, self._known
+        known, old = self._known, self._old
+        new = set(chain.from_iterable(pieces)).difference(known)
+        known.update([(w, old[w]) for w in new.intersection(old)])
+        new = list(new.difference(known))
         long = {}
         for i in range(0, len(new), WORDS_AT_ONCE):
             part = new[i:i + WORDS_AT_ONCE]
