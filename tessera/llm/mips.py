@@ -21,6 +21,7 @@ from tessera.llm.common import cut, with_slices
 
 BLOCK = 8192  # vectors of an item block
 QUERY_BLOCK = 2048
+LARGEST = 2.0 ** 62  # scores reach this at most; beyond it the job raises
 STEPS = (8, 24)  # coordinates after which bounds are taken
 
 
@@ -149,8 +150,9 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vect
     is searched on its own: a query meets the vectors of its own dimension.
     Repeated rows of one id and vector are one candidate; different vectors of
     one id are candidates each. Queries that share an id are one query, with
-    the smallest vector. Empty tables give no row; only id and vector are read,
-    so other columns can't clash.
+    the smallest vector. Vectors so long that a score could leave 64 bits raise
+    an error before any search. Empty tables give no row; only id and vector are
+    read, so other columns can't clash.
     """
     spark = vectors.sparkSession
     rows = integer_vectors(vectors, id_col, vector_col, scale)
@@ -171,14 +173,20 @@ def _top_k(rows: DataFrame, asked: DataFrame, n_asked: int, dim: int, k: int, bl
     """:func:`top_k` of vectors of one dimension."""
     spark = rows.sparkSession
     total = rows.count()
+    # lengths bound every score, and every partial sum of one
+    longest = [d.agg(F.max("norm2")).first()[0] or 0.0 for d in (rows, asked)]
+    if longest[0] ** 0.5 * longest[1] ** 0.5 >= LARGEST:
+        raise ValueError(f"scores of vectors with {dim} components may exceed 64 bits: lengths up to "
+                         f"{longest[0] ** 0.5:.3g} and {longest[1] ** 0.5:.3g}")
     basis = rotation(rows, dim)
     parts = max(1, -(-total // block))
     items = cut(_packed(rows, block, [F.desc("norm2"), F.col("vec_id")], parts, dim, "iblk"), "items")
     queries = cut(_packed(asked, query_block, [F.xxhash64("vec_id"), F.col("vec_id")],
                           max(1, -(-n_asked // query_block)), dim, "qblk"), "queries")
     shared = spark.sparkContext.broadcast(basis)  # dim x dim
-    # one row per block, so at most rows / block numbers
-    head = items.agg(F.min("iblk")).first()[0]
+    # the longest vectors: one block, of a stated number of rows
+    head = items.orderBy("iblk").select("iblk", "ids", "vecs").first()
+    head_block = spark.sparkContext.broadcast((bytes(head["ids"]), bytes(head["vecs"])))
 
     def numbers(row, ids, vecs):
         return np.frombuffer(row[ids], np.int64), np.frombuffer(row[vecs], np.int64).reshape(-1, dim)
@@ -187,9 +195,11 @@ def _top_k(rows: DataFrame, asked: DataFrame, n_asked: int, dim: int, k: int, bl
         for b in batches:
             for one in (b.slice(i, 1) for i in range(b.num_rows)):
                 r = one.to_pylist()[0]
+                if "ids" not in r:
+                    r["ids"], r["vecs"] = head_block.value
                 qid, q = numbers(r, "q_ids", "q_vecs")
                 iid, x = numbers(r, "ids", "vecs")
-                floor = np.frombuffer(r["floor"], np.float64) if r["floor"] else None
+                floor = np.frombuffer(r["floor"], np.float64) if r.get("floor") else None
                 qi, vid, score, low = best_of(qid, q, iid, x, shared.value, k, floor)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r["qblk"]], pa.int64()), pa.array([low.tobytes()], pa.binary()),
@@ -200,9 +210,7 @@ def _top_k(rows: DataFrame, asked: DataFrame, n_asked: int, dim: int, k: int, bl
     found = "qblk long, floor binary, query binary, vec binary, score binary"
     q = queries.select("qblk", F.col("max_norm").alias("q_norm"), F.col("ids").alias("q_ids"),
                        F.col("vecs").alias("q_vecs"))
-    first = q.withColumn("iblk", F.lit(head)).join(items.select("iblk", "ids", "vecs"), "iblk")
-    first = cut(first.withColumn("floor", F.lit(None).cast("binary")).repartition(F.col("qblk"))
-                .mapInArrow(search, found), "head")
+    first = cut(q.repartition(F.col("qblk")).mapInArrow(search, found), "head")
 
     def lowest(batches):
         for b in batches:
@@ -211,7 +219,7 @@ def _top_k(rows: DataFrame, asked: DataFrame, n_asked: int, dim: int, k: int, bl
                                              names=["qblk", "floor", "lowest"])
     floors = first.select("qblk", "floor").mapInArrow(lowest, "qblk long, floor binary, lowest double")
     # pairs of block numbers only; whole pairs fall here by the length bound
-    norms = items.filter(F.col("iblk") != head).select("iblk", "max_norm")
+    norms = items.filter(F.col("iblk") != head["iblk"]).select("iblk", "max_norm")
     blocks = norms.agg(F.sort_array(F.collect_list(F.struct("iblk", "max_norm")))).scalar()
     wanted = q.select("qblk", "q_norm").join(floors.select("qblk", "lowest"), "qblk")
     wanted = wanted.select("qblk", "q_norm", "lowest", F.explode(blocks).alias("_b")).select(
