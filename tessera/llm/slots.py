@@ -11,14 +11,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tessera.llm.common import cut, hot_lookup
+
 SLOTS = 4096
 MAP_SCHEMA = "version int, slot int, shard int"
 
 
+def key_of(*cols):
+    """Hash of a record's key columns (nulls hash like any value)."""
+    return F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in cols])
+
+
 def slot_of(*cols, slots: int = SLOTS):
-    """Slot number of a record by its key columns (nulls hash like any value)."""
-    return F.pmod(F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in cols]),
-                  F.lit(slots)).cast("int")
+    """Slot number of a record by its key columns."""
+    return F.pmod(key_of(*cols), F.lit(slots)).cast("int")
 
 
 def slot_bytes(records: DataFrame, slot: str = "vslot", size: str = "size") -> dict[int, int]:
@@ -139,7 +145,9 @@ def shard_documents(docs: DataFrame, map_path: str, shards: int = 8, slots: int
 
     Size: UTF-8 bytes of the text (null: none) plus 1. Slot: hash of id and
     text, so rows that share an id but not the text spread too; rows equal in
-    both share a slot. Version 0 of the map under ``map_path`` deals the
+    both are told apart by their position in the table, so any number of them
+    spreads. Groups of equal texts are not kept together: a group may exceed a
+    shard. Version 0 of the map under ``map_path`` deals the
     slots evenly, version 1 is edited from the measured bytes. Columns beyond
     id and text are not read (none can clash); nulls, empty texts and empty
     tables need no special case. Only narrow rows (no text) are shuffled.
@@ -147,9 +155,12 @@ def shard_documents(docs: DataFrame, map_path: str, shards: int = 8, slots: int
     text = F.coalesce(F.col(text_col), F.lit(""))
     rec = docs.select(F.col(id_col), (F.octet_length(text) + 1).cast("long").alias("size"),
                       F.crc32(text.cast("binary")).alias("text_crc32"),
-                      slot_of(id_col, text_col, slots=slots).alias("vslot"))
-    from tessera.llm.common import cut
-    rec = cut(rec, "slots")
+                      key_of(id_col, text_col).alias("_key"), F.monotonically_increasing_id().alias("_at"))
+    rec = cut(rec, "records")
+    again = rec.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").withColumn("_again", F.lit(True))
+    rec = hot_lookup(rec, again, "_key", "_n", rec.count(), F.col("_at"))
+    place = F.when(F.col("_again"), F.xxhash64("_key", "_at")).otherwise(F.col("_key"))
+    rec = cut(rec.withColumn("vslot", F.pmod(place, F.lit(slots)).cast("int")).drop("_key", "_at", "_again"), "slots")
     weight = slot_bytes(rec)
     spark = docs.sparkSession
     store_map(spark, map_path, 0, first_map(shards, slots))
