@@ -3,17 +3,15 @@
 from __future__ import annotations
 
 import os
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators.common import cut
-from tessera.session import ensure_checkpoint_dir
+from tessera.operators.common import cut, scratch_folder
 
-__all__ = ["cut", "fs_of", "hot_lookup", "new_folder", "read_table", "runs_of", "with_slices"]
+__all__ = ["cut", "fs_of", "hot_lookup", "map_batches", "new_folder", "read_table", "with_slices"]
 
 # A key is hot when it holds more than this share of the rows; at most
 # 1 / HOT_SHARE keys can be, so the table of hot keys is bounded.
@@ -26,24 +24,45 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataF
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared ``spark.checkpoint.dir``. It is made
-    through Hadoop's file system, so it works on any store Spark reaches."""
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh folder under the shared ``spark.checkpoint.dir``, owned by the
+    ``scratch_tables`` block around the call. It is made through Hadoop's file
+    system; tasks open files in it by :func:`fs_of`."""
     jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
+    p = jvm.org.apache.hadoop.fs.Path(scratch_folder(spark, name))
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     fs.mkdirs(p)
     return str(fs.makeQualified(p).toString())
 
 
+# Schemes of shared stores that tasks can open, and the name pyarrow has for each.
+SCHEMES = {"hdfs": "hdfs", "viewfs": "viewfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "abfs": "abfs",
+           "abfss": "abfss"}
+
+
+def arrow_uri(uri: str) -> str:
+    """The URI by which pyarrow knows a folder that Hadoop names ``uri``."""
+    scheme, _, rest = uri.partition("://")
+    if scheme not in SCHEMES:
+        raise ValueError(f"files can be written to {', '.join(['file', *SCHEMES])}, not to {scheme}")
+    return f"{SCHEMES[scheme]}://{rest}"
+
+
 def fs_of(uri: str):
-    """(file system, path) of a folder in shared storage, for use in tasks."""
+    """(file system, path) of a folder in shared storage, for use in tasks:
+    local and NFS paths, and the stores of ``SCHEMES``."""
     from pyarrow import fs
     if uri.startswith("file:"):
         return fs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
     if "://" not in uri:
         return fs.LocalFileSystem(), os.path.abspath(uri)
-    return fs.FileSystem.from_uri(uri)
+    return fs.FileSystem.from_uri(arrow_uri(uri))
+
+
+def map_batches(df: DataFrame, run) -> DataFrame:
+    """``mapInArrow`` that keeps the schema, for any column names: Spark can't
+    address a column whose name holds a dot there, so columns are numbered."""
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    return plain.mapInArrow(run, plain.schema).toDF(*df.columns)
 
 
 def with_slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
@@ -53,17 +72,6 @@ def with_slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator
             yield b.slice(i, rows)
 
 
-def runs_of(batches: Iterator[pa.RecordBatch], *key: str) -> Iterator[tuple[tuple, Iterator[dict]]]:
-    """Consecutive rows of equal ``key`` from sorted batches, one row at a
-    time: a group is never held whole."""
-    from itertools import groupby
-
-    def rows():
-        for b in with_slices(batches, 256):
-            yield from b.to_pylist()
-    return groupby(rows(), key=lambda r: tuple(r[k] for k in key))
-
-
 def hot_lookup(big: DataFrame, dim: DataFrame, key: str, weight: str, total: int, spread: Column) -> DataFrame:
     """Left join of ``big`` with ``dim`` (one row per ``key``; ``weight``: how
     many rows of ``big`` have it) that no key can overload. Keys above

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import cut, with_slices
+from tessera.llm.common import cut, map_batches, with_slices
 
 MAX_RISK = 0.02
 ERROR = 0.05
@@ -234,4 +234,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
                 keep.append(ok)
             yield b.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run)
