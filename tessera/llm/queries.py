@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from tessera.llm import (crosstok, filter_audit, langid, mips, mixing, neardup, packing, piece, repair, rules, slots,
                          token_count, warc)
 from tessera.llm.common import new_folder, read_table
+from tessera.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,5 +76,3 @@ QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_exact_topk, op3_sentencepiece, op4_virtual_slots, op5_token_files, op6_language_id,
     op7_quality_rules, op8_warc, op9_near_duplicates, op10_packing,
     op11_cross_tokenizer, op12_source_mix, op13_filter_audit)}
-
-ORACLES: dict[str, str] = {}

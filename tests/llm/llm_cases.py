@@ -29,7 +29,10 @@ def rnd_text(rnd: random.Random, n: int, alphabet) -> str:
     return "".join(rnd.choice(alphabet) for _ in range(n))
 
 
-CLASHING = ("size", "shard", "slot", "kept", "rank", "n_tokens", "cls", "rep", "digest", "_row", "stratum", "ids")
+# names that operators use inside, and names that Spark must quote
+CLASHING = ("a.b", "c0", "gone", "mark_id", "_text_hash", "_gone_id", "_key", "_at", "_again", "digest.x", "`q`",
+            "four", "cell", "part", "key", "pid", "before", "taken", "target", "links", "groups", "n_a", "a", "b", "n", "id",
+            "size", "shard", "slot", "kept", "rank", "n_tokens", "cls", "rep", "digest", "_row", "stratum", "ids")
 
 
 @pytest.fixture(scope="session")
@@ -39,6 +42,7 @@ def edge_docs(spark):
     df = spark.createDataFrame(edge_rows(), DOC_SCHEMA)
     for name in CLASHING:
         df = df.withColumn(name, F.lit("clash"))
+    assert set(CLASHING) < set(df.columns)
     return df.repartition(3)
 
 

@@ -59,6 +59,39 @@ def test_scores_equal_plain_naive_bayes():
         assert name == model.langs[int(z.argmax())] and score == pytest.approx(p.max(), rel=1e-3)
 
 
+def test_training_equals_plain_counts(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").filter(~langid.held_out())
+    model = langid.train(docs)
+    count, rows = {}, [(r["lang"], r["text"]) for r in docs.collect()]
+    for lang, text in rows:
+        if lang is not None and text is not None:
+            c = count.setdefault(lang, np.zeros(langid.BUCKETS))
+            codes = langid._codes(text)
+            np.add.at(c, langid.buckets_of(codes), 1)
+    assert model.langs == sorted(count)
+    for i, lang in enumerate(model.langs):
+        want = np.log((count[lang] + 0.5) / (count[lang].sum() + 0.5 * langid.BUCKETS))
+        assert np.allclose(model.logp[:, i], want, atol=1e-4)
+
+
+def test_many_languages_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(langid, "BLOCK_LANGS", 2)
+    monkeypatch.setattr(langid, "SHARED_BLOCKS", 1)
+    rnd = random.Random(8)
+    words = {f"l{i}": [rnd_text(rnd, 5, "abcdefgh" if i % 2 else "ijklmnop") for _ in range(6)] for i in range(7)}
+    rows = [(i, " ".join(rnd.choices(words[lang], k=8)), lang) for i in range(300) for lang in [f"l{i % 7}"]]
+    rows += [(900, "...", "zz"), (901, None, "none"), (902, "text", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    model = langid.train(df)
+    assert model.langs == [f"l{i}" for i in range(7)] + ["zz"] and len(model.blocks) == 4
+    whole = langid.Model(model.langs, model.logp)
+    names, scores = whole.predict([t for _, t, _ in rows])
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.identify(df, model).collect()}
+    for (i, *_), name, score in zip(rows, names, scores):
+        assert got[i][0] == name and got[i][1] == pytest.approx(score, rel=1e-6)
+    assert sum(got[i][0] == lang for i, _, lang in rows[:300]) > 290
+
+
 def test_long_texts_are_scored_in_chunks(monkeypatch):
     codes = langid._codes("abc défg hijk lmn " * 50)
     whole = np.bincount(langid.buckets_of(codes), minlength=langid.BUCKETS)

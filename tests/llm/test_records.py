@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm import mips, queries, slots, warc
+from tessera.llm import common, mips, queries, slots, warc
 from tessera.llm.common import hot_lookup, new_folder
 
 from llm_cases import SF_CHECK, SF_SMALL, edge_docs, edge_rows, no_docs  # noqa: F401
@@ -69,6 +69,23 @@ def test_topk_takes_every_vector_of_an_id_and_every_dimension(spark):
     assert got == {1: [(1, 2, 3), (2, 3, 2), (3, 3, 1)], 4: [(1, 5, 2), (2, 5, 0)]}
 
 
+def test_topk_of_huge_vectors_raises_or_is_exact(spark):
+    big = spark.createDataFrame([(0, [3e9, 0.0]), (1, [3e9, 0.0]), (2, [1.0, 1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="64 bits"):
+        mips.top_k(big, F.col("vec_id") == 0)
+    huge = spark.createDataFrame([(0, [1e300, 0.0]), (1, [1e300, 0.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="64 bits"):
+        mips.top_k(huge, F.col("vec_id") == 0)
+    x = 2.0 ** 30 / 256  # length 2^30: scores of 2^60
+    edge = spark.createDataFrame([(0, [x, 0.0]), (1, [x, 0.0]), (2, [-x, 0.0]), (3, [0.0, x])], "vec_id long, embedding array<double>")
+    assert found(mips.top_k(edge, F.col("vec_id") == 0)) == {0: [(1, 1, 1 << 60), (2, 3, 0), (3, 2, -(1 << 60))]}
+
+
+def test_topk_plans_no_keyless_join(spark):
+    df = queries.op2_exact_topk(spark, SF_SMALL)
+    assert "NestedLoop" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_pruning_skips_but_keeps_the_best():
     rng = np.random.default_rng(3)
     items = np.floor(rng.normal(size=(3000, 16)) * np.geomspace(400, 1, 3000)[:, None]).astype(np.int64)
@@ -103,6 +120,25 @@ def test_op4_query(spark):
     assert max(load.values()) - min(load.values()) <= 0.01 * sum(load.values()) / 8
 
 
+def test_equal_rows_spread_over_shards(spark):
+    rows = [(None, "one text " * 5)] * 1500 + [(i, f"t{i} " * 9) for i in range(1000)] + [(7, "again")] * 500
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    out = slots.shard_documents(df, new_folder(spark, "slot-map")).collect()
+    size, at = Counter(), defaultdict(set)
+    for r in out:
+        size[r["shard"]] += r["size"]
+        at[r["shard"]].add(r["slot"])
+    assert len(out) == len(rows) and max(size.values()) - min(size.values()) < 0.02 * sum(size.values()) / 8
+    assert all(s == set(range(len(s))) for s in at.values()) and sum(map(len, at.values())) == len(rows)
+
+
+def test_folders_of_spark_schemes():
+    assert common.arrow_uri("s3a://bucket/x") == "s3://bucket/x"
+    assert common.arrow_uri("hdfs://host:8020/x") == "hdfs://host:8020/x"
+    with pytest.raises(ValueError, match="s3a"):
+        common.arrow_uri("ftp://host/x")
+
+
 def test_map_versions_and_growth(spark):
     rnd = random.Random(4)
     weight = {s: rnd.randint(1, 100) for s in range(500)}

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -10,7 +11,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from tessera.llm import packing, piece, queries, repair, token_count
+from tessera.llm import packing, piece, queries, repair, token_count, vocab
 from tessera.llm.common import new_folder
 from tessera.llm.vocab import byte_bpe, vocabulary
 
@@ -85,6 +86,43 @@ def test_op1_edges(spark, edge_docs, no_docs, word_lib):
     assert token_count.count_tokens(no_docs).count() == 0
 
 
+def test_every_character_counts_as_in_the_library(word_lib):
+    """Also those that Python's Unicode tables see otherwise than the library's."""
+    count = token_count.counter(vocabulary("word_bpe_49k.json")).counts
+    chars = [chr(c) for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000 and unicodedata.category(chr(c)) not in ("Cn", "Co")]
+    rnd = random.Random(9)
+    marks = [c for c in chars if unicodedata.combining(c)]
+    apart = [unicodedata.normalize("NFD", c) for c in chars if unicodedata.decomposition(c)[:1] not in ("", "<")]
+    texts = ["\ua7cb", "\ua7dc", "x\ua7cby"] + ["".join(chars[i:i + 3]) for i in range(0, len(chars), 3)]
+    texts += ["".join(rnd.choice([rnd.choice(chars), rnd.choice(marks), rnd.choice(apart), "A", "Σ"])
+                      for _ in range(rnd.randint(2, 6))) for _ in range(6000)]
+    texts += ["".join(rnd.choice([chr(rnd.randrange(0x41, 0x370)), rnd.choice(marks[:90])]) for _ in range(5)) for _ in range(3000)]
+    want = [len(e.ids) for e in word_lib.encode_batch_fast(texts, add_special_tokens=False)]
+    assert count(texts).tolist() == want
+
+
+def test_long_words_count_as_in_the_library(word_lib):
+    import time
+    rnd = random.Random(10)
+    count = token_count.counter(vocabulary("word_bpe_49k.json")).counts
+    words = [rnd_text(rnd, n, "abcdefghijklmnopqrstuvwxyzé") for n in (4096, 5000, 60_000)]
+    words += ["ab" * 9000, "aab" * 5001, "the" * 4000, "y" * 9999, "é" * 5000]
+    assert count(words).tolist() == [len(lib_ids(word_lib, w)) for w in words]
+    start = time.process_time()
+    count([rnd_text(rnd, 1_000_000, "abcdefghijklmnopqrstuvwxyz")])
+    assert time.process_time() - start < 60
+
+
+def test_long_merge_equals_the_ragged_one():
+    vocab = {c: i for i, c in enumerate(token_count.byte_alphabet())}
+    vocab |= {"aa": 256, "aaaa": 257, "ab": 258, "aab": 259}
+    m = token_count.RankMerger(vocab, [("a", "a"), ("aa", "aa"), ("a", "b"), ("a", "ab")], "")
+    rnd = random.Random(11)
+    for _ in range(300):
+        w = rnd_text(rnd, rnd.randint(1, 30), "aab").encode()
+        assert m._long(w) == m.counts([w])[0]
+
+
 # ------------------------------------------------------------ operator 3 --
 
 def test_pieces_equal_library_on_random_texts(piece_lib):
@@ -97,6 +135,26 @@ def test_pieces_equal_library_on_random_texts(piece_lib):
         assert m.decode(ids) == piece_lib.decode(ids), t
 
 
+def test_pairs_fit_as_merging_them_says():
+    m = piece.PieceModel(vocabulary("piece_bpe_32k.model"))
+    rnd = random.Random(12)
+    ids = list(m.id_of.values())
+    for _ in range(20_000):
+        a, b = rnd.choice(ids), rnd.choice(ids)
+        assert m._fit(a, b) == (m.merged(m._piece[a] + m._piece[b]) == [m._piece[a], m._piece[b]])
+    assert all(m._fit(-1, i) == (m.merged(m._piece[i]) == [m._piece[i]]) for i in rnd.sample(ids, 3000))
+
+
+def test_words_come_back_from_the_old_generation():
+    made = []
+    cache = vocab.WordCache(lambda w: made.append(w) or w.upper(), size=4)
+    for w in ("a", "b", "a", "c", "a", "d", "e", "a", "x" * 100, "x" * 100):
+        cache.turn()
+        assert cache[w] == w.upper()
+        assert len(cache) <= 2
+    assert made.count("a") == 1 and made.count("x" * 100) == 2
+
+
 def test_decode_of_any_ids_equals_library(piece_lib):
     m = piece.piece_model(vocabulary("piece_bpe_32k.model"))
     rnd = random.Random(4)
