@@ -37,19 +37,24 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     group stays (smallest doc_id); texts that share a doc_id are judged apart.
     Of rows equal in doc_id and text, also without a doc_id, one stays: the
     first by a hash of its other columns."""
-    gone, copies = neardup.repeated(docs, words=5, percent=80)
-    rows = docs.withColumn("_text_hash", F.xxhash64("text"))
-    # what goes grows with the corpus: one plan at every size, no broadcast
-    same = (F.col("doc_id").cast("long") == F.col("_gone_id")) & (F.col("_text_hash") == F.col("_gone_hash"))
-    gone = gone.select(F.col("doc_id").alias("_gone_id"), F.col("text_hash").alias("_gone_hash"))
-    left = rows.join(gone.hint("shuffle_hash"), same, "left_anti").select(*docs.columns)
-    if copies.groupBy("doc_id", "text_hash").count().filter("count > 1").limit(1).count():
-        rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-        one = F.struct(*[F.col(f"`{c}`") for c in rest]) if rest else F.lit(0)
-        left = left.groupBy("doc_id", "text").agg(
-            F.min_by(one, F.xxhash64(F.to_json(F.struct(one.alias("r"))))).alias("_rest"))
-        left = left.select(*[F.col(f"`{c}`") if c in ("doc_id", "text") else F.col("_rest")[c].alias(c) for c in docs.columns])
-    return left
+    names = docs.columns
+    rows = docs.toDF(*[f"c{i}" for i in range(len(names))])  # so that no name can clash or holds a dot
+    doc, text = (f"c{names.index(c)}" for c in ("doc_id", "text"))
+    gone, copies = neardup.repeated(rows.select(F.col(doc).alias("doc_id"), F.col(text).alias("text")), words=5, percent=80)
+    again = copies.groupBy("doc_id", "text_hash").count().filter("count > 1").select("doc_id", "text_hash")
+    marks = gone.withColumn("gone", F.lit(1)).unionByName(again.withColumn("gone", F.lit(0)))
+    marks = marks.groupBy("doc_id", "text_hash").agg(F.max("gone").alias("gone")).select(
+        F.col("doc_id").alias("mark_id"), F.col("text_hash").alias("mark_hash"), "gone")
+    # what is marked grows with the corpus: one plan at every size, no broadcast
+    same = F.col(doc).cast("long").eqNullSafe(F.col("mark_id")) & F.xxhash64(text).eqNullSafe(F.col("mark_hash"))
+    left = rows.join(marks.hint("shuffle_hash"), same, "left").filter("gone IS NULL OR gone = 0")
+    one = left.filter("gone IS NULL").select(*rows.columns)
+    rest = [c for c in rows.columns if c not in (doc, text)]
+    other = F.struct(*rest) if rest else F.lit(0)
+    first = left.filter("gone = 0").groupBy(doc, text).agg(
+        F.min_by(other, F.xxhash64(F.to_json(F.struct(other.alias("r"))))).alias("other"))
+    first = first.select(*[F.col(c) if c in (doc, text) else F.col("other")[c].alias(c) for c in rows.columns])
+    return one.unionByName(first).toDF(*names)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
