@@ -31,6 +31,20 @@ def slice_counts(df: DataFrame, col: str = "code") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct(col).alias("n_codes"))
 
 
+def distinct_sketches(df: DataFrame, keys, col: str, lg_k: int = 12) -> DataFrame:
+    """AGG1, mergeable: ``(*keys, n_rows, sketch)`` with a HyperLogLog sketch
+    of the distinct values of ``col`` per slice (a few KB each, NULLs don't
+    count), to be stored and merged for any coarser slice without the rows."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), F.hll_sketch_agg(col, F.lit(lg_k)).alias("sketch"))
+
+
+def merged_distinct(sketches: DataFrame, *keys: str) -> DataFrame:
+    """``(*keys, n_rows, approx_distinct)`` of the union of stored sketches; a
+    relative standard error of about 1.04 / sqrt(2^lg_k), 1.6 % by default."""
+    return sketches.groupBy(*keys).agg(F.sum("n_rows").alias("n_rows"),
+                                       F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("approx_distinct"))
+
+
 def augmentation_stats(aug: DataFrame, rare_count=None) -> DataFrame:
     """AGG2. Codes, rows, accepted rows, accepted % (1 dp), rows per code
     (1 dp) and, given the number of rare codes, the share of codes augmented

@@ -1009,6 +1009,62 @@ def q_best_thresholds(spark, d):
     return best_thresholds(scores).select("class", "threshold", r6("f1").alias("f1"), "tp", "fp", "fn")
 
 
+SEARCHES = [("Brand#1", True), (r"br[a-z]+d#2\d", False), ("(small|LARGE).*brass", False), ("s1?", False)]
+
+
+def q_text_index_search(spark, d):
+    """FIL3 through a trigram index of the terms: a literal, two regular
+    expressions, and one without a required trigram, which is scanned for."""
+    from tessera.operators.common import scratch_folder
+    from tessera.operators.search import build_text_index, search
+    terms, path = V.terms(spark, d), scratch_folder(spark, "text-index")
+    build_text_index(terms, path)
+    out = None
+    for i, (pattern, literal) in enumerate(SEARCHES):
+        hit = search(terms, path, pattern, literal, chapters=None).select("id", "text", F.lit(i).alias("leg"))
+        out = hit if out is None else out.unionByName(hit)
+    return out
+
+
+def _clustered(spark, d):
+    """The embeddings drawn towards the direction of their label's coordinate,
+    so that neighbours are near (by themselves they are nearly random)."""
+    e = V.table(spark, d, "embeddings").filter("label IS NOT NULL")
+    at = F.pmod(F.col("label"), F.size("embedding"))
+    return e.select("vec_id", F.transform("embedding", lambda x, i: x + F.when(i == at, 12.0).otherwise(0.0)).alias("embedding"))
+
+
+def q_vector_ivf_neighbours(spark, d):
+    """VEC2 by the inverted-file index: of every 20th vector's five nearest
+    others, the share found in the lists probed for a recall of 0.9, and whether
+    probing on by bounds gives the exact answer."""
+    from tessera.operators import ivf
+    from tessera.operators.common import cut
+    from tessera.operators.vector import vector_topk
+    items = cut(_clustered(spark, d), "clustered")
+    asked = items.filter("vec_id % 20 = 0")
+    exact = cut(vector_topk(items, asked, 5, exclude_self=True), "exact")
+    index = ivf.build_index(items)
+    probes = ivf.probes_for(index, items, 0.95, exclude_self=True)
+    some, _ = ivf.search(index, asked, probes=probes, exclude_self=True)
+    every, probed = ivf.search(index, asked, exclude_self=True)
+    hit = exact.join(some.select("query_id", "item_id", F.lit(1).alias("found")), ["query_id", "item_id"], "left").join(
+        every.select("query_id", F.col("item_id").alias("same"), "rank"), ["query_id", "rank"], "left")
+    return hit.groupBy("rank").agg(F.count(F.lit(1)).alias("n_queries"), (F.count("found") >= 0.9 * F.count(F.lit(1))).alias("recall_reached"),
+                                   F.min(F.col("item_id") == F.col("same")).alias("bounds_exact"))
+
+
+def q_distinct_sketches(spark, d):
+    """AGG1 by sketches: distinct texts per chapter, merged from sketches per
+    chapter and origin, within four standard errors of the exact number."""
+    from tessera.operators.common import cut
+    t = CO.with_chapter(V.terms(spark, d))
+    stored = cut(BA.distinct_sketches(t, ["chapter", "origin"], "text"), "sketches")
+    exact = t.groupBy("chapter").agg(F.countDistinct("text").alias("n_distinct"))
+    near = F.abs(F.col("approx_distinct") - F.col("n_distinct")) <= 0.065 * F.col("n_distinct") + 1
+    return BA.merged_distinct(stored, "chapter").join(exact, "chapter").select("chapter", "n_rows", "n_distinct", near.alias("within"))
+
+
 def q_ordered_terms(spark, d):
     """ORD1: terms in total (code, origin, text, id) order at the sink."""
     return CO.ordered(V.terms(spark, d), "code", "origin", "text", "id")
@@ -1044,4 +1100,7 @@ QUERIES.update({
     "nb_evaluate": q_nb_evaluate,
     "corpus_incremental": q_corpus_incremental,
     "best_thresholds": q_best_thresholds,
+    "text_index_search": q_text_index_search,
+    "vector_ivf_neighbours": q_vector_ivf_neighbours,
+    "distinct_sketches": q_distinct_sketches,
 })

@@ -9,7 +9,7 @@ from __future__ import annotations
 from tessera.functions.text import PROMPT_CONTEXT
 from tessera.operators.augment import NAMES_PER_PROMPT
 from tessera.plans import sql as S
-from tessera.plans.catalog import SELECTOR, SELECTORS
+from tessera.plans.catalog import SEARCHES, SELECTOR, SELECTORS
 from tessera.operators.split import hash_threshold
 
 T = S.TERMS
@@ -407,3 +407,14 @@ ORACLES.update({
     "check_weighted_forest": f"""SELECT doc_id, CAST(10 AS INTEGER) AS n_trees, TRUE AS within_depth, TRUE AS known_class,
         TRUE AS mass_one FROM {STRAT} WHERE split = 'test'""",
 })
+
+ORACLES.update({
+    "text_index_search": " UNION ALL ".join(
+        f"SELECT id, text, CAST({i} AS INTEGER) AS leg FROM {T} WHERE " +
+        (f"contains(lower(text), {S.q(p.lower())})" if literal else f"regexp_matches(text, {S.q(p)}, 'i')")
+        for i, (p, literal) in enumerate(SEARCHES)),
+    "vector_ivf_neighbours": """SELECT CAST(unnest([1, 2, 3, 4, 5]) AS INTEGER) AS rank, count(*) AS n_queries,
+        TRUE AS recall_reached, TRUE AS bounds_exact FROM embeddings WHERE label IS NOT NULL AND vec_id % 20 = 0""",
+    "distinct_sketches": f"""SELECT substr(code, 1, 1) AS chapter, count(*) AS n_rows, count(DISTINCT text) AS n_distinct,
+        TRUE AS within FROM {T} GROUP BY 1""",
+})
