@@ -26,7 +26,7 @@ from tessera.llm.common import cut, with_slices
 from tessera.llm.piece import BLANK
 from tessera.llm.vocab import byte_alphabet, byte_bpe, vocabulary
 
-SLICE = 1 << 20  # characters aligned at once; a longer text is aligned alone
+SLICE = 1 << 18  # characters aligned at once; a longer text is aligned alone
 
 
 def byte_level_tokens(path: str) -> list[bytes]:
