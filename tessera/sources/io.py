@@ -121,5 +121,7 @@ def run_id(model_version, ts=None):
 
 def append_log(records: DataFrame, path: str) -> None:
     """SNK5. Append generation records (date, code, context, prompt, origin,
-    text) to the log table."""
+    text) to the log table. A failed write leaves no row, but a caller that
+    repeats an append after it succeeded doubles its rows: merge by SET3
+    (``merge_augmentation``) where that matters."""
     records.write.mode("append").parquet(path)
