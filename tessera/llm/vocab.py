@@ -14,6 +14,7 @@ import os
 import re
 import sys
 from array import array
+from codecs import charmap_decode
 
 CACHE_WORDS = 600_000
 CACHED_CHARS = 64  # longer pieces are encoded anew each time
@@ -109,7 +110,32 @@ def byte_alphabet() -> str:
     return "".join(chr(b) if b in keep else chr(next(rest)) for b in range(256))
 
 
-SPACE = byte_alphabet()[32].encode()
+def rank_encoder(model: dict, special: set[int], tokenize):
+    """``word -> ids`` of a byte-level BPE by merging whichever adjacent pair
+    joins to the token of the lowest id (``tiktoken``), or None if that is not
+    sure to be what the listed merges do.
+
+    It is if ids ascend in merge order, each merge's parts are made by earlier
+    merges, and each token's own text merges to that token alone. For then, if
+    x and y stand side by side when all merges before token z = xy are done, they
+    do so in the text of z by itself; but there the pair that z is listed with
+    stands at that moment, so x, y is that pair."""
+    import tiktoken
+    vocab, merges = model["vocab"], [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
+    made = [vocab.get(a + b, -1) for a, b in merges]
+    known = {vocab[c] for c in byte_alphabet()}
+    for (a, b), z in zip(merges, made):
+        if vocab.get(a) not in known or vocab.get(b) not in known or z in known:
+            return None
+        known.add(z)
+    tokens = {t: i for t, i in vocab.items() if i not in special}
+    if made != sorted(made) or min(made) < max(vocab[c] for c in byte_alphabet()) or known != set(tokens.values()):
+        return None
+    if any(len(x := tokenize(t)) != 1 or x[0].id != i for t, i in tokens.items()):
+        return None
+    value = {c: i for i, c in enumerate(byte_alphabet())}
+    ranks = {bytes(value[c] for c in t): i for t, i in tokens.items()}
+    return tiktoken.Encoding("own", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
 
 class ByteBpe:
@@ -138,17 +164,15 @@ class ByteBpe:
         self._split = splitter(BYTE_PATTERN)
         if sys.byteorder != "little":
             raise ValueError("ids are held as little-endian numbers")
-        model, table = tokenizer.model, byte_alphabet()
-        table = str.maketrans({chr(i): c for i, c in enumerate(table) if chr(i) != c})
+        alphabet, tokenize = byte_alphabet(), tokenizer.model.tokenize
         kind = "H" if self.dtype.itemsize == 2 else "I"
-        tokenize = model.tokenize
 
         def encoded(word):
-            raw = word.encode()
-            chars = raw.replace(b" ", SPACE).decode() if raw.isalnum() or raw[1:].isalnum() and raw[0] == 32 \
-                else raw.decode("latin-1").translate(table)
-            return array(kind, [t.id for t in tokenize(chars)]).tobytes()
-        self._words = WordCache(encoded)
+            return array(kind, [t.id for t in tokenize(charmap_decode(word.encode(), "strict", alphabet)[0])]).tobytes()
+        ranked = rank_encoder(spec["model"], {t["id"] for t in spec["added_tokens"]}, tokenize)
+        # a short word by rank order, several times as fast; of long ones the library's own queue is faster
+        self._words = WordCache(encoded if ranked is None else lambda w: array(kind, ranked(w)).tobytes()
+                                if len(w) <= CACHED_CHARS else encoded(w))
 
     def ids(self, text: str | None):
         """The ids as a numpy array; a null text is empty."""

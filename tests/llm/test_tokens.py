@@ -191,6 +191,27 @@ def test_byte_ids_equal_library(byte_lib):
         assert bpe.ids(t).tolist() == lib_ids(byte_lib, t), t
 
 
+def test_rank_order_equals_the_listed_merges(byte_lib):
+    import json
+    with open(vocabulary("byte_bpe_50k.json"), encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    tokenize, alphabet, rnd = byte_lib.model.tokenize, vocab.byte_alphabet(), random.Random(13)
+    ranked = vocab.rank_encoder(model, {50_256}, tokenize)
+    tokens, value = list(model["vocab"]), {c: i for i, c in enumerate(alphabet)}
+    for _ in range(40_000):
+        w = "".join(rnd.choice(tokens[:3000] if rnd.random() < .5 else tokens[:-1]) for _ in range(rnd.randint(1, 4)))
+        try:
+            word = bytes(value[c] for c in w[rnd.randint(0, 2):]).decode()
+        except UnicodeDecodeError:
+            continue
+        want = [t.id for t in tokenize("".join(alphabet[x] for x in word.encode()))]
+        assert ranked(word) == want, word
+    # merges out of order, or a token that its own text does not merge to
+    bad = {"vocab": {c: i for i, c in enumerate(alphabet)} | {"ab": 256, "abc": 257, "bc": 258},
+           "merges": [["a", "b"], ["a", "bc"], ["b", "c"]]}
+    assert vocab.rank_encoder(bad, set(), tokenize) is None
+
+
 @pytest.mark.parametrize("base,high", [(50_257, 50_257), (300, 40), (100_000, 100_000)])
 def test_grammar_round_trip_and_random_access(base, high):
     rng = np.random.default_rng(6)
