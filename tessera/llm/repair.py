@@ -38,7 +38,7 @@ HASH_BITS = 20
 
 def compress(ids: np.ndarray, ends: np.ndarray, base: int, min_count: int = MIN_COUNT):
     """Re-Pair in passes: each counts all adjacent pairs, gives the most
-    frequent ones a symbol (a quarter of the symbols left, or ``LEAST_RULES``),
+    frequent ones a symbol (half of the symbols left, or ``LEAST_RULES``),
     and replaces their occurrences from left to right, until no pair is found
     ``min_count`` times or no symbol is left.
     ``ends``: position after each document's last id. Returns symbols, document
@@ -64,7 +64,7 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int, min_count: int = MIN_
         first = np.flatnonzero(ordered[1:] != ordered[:-1]) + 1
         first = np.concatenate([[0], first, [len(ordered)]])
         count = np.diff(first)
-        want = min(max(room // 4, LEAST_RULES), room, 1 << 14)
+        want = min(max(room // 2, LEAST_RULES), room, 1 << 14)
         common = np.flatnonzero(count >= min_count)
         common = common[np.lexsort((ordered[first[common]], -count[common]))][:want]
         if not len(common):
