@@ -44,15 +44,21 @@ def statistics(df: DataFrame, folds: int, id_col: str = "doc_id", label: str = "
     """Count the words of ``df`` by label and fold (0 to ``folds`` - 1). Words:
     runs of letters and digits of the lower-case text. A NULL text has no word;
     rows without id, label or fold take no part; rows that share an id are one
-    document. The word counts of rows are written once, the rest derives from
-    them by partial aggregation (a frequent word collapses map-side)."""
+    document. A text's words are sorted and counted in its own row, so the (row,
+    word) counts need no shuffle; they are written once, the rest derives from
+    them by partial aggregation (a frequent word collapses map-side). All that
+    is made of them are sums, so rows that share an id need not be merged."""
     known = df.filter(F.col(id_col).isNotNull() & F.col(label).isNotNull() & F.col(fold).isNotNull()).select(
         F.col(id_col).alias("id"), F.col(label).alias("label"), F.col(fold).cast("int").alias("fold"), F.col(text).alias("_t"))
     found = F.regexp_extract_all(F.lower(F.coalesce(F.col("_t"), F.lit(""))), F.lit(WORD), F.lit(0))
+    known = known.select("id", "label", "fold", F.sort_array(found).alias("_w"))
+    first = F.filter(F.sequence(F.lit(0), F.size("_w") - 1), lambda i: (i == 0) | (F.get("_w", i) != F.get("_w", i - 1)))
+    known = known.select("*", F.when(F.size("_w") > 0, first).alias("_first"))
+    runs = F.transform("_first", lambda i, k: F.struct(F.get("_w", i).alias("term"), (
+        F.coalesce(F.get("_first", k + 1), F.size("_w")) - i).cast("long").alias("n")))
     # a row without a word keeps one entry, of no word
-    terms = known.select("id", "label", "fold", F.explode_outer(found).alias("term")).groupBy(
-        "id", "label", "fold", "term").agg(F.count("term").alias("n"))
-    terms = cut(terms, "nb-terms")
+    terms = known.select("id", "label", "fold", F.explode_outer(runs).alias("_r"))
+    terms = cut(terms.select("id", "label", "fold", "_r.term", F.coalesce("_r.n", F.lit(0)).alias("n")), "nb-terms")
     rows = terms.select("id", "label", "fold").distinct()
     terms = terms.filter("n > 0")
     words = cut(terms.groupBy("label", "term").agg(_others(F.col("n"), folds).alias("others")), "nb-words")

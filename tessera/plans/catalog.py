@@ -16,7 +16,7 @@ from tessera.operators import labels as LB
 from tessera.operators import metrics as ME
 from tessera.operators import split as SP
 from tessera.operators import topk as TK
-from tessera.operators.common import first_per_key, small_side, with_row_id
+from tessera.operators.common import cut, first_per_key, small_side, with_row_id
 from tessera.operators.crosswalk import crosswalk
 from tessera.plans import views as V
 from tessera.plans.build import build_corpus, process_code_system
@@ -980,6 +980,7 @@ def q_nb_evaluate(spark, d):
     on all rows."""
     from tessera.operators.bayes import train_and_evaluate
     pred = train_and_evaluate(SP.stratified_split(_nb_docs(spark, d), "lang", "doc_id"), split=None, label="lang")
+    pred = cut(pred.select("fold", "label", "prediction"), "nb-predictions")  # two reports read it twice each
     out = None
     for name, part in (("test", pred.filter("fold = 1")), ("all", pred)):
         rep = ME.classification_report(part, "label", "prediction", "macro").withColumn("split", F.lit(name))
