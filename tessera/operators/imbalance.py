@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.balance import oversample, undersample
-from tessera.operators.common import cut, first_per_key, running_sums, small_side
+from tessera.operators.common import cut, first_per_key, fits, running_sums, small_side
 from tessera.operators.corpus import label_dimension
 
 
@@ -92,6 +92,43 @@ def label_powerset(df: DataFrame, id_col: str = "id", label: str = "label", sep:
     return sets.join(small_side(dim), "labelset"), dim
 
 
+# Words of a dictionary that is broadcast, at most.
+DICTIONARY_WORDS = 100_000
+
+
+def _replace_within(src: DataFrame, known: DataFrame, text: str, key: str, out: str) -> DataFrame:
+    """Texts gathered by key and replaced token by token, from a broadcast
+    dictionary. A key without a text comes out as NULL."""
+    import pyarrow as pa
+    spark = src.sparkSession
+    words = spark.sparkContext.broadcast({r["_w"]: r["_s"] for r in known.collect()})
+
+    def replaced(texts):
+        get = words.value.get
+        tokens = [[get(t, t) for t in one.split(" ")] for one in texts]
+        if len(tokens) > 1:  # rows that share the key
+            tokens = [[t for _, t in sorted(((i, t) for one in tokens for i, t in enumerate(one)),
+                                            key=lambda e: (e[0], e[1].encode()))]]
+        return " ".join(tokens[0]) if tokens else None
+
+    def run(batches):
+        for b in batches:
+            for lo in range(0, b.num_rows, SLICE_ROWS):
+                part = b.slice(lo, SLICE_ROWS)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([replaced(t) for t in part.column(1).to_pylist()], pa.string())],
+                    names=["_key", "_out"])
+
+    kind = src.schema[key].dataType.simpleString()
+    texts = src.groupBy(F.col(key).alias("_key")).agg(F.collect_list(text).alias("_texts"))
+    done = texts.mapInArrow(run, f"_key {kind}, _out string")
+    return done.select(F.col("_key").alias(key), F.col("_out").alias(out))
+
+
+# Texts held as Python objects at once.
+SLICE_ROWS = 256
+
+
 def replace_synonyms(df: DataFrame, dictionary: DataFrame, text: str = "text", key: str = "id",
                      word: str = "word", synonym: str = "synonym", order: str | None = None,
                      out: str = "augmented", partitioned: bool = False) -> DataFrame:
@@ -99,18 +136,21 @@ def replace_synonyms(df: DataFrame, dictionary: DataFrame, text: str = "text", k
     spaces, replace every token found in the dictionary (first synonym per
     word by ``order``), re-join in token order.
 
-    The texts are hash-partitioned on the row key first (one shuffle of the
-    raw text, one row per text); tokens are then exploded with their
-    position, looked up through an equi left join and regrouped by the key
-    in the same stage, since the partitioning already satisfies the regroup.
-    The tokenising work is spread over the shuffle partitions rather than
-    tied to the input splits. Pass ``partitioned=True`` when ``df`` is
-    already hash-partitioned on ``key`` to skip that shuffle.
+    The texts are hash-partitioned on the row key (one shuffle of the raw text;
+    none with ``partitioned=True``, for a ``df`` already partitioned so) and
+    rows that share a key are taken together, their tokens in (position, token)
+    order. A dictionary of up to ``DICTIONARY_WORDS`` words, measured, is
+    broadcast and every token is looked up within its text, so that no token
+    becomes a row. Beyond that tokens are exploded with their position,
+    looked up by an equi left join and regrouped by the key.
     """
     d = first_per_key(dictionary.select(word, synonym, *([order] if order else [])), word,
                       order or synonym, cols=[synonym])
     d = d.select(F.col(word).alias("_w"), F.col(synonym).alias("_s"))
     src = df.select(key, text) if partitioned else df.select(key, text).repartition(key)
+    known = d.filter(F.col("_w").isNotNull() & F.col("_s").isNotNull())
+    if fits(known, DICTIONARY_WORDS):
+        return _replace_within(src, known, text, key, out)
     # a NULL text keeps one row without a token, and comes out as NULL
     ex = src.select(key, F.posexplode_outer(F.split(F.col(text), " ", -1)).alias("_pos", "_tok"))
     j = ex.join(small_side(d), ex["_tok"] == d["_w"], "left")
