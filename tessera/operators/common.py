@@ -67,12 +67,14 @@ HOT_SHARE = 1 / 1024
 SALTS = 16
 
 
-def spread_join(big: DataFrame, dim: DataFrame, key: str, how: str = "inner", also: Column | None = None) -> DataFrame:
+def spread_join(big: DataFrame, dim: DataFrame, key: str, how: str = "inner", also: Column | None = None,
+                grows: bool = False) -> DataFrame:
     """Equi-join on ``key`` (both sides have it; inner or left) that no key of
     ``big`` can overload: rows of a hot key are dealt over ``SALTS`` tasks, and
     ``dim``'s rows of that key are repeated for each. The hot keys, a bounded
     table, are found by a partial count. ``also``: a further condition, which
-    must not be an equality that Spark would take as a join key."""
+    must not be an equality that Spark would take as a join key. ``grows``:
+    ``dim`` grows with ``big``, so it is shuffled and never sent to the driver."""
     if how not in ("inner", "left"):
         raise ValueError(f"inner or left, not {how}")
     n = big.groupBy(F.col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("_n"))
@@ -86,6 +88,7 @@ def spread_join(big: DataFrame, dim: DataFrame, key: str, how: str = "inner", al
     every = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     right = dim.join(hot, F.col(key) == F.col("_hot"), "left").withColumn("_salt2", F.explode(every)).drop("_hot")
     right = right.withColumnRenamed(key, "_key2")
+    right = right.hint("merge") if grows else right
     same = (F.col(key) == F.col("_key2")) & (F.col("_salt") == F.col("_salt2"))
     return left.join(right, same if also is None else same & also, how).drop("_salt", "_salt2", "_key2")
 

@@ -18,7 +18,8 @@ def merge_predictions(corpus: DataFrame, pred: DataFrame, how: str = "inner", te
 
     Rows meet by a 256-bit digest, and the texts are compared only where digests
     match; a text held by many corpus rows is dealt over several tasks. NULL
-    texts match nothing."""
+    texts match nothing. Both sides grow with the corpus and neither is
+    broadcast, whatever their compressed files suggest."""
     others = [c for c in pred.columns if c != key]
     right = pred.filter(F.col(key).isNotNull()).select(F.sha2(key, 256).alias("_digest"), F.col(key).alias("_input"),
                                                        *[F.col(c).alias(f"_p{i}") for i, c in enumerate(others)])
@@ -27,7 +28,7 @@ def merge_predictions(corpus: DataFrame, pred: DataFrame, how: str = "inner", te
     left = corpus.withColumn("_digest", F.sha2(text, 256))
     # equal texts, said so that Spark does not make them a join key
     same = F.col(text).startswith(F.col("_input")) & (F.octet_length(text) <= F.octet_length("_input"))
-    out = spread_join(left, right, "_digest", how, same)
+    out = spread_join(left, right, "_digest", how, same, grows=True)
     return out.select(*corpus.columns, *[F.col(f"_p{i}").alias(c) for i, c in enumerate(others)])
 
 
