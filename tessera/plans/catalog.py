@@ -618,10 +618,10 @@ def q_weighted_rf(spark, d):
 
 
 def q_evaluate_model(spark, d):
-    from tessera.operators.model import evaluate, train_classifier
+    from tessera.operators.model import NUM_FEATURES, evaluate, term_frequencies, train_classifier
     docs, _ = _ml_docs(spark, d)
-    split = SP.stratified_split(docs, "label", "doc_id")
-    model = train_classifier(split.filter("split = 'train'"), "label")
+    split = term_frequencies(SP.stratified_split(docs, "label", "doc_id"), [NUM_FEATURES], keep=("label", "split"))
+    model = train_classifier(split.filter("split = 'train'"), "label", counted=True)
     test = evaluate(model, split, "label", "test").withColumn("split", F.lit("test"))
     full = evaluate(model, split, "label", None).withColumn("split", F.lit("all"))
     return test.unionByName(full)
@@ -910,10 +910,11 @@ def q_check_one_vs_rest(spark, d):
     """IMB5, binary relevance: one-vs-rest fitted and applied to every document."""
     from pyspark.ml import Pipeline
 
-    from tessera.operators.model import classifier, featurize
+    from tessera.operators.model import NUM_FEATURES, classifier, term_frequencies, weigh
     docs, labels = _ml_docs(spark, d)
     n = labels.agg(F.count(F.lit(1))).scalar()
-    model = Pipeline(stages=featurize("text") + [classifier("ovr", "label")]).fit(docs)
+    docs = term_frequencies(docs, [NUM_FEATURES])
+    model = Pipeline(stages=weigh() + [classifier("ovr", "label")]).fit(docs)
     out = model.transform(docs)
     return out.agg(F.count(F.lit(1)).alias("n_rows"), F.min((F.col("prediction") >= 0) & (F.col("prediction") < n))
                    .alias("in_range"), (F.avg((F.col("prediction") == F.col("label")).cast("double")) > 0.9).alias("fits"))
