@@ -27,6 +27,7 @@ BUCKETS = 1 << 16
 #: Labelled documents used per language, on average: a bounded, hash-drawn sample.
 TRAIN_DOCS = 8_000
 CHUNK = 1 << 18  # characters handled at once
+GROUP = 1 << 22  # characters of the texts whose code points are held at once
 UNKNOWN = "und"
 BLOCK_LANGS = 64  # languages of a block of the model: 16 MB
 SHARED_BLOCKS = 4  # blocks that are broadcast
@@ -121,7 +122,18 @@ class Model:
         """Language and its posterior for each text. The likelihood is the
         mean over the text's n-grams times ``EVIDENCE`` (n-grams of one text
         are far from independent, and a raw posterior would always be 0 or 1).
-        Ties go to the first language in name order."""
+        Ties go to the first language in name order. Code points are held for a
+        group of texts at a time, however long the texts of a slice are."""
+        names, scores = [], []
+        group = np.cumsum([len(t) if t else 0 for t in texts], dtype=np.int64) // GROUP
+        starts = np.flatnonzero(np.diff(group, prepend=-1)).tolist()
+        for lo, hi in zip(starts, [*starts[1:], len(texts)]):
+            some = self._predict(texts[lo:hi])
+            names += some[0]
+            scores += some[1]
+        return names, scores
+
+    def _predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         codes = [_codes(t) if t else () for t in texts]
         best, top = [UNKNOWN] * len(texts), np.full(len(texts), -np.inf)
         mass = np.zeros(len(texts))  # sum of exp(z - top) over the languages so far
