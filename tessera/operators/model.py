@@ -45,11 +45,15 @@ def weigh(num_features: int = NUM_FEATURES):
 
 def classifier(kind: str = "nb", label: str = "label", weight: str | None = None, **params):
     """``nb`` multinomial naive Bayes (default), ``lr`` multinomial logistic
-    regression, ``rf`` random forest (IMB7 with ``weight``), ``ovr``
-    one-vs-rest logistic regression (IMB5 binary relevance)."""
+    regression, ``rf`` random forest over sparse rows (IMB7 with ``weight``),
+    ``rf_dense`` Spark's own, for few columns, ``ovr`` one-vs-rest logistic
+    regression (IMB5 binary relevance)."""
     if kind == "lr":
         est = LogisticRegression(labelCol=label, featuresCol="features", family="multinomial", **params)
     elif kind == "rf":
+        from tessera.operators.forest import SparseForest
+        est = SparseForest(labelCol=label, featuresCol="features", seed=42, **params)
+    elif kind == "rf_dense":
         from pyspark.ml.classification import RandomForestClassifier
         est = RandomForestClassifier(labelCol=label, featuresCol="features", seed=42, **params)
     elif kind == "ovr":

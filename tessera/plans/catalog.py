@@ -601,13 +601,13 @@ FOREST = {"numTrees": 10, "maxDepth": 6}
 
 
 def _weighted_forest(spark, d):
-    from pyspark.ml import Pipeline
-
-    from tessera.operators.model import classifier, featurize
+    from tessera.operators.model import NUM_FEATURES, term_frequencies, train_classifier
     docs, labels = _ml_docs(spark, d)
     split = SP.stratified_split(docs, "label", "doc_id")
+    split = term_frequencies(split, [NUM_FEATURES], keep=("doc_id", "label", "split"))
     train = BA.with_class_weight(split.filter("split = 'train'"), "label", "weight")
-    return Pipeline(stages=featurize("text") + [classifier("rf", "label", "weight", **FOREST)]).fit(train), split, labels
+    model = train_classifier(train, "label", kind="rf", weight="weight", counted=True, keyCol="doc_id", **FOREST)
+    return model, split, labels
 
 
 def q_weighted_rf(spark, d):

@@ -1,19 +1,25 @@
 """What must not grow with pairs or tokens: vectors' buckets, word counts,
-dictionary look-ups, joins of two growing tables, code points of long texts."""
+dictionary look-ups, joins of two growing tables, code points of long texts,
+a forest's rows."""
 
 import random
 
 import numpy as np
+import pytest
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from conftest import rows
 
 from tessera.llm import langid
 from tessera.operators import bayes as NB
+from tessera.operators import forest
 from tessera.operators import imbalance as IM
 from tessera.operators import metrics as ME
 from tessera.operators import model as MO
 from tessera.operators import vector as VC
+from tessera.plans import catalog
 
 
 def _plan(df):
@@ -100,3 +106,61 @@ def test_language_of_long_texts_in_groups(monkeypatch):
     monkeypatch.setattr(langid, "GROUP", 100)
     monkeypatch.setattr(langid.Model, "_predict", lambda m, t: (most.append(len(t)), real(m, t))[1])
     assert model.predict(texts) == want and len(most) > 2
+
+
+def _forest_rows(spark):
+    """Sparse and dense vectors, zeros, negative numbers, columns of more values than bins."""
+    rnd, out = random.Random(5), []
+    for i in range(400):
+        y = rnd.choice([0, 0, 0, 1, 2])
+        v = {rnd.randrange(40): float(rnd.choice([0, 1, 1, 2, 3, -1])) for _ in range(6)}
+        if rnd.random() < 0.6:
+            v[y * 3 + 1] = float(rnd.randint(1, 60))
+        vector = Vectors.sparse(40, v)
+        out.append((i, float(y), 0.3 + 0.2 * y, vector if i % 3 else Vectors.dense(vector.toArray())))
+    return spark.createDataFrame(out, ["id", "label", "weight", "features"])
+
+
+def _forest_votes(model, df):
+    p = model.transform(df).select("id", "prediction", vector_to_array("probability").alias("p"))
+    return {r["id"]: (r["prediction"], *[round(x, 9) for x in r["p"]]) for r in p.collect()}
+
+
+@pytest.mark.parametrize("kind", ["gini", "entropy"])
+def test_a_forest_over_sparse_rows_without_draws_is_sparks(spark, kind):
+    df = _forest_rows(spark)
+    params = dict(numTrees=1, maxDepth=5, impurity=kind, minInstancesPerNode=3, featureSubsetStrategy="all", bootstrap=False)
+    a = MO.classifier("rf_dense", "label", "weight", **params).fit(df)
+    b = MO.classifier("rf", "label", "weight", **params).fit(df)
+    assert type(a) is not type(b) and a.trees[0].depth == b.trees[0].depth == 5
+    assert _forest_votes(a, df) == _forest_votes(b, df)
+
+
+def test_a_forest_does_not_depend_on_how_its_table_is_stored(spark, monkeypatch):
+    df = _forest_rows(spark)
+    fit = lambda t: MO.classifier("rf", "label", "weight", numTrees=6, maxDepth=4, keyCol="id").fit(t)
+    model = fit(df.repartition(1))
+    want = _forest_votes(model, df)
+    assert model.getNumTrees == 6 and max(t.depth for t in model.trees) <= 4
+    assert len({tuple(t.column) for t in model.trees}) == 6  # trees differ in rows and columns
+    assert sum(want[r["id"]][0] == r["label"] for r in df.collect()) > 280
+    monkeypatch.setattr(forest, "ROWS", 7)
+    monkeypatch.setattr(forest, "HELD", 50)
+    assert _forest_votes(fit(df.repartition(5, "id")), df) == want
+
+
+def test_rows_are_drawn_by_poissons_law():
+    key = np.random.default_rng(1).integers(-2 ** 63, 2 ** 63, 200_000)
+    a, b = forest.draws(key, 0, 1.0), forest.draws(key, 1, 1.0)
+    assert abs((a == 0).mean() - np.exp(-1)) < 0.005 and abs(a.mean() - 1) < 0.01 and abs(a.var() - 1) < 0.02
+    assert abs(np.corrcoef(a, b)[0, 1]) < 0.01
+
+
+def test_the_registered_forest_makes_no_row_as_wide_as_its_columns(spark, tmp_path):
+    docs = [(i, None if i == 7 else ("the a one two three" if i % 3 else "le la un deux trois"), "en" if i % 3 else "fr")
+            for i in range(90)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    model, split, _ = catalog._weighted_forest(spark, str(tmp_path))
+    assert isinstance(model.stages[-1], forest.SparseForestModel) and len(model.stages[-1]._points.number) == MO.NUM_FEATURES
+    assert catalog.q_check_weighted_forest(spark, str(tmp_path)).filter("known_class AND within_depth AND mass_one").count() == 18
+    assert catalog.q_weighted_rf(spark, str(tmp_path)).count() == 1
