@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.common import md5_key
-from tessera.operators.common import small_side
+from tessera.operators.common import checked_side, cut, small_side
 
 
 def class_counts(df: DataFrame, col: str = "code", name: str = "count") -> DataFrame:
@@ -104,9 +104,12 @@ def class_weights(df: DataFrame, col: str = "label") -> DataFrame:
 
 
 def with_class_weight(df: DataFrame, col: str = "label", name: str = "weight") -> DataFrame:
-    """AGG6 as a ``weightCol`` for Spark ML estimators."""
-    w = class_weights(df, col).withColumnRenamed("weight", name)
-    return df.join(small_side(w), col)
+    """AGG6 as a ``weightCol`` for Spark ML estimators. The weights, one row per
+    class, are written and measured: Spark can't foresee that they are few, and
+    would shuffle the rows by class, into as many tasks as there are classes,
+    each time they are read."""
+    w = cut(class_weights(df, col).withColumnRenamed("weight", name), "class-weights")
+    return df.join(checked_side(w), col)
 
 
 # Largest number of copies of one row produced inside one task.

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 
 from tessera.llm import langid
+from tessera.operators import balance as BA
 from tessera.operators import bayes as NB
 from tessera.operators import forest
 from tessera.operators import imbalance as IM
@@ -164,3 +165,24 @@ def test_the_registered_forest_makes_no_row_as_wide_as_its_columns(spark, tmp_pa
     assert isinstance(model.stages[-1], forest.SparseForestModel) and len(model.stages[-1]._points.number) == MO.NUM_FEATURES
     assert catalog.q_check_weighted_forest(spark, str(tmp_path)).filter("known_class AND within_depth AND mass_one").count() == 18
     assert catalog.q_weighted_rf(spark, str(tmp_path)).count() == 1
+
+
+def test_class_weights_move_no_rows(spark):
+    """Rows of a class lie in many tasks, whatever the table's size: they are
+    not dealt out by class. Beyond the limit the join is left to Spark."""
+    docs = [(i, ["a", "a", "a", "b", None][i % 5], f"text {i}") for i in range(100)]
+    df = spark.createDataFrame(docs, "doc_id long, label string, text string")
+    want = [("a", 60, 1 - 60 / 100), ("b", 20, 1 - 20 / 100)]
+    count = lambda w: rows(w.groupBy("label").agg(F.count("text"), F.first("weight")))
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for a table too large to be broadcast
+    try:
+        out = BA.with_class_weight(df, "label")
+        assert out.columns == ["label", "doc_id", "text", "weight"] and count(out) == want
+        plan = out._jdf.queryExecution().executedPlan().toString()  # before it runs, too
+        assert "BroadcastHashJoin" in plan and "hashpartitioning(label" not in plan
+        spark.conf.set("tessera.broadcast.maxRows", "1")
+        assert count(BA.with_class_weight(df, "label")) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+        spark.conf.unset("tessera.broadcast.maxRows")
